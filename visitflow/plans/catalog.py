@@ -12,7 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import datetime as dt
+
+from .. import functions as FN
+from ..operators import ads as AD
+from ..operators import area as AR
+from ..operators import categories as CG
+from ..operators import extract as EX
+from ..operators import pageflow as PF
 from ..operators import detail as D
+from ..operators import merge as M
 from ..operators import predicates as P
 from ..operators import sessions as S
 from ..operators import stats as ST
@@ -154,6 +163,182 @@ def q_session_detail(spark, d):
     return D.session_detail(actions(t, params=params), kept_sessions(t, params))
 
 
+# --- step 6 and 10: ad clicks, merges ------------------------------------------
+
+# Merge fixtures: the target is cut from the events before MERGE_TARGET_END, the
+# updates from MERGE_UPDATE_START on, so keys of the overlap exist in both.
+MERGE_TARGET_END = "2024-01-20 12:00:00"
+MERGE_UPDATE_START = "2024-01-15 00:00:00"
+BLACKLIST_THRESHOLD = 2
+
+
+def ad_clicks(t: Tables, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Parsed ad-log clicks derived from events (optionally cut by time on the scan)."""
+    ev = t.events
+    if start:
+        ev = ev.where(F.col("ts") >= F.lit(dt.datetime.fromisoformat(start)).cast("timestamp_ntz"))
+    if end:
+        ev = ev.where(F.col("ts") < F.lit(dt.datetime.fromisoformat(end)).cast("timestamp_ntz"))
+    return AD.parse_log(A.ad_log_lines(ev, t.nation, t.region))
+
+
+def _target_updates(t: Tables, build):
+    return (build(ad_clicks(t, end=MERGE_TARGET_END)), build(ad_clicks(t, start=MERGE_UPDATE_START)))
+
+
+def q_ad_log_parse(spark, d):
+    c = ad_clicks(Tables(spark, d))
+    return c.select(F.unix_millis("ts").alias("ms"), "date", "province", "city", "user_id", "ad_id")
+
+
+def q_merge_increment(spark, d):
+    tgt, upd = _target_updates(Tables(spark, d), AD.user_click_counts)
+    return M.merge(tgt, upd, AD.USER_KEYS, "increment")
+
+
+def q_merge_replace(spark, d):
+    tgt, upd = _target_updates(Tables(spark, d), AD.ad_stat)
+    return M.merge(tgt, upd, AD.STAT_KEYS, "replace")
+
+
+def q_merge_replace_minute(spark, d):
+    tgt, upd = _target_updates(Tables(spark, d), AD.click_trend)
+    return M.merge(tgt, upd, AD.TREND_KEYS, "replace")
+
+
+def q_merge_replace_group(spark, d):
+    tgt, upd = _target_updates(Tables(spark, d), lambda c: AD.province_top3(AD.ad_stat(c)))
+    return M.merge(tgt, upd, AD.PROVINCE_KEYS, "replace_group")
+
+
+def q_blacklist_append(spark, d):
+    black = lambda c: AD.blacklist_candidates(AD.user_click_counts(c), BLACKLIST_THRESHOLD)
+    tgt, upd = _target_updates(Tables(spark, d), black)
+    return M.append_new_users(tgt, upd)
+
+
+def q_click_count_lookup(spark, d):
+    t = Tables(spark, d)
+    counts = AD.user_click_counts(ad_clicks(t, end=MERGE_TARGET_END))
+    keys = ad_clicks(t, start=MERGE_UPDATE_START)
+    return M.lookup_counts(keys, counts, AD.USER_KEYS)
+
+
+def q_merge_existence(spark, d):
+    tgt, upd = _target_updates(Tables(spark, d), AD.user_click_counts)
+    return M.mark_existing(upd, tgt, AD.USER_KEYS)
+
+
+def _ad_batch_query(name):
+    def q(spark, d):
+        return AD.batch_stats(ad_clicks(Tables(spark, d)), BLACKLIST_THRESHOLD)[name]
+    q.__name__ = f"q_{name}"
+    return q
+
+
+# --- step 7: column functions over whole tables ---------------------------------
+
+def mock_time_text(ts_col="action_ts", date_col="date"):
+    """The mock data's time text: one-digit hours stay unpadded."""
+    ts = F.col(ts_col)
+    return F.concat(F.col(date_col), F.lit(" "), F.hour(ts).cast("string"), F.lit(":"),
+                    F.date_format(ts, "mm"), F.lit(":"), F.date_format(ts, "ss"))
+
+
+def q_time_keys(spark, d):
+    a = actions(Tables(spark, d))
+    text = mock_time_text()
+    parsed = FN.parse_time(text)
+    noon = F.lit("2024-01-15 12:00:00")
+    return a.select(
+        "event_id", text.alias("mock_time"),
+        FN.date_key(parsed).alias("date_key"), FN.minute_key(parsed).alias("minute_key"),
+        FN.date_hour(parsed).alias("date_hour"), FN.date_hour_text(text).alias("date_hour_text"),
+        FN.format_date(parsed).alias("day"), FN.format_time(parsed).alias("time_text"),
+        FN.before(text, noon).alias("before_noon"), FN.after(text, noon).alias("after_noon"),
+        FN.seconds_between(text, F.concat(F.col("date"), F.lit(" 0:00:00"))).alias("sec_of_day"),
+        FN.parse_date_key(FN.date_key(parsed)).cast("string").alias("date_from_key"))
+
+
+def session_record_text(sessions: DataFrame):
+    """The reference's ``k=v|`` session record, built from real columns."""
+    s = S.format_sets(sessions)
+    return F.concat(
+        F.lit("sessionid="), s["session_id"], F.lit("|searchKeywords="), s["search_keywords"],
+        F.lit("|clickCategoryIds="), s["click_category_ids"],
+        F.lit("|visitLength="), s["visit_length"].cast("string"),
+        F.lit("|stepLength="), s["step_length"].cast("string"),
+        F.lit("|startTime="), s["start_time"], F.lit("|")), s
+
+
+def q_kv_text_parse(spark, d):
+    text, s = session_record_text(S.aggregate_sessions(actions(Tables(spark, d), grain="week")))
+    rec = s.select("session_id", text.alias("record"))
+    return rec.select(
+        "session_id", "record",
+        *[FN.kv_get("record", k).alias(f"f_{k}") for k in
+          ("sessionid", "searchKeywords", "clickCategoryIds", "visitLength", "stepLength", "startTime", "age")])
+
+
+def q_kv_text_set(spark, d):
+    text, s = session_record_text(S.aggregate_sessions(actions(Tables(spark, d), grain="week")))
+    rec = s.select("session_id", "step_length", text.alias("record"))
+    return rec.select(
+        "session_id",
+        FN.kv_set("record", "visitLength", (F.col("step_length") * 10).cast("string")).alias("set_visit"),
+        FN.kv_set("record", "age", "30").alias("set_unknown"))
+
+
+def q_string_cleanup(spark, d):
+    s = S.format_sets(S.aggregate_sessions(actions(Tables(spark, d), grain="month")))
+    kws = F.col("search_keywords")
+    return s.select(
+        "session_id",
+        FN.trim_one_comma(F.concat(F.lit(","), kws, F.lit(","))).alias("trim1"),
+        FN.trim_one_comma(F.concat(F.lit(",,"), kws, F.lit(",,"))).alias("trim2"),
+        FN.fill_two_digits(F.col("step_length").cast("string")).alias("step_text"),
+        FN.fill_two_digits(F.col("visit_length").cast("string")).alias("visit_text"),
+        FN.is_empty(kws).alias("kw_empty"), FN.is_not_empty(F.col("click_category_ids")).alias("cat_present"))
+
+
+# --- step 8 and 9: categories, extract, page flow, areas -------------------------
+
+EXTRACT_PER_DAY = 20
+EXTRACT_SEED = "42"
+
+
+def job_actions(t: Tables) -> DataFrame:
+    """Actions of the sessions kept by the session job's task."""
+    return D.kept_actions(actions(t, params=JOB_PARAMS), kept_sessions(t, JOB_PARAMS))
+
+
+def q_top10_category(spark, d):
+    return CG.top_categories(job_actions(Tables(spark, d)))
+
+
+def q_top10_category_session(spark, d):
+    acts = job_actions(Tables(spark, d))
+    return CG.top_sessions_per_category(acts, CG.top_categories(acts))
+
+
+def q_session_random_extract(spark, d):
+    return EX.random_extract(kept_sessions(Tables(spark, d), JOB_PARAMS), EXTRACT_PER_DAY, EXTRACT_SEED)
+
+
+def q_page_convert_rate(spark, d):
+    return PF.convert_rates(job_actions(Tables(spark, d)), JOB_PARAMS.target_page_flow)
+
+
+def q_page_convert_rate_text(spark, d):
+    return PF.convert_rate_text(q_page_convert_rate(spark, d))
+
+
+def q_area_top3_product(spark, d):
+    t = Tables(spark, d)
+    return AR.area_top_products(actions(t, params=JOB_PARAMS), A.city_info(t.nation, t.region),
+                                A.product_info(t.part))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "actions_by_date_range": q_actions_by_date_range,
@@ -174,5 +359,27 @@ def queries() -> dict[str, Query]:
         "session_aggr_stat": q_session_aggr_stat,
         "session_aggr_stat_empty": q_session_aggr_stat_empty,
         "session_detail": q_session_detail,
+        "ad_log_parse": q_ad_log_parse,
+        "merge_increment": q_merge_increment,
+        "merge_replace": q_merge_replace,
+        "merge_replace_minute": q_merge_replace_minute,
+        "merge_replace_group": q_merge_replace_group,
+        "merge_existence": q_merge_existence,
+        "blacklist_append": q_blacklist_append,
+        "click_count_lookup": q_click_count_lookup,
+    })
+    out.update({
+        "time_keys": q_time_keys,
+        "kv_text_parse": q_kv_text_parse,
+        "kv_text_set": q_kv_text_set,
+        "string_cleanup": q_string_cleanup,
+        "top10_category": q_top10_category,
+        "top10_category_session": q_top10_category_session,
+        "session_random_extract": q_session_random_extract,
+        "page_convert_rate": q_page_convert_rate,
+        "page_convert_rate_text": q_page_convert_rate_text,
+        "area_top3_product": q_area_top3_product,
     })
+    for name in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
+        out[name] = _ad_batch_query(name)
     return out

@@ -233,6 +233,209 @@ def _task_params() -> str:
     return f"SELECT task_id, {', '.join(cols)} FROM ({_tasks()}) t"
 
 
+def clicks(start: str | None = None, end: str | None = None) -> str:
+    """Parsed ad clicks, derived straight from events (no text round trip)."""
+    where = ["event_type = 'click'"]
+    if start:
+        where.append(f"ts >= TIMESTAMP '{start}'")
+    if end:
+        where.append(f"ts < TIMESTAMP '{end}'")
+    return f"""
+    SELECT epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d') AS date,
+           replace(r_name, ' ', '_') AS province, n_name AS city, user_id,
+           CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS ad_id,
+           strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute
+    FROM events JOIN nation ON user_id % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE {' AND '.join(where)}"""
+
+
+def _count(src, keys):
+    return f"SELECT {keys}, count(*) AS click_count FROM ({src}) c GROUP BY {keys}"
+
+
+USER_KEYS, STAT_KEYS = "date, user_id, ad_id", "date, province, city, ad_id"
+TREND_KEYS, PROVINCE_KEYS = "date, hour, minute, ad_id", "date, province"
+
+
+def top3(stat_src):
+    return f"""
+    SELECT date, province, ad_id, click_count FROM (
+      SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count,
+             row_number() OVER (PARTITION BY date, province
+                                ORDER BY sum(click_count) DESC, ad_id ASC) AS rn
+      FROM ({stat_src}) s GROUP BY date, province, ad_id) r WHERE rn <= 3"""
+
+
+def blacklist(src, threshold):
+    return f"SELECT DISTINCT user_id FROM ({_count(src, USER_KEYS)}) c WHERE click_count >= {threshold}"
+
+
+def _on(keys, a="t", b="u"):
+    return " AND ".join(f"{a}.{k.strip()} = {b}.{k.strip()}" for k in keys.split(","))
+
+
+def merge_increment(tgt, upd, keys):
+    return f"""SELECT {keys}, CAST(sum(click_count) AS BIGINT) AS click_count
+    FROM (SELECT {keys}, click_count FROM ({tgt}) a UNION ALL SELECT {keys}, click_count FROM ({upd}) b) x
+    GROUP BY {keys}"""
+
+
+def merge_replace(tgt, upd, keys):
+    return f"""
+    SELECT {keys}, click_count FROM ({tgt}) t
+    WHERE NOT EXISTS (SELECT 1 FROM ({upd}) u WHERE {_on(keys)})
+    UNION ALL SELECT {keys}, max(click_count) AS click_count FROM ({upd}) u GROUP BY {keys}"""
+
+
+def merge_replace_group(tgt, upd, group_keys, cols):
+    return f"""
+    SELECT {cols} FROM ({tgt}) t
+    WHERE NOT EXISTS (SELECT 1 FROM ({upd}) u WHERE {_on(group_keys)})
+    UNION ALL SELECT {cols} FROM ({upd}) u"""
+
+
+def time_keys() -> str:
+    t = "make_timestamp(action_sec * 1000000)"
+    mock = (f"date || ' ' || CAST(hour({t}) AS VARCHAR) || ':' || strftime({t}, '%M') || ':' "
+            f"|| strftime({t}, '%S')")
+    return f"""
+    SELECT event_id, {mock} AS mock_time, strftime({t}, '%Y%m%d') AS date_key,
+           strftime({t}, '%Y%m%d%H%M') AS minute_key, strftime({t}, '%Y-%m-%d_%H') AS date_hour,
+           date || '_' || CAST(hour({t}) AS VARCHAR) AS date_hour_text, date AS day,
+           strftime({t}, {TS_FMT}) AS time_text,
+           {t} < TIMESTAMP '2024-01-15 12:00:00' AS before_noon,
+           {t} > TIMESTAMP '2024-01-15 12:00:00' AS after_noon,
+           CAST(hour({t}) * 3600 + minute({t}) * 60 + second({t}) AS BIGINT) AS sec_of_day,
+           CAST(CAST({t} AS DATE) AS VARCHAR) AS date_from_key
+    FROM ({uva()}) a"""
+
+
+def _record(parts_sep="|", visit="CAST(visit_length AS VARCHAR)", tail="|"):
+    return ("'sessionid=' || session_id || '|searchKeywords=' || search_keywords || "
+            "'|clickCategoryIds=' || click_category_ids || '|visitLength=' || " + visit +
+            " || '|stepLength=' || CAST(step_length AS VARCHAR) || '|startTime=' || start_time || '" + tail + "'")
+
+
+def kv_parse() -> str:
+    return f"""
+    SELECT session_id, {_record()} AS record, session_id AS f_sessionid,
+           nullif(search_keywords, '') AS f_searchKeywords, nullif(click_category_ids, '') AS f_clickCategoryIds,
+           CAST(visit_length AS VARCHAR) AS f_visitLength, CAST(step_length AS VARCHAR) AS f_stepLength,
+           start_time AS f_startTime, CAST(NULL AS VARCHAR) AS f_age
+    FROM ({session_rows(sessions(grain='week'))}) s"""
+
+
+def kv_set() -> str:
+    return f"""
+    SELECT session_id, {_record(visit="CAST(step_length * 10 AS VARCHAR)", tail="")} AS set_visit,
+           {_record(tail="")} AS set_unknown
+    FROM ({session_rows(sessions(grain='week'))}) s"""
+
+
+def string_cleanup() -> str:
+    def fill(x):
+        return f"CASE WHEN length({x}) = 2 THEN {x} ELSE '0' || {x} END"
+    return f"""
+    SELECT session_id, search_keywords AS trim1, ',' || search_keywords || ',' AS trim2,
+           {fill('CAST(step_length AS VARCHAR)')} AS step_text,
+           {fill('CAST(visit_length AS VARCHAR)')} AS visit_text,
+           search_keywords IS NULL OR search_keywords = '' AS kw_empty,
+           NOT (click_category_ids IS NULL OR click_category_ids = '') AS cat_present
+    FROM ({session_rows(sessions(grain='month'))}) s"""
+
+
+def job_actions() -> str:
+    jp = CAT.JOB_PARAMS
+    return f"SELECT * FROM ({uva(params=jp)}) a WHERE session_id IN (SELECT session_id FROM ({kept(jp)}) k)"
+
+
+def category_counts(acts: str) -> str:
+    return f"""
+    SELECT c AS categoryid, count(*) FILTER (WHERE kind = 0) AS clickCount,
+           count(*) FILTER (WHERE kind = 1) AS orderCount, count(*) FILTER (WHERE kind = 2) AS payCount
+    FROM (SELECT click_category_id AS c, 0 AS kind FROM ({acts}) a WHERE click_category_id IS NOT NULL
+          UNION ALL SELECT TRY_CAST(unnest(string_split(order_category_ids, ',')) AS BIGINT), 1
+                    FROM ({acts}) a WHERE order_category_ids IS NOT NULL
+          UNION ALL SELECT TRY_CAST(unnest(string_split(pay_category_ids, ',')) AS BIGINT), 2
+                    FROM ({acts}) a WHERE pay_category_ids IS NOT NULL) u
+    WHERE c IS NOT NULL GROUP BY c"""
+
+
+def top10_category(acts: str) -> str:
+    return (f"SELECT * FROM ({category_counts(acts)}) c "
+            "ORDER BY clickCount DESC, orderCount DESC, payCount DESC, categoryid ASC LIMIT 10")
+
+
+def top10_session(acts: str) -> str:
+    return f"""
+    SELECT categoryid, sessionid, clickCount FROM (
+      SELECT click_category_id AS categoryid, session_id AS sessionid, count(*) AS clickCount,
+             row_number() OVER (PARTITION BY click_category_id ORDER BY count(*) DESC, session_id ASC) AS rn
+      FROM ({acts}) a WHERE click_category_id IN (SELECT categoryid FROM ({top10_category(acts)}) t)
+      GROUP BY click_category_id, session_id) r WHERE rn <= 10"""
+
+
+def random_extract() -> str:
+    src = session_rows(kept(CAT.JOB_PARAMS))
+    n, seed = CAT.EXTRACT_PER_DAY, CAT.EXTRACT_SEED
+    return f"""
+    WITH s AS (SELECT *, substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour,
+                      md5('{seed}' || session_id) AS h FROM ({src}) x),
+         c AS (SELECT date, hour, count(*) AS n_hour FROM s GROUP BY date, hour),
+         q AS (SELECT date, hour, least(n_hour, greatest(1, CAST(floor(CAST({n} AS DOUBLE) * n_hour /
+                      CAST(sum(n_hour) OVER (PARTITION BY date) AS DOUBLE)) AS BIGINT))) AS quota FROM c),
+         r AS (SELECT s.*, row_number() OVER (PARTITION BY date, hour ORDER BY h, session_id) AS rn FROM s)
+    SELECT session_id AS sessionid, start_time AS startTime, search_keywords AS searchKeywords,
+           click_category_ids AS clickCategoryIds
+    FROM r JOIN q USING (date, hour) WHERE rn <= quota"""
+
+
+def page_rates() -> str:
+    flow = CAT.JOB_PARAMS.target_page_flow
+    steps = ", ".join(f"({i + 1}, CAST({a} AS BIGINT), CAST({b} AS BIGINT))"
+                      for i, (a, b) in enumerate(zip(flow[:-1], flow[1:])))
+    acts = job_actions()
+    return f"""
+    WITH a AS ({acts}),
+         p AS (SELECT page_id AS f, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_sec, event_id) AS t
+               FROM a),
+         pc AS (SELECT f, t, count(*) AS n FROM p WHERE t IS NOT NULL GROUP BY f, t),
+         st AS (SELECT * FROM (VALUES {steps}) v(step, from_page, to_page)),
+         c AS (SELECT step, from_page, to_page, coalesce(pc.n, 0) AS pair_count
+               FROM st LEFT JOIN pc ON pc.f = st.from_page AND pc.t = st.to_page),
+         u AS (SELECT 0 AS step, CAST(NULL AS BIGINT) AS from_page, CAST(NULL AS BIGINT) AS to_page,
+                      count(*) AS pair_count FROM a WHERE page_id = {flow[0]}
+               UNION ALL SELECT * FROM c),
+         l AS (SELECT *, lag(pair_count) OVER (ORDER BY step) AS prev FROM u)
+    SELECT step, from_page, to_page, pair_count, {_ratio('pair_count', 'prev')} AS convert_rate
+    FROM l WHERE step >= 1"""
+
+
+def page_rate_text() -> str:
+    return f"""
+    SELECT string_agg(CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) || '=' ||
+                      CAST(convert_rate AS VARCHAR), '|' ORDER BY step) AS convertRate
+    FROM ({page_rates()}) r"""
+
+
+def area_top3() -> str:
+    from ..operators.area import DEFAULT_AREA_LEVELS, DEFAULT_LEVEL, DEFAULT_STATUS_NAMES
+    levels = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in DEFAULT_AREA_LEVELS.items())
+    status = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in DEFAULT_STATUS_NAMES.items())
+    return f"""
+    WITH g AS (SELECT area, click_product_id AS productid, count(*) AS clickCount,
+                      array_to_string(list_sort(list(DISTINCT CAST(a.city_id AS VARCHAR) || ':' || city_name)), ',')
+                        AS cityInfos
+               FROM ({uva(params=CAT.JOB_PARAMS)}) a JOIN ({CITIES}) c ON a.city_id = c.city_id
+               WHERE click_product_id IS NOT NULL GROUP BY area, click_product_id),
+         r AS (SELECT *, row_number() OVER (PARTITION BY area ORDER BY clickCount DESC, productid ASC) AS rn FROM g)
+    SELECT area, CASE area {levels} ELSE '{DEFAULT_LEVEL}' END AS areaLevel, productid, cityInfos, clickCount,
+           p_name AS productName,
+           CASE json_extract_string('{{"product_status": ' || CAST(p_partkey % 2 AS VARCHAR) || '}}',
+                                    '$.product_status') {status} END AS productStatus
+    FROM r LEFT JOIN part ON p_partkey = productid WHERE rn <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     jp, fp = CAT.JOB_PARAMS, CAT.FILTER_PARAMS
     out = {
@@ -257,4 +460,43 @@ def oracle_sql() -> dict[str, str]:
         "session_aggr_stat_empty": session_aggr_stat(kept(CAT.EMPTY_PARAMS)),
         "session_detail": detail(fp["filter_all"]),
     })
+    out.update({
+        "time_keys": time_keys(),
+        "kv_text_parse": kv_parse(),
+        "kv_text_set": kv_set(),
+        "string_cleanup": string_cleanup(),
+        "top10_category": top10_category(job_actions()),
+        "top10_category_session": top10_session(job_actions()),
+        "session_random_extract": random_extract(),
+        "page_convert_rate": page_rates(),
+        "page_convert_rate_text": page_rate_text(),
+        "area_top3_product": area_top3(),
+    })
+    te, us, th = CAT.MERGE_TARGET_END, CAT.MERGE_UPDATE_START, CAT.BLACKLIST_THRESHOLD
+    ct, cu, call = clicks(end=te), clicks(start=us), clicks()
+    black = blacklist(call, th)
+    clean = f"SELECT * FROM ({call}) c WHERE user_id NOT IN ({black})"
+    out.update({
+        "ad_log_parse": f"SELECT ms, date, province, city, user_id, ad_id FROM ({call}) c",
+        "merge_increment": merge_increment(_count(ct, USER_KEYS), _count(cu, USER_KEYS), USER_KEYS),
+        "merge_replace": merge_replace(_count(ct, STAT_KEYS), _count(cu, STAT_KEYS), STAT_KEYS),
+        "merge_replace_minute": merge_replace(_count(ct, TREND_KEYS), _count(cu, TREND_KEYS), TREND_KEYS),
+        "merge_replace_group": merge_replace_group(top3(_count(ct, STAT_KEYS)), top3(_count(cu, STAT_KEYS)),
+                                                   PROVINCE_KEYS, "date, province, ad_id, click_count"),
+        "merge_existence": f"""
+            SELECT u.date, u.user_id, u.ad_id, u.click_count,
+                   EXISTS (SELECT 1 FROM ({_count(ct, USER_KEYS)}) t WHERE {_on(USER_KEYS)}) AS "exists"
+            FROM ({_count(cu, USER_KEYS)}) u""",
+        "blacklist_append": f"SELECT user_id FROM ({blacklist(ct, th)}) a UNION "
+                            f"SELECT user_id FROM ({blacklist(cu, th)}) b",
+        "click_count_lookup": f"""
+            SELECT k.date, k.user_id, k.ad_id, coalesce(t.click_count, 0) AS click_count
+            FROM (SELECT DISTINCT date, user_id, ad_id FROM ({cu}) c) k
+            LEFT JOIN ({_count(ct, USER_KEYS)}) t ON {_on(USER_KEYS, 'k', 't')}""",
+        "ad_user_click_count": _count(call, USER_KEYS),
+        "ad_blacklist": black,
+        "ad_stat": _count(clean, STAT_KEYS),
+        "ad_province_top3": top3(_count(clean, STAT_KEYS)),
+        "ad_click_trend": _count(clean, TREND_KEYS),
+    })
     return out
