@@ -236,6 +236,23 @@ def _ad_batch_query(name):
     return q
 
 
+# Two micro-batches: clicks before STREAM_CUT, then the rest (exercises J3).
+STREAM_CUT = "2024-01-12 00:00:00"
+
+
+def two_batch_state(t: Tables) -> AD.AdState:
+    first, _ = AD.apply_batch(AD.empty_state(t.spark), ad_clicks(t, end=STREAM_CUT), BLACKLIST_THRESHOLD)
+    second, _ = AD.apply_batch(first, ad_clicks(t, start=STREAM_CUT), BLACKLIST_THRESHOLD)
+    return second
+
+
+def _two_batch_query(field):
+    def q(spark, d):
+        return getattr(two_batch_state(Tables(spark, d)), field)
+    q.__name__ = f"q_two_batch_{field}"
+    return q
+
+
 # --- step 7: column functions over whole tables ---------------------------------
 
 def mock_time_text(ts_col="action_ts", date_col="date"):
@@ -382,4 +399,6 @@ def queries() -> dict[str, Query]:
     })
     for name in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
         out[name] = _ad_batch_query(name)
+    for field in ("counts", "blacklist", "stat", "top3"):
+        out[f"ad_two_batch_{field}"] = _two_batch_query(field)
     return out

@@ -475,7 +475,6 @@ def oracle_sql() -> dict[str, str]:
     te, us, th = CAT.MERGE_TARGET_END, CAT.MERGE_UPDATE_START, CAT.BLACKLIST_THRESHOLD
     ct, cu, call = clicks(end=te), clicks(start=us), clicks()
     black = blacklist(call, th)
-    clean = f"SELECT * FROM ({call}) c WHERE user_id NOT IN ({black})"
     out.update({
         "ad_log_parse": f"SELECT ms, date, province, city, user_id, ad_id FROM ({call}) c",
         "merge_increment": merge_increment(_count(ct, USER_KEYS), _count(cu, USER_KEYS), USER_KEYS),
@@ -495,8 +494,22 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN ({_count(ct, USER_KEYS)}) t ON {_on(USER_KEYS, 'k', 't')}""",
         "ad_user_click_count": _count(call, USER_KEYS),
         "ad_blacklist": black,
-        "ad_stat": _count(clean, STAT_KEYS),
-        "ad_province_top3": top3(_count(clean, STAT_KEYS)),
-        "ad_click_trend": _count(clean, TREND_KEYS),
+        "ad_stat": _count(call, STAT_KEYS),
+        "ad_province_top3": top3(_count(call, STAT_KEYS)),
+        "ad_click_trend": _count(call, TREND_KEYS),
+    })
+    # two micro-batches: b1 = clicks before the cut, b2 = the rest minus b1's blacklist
+    b1, b2raw = clicks(end=CAT.STREAM_CUT), clicks(start=CAT.STREAM_CUT)
+    black1 = blacklist(b1, th)
+    b2 = f"SELECT * FROM ({b2raw}) c WHERE user_id NOT IN ({black1})"
+    counts2 = merge_increment(_count(b1, USER_KEYS), _count(b2, USER_KEYS), USER_KEYS)
+    stat2 = merge_increment(_count(b1, STAT_KEYS), _count(b2, STAT_KEYS), STAT_KEYS)
+    out.update({
+        "ad_two_batch_counts": counts2,
+        "ad_two_batch_blacklist": f"SELECT user_id FROM ({black1}) a UNION ALL "
+                                  f"SELECT DISTINCT user_id FROM ({counts2}) c WHERE click_count >= {th} "
+                                  f"AND user_id NOT IN ({black1})",
+        "ad_two_batch_stat": stat2,
+        "ad_two_batch_top3": top3(stat2),
     })
     return out
