@@ -12,6 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import empty_frame
 from .merge import merge_increment, merge_replace_group
 
 LOG_COLUMNS = ("ts", "date", "province", "city", "user_id", "ad_id")
@@ -104,7 +105,7 @@ STATE_SCHEMAS = {
 
 
 def empty_state(spark) -> AdState:
-    return AdState(**{k: spark.createDataFrame([], v) for k, v in STATE_SCHEMAS.items()})
+    return AdState(**{k: empty_frame(spark, v) for k, v in STATE_SCHEMAS.items()})
 
 
 def apply_batch(state: AdState, clicks: DataFrame, threshold: int) -> tuple[AdState, DataFrame]:

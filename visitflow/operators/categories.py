@@ -10,23 +10,26 @@ CATEGORY_COLUMNS = ("categoryid", "clickCount", "orderCount", "payCount")
 SESSION_COLUMNS = ("categoryid", "sessionid", "clickCount")
 
 
-def _ids(text_col: str):
-    return F.explode(F.transform(F.split(F.col(text_col), ","), lambda x: x.try_cast("bigint")))
+def _items(text_col: str, kind: int):
+    """(category, kind) structs of a comma id list (empty when the column is null)."""
+    ids = F.coalesce(F.split(F.col(text_col), ","), F.array().cast("array<string>"))
+    return F.transform(ids, lambda x: F.struct(x.try_cast("bigint").alias("c"), F.lit(kind).alias("kind")))
 
 
 def category_counts(actions: DataFrame) -> DataFrame:
     """Click, order and pay counts per category id.
 
-    One long (category, kind) frame from three projections, then a single
-    aggregate with partial combine: one shuffle whatever the skew.
+    One pass: every action yields its (category, kind) items through one
+    ``inline``, then a single aggregate with partial combine — one scan and
+    one shuffle whatever the skew.
     """
-    clicks = (actions.where(F.col("click_category_id").isNotNull())
-              .select(F.col("click_category_id").alias("c"), F.lit(0).alias("kind")))
-    orders = (actions.where(F.col("order_category_ids").isNotNull())
-              .select(_ids("order_category_ids").alias("c"), F.lit(1).alias("kind")))
-    pays = (actions.where(F.col("pay_category_ids").isNotNull())
-            .select(_ids("pay_category_ids").alias("c"), F.lit(2).alias("kind")))
-    return (clicks.unionByName(orders).unionByName(pays).where(F.col("c").isNotNull())
+    click = F.col("click_category_id")
+    items = F.concat(
+        F.when(click.isNotNull(), F.array(F.struct(click.alias("c"), F.lit(0).alias("kind"))))
+         .otherwise(F.array().cast("array<struct<c:bigint,kind:int>>")),
+        _items("order_category_ids", 1), _items("pay_category_ids", 2))
+    return (actions.select(F.inline(items))
+            .where(F.col("c").isNotNull())
             .groupBy("c").agg(F.count_if(F.col("kind") == 0).alias("clickCount"),
                               F.count_if(F.col("kind") == 1).alias("orderCount"),
                               F.count_if(F.col("kind") == 2).alias("payCount"))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
+from ..session import small_frame
 
 _SCAN_SCHEMA = ("kind string, pid int, session_id string, from_page bigint, to_page bigint, "
                 "n bigint, seq bigint")
@@ -94,10 +95,9 @@ def convert_rates(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     The start page's views enter as step 0, so ``lag`` over the steps yields
     each step's denominator; the window holds ``len(flow)`` rows.
     """
-    spark = actions.sparkSession
-    steps = spark.createDataFrame(
-        [(i + 1, int(a), int(b)) for i, (a, b) in enumerate(zip(flow[:-1], flow[1:]))],
-        "step int, from_page bigint, to_page bigint")
+    steps = small_frame(actions.sparkSession,
+                        [(i + 1, int(a), int(b)) for i, (a, b) in enumerate(zip(flow[:-1], flow[1:]))],
+                        "step int, from_page bigint, to_page bigint")
     pairs = page_pair_counts(actions)
     counted = (F.broadcast(steps).join(pairs, ["from_page", "to_page"], "left")
                .select("step", "from_page", "to_page",

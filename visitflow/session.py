@@ -80,3 +80,24 @@ def _count():
 
 
 _counter = _count()
+
+
+def empty_frame(spark: SparkSession, schema: str):
+    """An empty DataFrame of ``schema`` as a JVM-side local relation.
+
+    Unlike ``createDataFrame([])`` (a Python RDD scan of unknown size), the
+    optimizer sees it is empty and prunes unions and joins against it.
+    """
+    fields = [f.strip().split() for f in schema.split(",")]
+    cols = ", ".join(f"CAST(NULL AS {t}) AS {n}" for n, t in fields)
+    return spark.sql(f"SELECT {cols} WHERE 1 = 0")
+
+
+def small_frame(spark: SparkSession, rows, schema: str):
+    """A few parameter rows (e.g. the steps of a page flow) as a local relation."""
+    from pyspark.sql import functions as F
+    fields = [f.strip().split() for f in schema.split(",")]
+    if not rows:
+        return empty_frame(spark, schema)
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -25,7 +25,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators.ads import STATE_SCHEMAS, TREND_KEYS, AdState, apply_batch, parse_log
 from ..operators.merge import merge_replace
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, empty_frame
 
 TREND_SCHEMA = "date string, hour string, minute string, ad_id bigint, click_count bigint"
 
@@ -69,18 +69,18 @@ class VersionedTables:
                  if t == table and (want is None or d in want)]
         schema = self.dated[table]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         df = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
         return df.selectExpr(*_typed(schema))
 
     def read_log(self, table: str, version: int | None) -> DataFrame:
         schema = self.logs[table]
         if version is None:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         try:
             df = self.spark.read.parquet(f"{self.root}/{table}")
         except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return df.where(F.col("v") <= F.lit(version)).selectExpr(*_typed(schema))
 
     # -- writes --------------------------------------------------------------
