@@ -119,8 +119,17 @@ def round_half_up(x, scale: int = RATIO_SCALE) -> Column:
     return (F.floor(_c(x).cast("double") * F.lit(p) + F.lit(0.5)).cast("double") / F.lit(p))
 
 
+def ratio_sql(part: str, whole: str, scale: int = RATIO_SCALE) -> str:
+    """A14 as SQL text over two column names (one JVM round trip to build)."""
+    p = f"{float(10 ** scale)}D"
+    return (f"CASE WHEN CAST({whole} AS DOUBLE) = 0.0D THEN 0.0D ELSE "
+            f"CAST(FLOOR(CAST({part} AS DOUBLE) * {p} / CAST({whole} AS DOUBLE) + 0.5D) AS DOUBLE) / {p} END")
+
+
 def ratio(part, whole, scale: int = RATIO_SCALE) -> Column:
     """Part / whole rounded half-up; 0.0 when whole is 0 (no sessions)."""
+    if isinstance(part, str) and isinstance(whole, str):
+        return F.expr(ratio_sql(part, whole, scale))
     part, whole = _c(part).cast("double"), _c(whole).cast("double")
     p = float(10 ** scale)
     raw = F.floor(part * F.lit(p) / whole + F.lit(0.5)).cast("double") / F.lit(p)

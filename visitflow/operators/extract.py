@@ -10,8 +10,9 @@ engine or partitioning.
 Scale: ranking a whole stratum in one task fails when one hour holds a third
 of all sessions. Instead the first 16 bits of the hash split each stratum
 into at most 65,536 buckets; bucket counts (an aggregate) give, per stratum,
-the bucket where the quota is reached. Sessions below it are in, above it out,
-and only that boundary bucket (~n_hour / 65,536 rows) is ranked exactly.
+the bucket where the quota is reached. Sessions below it are in, above it out;
+ranks are taken per (stratum, bucket), so each window partition holds about
+n_hour / 65,536 rows and the boundary bucket decides the rest exactly.
 """
 
 from __future__ import annotations
@@ -57,13 +58,14 @@ def random_extract(sessions: DataFrame, per_day: int = 100, seed: str = "0") ->
                 .select("date", "hour", F.col("m.b").alias("b_cut"),
                         (F.col("m.quota") - (F.col("m.upto") - F.col("m.nb"))).alias("need")))
 
-    tagged = keyed.join(boundary, ["date", "hour"])
-    below = tagged.where(F.col("b") < F.col("b_cut"))
-    edge = tagged.where(F.col("b") == F.col("b_cut"))
-    we = Window.partitionBy("date", "hour").orderBy("h", "session_id")
-    edge_kept = edge.withColumn("rn", F.row_number().over(we)).where(F.col("rn") <= F.col("need"))
+    # Candidates up to the boundary bucket; the rank runs per (stratum, bucket), a window
+    # partition of ~n_hour / 65,536 rows however large the stratum.
+    cand = keyed.join(boundary, ["date", "hour"]).where(F.col("b") <= F.col("b_cut"))
+    we = Window.partitionBy("date", "hour", "b").orderBy("h", "session_id")
+    kept = (cand.withColumn("rn", F.row_number().over(we))
+            .where((F.col("b") < F.col("b_cut")) | (F.col("rn") <= F.col("need"))))
     cols = [F.col("session_id").alias("sessionid"), F.col("start_time").alias("startTime"),
             F.array_join("search_keywords", ",").alias("searchKeywords"),
             F.array_join(F.transform("click_category_ids", lambda x: x.cast("string")), ",")
              .alias("clickCategoryIds")]
-    return below.select(*cols).unionByName(edge_kept.select(*cols))
+    return kept.select(*cols)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import STEP_BUCKETS, STEP_RATIO_COLUMNS, VISIT_BUCKETS, VISIT_RATIO_COLUMNS
-from ..functions.columns import ratio
+from ..functions.columns import ratio_sql
 
 
 def _in_bucket(c: Column, lo: int, hi: int | None) -> Column:
@@ -31,31 +31,32 @@ def step_bucket(c="step_length") -> Column:
     return bucket_label(c, STEP_BUCKETS)
 
 
+def _bucket_sql(col: str, lo: int, hi: int | None) -> str:
+    return f"{col} >= {lo}" if hi is None else f"{col} BETWEEN {lo} AND {hi}"
+
+
 def bucket_counts(sessions: DataFrame) -> DataFrame:
     """One row, session_count and the 15 bucket counts.
 
     A global aggregate: every task emits one partial row, the final step
     merges them, so there is no skew and no driver-side accumulator.
     """
-    v, s = F.col("visit_length"), F.col("step_length")
-    aggs = [F.count(F.lit(1)).alias("session_count")]
-    aggs += [F.count_if(_in_bucket(v, lo, hi)).alias(f"visit_length_{label}")
+    aggs = ["count(1) AS session_count"]
+    aggs += [f"count_if({_bucket_sql('visit_length', lo, hi)}) AS visit_length_{label}"
              for label, lo, hi in VISIT_BUCKETS]
-    aggs += [F.count_if(_in_bucket(s, lo, hi)).alias(f"step_length_{label}")
+    aggs += [f"count_if({_bucket_sql('step_length', lo, hi)}) AS step_length_{label}"
              for label, lo, hi in STEP_BUCKETS]
-    return sessions.agg(*aggs)
+    return sessions.agg(*[F.expr(a) for a in aggs])
 
 
 def session_aggr_stat(sessions: DataFrame) -> DataFrame:
     """session_count and 15 ratios rounded half-up to 2 places (0.0 if no sessions)."""
-    counts = bucket_counts(sessions)
-    n = F.col("session_count")
-    cols = [n]
-    cols += [ratio(F.col(f"visit_length_{label}"), n).alias(name)
+    cols = ["session_count"]
+    cols += [f"{ratio_sql(f'visit_length_{label}', 'session_count')} AS {name}"
              for (label, _, _), name in zip(VISIT_BUCKETS, VISIT_RATIO_COLUMNS)]
-    cols += [ratio(F.col(f"step_length_{label}"), n).alias(name)
+    cols += [f"{ratio_sql(f'step_length_{label}', 'session_count')} AS {name}"
              for (label, _, _), name in zip(STEP_BUCKETS, STEP_RATIO_COLUMNS)]
-    return counts.select(*cols)
+    return bucket_counts(sessions).selectExpr(*cols)
 
 
 def bucket_distribution(sessions: DataFrame, which: str = "visit") -> DataFrame:

@@ -12,9 +12,25 @@ TABLE_NAMES = (
 )
 
 
+_OPENED: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """One table of ``data_dir`` as a DataFrame (lazy; columns pruned by Catalyst)."""
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    """One table of ``data_dir`` as a DataFrame (lazy; columns pruned by Catalyst).
+
+    Handles are kept per session and path: opening lists files and reads
+    parquet footers, which costs more than building a whole query plan.
+    Input folders are immutable; ``forget_tables()`` drops the handles.
+    """
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(path)
+    return _OPENED[key]
+
+
+def forget_tables() -> None:
+    _OPENED.clear()
 
 
 class Tables:
