@@ -225,3 +225,18 @@ def test_task_params_decode():
     assert (p.start_age, p.end_age, p.professionals, p.cities, p.sex) == (10, 40, ("p1", "p2"), None, None)
     assert p.target_page_flow == (1, 2, 3)
     assert TaskParams.from_json(p.to_json()) == p
+
+
+def test_register_views_runs_reference_sql(spark):
+    from visitflow.sources.adapters import register_views
+    from visitflow.sources.tables import Tables
+    register_views(Tables(spark, "/root/testdata/sf0.001"))
+    n = spark.sql("select * from user_visit_action where date >= '2024-01-02' and date <= '2024-01-03'").count()
+    assert n > 0
+    assert spark.sql("select * from user_info").count() == 150
+
+
+def test_run_date_and_yesterday(spark):
+    row = spark.range(1).select(FN.run_date("2024-03-01").alias("d")).select(
+        FN.day_before("d").alias("y")).collect()[0]
+    assert row["y"] == "2024-02-29"

@@ -87,6 +87,16 @@ def date_hour(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd_HH")
 
 
+def run_date(day: str) -> Column:
+    """the job's date, always an explicit parameter (never the wall clock)."""
+    return F.lit(day).cast("date")
+
+
+def day_before(d) -> Column:
+    """yesterday of a date column, as ``yyyy-MM-dd``."""
+    return F.date_format(F.date_sub(_c(d).cast("date"), 1), DATE_FORMAT)
+
+
 def format_date(ts) -> Column:
     """F8: ``yyyy-MM-dd``."""
     return F.date_format(_c(ts), DATE_FORMAT)

@@ -274,7 +274,8 @@ def q_time_keys(spark, d):
         FN.format_date(parsed).alias("day"), FN.format_time(parsed).alias("time_text"),
         FN.before(text, noon).alias("before_noon"), FN.after(text, noon).alias("after_noon"),
         FN.seconds_between(text, F.concat(F.col("date"), F.lit(" 0:00:00"))).alias("sec_of_day"),
-        FN.parse_date_key(FN.date_key(parsed)).cast("string").alias("date_from_key"))
+        FN.parse_date_key(FN.date_key(parsed)).cast("string").alias("date_from_key"),
+        FN.day_before(F.col("date")).alias("yesterday"))
 
 
 def session_record_text(sessions: DataFrame):

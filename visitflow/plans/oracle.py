@@ -306,7 +306,8 @@ def time_keys() -> str:
            {t} < TIMESTAMP '2024-01-15 12:00:00' AS before_noon,
            {t} > TIMESTAMP '2024-01-15 12:00:00' AS after_noon,
            CAST(hour({t}) * 3600 + minute({t}) * 60 + second({t}) AS BIGINT) AS sec_of_day,
-           CAST(CAST({t} AS DATE) AS VARCHAR) AS date_from_key
+           CAST(CAST({t} AS DATE) AS VARCHAR) AS date_from_key,
+           strftime(CAST(date AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday
     FROM ({uva()}) a"""
 
 

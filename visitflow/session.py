@@ -55,10 +55,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
     (local tests) a fresh scratch folder is created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)          # conf given at runtime: DataFrame.checkpoint() needs it
         return current.rstrip("/")
     path = tempfile.mkdtemp(prefix="visitflow-ckpt-")
     spark.sparkContext.setCheckpointDir(path)

@@ -149,3 +149,20 @@ def ad_log_lines(events: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
                                 F.col("province"), F.col("city"),
                                 F.col("user_id").cast("string"),
                                 (_k(F.col("props")) % 10).cast("string")).alias("value")))
+
+
+def register_views(tables, grain: str = "day", clock: str = "real") -> list[str]:
+    """Temp views ``user_visit_action``, ``user_info``, ``product_info``, ``city_info``.
+
+    Lets the reference's SQL (``select * from user_info``, the date-range
+    query on ``user_visit_action``) run unchanged through ``spark.sql``.
+    """
+    views = {
+        "user_visit_action": user_visit_action(tables.events, grain, clock),
+        "user_info": user_info(tables.customer, tables.nation),
+        "product_info": product_info(tables.part),
+        "city_info": city_info(tables.nation, tables.region),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
