@@ -30,12 +30,13 @@ def any_of_predicate(c, values: Iterable[str] | None, is_array: bool = False) ->
         return None
     c = F.col(c) if isinstance(c, str) else c
     vals = [str(v) for v in values]
+    wanted = F.array(*[F.lit(v) for v in vals])
     if is_array:
         as_text = F.transform(c, lambda x: x.cast("string"))
-        pred = F.arrays_overlap(F.filter(as_text, lambda x: x.isNotNull()),
-                                F.array(*[F.lit(v) for v in vals]))
+        pred = F.arrays_overlap(F.filter(as_text, lambda x: x.isNotNull()), wanted)
     else:
-        pred = c.cast("string").isin(vals)
+        # the reference splits the data value on commas as well
+        pred = F.arrays_overlap(F.split(c.cast("string"), ","), wanted)
     return F.coalesce(pred, F.lit(False))
 
 

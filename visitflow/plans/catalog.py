@@ -357,6 +357,36 @@ def q_area_top3_product(spark, d):
                                 A.product_info(t.part))
 
 
+# --- step 11: the streams themselves, over log lines derived from the tables ------
+
+def _stream_source(t: Tables) -> str:
+    """Ad-log lines of the tables written as text files into the shared checkpoint folder."""
+    from ..session import scratch_path
+    root = scratch_path(t.spark, "ad-stream")
+    A.ad_log_lines(t.events, t.nation, t.region).write.mode("overwrite").text(f"{root}/src")
+    return root
+
+
+def q_ad_stream_stat(spark, d):
+    """The state stream run to completion (availableNow: one micro-batch); its ad_stat table."""
+    from ..streaming import AdStateStore, start_ad_stream
+    root = _stream_source(Tables(spark, d))
+    q = start_ad_stream(spark, f"{root}/src", f"{root}/state", BLACKLIST_THRESHOLD,
+                        checkpoint=f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    return AdStateStore(spark, f"{root}/state").state().stat
+
+
+def q_ad_stream_trend(spark, d):
+    """The watermarked trend stream run to completion; its per-minute table."""
+    from ..streaming import TrendStore, start_trend_stream
+    root = _stream_source(Tables(spark, d))
+    q = start_trend_stream(spark, f"{root}/src", f"{root}/trend", delay="1 day",
+                           checkpoint=f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    return TrendStore(spark, f"{root}/trend").trend()
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "actions_by_date_range": q_actions_by_date_range,
@@ -402,4 +432,6 @@ def queries() -> dict[str, Query]:
         out[name] = _ad_batch_query(name)
     for field in ("counts", "blacklist", "stat", "top3"):
         out[f"ad_two_batch_{field}"] = _two_batch_query(field)
+    out["ad_stream_stat"] = q_ad_stream_stat
+    out["ad_stream_trend"] = q_ad_stream_trend
     return out

@@ -117,7 +117,8 @@ def full_sessions(grain="day", clock="real", params: TaskParams | None = None, *
 
 
 def _in_list(col, values):
-    return f"coalesce(CAST({col} AS VARCHAR) IN ({', '.join(_q(str(v)) for v in values)}), false)"
+    vals = "[" + ", ".join(_q(str(v)) for v in values) + "]"
+    return f"coalesce(list_has_any(string_split(CAST({col} AS VARCHAR), ','), {vals}), false)"
 
 
 def _any_list(col, values, cast=False):
@@ -512,5 +513,7 @@ def oracle_sql() -> dict[str, str]:
                                   f"AND user_id NOT IN ({black1})",
         "ad_two_batch_stat": stat2,
         "ad_two_batch_top3": top3(stat2),
+        "ad_stream_stat": _count(call, STAT_KEYS),
+        "ad_stream_trend": _count(call, TREND_KEYS),
     })
     return out

@@ -42,9 +42,17 @@ class VersionedTables:
     def __init__(self, spark: SparkSession, root: str, dated: dict[str, str], logs: dict[str, str]):
         self.spark, self.root = spark, root.rstrip("/")
         self.dated, self.logs = dated, logs
+        self._last: int | None = None
+        self._known = False
 
     # -- commits -------------------------------------------------------------
     def last_commit(self) -> int | None:
+        """The newest committed batch id; scanned once, then tracked by ``commit``."""
+        if not self._known:
+            self._last, self._known = self._scan_last_commit(), True
+        return self._last
+
+    def _scan_last_commit(self) -> int | None:
         try:
             m = self.spark.read.json(f"{self.root}/_manifest")
         except AnalysisException:
@@ -100,6 +108,7 @@ class VersionedTables:
         data = [(t, d, v) for (t, d), v in sorted(rows.items())] or [(None, None, batch_id)]
         (self.spark.createDataFrame(data, "table string, date string, version bigint")
          .coalesce(1).write.mode("overwrite").json(f"{self.root}/_manifest/v={batch_id}"))
+        self._last, self._known = batch_id, True
 
 
 def _typed(schema: str) -> list[str]:
@@ -139,11 +148,15 @@ class AdStateStore(VersionedTables):
                             stat=self.read("stat", dates, previous),
                             top3=self.read("top3", dates, previous))
             new, new_users = apply_batch(state, clicks, threshold)
-            self.write_dated("counts", batch_id, new.counts)
-            self.write_dated("stat", batch_id, new.stat)
+            # counts feed the blacklist, stat feeds the top 3: compute each once
+            counts, stat = new.counts.persist(), new.stat.persist()
+            self.write_dated("counts", batch_id, counts)
+            self.write_dated("stat", batch_id, stat)
             self.write_dated("top3", batch_id, new.top3)
             self.write_log("blacklist", batch_id, new_users)
             self.commit(batch_id, previous, {"counts": dates, "stat": dates, "top3": dates})
+            counts.unpersist()
+            stat.unpersist()
         finally:
             clicks.unpersist()
         return True
