@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.adapters import sql_text
 from ..sources.tasks import TaskParams
 
 
@@ -28,8 +29,13 @@ def any_of_predicate(c, values: Iterable[str] | None, is_array: bool = False) ->
     """Any data value equals any parameter value (compared as text)."""
     if not values:
         return None
-    c = F.col(c) if isinstance(c, str) else c
     vals = [str(v) for v in values]
+    if isinstance(c, str):
+        # one expression text: a single plan-building round trip however long the list
+        wanted = "array(" + ", ".join(sql_text(v) for v in vals) + ")"
+        data = (f"filter(transform(`{c}`, x -> CAST(x AS STRING)), x -> x IS NOT NULL)" if is_array
+                else f"split(CAST(`{c}` AS STRING), ',')")
+        return F.expr(f"coalesce(arrays_overlap({data}, {wanted}), false)")
     wanted = F.array(*[F.lit(v) for v in vals])
     if is_array:
         as_text = F.transform(c, lambda x: x.cast("string"))

@@ -24,25 +24,42 @@ GRAINS = ("day", "week", "month")
 CLOCKS = ("real", "value")
 
 
+def sql_text(v: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+
+
 def _k(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("bigint")
 
 
-def _id_list(k: Column) -> Column:
+def _id_list_sql(k: str) -> str:
     """``k`` as text, or ``k,(k+1)%100`` when ``k % 3 = 0`` (two-element lists)."""
-    single = k.cast("string")
-    pair = F.concat(k.cast("string"), F.lit(","), ((k + 1) % 100).cast("string"))
-    return F.when(k % 3 == 0, pair).otherwise(single)
+    return (f"CASE WHEN {k} % 3 = 0 THEN concat(CAST({k} AS STRING), ',', CAST(({k} + 1) % 100 AS STRING)) "
+            f"ELSE CAST({k} AS STRING) END")
+
+
+PERIOD_SQL = {
+    "day": "date_format(ts, 'yyyy-MM-dd')",
+    "week": "date_format(date_trunc('week', ts), 'yyyy-MM-dd')",
+    "month": "date_format(ts, 'yyyy-MM')",
+}
+SECONDS_SQL = {
+    "real": "unix_timestamp(ts)",
+    "value": "unix_timestamp(date_trunc('day', ts)) + CAST(floor(value) AS BIGINT)",
+}
 
 
 def period_expr(ts: Column, grain: str) -> Column:
-    if grain == "day":
-        return F.date_format(ts, DATE_FORMAT)
-    if grain == "week":
-        return F.date_format(F.date_trunc("week", ts), DATE_FORMAT)
-    if grain == "month":
-        return F.date_format(ts, "yyyy-MM")
-    raise ValueError(f"grain must be one of {GRAINS}, got {grain!r}")
+    """The session period of a timestamp column (day, Monday week start, month)."""
+    if grain not in PERIOD_SQL:
+        raise ValueError(f"grain must be one of {GRAINS}, got {grain!r}")
+    return {"day": F.date_format(ts, DATE_FORMAT),
+            "week": F.date_format(F.date_trunc("week", ts), DATE_FORMAT),
+            "month": F.date_format(ts, "yyyy-MM")}[grain]
 
 
 def action_seconds(ts: Column, value: Column, clock: str) -> Column:
@@ -61,58 +78,60 @@ def events_in_dates(events: DataFrame, start_date: str | None = None,
     Written as a half-open timestamp range so that it lands in the parquet
     scan's PushedFilters and prunes row groups.
     """
-    cond = F.lit(True)
+    cond = []
     if start_date:
         lo = dt.date.fromisoformat(start_date)
-        cond = cond & (F.col("ts") >= F.lit(dt.datetime.combine(lo, dt.time())).cast("timestamp_ntz"))
+        cond.append(f"ts >= TIMESTAMP_NTZ '{lo.isoformat()} 00:00:00'")
     if end_date:
         hi = dt.date.fromisoformat(end_date) + dt.timedelta(days=1)
-        cond = cond & (F.col("ts") < F.lit(dt.datetime.combine(hi, dt.time())).cast("timestamp_ntz"))
-    return events.where(cond) if (start_date or end_date) else events
+        cond.append(f"ts < TIMESTAMP_NTZ '{hi.isoformat()} 00:00:00'")
+    return events.where(" AND ".join(cond)) if cond else events
 
 
 def user_visit_action(events: DataFrame, grain: str = "day", clock: str = "real",
                       start_date: str | None = None, end_date: str | None = None) -> DataFrame:
-    """``user_visit_action`` rows (13 reference columns + ``action_ts`` + ``event_id``)."""
+    """``user_visit_action`` rows (13 reference columns + ``action_ts`` + ``event_id``).
+
+    Stated as SQL expressions over one scan: one plan-building round trip,
+    and every column is a projection Catalyst can prune.
+    """
+    if grain not in PERIOD_SQL:
+        raise ValueError(f"grain must be one of {GRAINS}, got {grain!r}")
+    if clock not in SECONDS_SQL:
+        raise ValueError(f"clock must be one of {CLOCKS}, got {clock!r}")
     ev = events_in_dates(events, start_date, end_date)
-    k = _k(F.col("props"))
-    et = F.col("event_type")
-    sec = action_seconds(F.col("ts"), F.col("value"), clock)
-    action_ts = F.timestamp_seconds(sec)
-    is_click, is_order, is_pay = et == "click", et == "signup", et == "purchase"
-    product = F.col("event_id") % 100
-    return ev.select(
-        F.date_format("ts", DATE_FORMAT).alias("date"),
-        F.col("user_id"),
-        F.concat(F.col("user_id").cast("string"), F.lit("_"), period_expr(F.col("ts"), grain)).alias("session_id"),
-        (k % 10).alias("page_id"),
-        F.date_format(action_ts, TIME_FORMAT).alias("action_time"),
-        F.when(et == "view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias("search_keyword"),
-        F.when(is_click, k).alias("click_category_id"),
-        F.when(is_click, product).alias("click_product_id"),
-        F.when(is_order, _id_list(k)).alias("order_category_ids"),
-        F.when(is_order, product.cast("string")).alias("order_product_ids"),
-        F.when(is_pay, _id_list(k)).alias("pay_category_ids"),
-        F.when(is_pay, product.cast("string")).alias("pay_product_ids"),
-        (F.col("event_id") % 25).alias("city_id"),
-        action_ts.alias("action_ts"),
-        F.col("event_id"),
-    )
+    k, ts = _K, f"timestamp_seconds({SECONDS_SQL[clock]})"
+    ids = _id_list_sql(k)
+    return ev.selectExpr(
+        f"date_format(ts, '{DATE_FORMAT}') AS date",
+        "user_id",
+        f"concat(CAST(user_id AS STRING), '_', {PERIOD_SQL[grain]}) AS session_id",
+        f"{k} % 10 AS page_id",
+        f"date_format({ts}, '{TIME_FORMAT}') AS action_time",
+        f"CASE WHEN event_type = 'view' THEN concat('kw', CAST({k} % 10 AS STRING)) END AS search_keyword",
+        f"CASE WHEN event_type = 'click' THEN {k} END AS click_category_id",
+        "CASE WHEN event_type = 'click' THEN event_id % 100 END AS click_product_id",
+        f"CASE WHEN event_type = 'signup' THEN {ids} END AS order_category_ids",
+        "CASE WHEN event_type = 'signup' THEN CAST(event_id % 100 AS STRING) END AS order_product_ids",
+        f"CASE WHEN event_type = 'purchase' THEN {ids} END AS pay_category_ids",
+        "CASE WHEN event_type = 'purchase' THEN CAST(event_id % 100 AS STRING) END AS pay_product_ids",
+        "event_id % 25 AS city_id",
+        f"{ts} AS action_ts",
+        "event_id")
 
 
 def user_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """``user_info`` from customer and nation (nation is 25 rows: broadcast is bounded)."""
-    key = F.col("c_custkey")
     return (customer
             .join(F.broadcast(nation.select("n_nationkey", "n_name")),
                   F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(key.alias("user_id"),
-                    F.concat(F.lit("user"), key.cast("string")).alias("username"),
-                    F.col("c_name").alias("name"),
-                    (key % 60).cast("int").alias("age"),
-                    F.concat(F.lit("professional"), (key % 100).cast("string")).alias("professional"),
-                    F.col("n_name").alias("city"),
-                    F.when(key % 2 == 0, "male").otherwise("female").alias("sex")))
+            .selectExpr("c_custkey AS user_id",
+                        "concat('user', CAST(c_custkey AS STRING)) AS username",
+                        "c_name AS name",
+                        "CAST(c_custkey % 60 AS INT) AS age",
+                        "concat('professional', CAST(c_custkey % 100 AS STRING)) AS professional",
+                        "n_name AS city",
+                        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex"))
 
 
 def product_info(part: DataFrame) -> DataFrame:
