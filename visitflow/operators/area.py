@@ -35,8 +35,8 @@ def _lookup(c: Column, mapping: Mapping[str, str], default: str | None) -> Colum
 def product_clicks_by_area(actions: DataFrame, cities: DataFrame) -> DataFrame:
     """(area, productid, clickCount, cityInfos) over all product clicks."""
     clicks = actions.where(F.col("click_product_id").isNotNull())
-    # The city table is one row per city: a bounded broadcast.
-    geo = clicks.join(F.broadcast(cities.select("city_id", "city_name", "area")), "city_id")
+    # The city table is one row per city; Spark broadcasts it by its size estimate.
+    geo = clicks.join(cities.select("city_id", "city_name", "area"), "city_id")
     info = F.concat(F.col("city_id").cast("string"), F.lit(":"), F.col("city_name"))
     return (geo.groupBy("area", F.col("click_product_id").alias("productid"))
             .agg(F.count(F.lit(1)).alias("clickCount"),

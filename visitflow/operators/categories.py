@@ -50,7 +50,8 @@ def top_categories(actions: DataFrame, k: int = 10) -> DataFrame:
 def top_sessions_per_category(actions: DataFrame, top: DataFrame, k: int = 10) -> DataFrame:
     """Per top category the k sessions with most clicks on it (ties: session id).
 
-    ``top`` holds at most 10 rows, so broadcasting it is bounded. The
+    ``top`` comes from ``limit(k)``: at most k rows, a proven bound for the
+    broadcast hint. The
     row_number filter runs as a partial WindowGroupLimit before the shuffle.
     """
     clicks = actions.join(F.broadcast(top.select(F.col("categoryid").alias("click_category_id"))),

@@ -99,7 +99,7 @@ def convert_rates(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
                         [(i + 1, int(a), int(b)) for i, (a, b) in enumerate(zip(flow[:-1], flow[1:]))],
                         "step int, from_page bigint, to_page bigint")
     pairs = page_pair_counts(actions)
-    counted = (F.broadcast(steps).join(pairs, ["from_page", "to_page"], "left")
+    counted = (steps.join(pairs, ["from_page", "to_page"], "left")
                .select("step", "from_page", "to_page",
                        F.coalesce("pair_count", F.lit(0).cast("bigint")).alias("pair_count")))
     start_pv = (actions.where(F.col("page_id") == F.lit(int(flow[0])))

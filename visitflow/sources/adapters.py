@@ -125,9 +125,14 @@ def user_visit_action(events: DataFrame, grain: str = "day", clock: str = "real"
 
 
 def user_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """``user_info`` from customer and nation (nation is 25 rows: broadcast is bounded)."""
+    """``user_info`` from customer and nation.
+
+    No broadcast hints on dimensions: Spark broadcasts a side when its size
+    estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks
+    with runtime sizes) and sort-merge joins beyond it.
+    """
     return (customer
-            .join(F.broadcast(nation.select("n_nationkey", "n_name")),
+            .join(nation.select("n_nationkey", "n_name"),
                   F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .selectExpr("c_custkey AS user_id",
                         "concat('user', CAST(c_custkey AS STRING)) AS username",
@@ -149,7 +154,7 @@ def product_info(part: DataFrame) -> DataFrame:
 
 def city_info(nation: DataFrame, region: DataFrame) -> DataFrame:
     """city_id -> city_name, area (nations as cities, regions as areas)."""
-    return (nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
             .select(F.col("n_nationkey").cast("bigint").alias("city_id"),
                     F.col("n_name").alias("city_name"),
                     F.col("r_name").alias("area")))
@@ -161,12 +166,12 @@ def ad_log_lines(events: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
     The user's city is the nation ``user_id % 25``; the province its region
     with spaces replaced by ``_``.
     """
-    geo = (nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
            .select(F.col("n_nationkey").cast("bigint").alias("geo_key"),
                    F.regexp_replace("r_name", " ", "_").alias("province"),
                    F.col("n_name").alias("city")))
     clicks = events.where(F.col("event_type") == "click")
-    return (clicks.join(F.broadcast(geo), (F.col("user_id") % 25) == F.col("geo_key"))
+    return (clicks.join(geo, (F.col("user_id") % 25) == F.col("geo_key"))
             .select(F.concat_ws(" ",
                                 F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
                                 F.col("province"), F.col("city"),
