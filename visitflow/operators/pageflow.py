@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
-from ..session import small_frame
+from ..session import checkpoint_dir, small_frame
 
 _SCAN_SCHEMA = ("kind string, pid int, session_id string, from_page bigint, to_page bigint, "
                 "n bigint, seq bigint")
@@ -30,8 +30,9 @@ RATE_COLUMNS = ("step", "from_page", "to_page", "pair_count", "convert_rate")
 
 
 def _pairs_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Adjacent same-session page pairs of one sorted partition, plus its boundary rows."""
+    """Adjacent same-session page pairs and page views of one sorted partition, plus its boundary rows."""
     counts: dict[tuple[int, int], int] = {}
+    views: dict[int, int] = {}
     head = tail = None
     pid = None
     for pdf in batches:
@@ -40,6 +41,8 @@ def _pairs_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFra
         pid = int(pdf["pid"].iat[0])
         sid = pdf["session_id"].to_numpy(dtype=object)
         page = pdf["page_id"].to_numpy(dtype=np.int64)
+        for p, n in zip(*np.unique(page, return_counts=True)):
+            views[int(p)] = views.get(int(p), 0) + int(n)
         if head is None:
             head = (sid[0], int(page[0]))
         if tail is not None:                       # carry the pair across Arrow batches
@@ -54,31 +57,34 @@ def _pairs_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFra
     if pid is None:
         return
     rows = [("pair", pid, None, f, t, n, None) for (f, t), n in counts.items()]
+    rows += [("view", pid, None, p, None, n, None) for p, n in views.items()]
     rows.append(("head", pid, head[0], head[1], None, None, 0))
     rows.append(("tail", pid, tail[0], tail[1], None, None, 1))
     yield pd.DataFrame(rows, columns=["kind", "pid", "session_id", "from_page", "to_page", "n", "seq"])
 
 
-def page_pair_counts(actions: DataFrame, order_cols: Sequence[str] = ("action_ts", "event_id")) -> DataFrame:
-    """(from_page, to_page, pair_count) over all sessions: each action paired with the next one.
+def scan_pages(actions: DataFrame, order_cols: Sequence[str] = ("action_ts", "event_id")) -> DataFrame:
+    """One range-sorted pass over the actions; its small output is checkpointed.
 
-    Evaluates the sorted scan once and checkpoints its small output (pair
-    counts per partition and two boundary rows per partition) to the shared
-    checkpoint folder before stitching.
+    Rows: ``pair`` (from, to, n) and ``view`` (page, n) counts per partition,
+    and a ``head`` / ``tail`` row per partition for stitching. Written to the
+    shared checkpoint folder, so later steps neither rescan nor re-sort.
     """
     sorted_actions = (actions.select("session_id", *order_cols, "page_id")
                       .orderBy("session_id", *order_cols)
                       .withColumn("pid", F.spark_partition_id())
                       .select("pid", "session_id", "page_id"))
     scanned = sorted_actions.mapInPandas(_pairs_per_partition, _SCAN_SCHEMA)
-    from ..session import checkpoint_dir
     checkpoint_dir(actions.sparkSession)
-    scanned = scanned.checkpoint(eager=True)
+    return scanned.checkpoint(eager=True)
+
 
+def pairs_from_scan(scanned: DataFrame) -> DataFrame:
+    """(from_page, to_page, pair_count): in-partition pairs plus the stitched boundary pairs."""
     inner = scanned.where(F.col("kind") == "pair").select("from_page", "to_page", "n")
     # Boundary rows: 2 per partition, so this single-partition window is bounded by the
     # partition count, not by the data.
-    bounds = scanned.where(F.col("kind") != "pair")
+    bounds = scanned.where(F.col("kind").isin("head", "tail"))
     w = Window.orderBy("pid", "seq")
     stitched = (bounds.withColumn("nk", F.lead("kind").over(w))
                 .withColumn("ns", F.lead("session_id").over(w))
@@ -89,6 +95,17 @@ def page_pair_counts(actions: DataFrame, order_cols: Sequence[str] = ("action_ts
             .agg(F.sum("n").alias("pair_count")))
 
 
+def views_from_scan(scanned: DataFrame) -> DataFrame:
+    """(page_id, views) over all actions."""
+    return (scanned.where(F.col("kind") == "view")
+            .groupBy(F.col("from_page").alias("page_id")).agg(F.sum("n").alias("views")))
+
+
+def page_pair_counts(actions: DataFrame, order_cols: Sequence[str] = ("action_ts", "event_id")) -> DataFrame:
+    """(from_page, to_page, pair_count) over all sessions: each action paired with the next one."""
+    return pairs_from_scan(scan_pages(actions, order_cols))
+
+
 def convert_rates(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     """Long form: one row per flow step (step, from_page, to_page, pair_count, convert_rate).
 
@@ -98,12 +115,13 @@ def convert_rates(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     steps = small_frame(actions.sparkSession,
                         [(i + 1, int(a), int(b)) for i, (a, b) in enumerate(zip(flow[:-1], flow[1:]))],
                         "step int, from_page bigint, to_page bigint")
-    pairs = page_pair_counts(actions)
+    scanned = scan_pages(actions)
+    pairs = pairs_from_scan(scanned)
     counted = (steps.join(pairs, ["from_page", "to_page"], "left")
                .select("step", "from_page", "to_page",
                        F.coalesce("pair_count", F.lit(0).cast("bigint")).alias("pair_count")))
-    start_pv = (actions.where(F.col("page_id") == F.lit(int(flow[0])))
-                .agg(F.count(F.lit(1)).alias("pair_count"))
+    start_pv = (views_from_scan(scanned).where(F.col("page_id") == F.lit(int(flow[0])))
+                .agg(F.coalesce(F.sum("views"), F.lit(0).cast("bigint")).alias("pair_count"))
                 .select(F.lit(0).alias("step"), F.lit(None).cast("bigint").alias("from_page"),
                         F.lit(None).cast("bigint").alias("to_page"), "pair_count"))
     w = Window.orderBy("step")

@@ -136,6 +136,13 @@ def _filter_query(name):
     return q
 
 
+def q_filter_equal(spark, d):
+    """Sessions whose user's sex equals the parameter (whole-value equality)."""
+    t = Tables(spark, d)
+    s = full_sessions(t)
+    return _session_rows(s.where(P.equal_predicate("sex", "female")), S.USER_COLUMNS)
+
+
 # --- step 4: statistics -------------------------------------------------------
 
 def _bucket_query(which, grain, clock):
@@ -399,6 +406,7 @@ def queries() -> dict[str, Query]:
     }
     for name in FILTER_PARAMS:
         out[name] = _filter_query(name)
+    out["filter_equal"] = q_filter_equal
     out.update({
         "visit_buckets_real": _bucket_query("visit", "day", "real"),
         "visit_buckets_value": _bucket_query("visit", "day", "value"),

@@ -453,6 +453,8 @@ def oracle_sql() -> dict[str, str]:
     }
     for name, p in fp.items():
         out[name] = session_rows(kept(p), USER_EXTRA)
+    out["filter_equal"] = session_rows(
+        f"SELECT * FROM ({full_sessions()}) fs WHERE coalesce(CAST(sex AS VARCHAR) = 'female', false)", USER_EXTRA)
     out.update({
         "visit_buckets_real": bucket_distribution("visit", "day", "real"),
         "visit_buckets_value": bucket_distribution("visit", "day", "value"),
