@@ -211,11 +211,11 @@ def _checkpoint(spark: SparkSession, name: str, given: str | None) -> str:
     return given or f"{checkpoint_dir(spark)}/visitflow-streams/{name}"
 
 
-def start_ad_stream(spark: SparkSession, source: str, state_root: str, threshold: int = 100,
+def start_ad_stream(spark: SparkSession, source: str, state_root: str | None = None, threshold: int = 100,
                     checkpoint: str | None = None, fmt: str = "text", options: dict[str, str] | None = None,
                     trigger: dict | None = None):
     """Start the state stream; returns the StreamingQuery."""
-    store = AdStateStore(spark, state_root)
+    store = AdStateStore(spark, state_root or f"{checkpoint_dir(spark)}/visitflow-state/ad")
     clicks = parse_log(read_log_stream(spark, source, fmt, options))
     writer = (clicks.writeStream.queryName("ad_state")
               .foreachBatch(lambda df, bid: store.apply(df, bid, threshold))
@@ -225,11 +225,11 @@ def start_ad_stream(spark: SparkSession, source: str, state_root: str, threshold
     return writer.start()
 
 
-def start_trend_stream(spark: SparkSession, source: str, trend_root: str, delay: str = "10 minutes",
+def start_trend_stream(spark: SparkSession, source: str, trend_root: str | None = None, delay: str = "10 minutes",
                        checkpoint: str | None = None, fmt: str = "text",
                        options: dict[str, str] | None = None, trigger: dict | None = None):
     """Start the trend stream (update mode: only windows changed in a trigger are merged)."""
-    store = TrendStore(spark, trend_root)
+    store = TrendStore(spark, trend_root or f"{checkpoint_dir(spark)}/visitflow-state/trend")
     counts = trend_counts(parse_log(read_log_stream(spark, source, fmt, options)), delay)
     writer = (counts.writeStream.queryName("ad_trend").outputMode("update")
               .foreachBatch(lambda df, bid: store.apply(df, bid))
