@@ -20,17 +20,25 @@ def main(argv=None) -> None:
     ap.add_argument("--data", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--task-id", type=int, required=True)
-    ap.add_argument("--params", help="task_param JSON; default: the task row of the derived task table")
-    ap.add_argument("--grain", default="day")
-    ap.add_argument("--clock", default="real")
+    ap.add_argument("--params", help="task_param JSON (overrides the task table)")
+    ap.add_argument("--tasks", help="parquet task table (task_id, task_param, ...); default: derived from events")
+    ap.add_argument("--grain", default="day", choices=("day", "week", "month"))
+    ap.add_argument("--clock", default="real", choices=("real", "value"))
+    ap.add_argument("--as-of", help="seed session start/end with this time, like the reference's 'now'")
+    ap.add_argument("--compat", action="store_true", help="reference's substring dedupe and null category 0")
+    ap.add_argument("--extract-per-day", type=int, default=100)
+    ap.add_argument("--seed", default="0")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
     if a.params:
         params = TaskParams.from_json(a.params)
     else:
-        params = load_task_params(derived_tasks(Tables(spark, a.data).events), a.task_id)
-    paths = JOBS[a.job](spark, a.data, a.task_id, params, a.out, SessionOptions(grain=a.grain, clock=a.clock))
+        tasks = spark.read.parquet(a.tasks) if a.tasks else derived_tasks(Tables(spark, a.data).events)
+        params = load_task_params(tasks, a.task_id)
+    opts = SessionOptions(grain=a.grain, clock=a.clock, as_of=a.as_of, compat_substring=a.compat,
+                          compat_null_zero=a.compat, extract_per_day=a.extract_per_day, extract_seed=a.seed)
+    paths = JOBS[a.job](spark, a.data, a.task_id, params, a.out, opts)
     for name, path in paths.items():
         print(f"{name}\t{path}")
 
