@@ -7,13 +7,12 @@ are comma text, times are text.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import datetime as dt
-
 from .. import functions as FN
 from ..operators import ads as AD
 from ..operators import area as AR
@@ -28,6 +27,7 @@ from ..operators import stats as ST
 from ..sources import adapters as A
 from ..sources.tables import Tables
 from ..sources.tasks import TaskParams, decode_task_params, derived_tasks, find_task
+from .inputs import session_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,11 +69,7 @@ def full_sessions(t: Tables, grain="day", clock="real", params: TaskParams | Non
     qualifying users (user_id is constant inside a session), so the session
     shuffle only carries rows that can pass.
     """
-    acts = actions(t, grain, clock, params)
-    u = users(t)
-    if params is not None and params.has_user_conditions:
-        u = u.where(P.user_predicate(params))
-        acts = acts.join(u.select("user_id"), "user_id", "left_semi")
+    acts, u = session_inputs(t, params or TaskParams(), grain, clock)
     return S.attach_user_info(S.aggregate_sessions(acts, **kw), u)
 
 

@@ -1,0 +1,26 @@
+"""Shared inputs of the session-based jobs and queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..operators import predicates as P
+from ..sources import adapters as A
+from ..sources.tables import Tables
+from ..sources.tasks import TaskParams
+
+
+def session_inputs(t: Tables, params: TaskParams, grain: str = "day",
+                   clock: str = "real") -> tuple[DataFrame, DataFrame]:
+    """(actions, users) for a task: date range on the scan, user conditions applied early.
+
+    When the task has user conditions, actions are semi-joined to the
+    qualifying users *before* the session shuffle (user_id is constant inside
+    a session), so the shuffle only carries rows that can pass.
+    """
+    actions = A.user_visit_action(t.events, grain, clock, params.start_date, params.end_date)
+    users = A.user_info(t.customer, t.nation)
+    if params.has_user_conditions:
+        users = users.where(P.user_predicate(params))
+        actions = actions.join(users.select("user_id"), "user_id", "left_semi")
+    return actions, users

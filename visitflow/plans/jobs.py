@@ -29,6 +29,7 @@ from ..sources import adapters as A
 from ..sources.tables import Tables
 from ..sources.tasks import TaskParams
 from ..streaming.ad_stream import AdStateStore
+from .inputs import session_inputs
 from .sinks import materialize, write_result
 
 
@@ -44,18 +45,8 @@ class SessionOptions:
     top_k: int = 10
 
 
-def _inputs(t: Tables, params: TaskParams, opts: SessionOptions):
-    actions = A.user_visit_action(t.events, opts.grain, opts.clock, params.start_date, params.end_date)
-    users = A.user_info(t.customer, t.nation)
-    if params.has_user_conditions:
-        # user_id is constant inside a session: prune actions before the session shuffle
-        users = users.where(P.user_predicate(params))
-        actions = actions.join(users.select("user_id"), "user_id", "left_semi")
-    return actions, users
-
-
 def kept_sessions_and_actions(t: Tables, params: TaskParams, opts: SessionOptions) -> tuple[DataFrame, DataFrame]:
-    actions, users = _inputs(t, params, opts)
+    actions, users = session_inputs(t, params, opts.grain, opts.clock)
     sessions = S.aggregate_sessions(actions, as_of=opts.as_of, compat_substring=opts.compat_substring,
                                     compat_null_zero=opts.compat_null_zero)
     kept = materialize(P.filter_sessions(S.attach_user_info(sessions, users), params), "kept_sessions")
