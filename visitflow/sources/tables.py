@@ -12,7 +12,7 @@ TABLE_NAMES = (
 )
 
 
-_OPENED: dict[tuple[int, str], DataFrame] = {}
+_OPENED: dict[str, tuple[SparkSession, str, DataFrame]] = {}
 
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -23,10 +23,12 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     Input folders are immutable; ``forget_tables()`` drops the handles.
     """
     path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _OPENED:
-        _OPENED[key] = spark.read.parquet(path)
-    return _OPENED[key]
+    app = spark.sparkContext.applicationId
+    hit = _OPENED.get(path)
+    if hit is None or hit[0] is not spark or hit[1] != app:     # a new or restarted session
+        hit = (spark, app, spark.read.parquet(path))
+        _OPENED[path] = hit
+    return hit[2]
 
 
 def forget_tables() -> None:
