@@ -240,3 +240,15 @@ def test_run_date_and_yesterday(spark):
     row = spark.range(1).select(FN.run_date("2024-03-01").alias("d")).select(
         FN.day_before("d").alias("y")).collect()[0]
     assert row["y"] == "2024-02-29"
+
+
+def test_bulk_task_decode_tolerates_bad_values(spark):
+    from visitflow.sources.tasks import decode_task_params
+    tasks = spark.createDataFrame(
+        [(1, '{"startAge":["ten"],"endAge":["40"],"cities":[],"sex":[""],"keywords":["kw1,kw2"]}'),
+         (2, '{}'), (3, 'not json')], "task_id bigint, task_param string")
+    rows = {r["task_id"]: r for r in decode_task_params(tasks).collect()}
+    assert rows[1]["startAge"] is None and rows[1]["endAge"] == 40
+    assert rows[1]["cities"] is None and rows[1]["sex"] is None and rows[1]["keywords"] == "kw1,kw2"
+    assert all(rows[2][c] is None for c in rows[2].asDict() if c != "task_id")
+    assert all(rows[3][c] is None for c in rows[3].asDict() if c != "task_id")

@@ -65,3 +65,11 @@ def test_extract_matches_plain_ranking(spark):
     want = {r["session_id"] for r in k.withColumn("rn", F.row_number().over(w)).join(q, ["date", "hour"])
             .where(F.col("rn") <= F.col("quota")).collect()}
     assert got == want
+
+
+def test_one_user_per_session(spark):
+    """A2: user_id is constant inside a session (max(user_id) and early user pruning rely on it)."""
+    for grain in ("day", "week", "month"):
+        a = CAT.actions(Tables(spark, SF_SMALL), grain=grain)
+        bad = a.groupBy("session_id").agg(F.countDistinct("user_id").alias("n")).where("n > 1").count()
+        assert bad == 0, grain
