@@ -33,6 +33,11 @@ from .inputs import session_inputs
 from .sinks import materialize, write_result
 
 
+# Kept session ids broadcast for the detail semi-join when at most this many
+# (about 40 bytes each: ~40 MB); beyond it the actions shuffle on session_id.
+MAX_BROADCAST_SESSIONS = 1_000_000
+
+
 @dataclass(frozen=True)
 class SessionOptions:
     grain: str = "day"
@@ -50,7 +55,7 @@ def kept_sessions_and_actions(t: Tables, params: TaskParams, opts: SessionOption
     sessions = S.aggregate_sessions(actions, as_of=opts.as_of, compat_substring=opts.compat_substring,
                                     compat_null_zero=opts.compat_null_zero)
     kept = materialize(P.filter_sessions(S.attach_user_info(sessions, users), params), "kept_sessions")
-    kept_actions = materialize(D.kept_actions(actions, kept), "kept_actions")
+    kept_actions = materialize(D.kept_actions(actions, kept, MAX_BROADCAST_SESSIONS), "kept_actions")
     return kept, kept_actions
 
 
