@@ -45,16 +45,20 @@ def random_extract(sessions: DataFrame, per_day: int = 100, seed: str = "0") ->
     keyed = keyed.withColumn(
         "b", F.conv(F.substring("h", 1, HASH_BUCKET_HEX_DIGITS), 16, 10).cast("int"))
 
-    # Per (stratum, bucket) counts; one partial-aggregated shuffle.
+    # Per (stratum, bucket) counts; one partial-aggregated shuffle. Hour totals, date
+    # totals and running sums are windows over this table: at most 24 x 65,536 rows
+    # per date whatever the data volume, and one exchange (by date) serves all three.
     buckets = keyed.groupBy("date", "hour", "b").agg(F.count(F.lit(1)).alias("nb"))
-    strata = stratum_quotas(buckets.groupBy("date", "hour").agg(F.sum("nb").alias("n_hour")), per_day)
-    # Running count over buckets inside a stratum (<= 65,536 rows per window partition).
-    wb = Window.partitionBy("date", "hour").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (buckets.join(strata.select("date", "hour", "quota"), ["date", "hour"])
-           .withColumn("upto", F.sum("nb").over(wb)))
+    w_hour = Window.partitionBy("date", "hour")
+    w_date = Window.partitionBy("date")
+    w_upto = w_hour.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    n_hour, n_date = F.sum("nb").over(w_hour), F.sum("nb").over(w_date)
+    quota = F.least(n_hour, F.greatest(F.lit(1).cast("bigint"),
+                                       F.floor(F.lit(float(per_day)) * n_hour / n_date).cast("bigint")))
+    cum = buckets.select("date", "hour", "b", "nb", quota.alias("quota"), F.sum("nb").over(w_upto).alias("upto"))
     boundary = (cum.where(F.col("upto") >= F.col("quota"))
                 .groupBy("date", "hour")
-                .agg(F.min(F.struct("b", "upto", "nb", "quota")).alias("m"))
+                .agg(F.min_by(F.struct("b", "upto", "nb", "quota"), F.col("b")).alias("m"))
                 .select("date", "hour", F.col("m.b").alias("b_cut"),
                         (F.col("m.quota") - (F.col("m.upto") - F.col("m.nb"))).alias("need")))
 
