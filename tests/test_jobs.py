@@ -36,3 +36,11 @@ def test_page_and_product_jobs(spark, scratch):
     run_product_job(spark, SF_SMALL, 4, CAT.JOB_PARAMS, scratch)
     assert _rows(read_result(spark, scratch, "area_top3_product", 4)) == \
         _rows(CAT.q_area_top3_product(spark, SF_SMALL), ())
+
+
+def test_cli_runs_a_derived_task(spark, scratch, capsys):
+    from visitflow.plans.cli import main
+    main(["product", "--data", SF_SMALL, "--out", scratch, "--task-id", "19725"])   # task of 2024-01-03
+    printed = capsys.readouterr().out
+    assert "area_top3_product" in printed
+    assert read_result(spark, scratch, "area_top3_product", 19725).count() > 0

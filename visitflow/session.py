@@ -73,7 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the checkpoint folder for one intermediate table."""
     base = checkpoint_dir(spark)
-    return f"{base}/visitflow/{name}-{os.getpid()}-{next(_counter)}"
+    app = spark.sparkContext.applicationId
+    return f"{base}/visitflow/{app}/{name}-{os.getpid()}-{next(_counter)}"
 
 
 def _count():
