@@ -44,3 +44,16 @@ def test_cli_runs_a_derived_task(spark, scratch, capsys):
     printed = capsys.readouterr().out
     assert "area_top3_product" in printed
     assert read_result(spark, scratch, "area_top3_product", 19725).count() > 0
+
+
+def test_cli_stream_once(spark, scratch):
+    import os
+    from visitflow.plans.cli import main
+    from visitflow.sources import adapters as A
+    from visitflow.sources.tables import Tables
+    from visitflow.streaming import AdStateStore
+    t = Tables(spark, SF_SMALL)
+    src = os.path.join(scratch, "src")
+    A.ad_log_lines(t.events, t.nation, t.region).write.text(src)
+    main(["ad-stream", "--source", src, "--state", os.path.join(scratch, "state"), "--threshold", "2", "--once"])
+    assert AdStateStore(spark, os.path.join(scratch, "state")).state().stat.count() > 0

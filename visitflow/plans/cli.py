@@ -1,12 +1,15 @@
-"""Command line: run one task of the derived task table (or given JSON parameters).
+"""Command line: run one task of the derived task table (or given JSON parameters), or a stream.
 
   python -m visitflow.plans.cli session --data DIR --out DIR --task-id 19737
   python -m visitflow.plans.cli page --data DIR --out DIR --task-id 1 --params '{"targetPageFlow":["1,2,3"]}'
+  python -m visitflow.plans.cli ad-stream --source DIR [--state DIR] [--threshold 100] [--once]
+  python -m visitflow.plans.cli trend-stream --source DIR [--state DIR] [--delay "10 minutes"] [--once]
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
 
 from ..session import build_session
 from ..sources.tables import Tables
@@ -14,7 +17,32 @@ from ..sources.tasks import TaskParams, derived_tasks, load_task_params
 from .jobs import JOBS, SessionOptions
 
 
+def stream_main(argv) -> None:
+    from ..streaming import start_ad_stream, start_trend_stream
+    ap = argparse.ArgumentParser(prog="visitflow")
+    ap.add_argument("stream", choices=("ad-stream", "trend-stream"))
+    ap.add_argument("--source", required=True, help="folder of log text files (or Kafka with --kafka)")
+    ap.add_argument("--kafka", help="bootstrap servers; --source is then the topic")
+    ap.add_argument("--state", help="state folder; default under spark.checkpoint.dir")
+    ap.add_argument("--threshold", type=int, default=100)
+    ap.add_argument("--delay", default="10 minutes")
+    ap.add_argument("--once", action="store_true", help="process what is there and stop (availableNow)")
+    ap.add_argument("--master")
+    a = ap.parse_args(argv)
+    spark = build_session(a.master)
+    fmt, opts = ("kafka", {"kafka.bootstrap.servers": a.kafka, "subscribe": a.source}) if a.kafka else ("text", {})
+    trigger = {"availableNow": True} if a.once else None
+    if a.stream == "ad-stream":
+        q = start_ad_stream(spark, a.source, a.state, a.threshold, fmt=fmt, options=opts, trigger=trigger)
+    else:
+        q = start_trend_stream(spark, a.source, a.state, a.delay, fmt=fmt, options=opts, trigger=trigger)
+    q.awaitTermination()
+
+
 def main(argv=None) -> None:
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if argv and argv[0] in ("ad-stream", "trend-stream"):
+        return stream_main(argv)
     ap = argparse.ArgumentParser(prog="visitflow")
     ap.add_argument("job", choices=sorted(JOBS))
     ap.add_argument("--data", required=True)

@@ -207,19 +207,21 @@ def trend_counts(clicks: DataFrame, delay: str = "10 minutes") -> DataFrame:
                     F.date_format("w.start", "mm").alias("minute"), "ad_id", "click_count"))
 
 
-def _checkpoint(spark: SparkSession, name: str, given: str | None) -> str:
-    return given or f"{checkpoint_dir(spark)}/visitflow-streams/{name}"
+def _checkpoint(root: str, given: str | None) -> str:
+    """The stream's offsets live next to its state: together they make batches exactly-once."""
+    return given or f"{root.rstrip('/')}/_stream_checkpoint"
 
 
 def start_ad_stream(spark: SparkSession, source: str, state_root: str | None = None, threshold: int = 100,
                     checkpoint: str | None = None, fmt: str = "text", options: dict[str, str] | None = None,
                     trigger: dict | None = None):
     """Start the state stream; returns the StreamingQuery."""
-    store = AdStateStore(spark, state_root or f"{checkpoint_dir(spark)}/visitflow-state/ad")
+    root = state_root or f"{checkpoint_dir(spark)}/visitflow-state/ad"
+    store = AdStateStore(spark, root)
     clicks = parse_log(read_log_stream(spark, source, fmt, options))
     writer = (clicks.writeStream.queryName("ad_state")
               .foreachBatch(lambda df, bid: store.apply(df, bid, threshold))
-              .option("checkpointLocation", _checkpoint(spark, "ad_state", checkpoint)))
+              .option("checkpointLocation", _checkpoint(root, checkpoint)))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -229,11 +231,12 @@ def start_trend_stream(spark: SparkSession, source: str, trend_root: str | None
                        checkpoint: str | None = None, fmt: str = "text",
                        options: dict[str, str] | None = None, trigger: dict | None = None):
     """Start the trend stream (update mode: only windows changed in a trigger are merged)."""
-    store = TrendStore(spark, trend_root or f"{checkpoint_dir(spark)}/visitflow-state/trend")
+    root = trend_root or f"{checkpoint_dir(spark)}/visitflow-state/trend"
+    store = TrendStore(spark, root)
     counts = trend_counts(parse_log(read_log_stream(spark, source, fmt, options)), delay)
     writer = (counts.writeStream.queryName("ad_trend").outputMode("update")
               .foreachBatch(lambda df, bid: store.apply(df, bid))
-              .option("checkpointLocation", _checkpoint(spark, "ad_trend", checkpoint)))
+              .option("checkpointLocation", _checkpoint(root, checkpoint)))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
