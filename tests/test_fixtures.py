@@ -252,3 +252,10 @@ def test_bulk_task_decode_tolerates_bad_values(spark):
     assert rows[1]["cities"] is None and rows[1]["sex"] is None and rows[1]["keywords"] == "kw1,kw2"
     assert all(rows[2][c] is None for c in rows[2].asDict() if c != "task_id")
     assert all(rows[3][c] is None for c in rows[3].asDict() if c != "task_id")
+
+
+def test_json_helpers(spark):
+    df = spark.createDataFrame([('{"a":["x","y"],"b":[],"s":1}',)], "j string")
+    row = df.select(FN.json_array_first("j", "a").alias("a"), FN.json_array_first("j", "b").alias("b"),
+                    FN.json_array_first("j", "c").alias("c"), FN.json_field("j", "s").alias("s")).collect()[0]
+    assert (row["a"], row["b"], row["c"], row["s"]) == ("x", None, None, "1")

@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import json_field
+
 # Result columns of area_top3_product (after taskid).
 AREA_COLUMNS = ("area", "areaLevel", "productid", "cityInfos", "clickCount", "productName", "productStatus")
 
@@ -50,7 +52,7 @@ def area_top_products(actions: DataFrame, cities: DataFrame, products: DataFrame
     counts = product_clicks_by_area(actions, cities)
     w = Window.partitionBy("area").orderBy(F.desc("clickCount"), F.asc("productid"))
     top = counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).drop("rn")
-    status = F.get_json_object(F.col("extend_info"), "$.product_status")
+    status = json_field("extend_info", "product_status")
     prod = products.select(F.col("product_id").alias("productid"), F.col("product_name").alias("productName"),
                            _lookup(status, status_names, None).alias("productStatus"))
     return (top.join(prod, "productid", "left")

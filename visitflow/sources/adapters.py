@@ -53,24 +53,6 @@ SECONDS_SQL = {
 }
 
 
-def period_expr(ts: Column, grain: str) -> Column:
-    """The session period of a timestamp column (day, Monday week start, month)."""
-    if grain not in PERIOD_SQL:
-        raise ValueError(f"grain must be one of {GRAINS}, got {grain!r}")
-    return {"day": F.date_format(ts, DATE_FORMAT),
-            "week": F.date_format(F.date_trunc("week", ts), DATE_FORMAT),
-            "month": F.date_format(ts, "yyyy-MM")}[grain]
-
-
-def action_seconds(ts: Column, value: Column, clock: str) -> Column:
-    """Epoch seconds of the action under the chosen clock."""
-    if clock == "real":
-        return F.unix_timestamp(ts)
-    if clock == "value":
-        return F.unix_timestamp(F.date_trunc("day", ts)) + F.floor(value).cast("bigint")
-    raise ValueError(f"clock must be one of {CLOCKS}, got {clock!r}")
-
-
 def events_in_dates(events: DataFrame, start_date: str | None = None,
                     end_date: str | None = None) -> DataFrame:
     """Date range on the raw ``ts`` (both ends inclusive, each optional).

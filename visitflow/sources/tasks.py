@@ -107,12 +107,6 @@ class TaskParams:
         return bool(ages or self.professionals or self.cities or self.sex)
 
 
-def param_element(task_param: Column, name: str) -> Column:
-    """Element 0 of one JSON array parameter; NULL when absent, empty or ''."""
-    arr = F.from_json(task_param, TASK_PARAM_SCHEMA)[name]
-    return F.nullif(F.try_element_at(arr, F.lit(1)), F.lit(""))
-
-
 def decode_task_params(tasks: DataFrame) -> DataFrame:
     """Bulk decode of ``task_param`` into one typed column per parameter.
 
