@@ -29,8 +29,10 @@ def session_inputs(t: Tables, params: TaskParams, grain: str = "day",
     actions = A.user_visit_action(t.events, grain, clock, params.start_date, params.end_date)
     users = A.user_info(t.customer, t.nation)
     if params.has_user_conditions:
-        users = users.where(P.user_predicate(params))
-        ids = users.select("user_id")
+        pred = P.user_predicate(params)
+        users = users.where(pred)
+        # without a city condition the ids need no nation join: a lighter count
+        ids = (users if params.cities else A.user_attributes(t.customer).where(pred)).select("user_id")
         if ids.count() <= MAX_PRUNING_USERS:
             actions = actions.join(F.broadcast(ids), "user_id", "left_semi")
     return actions, users

@@ -106,6 +106,21 @@ def user_visit_action(events: DataFrame, grain: str = "day", clock: str = "real"
         "event_id")
 
 
+_USER_ATTRIBUTES = (
+    "c_custkey AS user_id",
+    "concat('user', CAST(c_custkey AS STRING)) AS username",
+    "c_name AS name",
+    "CAST(c_custkey % 60 AS INT) AS age",
+    "concat('professional', CAST(c_custkey % 100 AS STRING)) AS professional",
+    "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
+)
+
+
+def user_attributes(customer: DataFrame) -> DataFrame:
+    """``user_info`` without ``city``: every attribute that needs no other table."""
+    return customer.selectExpr(*_USER_ATTRIBUTES)
+
+
 def user_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """``user_info`` from customer and nation.
 
@@ -116,13 +131,7 @@ def user_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
     return (customer
             .join(nation.select("n_nationkey", "n_name"),
                   F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .selectExpr("c_custkey AS user_id",
-                        "concat('user', CAST(c_custkey AS STRING)) AS username",
-                        "c_name AS name",
-                        "CAST(c_custkey % 60 AS INT) AS age",
-                        "concat('professional', CAST(c_custkey % 100 AS STRING)) AS professional",
-                        "n_name AS city",
-                        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex"))
+            .selectExpr(*_USER_ATTRIBUTES[:5], "n_name AS city", _USER_ATTRIBUTES[5]))
 
 
 def product_info(part: DataFrame) -> DataFrame:
