@@ -372,21 +372,19 @@ def _stream_source(t: Tables) -> str:
 
 def q_ad_stream_stat(spark, d):
     """The state stream run to completion (availableNow: one micro-batch); its ad_stat table."""
-    from ..streaming import AdStateStore, start_ad_stream
+    from ..streaming import AdStateStore, run_to_completion, start_ad_stream
     root = _stream_source(Tables(spark, d))
-    q = start_ad_stream(spark, f"{root}/src", f"{root}/state", BLACKLIST_THRESHOLD,
-                        checkpoint=f"{root}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
+    run_to_completion(start_ad_stream(spark, f"{root}/src", f"{root}/state", BLACKLIST_THRESHOLD,
+                                      checkpoint=f"{root}/ckpt", trigger={"availableNow": True}))
     return AdStateStore(spark, f"{root}/state").state().stat
 
 
 def q_ad_stream_trend(spark, d):
     """The watermarked trend stream run to completion; its per-minute table."""
-    from ..streaming import TrendStore, start_trend_stream
+    from ..streaming import TrendStore, run_to_completion, start_trend_stream
     root = _stream_source(Tables(spark, d))
-    q = start_trend_stream(spark, f"{root}/src", f"{root}/trend", delay="1 day",
-                           checkpoint=f"{root}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
+    run_to_completion(start_trend_stream(spark, f"{root}/src", f"{root}/trend", delay="1 day",
+                                         checkpoint=f"{root}/ckpt", trigger={"availableNow": True}))
     return TrendStore(spark, f"{root}/trend").trend()
 
 

@@ -18,7 +18,7 @@ from .jobs import JOBS, SessionOptions
 
 
 def stream_main(argv) -> None:
-    from ..streaming import start_ad_stream, start_trend_stream
+    from ..streaming import run_to_completion, start_ad_stream, start_trend_stream
     ap = argparse.ArgumentParser(prog="visitflow")
     ap.add_argument("stream", choices=("ad-stream", "trend-stream"))
     ap.add_argument("--source", required=True, help="folder of log text files (or Kafka with --kafka)")
@@ -36,7 +36,10 @@ def stream_main(argv) -> None:
         q = start_ad_stream(spark, a.source, a.state, a.threshold, fmt=fmt, options=opts, trigger=trigger)
     else:
         q = start_trend_stream(spark, a.source, a.state, a.delay, fmt=fmt, options=opts, trigger=trigger)
-    q.awaitTermination()
+    if a.once:
+        run_to_completion(q)
+    else:
+        q.awaitTermination()
 
 
 def main(argv=None) -> None:

@@ -1,3 +1,4 @@
 """Structured Streaming jobs over the ad-click log."""
 
-from .ad_stream import AdStateStore, TrendStore, start_ad_stream, start_trend_stream, trend_counts  # noqa: F401
+from .ad_stream import (AdStateStore, TrendStore, run_to_completion, start_ad_stream,  # noqa: F401
+                        start_trend_stream, trend_counts)

@@ -214,14 +214,16 @@ def _checkpoint(root: str, given: str | None) -> str:
 
 def start_ad_stream(spark: SparkSession, source: str, state_root: str | None = None, threshold: int = 100,
                     checkpoint: str | None = None, fmt: str = "text", options: dict[str, str] | None = None,
-                    trigger: dict | None = None):
+                    trigger: dict | None = None, name: str | None = None):
     """Start the state stream; returns the StreamingQuery."""
     root = state_root or f"{checkpoint_dir(spark)}/visitflow-state/ad"
     store = AdStateStore(spark, root)
     clicks = parse_log(read_log_stream(spark, source, fmt, options))
-    writer = (clicks.writeStream.queryName("ad_state")
+    writer = (clicks.writeStream
               .foreachBatch(lambda df, bid: store.apply(df, bid, threshold))
               .option("checkpointLocation", _checkpoint(root, checkpoint)))
+    if name:
+        writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -229,14 +231,27 @@ def start_ad_stream(spark: SparkSession, source: str, state_root: str | None = N
 
 def start_trend_stream(spark: SparkSession, source: str, trend_root: str | None = None, delay: str = "10 minutes",
                        checkpoint: str | None = None, fmt: str = "text",
-                       options: dict[str, str] | None = None, trigger: dict | None = None):
+                       options: dict[str, str] | None = None, trigger: dict | None = None,
+                       name: str | None = None):
     """Start the trend stream (update mode: only windows changed in a trigger are merged)."""
     root = trend_root or f"{checkpoint_dir(spark)}/visitflow-state/trend"
     store = TrendStore(spark, root)
     counts = trend_counts(parse_log(read_log_stream(spark, source, fmt, options)), delay)
-    writer = (counts.writeStream.queryName("ad_trend").outputMode("update")
+    writer = (counts.writeStream.outputMode("update")
               .foreachBatch(lambda df, bid: store.apply(df, bid))
               .option("checkpointLocation", _checkpoint(root, checkpoint)))
+    if name:
+        writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+def run_to_completion(query, timeout_s: int = 1800) -> None:
+    """Wait for an availableNow query; stop it and raise if it has not finished in time."""
+    query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError(f"stream did not finish within {timeout_s} s")
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
