@@ -57,3 +57,11 @@ def test_cli_stream_once(spark, scratch):
     A.ad_log_lines(t.events, t.nation, t.region).write.text(src)
     main(["ad-stream", "--source", src, "--state", os.path.join(scratch, "state"), "--threshold", "2", "--once"])
     assert AdStateStore(spark, os.path.join(scratch, "state")).state().stat.count() > 0
+
+
+def test_write_result_other_file_format(spark, scratch):
+    from visitflow.plans.sinks import write_result
+    df = CAT.q_top10_category(spark, SF_SMALL)
+    write_result(df, scratch, "top10_category", 5, fmt="orc")
+    back = read_result(spark, scratch, "top10_category", 5, fmt="orc")
+    assert _rows(back) == _rows(df, ())

@@ -13,16 +13,28 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
-def write_result(df: DataFrame, out_dir: str, table: str, task_id: int) -> str:
+def write_result(df: DataFrame, out_dir: str, table: str, task_id: int, fmt: str = "parquet",
+                 options: dict[str, str] | None = None) -> str:
+    """Write one result table of a task; ``taskid`` comes first, as in the reference's tables.
+
+    File formats (parquet, orc, json, csv) get one folder per table, partitioned
+    by taskid, with dynamic overwrite. ``fmt="jdbc"`` appends to the database
+    table ``table`` through Spark's JDBC writer (``options``: url, user,
+    password, driver), the reference's own sink.
+    """
+    rows = df.select(F.lit(task_id).cast("bigint").alias("taskid"), *df.columns)
+    if fmt == "jdbc":
+        rows.write.format("jdbc").options(**(options or {})).option("dbtable", table).mode("append").save()
+        return table
     path = f"{out_dir.rstrip('/')}/{table}"
-    (df.select(F.lit(task_id).cast("bigint").alias("taskid"), *df.columns)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("taskid").parquet(path))
+    (rows.write.format(fmt).options(**(options or {})).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("taskid").save(path))
     return path
 
 
-def read_result(spark: SparkSession, out_dir: str, table: str, task_id: int | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{out_dir.rstrip('/')}/{table}")
+def read_result(spark: SparkSession, out_dir: str, table: str, task_id: int | None = None,
+                fmt: str = "parquet") -> DataFrame:
+    df = spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/{table}")
     return df if task_id is None else df.where(F.col("taskid") == F.lit(task_id))
 
 
