@@ -59,6 +59,9 @@ def main(argv=None) -> None:
     ap.add_argument("--compat", action="store_true", help="reference's substring dedupe and null category 0")
     ap.add_argument("--extract-per-day", type=int, default=100)
     ap.add_argument("--seed", default="0")
+    ap.add_argument("--format", default="parquet", help="result format: parquet, orc, json, csv or jdbc")
+    ap.add_argument("--sink-option", action="append", default=[], metavar="KEY=VALUE",
+                    help="writer option, e.g. url=jdbc:mysql://host/db (repeatable)")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
@@ -68,7 +71,9 @@ def main(argv=None) -> None:
         tasks = spark.read.parquet(a.tasks) if a.tasks else derived_tasks(Tables(spark, a.data).events)
         params = load_task_params(tasks, a.task_id)
     opts = SessionOptions(grain=a.grain, clock=a.clock, as_of=a.as_of, compat_substring=a.compat,
-                          compat_null_zero=a.compat, extract_per_day=a.extract_per_day, extract_seed=a.seed)
+                          compat_null_zero=a.compat, extract_per_day=a.extract_per_day, extract_seed=a.seed,
+                          sink_format=a.format,
+                          sink_options=tuple(tuple(o.split("=", 1)) for o in a.sink_option))
     paths = JOBS[a.job](spark, a.data, a.task_id, params, a.out, opts)
     for name, path in paths.items():
         print(f"{name}\t{path}")

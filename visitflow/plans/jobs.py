@@ -48,6 +48,12 @@ class SessionOptions:
     extract_per_day: int = 100
     extract_seed: str = "0"
     top_k: int = 10
+    sink_format: str = "parquet"                  # any DataFrameWriter format; "jdbc" appends
+    sink_options: tuple[tuple[str, str], ...] = ()
+
+
+def _write(df: DataFrame, out_dir: str, name: str, task_id: int, opts: SessionOptions) -> str:
+    return write_result(df, out_dir, name, task_id, opts.sink_format, dict(opts.sink_options))
 
 
 def kept_sessions_and_actions(t: Tables, params: TaskParams, opts: SessionOptions) -> tuple[DataFrame, DataFrame]:
@@ -71,7 +77,7 @@ def run_session_job(spark: SparkSession, data_dir: str, task_id: int, params: Ta
         "top10_category": top,
         "top10_category_session": CG.top_sessions_per_category(acts, top, opts.top_k),
     }
-    return {name: write_result(df, out_dir, name, task_id) for name, df in out.items()}
+    return {name: _write(df, out_dir, name, task_id, opts) for name, df in out.items()}
 
 
 def run_page_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskParams, out_dir: str,
@@ -80,9 +86,9 @@ def run_page_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskP
         raise ValueError("targetPageFlow needs at least two pages")
     _, acts = kept_sessions_and_actions(Tables(spark, data_dir), params, opts)
     rates = materialize(PF.convert_rates(acts, params.target_page_flow), "page_rates")
-    return {"page_split_convert_rate": write_result(PF.convert_rate_text(rates), out_dir,
-                                                    "page_split_convert_rate", task_id),
-            "page_split_convert_steps": write_result(rates, out_dir, "page_split_convert_steps", task_id)}
+    return {"page_split_convert_rate": _write(PF.convert_rate_text(rates), out_dir,
+                                              "page_split_convert_rate", task_id, opts),
+            "page_split_convert_steps": _write(rates, out_dir, "page_split_convert_steps", task_id, opts)}
 
 
 def run_product_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskParams, out_dir: str,
@@ -90,7 +96,7 @@ def run_product_job(spark: SparkSession, data_dir: str, task_id: int, params: Ta
     t = Tables(spark, data_dir)
     actions = A.user_visit_action(t.events, opts.grain, opts.clock, params.start_date, params.end_date)
     top = AR.area_top_products(actions, A.city_info(t.nation, t.region), A.product_info(t.part))
-    return {"area_top3_product": write_result(top, out_dir, "area_top3_product", task_id)}
+    return {"area_top3_product": _write(top, out_dir, "area_top3_product", task_id, opts)}
 
 
 def run_ad_batch(spark: SparkSession, lines: DataFrame, state_root: str, batch_id: int,
