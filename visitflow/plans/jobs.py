@@ -12,6 +12,7 @@ checkpoint folder and every output reads them from there.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,18 @@ def _write(df: DataFrame, out_dir: str, name: str, task_id: int, opts: SessionOp
     return write_result(df, out_dir, name, task_id, opts.sink_format, dict(opts.sink_options))
 
 
+def _write_all(outputs: dict[str, DataFrame], out_dir: str, task_id: int, opts: SessionOptions) -> dict[str, str]:
+    """Write independent result tables as concurrent Spark jobs (one driver thread each).
+
+    They share only the materialised intermediates, so nothing is computed
+    twice; small outputs (top 10, one stat row) no longer leave the cluster
+    idle between jobs.
+    """
+    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+        futures = {name: pool.submit(_write, df, out_dir, name, task_id, opts) for name, df in outputs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def kept_sessions_and_actions(t: Tables, params: TaskParams, opts: SessionOptions) -> tuple[DataFrame, DataFrame]:
     actions, users = session_inputs(t, params, opts.grain, opts.clock)
     sessions = S.aggregate_sessions(actions, as_of=opts.as_of, compat_substring=opts.compat_substring,
@@ -77,7 +90,7 @@ def run_session_job(spark: SparkSession, data_dir: str, task_id: int, params: Ta
         "top10_category": top,
         "top10_category_session": CG.top_sessions_per_category(acts, top, opts.top_k),
     }
-    return {name: _write(df, out_dir, name, task_id, opts) for name, df in out.items()}
+    return _write_all(out, out_dir, task_id, opts)
 
 
 def run_page_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskParams, out_dir: str,
@@ -85,10 +98,10 @@ def run_page_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskP
     if not params.target_page_flow or len(params.target_page_flow) < 2:
         raise ValueError("targetPageFlow needs at least two pages")
     _, acts = kept_sessions_and_actions(Tables(spark, data_dir), params, opts)
-    rates = materialize(PF.convert_rates(acts, params.target_page_flow), "page_rates")
-    return {"page_split_convert_rate": _write(PF.convert_rate_text(rates), out_dir,
-                                              "page_split_convert_rate", task_id, opts),
-            "page_split_convert_steps": _write(rates, out_dir, "page_split_convert_steps", task_id, opts)}
+    # the pair scan is checkpointed inside convert_rates; the rates are a few rows on top of it
+    rates = PF.convert_rates(acts, params.target_page_flow)
+    return _write_all({"page_split_convert_rate": PF.convert_rate_text(rates),
+                       "page_split_convert_steps": rates}, out_dir, task_id, opts)
 
 
 def run_product_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskParams, out_dir: str,
