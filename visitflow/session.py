@@ -43,6 +43,8 @@ def build_session(master: str | None = None, app_name: str = "visitflow",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # checkpoint files of DataFrames that are no longer referenced are deleted
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**SQL_CONF, **(extra or {})}.items():
