@@ -73,3 +73,22 @@ def test_one_user_per_session(spark):
         a = CAT.actions(Tables(spark, SF_SMALL), grain=grain)
         bad = a.groupBy("session_id").agg(F.countDistinct("user_id").alias("n")).where("n > 1").count()
         assert bad == 0, grain
+
+
+def test_counted_bounds_fall_back_to_the_same_result(spark, monkeypatch):
+    """Beyond MAX_PRUNING_USERS / max_broadcast the plans change, the rows do not."""
+    from visitflow.plans import inputs
+    t = Tables(spark, SF_SMALL)
+    params = CAT.TaskParams(sex=("male",), start_age=2, end_age=12)
+    pruned = sorted(tuple(r) for r in ST.session_aggr_stat(CAT.kept_sessions(t, params)).collect())
+    monkeypatch.setattr(inputs, "MAX_PRUNING_USERS", 0)
+    acts, _ = inputs.session_inputs(t, params)
+    assert "LeftSemi" not in acts._jdf.queryExecution().executedPlan().toString()
+    unpruned = sorted(tuple(r) for r in ST.session_aggr_stat(CAT.kept_sessions(t, params)).collect())
+    assert pruned == unpruned
+
+    kept = CAT.kept_sessions(t, params)
+    a = CAT.actions(t, params=params)
+    small = sorted(tuple(r) for r in D.kept_actions(a, kept, max_broadcast=10**6).collect())
+    big = sorted(tuple(r) for r in D.kept_actions(a, kept, max_broadcast=0).collect())
+    assert small == big and len(small) > 0
