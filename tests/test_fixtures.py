@@ -213,7 +213,8 @@ def test_province_with_underscore_kept_whole(spark):
 
 def test_bad_log_lines_dropped(spark):
     lines = spark.createDataFrame([("1704067200000 AFRICA NATION_0 7 3",), ("1704067200000 AFRICA NATION_0 7",),
-                                   ("x AFRICA NATION_0 7 3",), ("1704067200000 AFRICA NATION_0 seven 3",)],
+                                   ("x AFRICA NATION_0 7 3",), ("1704067200000 AFRICA NATION_0 seven 3",),
+                                   ("9000000000000000000 AFRICA NATION_0 7 3",)],
                                   "value string")
     rows = parse_log(lines).collect()
     assert len(rows) == 1 and rows[0]["user_id"] == 7 and rows[0]["date"] == "2024-01-01"

@@ -32,14 +32,15 @@ def parse_log(lines: DataFrame, col: str = "value") -> DataFrame:
     ms = F.try_element_at(parts, F.lit(1)).try_cast("bigint")
     user = F.try_element_at(parts, F.lit(4)).try_cast("bigint")
     ad = F.try_element_at(parts, F.lit(5)).try_cast("bigint")
-    ts = F.timestamp_millis(ms)
+    # outside years 0001-9999 the line is malformed (and timestamp_millis would raise under ANSI)
+    ts = F.when(ms.between(-62135596800000, 253402300799999), F.timestamp_millis(ms))
     parsed = lines.select(
         (F.size(parts) == 5).alias("ok5"), ms.alias("ms"),
         ts.alias("ts"), F.date_format(ts, "yyyy-MM-dd").alias("date"),
         F.try_element_at(parts, F.lit(2)).alias("province"),
         F.try_element_at(parts, F.lit(3)).alias("city"),
         user.alias("user_id"), ad.alias("ad_id"))
-    return (parsed.where(F.col("ok5") & F.col("ms").isNotNull() & F.col("user_id").isNotNull()
+    return (parsed.where(F.col("ok5") & F.col("ts").isNotNull() & F.col("user_id").isNotNull()
                          & F.col("ad_id").isNotNull())
             .select(*LOG_COLUMNS))
 
