@@ -29,11 +29,11 @@ def sql_text(v: str) -> str:
     return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+_K = "TRY_CAST(get_json_object(props, '$.k') AS BIGINT)"   # bad JSON or text: NULL, not an error
 
 
 def _k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("bigint")
+    return F.get_json_object(props, "$.k").try_cast("bigint")
 
 
 def _id_list_sql(k: str) -> str:
