@@ -116,8 +116,8 @@ def session_full_info(actions: DataFrame, users: DataFrame, **kw) -> DataFrame:
 
 
 def format_sets(sessions: DataFrame) -> DataFrame:
-    """Sets as comma text (the reference's result-table form)."""
-    return (sessions
-            .withColumn("search_keywords", F.array_join("search_keywords", ","))
-            .withColumn("click_category_ids",
-                        F.array_join(F.transform("click_category_ids", lambda x: x.cast("string")), ",")))
+    """Sets as comma text (the reference's result-table form); one projection, columns in place."""
+    text = {"search_keywords": "array_join(search_keywords, ',') AS search_keywords",
+            "click_category_ids": "array_join(transform(click_category_ids, x -> CAST(x AS STRING)), ',') "
+                                  "AS click_category_ids"}
+    return sessions.selectExpr(*[text.get(c, f"`{c}`") for c in sessions.columns])
