@@ -46,7 +46,8 @@ def main(argv=None) -> None:
     argv = list(sys.argv[1:] if argv is None else argv)
     if argv and argv[0] in ("ad-stream", "trend-stream"):
         return stream_main(argv)
-    ap = argparse.ArgumentParser(prog="visitflow")
+    ap = argparse.ArgumentParser(prog="visitflow",
+                                 epilog="streams: visitflow ad-stream --help, visitflow trend-stream --help")
     ap.add_argument("job", choices=sorted(JOBS))
     ap.add_argument("--data", required=True)
     ap.add_argument("--out", required=True)
