@@ -58,7 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a fresh scratch folder is created and registered.
+    and the master is local (tests) a fresh scratch folder is created and
+    registered; on a cluster a machine-local folder would be wrong, so an
+    unset value is an error there.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -66,10 +68,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)          # conf given at runtime: DataFrame.checkpoint() needs it
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS or object store)")
     path = tempfile.mkdtemp(prefix="visitflow-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    sc.setCheckpointDir(path)          # spark.checkpoint.dir is a core conf: it cannot be set at runtime
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
