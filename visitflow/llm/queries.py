@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import exact_dedup, sharding, simhash
 from .common import documents
 
 
@@ -14,9 +14,36 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = documents(spark, sf_dir).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_key"))
+    dealt = sharding.histogram_shards(rows, ["text_key"], ["doc_id"], "size", shards=16)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(documents(spark, sf_dir))
+
+
+OP8_SQL = r"""
+WITH norm AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256
+  FROM documents),
+ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id
+  FROM norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_simhash_bktree,)}
+    return {f.__name__: f for f in (op2_histogram_shards, op7_simhash_bktree, op8_block_naming)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_block_naming": OP8_SQL}
