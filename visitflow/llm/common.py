@@ -54,8 +54,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def text_hash(text: str) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sharding, simhash
-from .common import documents
+from . import exact_dedup, sharding, simhash, toxicity
+from .common import documents, table
 
 
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op9_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 OP8_SQL = r"""
 WITH norm AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -42,7 +46,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_histogram_shards, op7_simhash_bktree, op8_block_naming)}
+    return {f.__name__: f for f in (op2_histogram_shards, op7_simhash_bktree, op8_block_naming,
+                                  op9_noisy_channel)}
 
 
 def oracle_sql() -> dict[str, str]:
