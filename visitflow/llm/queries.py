@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sharding, simhash, toxicity
+from . import bpe, exact_dedup, sharding, simhash, toxicity
 from .common import documents, table
 
 
+def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = bpe.load_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), v, ids=None, digests=True).drop("text")
+
+
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(documents(spark, sf_dir))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,7 +52,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_histogram_shards, op7_simhash_bktree, op8_block_naming,
+    return {f.__name__: f for f in (op2_histogram_shards, op3_merge_replay, op7_simhash_bktree, op8_block_naming,
                                   op9_noisy_channel)}
 
 
