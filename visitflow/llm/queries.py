@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, sharding, simhash, toxicity
+from . import bpe, exact_dedup, line_dedup, sharding, simhash, toxicity
 from .common import documents, table
 
 
@@ -20,6 +20,16 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rows, (_, _, _, n, dropped, keepers) = line_dedup.with_dropped(docs, line_dedup.dropped_lines(docs))
+    none = F.array().cast("array<bigint>")
+    return rows.select("doc_id", F.coalesce(F.col(n), F.lit(0)).alias("n_lines"),
+                       F.coalesce(F.size(F.col(dropped)), F.lit(0)).cast("long").alias("n_dropped"),
+                       F.coalesce(F.array_join(F.col(dropped), ","), F.lit("")).alias("dropped_lines"),
+                       F.coalesce(F.col(keepers), none).alias("kept_docs"))
+
+
 def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents(spark, sf_dir).select(
@@ -52,7 +62,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_histogram_shards, op3_merge_replay, op7_simhash_bktree, op8_block_naming,
+    return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op7_simhash_bktree, op8_block_naming,
                                   op9_noisy_channel)}
 
 
