@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, sharding, simhash, toxicity
+from . import bpe, exact_dedup, line_dedup, mixing, quality, sharding, simhash, toxicity
 from .common import documents, table
 
 
@@ -15,6 +15,17 @@ def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), v, ids=None, digests=True).drop("text")
 
 
+# target shares go with (tokens of the value) ** exponent
+MIX_EXPONENTS = {"source": 0.8, "lang": 0.8, "topic": 0.9}
+
+
+def op5_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", mixing.style_topic().alias("topic"),
+                                           mixing.word_count().alias("words"))
+    rows, names = mixing.mix(docs, MIX_EXPONENTS, F.col("words"))
+    return rows.select("doc_id", "source", "lang", "topic", *names.values())
+
+
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(documents(spark, sf_dir))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -48,6 +59,12 @@ def op9_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = quality.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                       "kept", "rule")
+
+
 OP8_SQL = r"""
 WITH norm AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -62,8 +79,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op7_simhash_bktree, op8_block_naming,
-                                  op9_noisy_channel)}
+    return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op5_raked_mix,
+                                  op7_simhash_bktree, op8_block_naming, op9_noisy_channel, op10_decision_list)}
 
 
 def oracle_sql() -> dict[str, str]:
