@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -65,3 +65,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_hash(text: str) -> Column:
     """64-bit content hash that tells rows with one id and different texts apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())
+
+
+def with_row_key(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, list[str]]:
+    """Adds three non-null columns that name a row's (id, text): is the id set, the id, the text's hash."""
+    names = fresh(df, "id_set", "id", "text_key")
+    ident = F.col(f"`{doc_id}`")
+    kind = df.schema[doc_id].dataType
+    blank = F.lit("" if kind.simpleString() == "string" else 0).cast(kind)
+    values = (ident.isNotNull(), F.coalesce(ident, blank), text_hash(text))
+    return df.withColumns(dict(zip(names, values))), names
+
+
+def row_key(df: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of ``with_row_key`` from a table's doc_id and text_key, in place of these."""
+    kind = df.schema["doc_id"].dataType
+    blank = F.lit("" if kind.simpleString() == "string" else 0).cast(kind)
+    return df.select(F.col("doc_id").isNotNull().alias(names[0]), F.coalesce("doc_id", blank).alias(names[1]),
+                     F.col("text_key").alias(names[2]), *[c for c in df.columns if c not in ("doc_id", "text_key")])
+
+
+def first_copy(names: list[str]) -> Column:
+    """Number of a row among those that repeat its id and text, from 1."""
+    return F.row_number().over(Window.partitionBy(*names).orderBy(names[2]))

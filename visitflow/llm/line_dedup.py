@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, Scratch, fresh, text_hash
+from .common import SPACE_CHARS, Scratch, first_copy, fresh, row_key, text_hash, with_row_key
 from .components import components
 
 SHINGLE = 9                # characters; a shorter line is one shingle
@@ -345,15 +345,10 @@ def dropped_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
 
 def with_dropped(df: DataFrame, drops: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[str]]:
     """Left join of rows and ``dropped_lines`` on id (null matches null) and text; names of the new columns."""
-    names = fresh(df, "id_set", "id", "text_key", "n_lines", "dropped", "kept_docs")
-    is_set, ident, key, n, dropped, keepers = names
-    least = F.lit("").cast(df.schema[doc_id].dataType) if df.schema[doc_id].dataType.simpleString() == "string" \
-        else F.lit(0).cast(df.schema[doc_id].dataType)
-    rows = df.withColumns({is_set: F.col(doc_id).isNotNull(), ident: F.coalesce(F.col(doc_id), least), key: text_hash(text)})
-    found = drops.select(F.col("doc_id").isNotNull().alias(is_set), F.coalesce("doc_id", least).alias(ident),
-                         F.col("text_key").alias(key), F.col("n_lines").alias(n), F.col("dropped").alias(dropped),
-                         F.col("kept_docs").alias(keepers))
-    return rows.join(found, [is_set, ident, key], "left"), names
+    rows, keys = with_row_key(df, doc_id, text)
+    more = fresh(rows, "n_lines", "dropped", "kept_docs")
+    found = row_key(drops, keys).withColumnsRenamed(dict(zip(("n_lines", "dropped", "kept_docs"), more)))
+    return rows.join(found, keys, "left"), [*keys, *more]
 
 
 def without_lines(text: Column, dropped: Column) -> Column:
@@ -371,9 +366,9 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **opt
     document's lines and the others go.
     """
     rows, names = with_dropped(df, dropped_lines(df, doc_id, text, **options), doc_id, text)
-    is_set, ident, key, n, dropped, _ = names
+    keys, (n, dropped, _) = names[:3], names[3:]
     copy, = fresh(rows, "copy")
-    rows = rows.withColumn(copy, F.row_number().over(Window.partitionBy(is_set, ident, key).orderBy(key)))
+    rows = rows.withColumn(copy, first_copy(keys))
     rows = rows.where(F.col(n).isNull() | ((F.size(dropped) < F.col(n)) & (F.col(copy) == 1)))
     short = F.when(F.size(dropped) > 0, without_lines(F.col(text), F.col(dropped))).otherwise(F.col(text))
     return rows.withColumn(text, short).select(*[F.col(f"`{c}`") for c in df.columns])

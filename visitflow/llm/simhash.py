@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, text_hash
+from .common import Scratch, first_copy, fresh, row_key, text_hash, with_row_key
 from .components import components
 
 SHINGLE_WORDS = 4          # words of a shingle
@@ -155,12 +155,12 @@ def fingerprint_links(fps: DataFrame, scratch: Scratch, radius: int = MAX_BITS,
 
 def simhash_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS,
                    radius: int = MAX_BITS, blocks: int = BLOCKS, name: str = "simhash") -> DataFrame:
-    """One row per row of ``df``: (doc_id, text_key, fp, component_id).
+    """One row per row of ``df``: (doc_id, text_key, fp, component, component_id).
 
     ``component_id`` is the smallest id reachable over links of fingerprints
     that differ in ``radius`` bits or fewer; ``text_key`` (a content hash)
-    tells rows with one id and different texts apart. Documents of one
-    fingerprint are one node, so copies cost nothing past the fingerprint.
+    tells rows with one id and different texts apart, ``component`` is the
+    group's smallest fingerprint. Documents of one fingerprint are one node, so copies cost nothing past the fingerprint.
 
     Null and blank texts have fingerprint 0 and link like any other. Rows
     with a null id take part; a component of null ids only has a null
@@ -178,5 +178,16 @@ def simhash_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     found = scratch.write(found, "found")
     lows = found.groupBy("component").agg(F.min("low").alias("component_id"))
     # a component may hold a third of all fingerprints: AQE splits it in this join
-    by_fp = found.join(lows, "component").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", "text_key", "fp", "component_id")
+    by_fp = found.join(lows, "component").select("fp", "component", "component_id")
+    return marked.join(by_fp, "fp").select("doc_id", "text_key", "fp", "component", "component_id")
+
+
+def drop_near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each SimHash group of ``df``, columns unchanged: smallest id (nulls last), then text key."""
+    groups = simhash_groups(df, doc_id, text, **options)
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("best")
+    stay = groups.groupBy("component").agg(best).select("best.doc_id", "best.text_key")
+    rows, keys = with_row_key(df, doc_id, text)
+    copy, = fresh(rows, "copy")
+    rows = rows.join(row_key(stay, keys), keys, "left_semi").withColumn(copy, first_copy(keys))
+    return rows.where(F.col(copy) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
