@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, quality, sharding, simhash, toxicity
+from . import bpe, exact_dedup, line_dedup, mixing, quality, secrets, sharding, simhash, toxicity
 from .common import documents, table
 
 
@@ -15,6 +15,11 @@ def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), v, ids=None, digests=True).drop("text")
 
 
+def op4_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    return secrets.span_report(found, "secret_spans", secrets.BASE_KINDS)
+
+
 # target shares go with (tokens of the value) ** exponent
 MIX_EXPONENTS = {"source": 0.8, "lang": 0.8, "topic": 0.9}
 
@@ -79,7 +84,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op5_raked_mix,
+    return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op4_automaton, op5_raked_mix,
                                   op7_simhash_bktree, op8_block_naming, op9_noisy_channel, op10_decision_list)}
 
 
