@@ -52,9 +52,10 @@ def components(links: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
     Each task first joins its own links by union-find. The forests that remain
     are contracted by alternating large-star and small-star rounds (Kiveris et
     al., 2014): every node's neighbourhood is reduced to its minimum by a
-    partial aggregate, so a hub's links are never gathered in one task; the
-    join back to a hub's links is one Spark splits by itself when skewed. Each
-    round is a stored table; the rounds end when one changes nothing.
+    partial aggregate, so a hub's links are never gathered in one task. The
+    minima are stored before the join back, so both its sides are plain
+    shuffles, and Spark splits a hub's links by itself. Each round is a
+    stored table; the rounds end when one changes nothing.
     Nodes without links are not returned. Null ends and self-links are ignored.
     """
     edges = (links.where("u IS NOT NULL AND v IS NOT NULL AND u != v").select("u", "v")
@@ -64,11 +65,12 @@ def components(links: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
     for _ in range(max_rounds):
         # large star: link every larger neighbour to the smallest of the neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
+        large = scratch.write(large, "large")
         # small star: each node's smaller neighbours and itself join the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         new = scratch.write(small, "star")

@@ -103,5 +103,6 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bloc
         F.min(F.struct(-F.col("chars"), F.col("doc_id").isNull(), "doc_id", "rid")).alias("best"))
     best = best.select("level", "name", "group_size", F.col("best.doc_id").alias("keep_id"),
                        F.col("best.rid").alias("keep_rid"))
+    best = scratch.write(best, "best")           # stored, so AQE can split a hot group in the join
     return rows.join(best, ["level", "name"]).select(
         "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256")

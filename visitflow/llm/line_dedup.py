@@ -279,6 +279,7 @@ def line_classes(lines: DataFrame, texts: DataFrame, scratch: Scratch, similarit
     members = classed(stars.select("band", "key"), first)
     mixed = (members.groupBy("band").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("n"))
              .where("low != high").select("band", F.ceil(F.col("n") / BLOCK_LINES).alias("parts")))
+    mixed = scratch.write(mixed, "mixed_bands")
     mixed = scratch.write(members.join(mixed, "band").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))), "mixed")
     # every block meets itself (side 2) and each other block (sides 0 and 1)
     dealt = mixed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
@@ -326,6 +327,7 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     lines = scratch.write(lines, "classed")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "line")
     first = lines.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = scratch.write(first.drop("n"), "kept")      # stored, so AQE can split a hot line in the join
     alone = F.col("first").isNull()
     return lines.join(first, "component", "left").select(
         "doc_id", "text_key", "line", "component", (alone | (place == F.col("first"))).alias("kept"),

@@ -141,7 +141,7 @@ def fingerprint_links(fps: DataFrame, scratch: Scratch, radius: int = MAX_BITS,
         mask -= (1 << 64) if mask >> 63 else 0
         shards.append(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask).cast("long"))))
     rows = fps.select("fp", F.explode(F.array(*shards)).alias("shard"))
-    sizes = rows.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = scratch.write(rows.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     sized = scratch.write(rows.join(sizes, "shard").select("shard", "fp", F.ceil(F.col("n") / tree_rows).alias("parts")),
                           "shards")
     part = F.pmod(F.xxhash64("fp", F.lit("part")), F.col("parts"))
@@ -176,9 +176,10 @@ def simhash_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     found = nodes.join(found, nodes["fp"] == found["node"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component"))
     found = scratch.write(found, "found")
-    lows = found.groupBy("component").agg(F.min("low").alias("component_id"))
-    # a component may hold a third of all fingerprints: AQE splits it in this join
-    by_fp = found.join(lows, "component").select("fp", "component", "component_id")
+    lows = scratch.write(found.groupBy("component").agg(F.min("low").alias("component_id")), "lows")
+    # a component may hold a third of all fingerprints, a fingerprint a third of all documents: both sides of
+    # these joins are stored, so AQE can split the hot one
+    by_fp = scratch.write(found.join(lows, "component").select("fp", "component", "component_id"), "by_fp")
     return marked.join(by_fp, "fp").select("doc_id", "text_key", "fp", "component", "component_id")
 
 
