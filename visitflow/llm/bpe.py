@@ -20,13 +20,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, small_batches
 
 SHIFT = 20                 # token ids fit in this many bits
 NONE = (1 << SHIFT) - 1    # beyond the end of a word
 NEVER = 1 << 30            # rank of a pair that does not merge
-BLOCK_BYTES = 32 << 20     # text whose words are merged together
-MEMO_WORDS = 1_000_000     # encoded words a task keeps for its next blocks
+BLOCK_BYTES = 16 << 20     # text whose words are merged together
+MEMO_WORDS = 500_000       # encoded words a task keeps for its next blocks
 FEW = 12                   # positions up to which a merge is applied one by one
 
 
@@ -145,7 +145,7 @@ def replay(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
                 return
 
     def merge_many(r: int, at: np.ndarray) -> None:
-        at = at[rank[at] == r]
+        found = at = at[rank[at] == r]
         if not len(at):
             return
         second = nxt[at]
@@ -162,11 +162,13 @@ def replay(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
         early = (right < r) | (left < r)
         if early.any():
             w = word[at]
-            wait = np.append(False, w[1:] == w[:-1]) & np.isin(w, w[early])      # all but the first of the word
+            late = w[early]
+            wait = np.append(False, w[1:] == w[:-1]) & np.isin(w, late)          # all but the first of the word
             if wait.any():
-                add(np.full(int(wait.sum()), r), at[wait])
                 now = ~wait
-                return merge_many_now(r, at[now], second[now], after[now], before[now])
+                rest = found[np.isin(word[found], late)]      # also what the chains left out: they may stand free later
+                merge_many_now(r, at[now], second[now], after[now], before[now])
+                return add(np.full(int((rank[rest] == r).sum()), r), rest[rank[rest] == r])
         merge_many_now(r, at, second, after, before)
 
     def merge_many_now(r: int, at: np.ndarray, second: np.ndarray, after: np.ndarray, before: np.ndarray) -> None:
@@ -295,17 +297,20 @@ def encode(df: DataFrame, v: Vocabulary, text: str = "text", ids: str | None = "
     ``df`` with the names of the new ones are replaced; rows, null ids and
     repeated rows stay as they are.
     """
+    small_batches(df.sparkSession)
     fields = (["ids array<int>"] if ids else []) + (
         ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"] if digests else [])
 
     @F.pandas_udf(", ".join(fields))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for rows in Encoder(v).blocks(batches):      # v goes with the function: some MB at any corpus size
-            out = {"ids": rows} if ids else {}
+            out = {"ids": pd.Series(rows, dtype=object)} if ids else {}
             if digests:
                 out["n_tokens"] = np.array([len(r) for r in rows], dtype=np.int64)
-                out["ids_sha256"] = [hashlib.sha256(r.astype("<u4").tobytes()).hexdigest() for r in rows]
-                out["decoded_sha256"] = [hashlib.sha256(decode_ids(r, v)).hexdigest() for r in rows]
+                out["ids_sha256"] = pd.Series([hashlib.sha256(r.astype("<u4").tobytes()).hexdigest() for r in rows],
+                                              dtype=object)
+                out["decoded_sha256"] = pd.Series([hashlib.sha256(decode_ids(r, v)).hexdigest() for r in rows],
+                                                  dtype=object)
             yield pd.DataFrame(out)
     made, = fresh(df, "encoded")
     columns = [*df.columns]

@@ -62,6 +62,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts go to Python a thousand at a time, not ten thousand: a session setting the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def text_hash(text: str) -> Column:
     """64-bit content hash that tells rows with one id and different texts apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())

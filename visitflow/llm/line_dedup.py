@@ -10,15 +10,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, Scratch, first_copy, fresh, row_key, text_hash, with_row_key
+from .common import SPACE_CHARS, Scratch, first_copy, fresh, row_key, small_batches, text_hash, with_row_key
 from .components import components
 
 SHINGLE = 9                # characters; a shorter line is one shingle
 SIMILARITY = 0.8
-BANDS, ROWS = 11, 4        # finds a pair of Jaccard 0.8 with probability 0.997, of 0.1 with 0.001
+BANDS, ROWS = 9, 4         # finds a pair of Jaccard 0.8 with probability 0.991, of 0.9 with 0.9999, of 0.1 with 0.001
 BLOCK_LINES = 256          # lines of a bucket compared with as many others in one group
-SEEN_LINES = 400_000       # line keys a task remembers, so that it signs a repeated line once
-CHUNK_CHARS = 1 << 20      # characters signed at a time
+SEEN_LINES = 200_000       # line keys a task remembers, so that it signs a repeated line once
+CHUNK_CHARS = 1 << 18      # characters signed at a time
 FILTER_BITS = 1 << 26      # bits of the filter for lines to verify: 8 MB at any corpus size
 BASE = 0x9E3779B97F4A7C15
 WRAP = (1 << 64) - 1
@@ -110,7 +110,7 @@ def _sign_documents(bands: int, rows: int, width: int):
                         signed[i] = row
                 return pd.DataFrame({"doc_id": pd.Series(ids, dtype=object), "text_key": np.array(keys, np.int64),
                                      "line": np.array(numbers, np.int32), "key": np.array(line_keys, np.int64),
-                                     "bands": signed})
+                                     "bands": pd.Series(signed, dtype=object)})
             for doc, text_key, text in zip(b["doc_id"], b["text_key"].tolist(), b["text"]):
                 for i, line in lines_of(text):
                     key = line_key(line)
@@ -288,6 +288,9 @@ def line_classes(lines: DataFrame, texts: DataFrame, scratch: Scratch, similarit
                          "key", "cls").join(found, "key")
     more = (dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "cls", "key")
             .mapInPandas(_cross(similarity, width), "u long, v long"))
+    more = scratch.write(more, "more")
+    if more.isEmpty():
+        return first.select(F.col("node").alias("key"), "component")
     second = components(more, scratch).select(F.col("node").alias("cls"), F.col("component").alias("top"))
     joined = first.join(second, first["component"] == second["cls"], "left").select(
         "node", F.coalesce("top", "component").alias("component"))
@@ -316,6 +319,7 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """
     scratch = Scratch(df.sparkSession, name)
     kind = df.schema[doc_id].dataType
+    small_batches(df.sparkSession)
     docs = df.select(F.col(doc_id).cast("string").alias("doc_id"), text_hash(text).alias("text_key"),
                      F.col(text).alias("text"))
     lines = docs.mapInPandas(_sign_documents(bands, rows, width),
@@ -340,7 +344,7 @@ def dropped_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     from 0, and the documents that keep them."""
     found = duplicate_lines(df, doc_id, text, **options)
     return found.groupBy("doc_id", "text_key").agg(
-        F.count_distinct("line").alias("n_lines"),
+        F.size(F.collect_set("line")).cast("long").alias("n_lines"),
         F.array_sort(F.collect_set(F.when(~F.col("kept"), F.col("line")))).alias("dropped"),
         F.array_sort(F.collect_set(F.when(~F.col("kept"), F.col("kept_doc")))).alias("kept_docs"))
 

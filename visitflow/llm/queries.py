@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, quality, secrets, sharding, simhash, toxicity
+from . import bpe, exact_dedup, line_dedup, mixing, pii, quality, secrets, sharding, simhash, toxicity
 from .common import documents, table
 
 
@@ -31,6 +31,11 @@ def op5_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", "lang", "topic", *names.values())
 
 
+def op6_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    return secrets.span_report(found, "pii_spans", pii.KINDS)
+
+
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(documents(spark, sf_dir))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -84,7 +89,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op4_automaton, op5_raked_mix,
+    return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op4_automaton, op5_raked_mix, op6_skip_chain,
                                   op7_simhash_bktree, op8_block_naming, op9_noisy_channel, op10_decision_list)}
 
 

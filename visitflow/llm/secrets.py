@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 VALUE = "[A-Za-z0-9+/_.=-]"
 WORD = "[A-Za-z0-9_]"
 
@@ -320,6 +322,7 @@ def find_secrets(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = BA
     Null and empty texts have none. Rows and other columns stay; a column of
     that name is replaced.
     """
+    small_batches(df.sparkSession)
     scanner = compile_rules(rules)
 
     @F.pandas_udf("array<struct<kind:string,start:long,end:long>>")

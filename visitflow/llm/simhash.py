@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, first_copy, fresh, row_key, text_hash, with_row_key
+from .common import Scratch, first_copy, fresh, row_key, small_batches, text_hash, with_row_key
 from .components import components
 
 SHINGLE_WORDS = 4          # words of a shingle
@@ -44,6 +44,8 @@ def fingerprint(data: bytes, width: int = SHINGLE_WORDS) -> int:
 
 def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fp", width: int = SHINGLE_WORDS) -> DataFrame:
     """Adds the fingerprint of ``text`` as a signed 64-bit long (null and blank texts: 0)."""
+    small_batches(df.sparkSession)
+
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh
+from .common import Scratch, fresh, small_batches
 
 # Which letters a sign may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
@@ -190,7 +190,7 @@ def _feature_counts(cost: np.ndarray):
         counts: dict[str, list[int]] = {}
 
         def out() -> pd.DataFrame:
-            return pd.DataFrame({"feature": list(counts), "toxic": [c[1] for c in counts.values()],
+            return pd.DataFrame({"feature": pd.Series(list(counts), dtype=object), "toxic": [c[1] for c in counts.values()],
                                  "clean": [c[0] for c in counts.values()]}).astype({"toxic": "int64", "clean": "int64"})
         for b in batches:
             for text, toxic in zip(b["text"], b["toxic"]):
@@ -234,6 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, doc_id: str = "d
     model scores every text 0. Labels with a null id or class are ignored; if an id has several, one
     toxic one decides.
     """
+    small_batches(docs.sparkSession)
     counts = {r["gram"]: r["n"] for r in trigram_counts(docs, text).collect()}
     cost = language_model(counts)
     known = (labels.select(F.col(doc_id).alias("id"), "toxic").where("id IS NOT NULL AND toxic IS NOT NULL")
@@ -261,7 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, doc_id: str = "d
         scores: dict = {}
         for b in batches:
             rows = [model.strongest(t, memo, scores) for t in b["text"]]
-            yield pd.DataFrame({"best": rows, "toxic": b["toxic"]})
+            yield pd.DataFrame({"best": pd.Series(rows, dtype=object), "toxic": b["toxic"]})
     # bounded by the sample: TOP_WORDS + 1 numbers for each document of the third fold
     rows = (sample.where("fold = 0").select("text", "toxic")
             .mapInPandas(strongest, "best array<double>, toxic int").collect())
