@@ -33,7 +33,7 @@ def test_detail_rows_equal_total_steps(spark):
 
 
 def test_page_pairs_match_window_lead(spark):
-    """The range-sorted pair count equals a per-session lead() on a small table."""
+    """The chunked pair count equals a per-session lead() on a small table."""
     from pyspark.sql import Window
     from visitflow.operators.pageflow import page_pair_counts
     t = Tables(spark, SF_SMALL)
@@ -75,20 +75,63 @@ def test_one_user_per_session(spark):
         assert bad == 0, grain
 
 
-def test_counted_bounds_fall_back_to_the_same_result(spark, monkeypatch):
-    """Beyond MAX_PRUNING_USERS / max_broadcast the plans change, the rows do not."""
-    from visitflow.plans import inputs
-    t = Tables(spark, SF_SMALL)
-    params = CAT.TaskParams(sex=("male",), start_age=2, end_age=12)
-    pruned = sorted(tuple(r) for r in ST.session_aggr_stat(CAT.kept_sessions(t, params)).collect())
-    monkeypatch.setattr(inputs, "MAX_PRUNING_USERS", 0)
-    acts, _ = inputs.session_inputs(t, params)
-    assert "LeftSemi" not in acts._jdf.queryExecution().executedPlan().toString()
-    unpruned = sorted(tuple(r) for r in ST.session_aggr_stat(CAT.kept_sessions(t, params)).collect())
-    assert pruned == unpruned
-
-    kept = CAT.kept_sessions(t, params)
-    a = CAT.actions(t, params=params)
-    small = sorted(tuple(r) for r in D.kept_actions(a, kept, max_broadcast=10**6).collect())
-    big = sorted(tuple(r) for r in D.kept_actions(a, kept, max_broadcast=0).collect())
-    assert small == big and len(small) > 0
+def _visits(spark):
+    """One session of users 1 (age 10) and 2 (age 20), two actions."""
+    import datetime as dt
+    rows = [("s", 1, 1, "2024-01-01", dt.datetime(2024, 1, 1, 10), "kw", 5, 1),
+            ("s", 2, 2, "2024-01-01", dt.datetime(2024, 1, 1, 11), None, None, 2)]
+    acts = spark.createDataFrame(rows, "session_id string, user_id long, page_id long, date string, action_ts timestamp, "
+                                       "search_keyword string, click_category_id long, event_id long")
+    users = spark.createDataFrame([(1, 10, "p", "c", "male"), (2, 20, "p", "c", "male")],
+                                  "user_id long, age int, professional string, city string, sex string")
+    return acts, users
+
+
+def test_conditions_meet_the_sessions_user(spark):
+    """All actions of a shared session count; its user (the largest id) decides."""
+    from visitflow.operators import predicates as P, sessions as S
+    acts, users = _visits(spark)
+    full = S.attach_user_info(S.aggregate_sessions(acts), users)
+    kept = P.filter_sessions(full, CAT.TaskParams(start_age=15, end_age=25)).collect()
+    assert [(r["user_id"], r["step_length"]) for r in kept] == [(2, 2)]
+    assert P.filter_sessions(full, CAT.TaskParams(start_age=5, end_age=12)).count() == 0
+
+
+def test_pages_without_an_id_are_gaps(spark):
+    from visitflow.operators.pageflow import convert_rates, page_pair_counts
+    import datetime as dt
+    at = dt.datetime(2024, 1, 1)
+    rows = [("a", p, at + dt.timedelta(seconds=400 * i), i) for i, p in enumerate([1, None, 2, 3, 1, 2, None])]
+    rows += [("b", p, at + dt.timedelta(seconds=1), i) for i, p in enumerate([1, 2, 3])]
+    acts = spark.createDataFrame(rows, "session_id string, page_id long, action_ts timestamp, event_id long")
+    got = {(r[0], r[1]): r[2] for r in page_pair_counts(acts).collect()}
+    assert got == {(2, 3): 2, (3, 1): 1, (1, 2): 2}
+    assert [(r["pair_count"], r["convert_rate"]) for r in convert_rates(acts, [1, 2, 3]).orderBy("step").collect()] == \
+        [(2, 0.67), (2, 1.0)]
+
+
+def test_half_up_rounding_goes_away_from_zero(spark):
+    from visitflow.functions import round_half_up
+    cases = [(-0.125, -0.13), (0.125, 0.13), (1e20, 1e20), (float("inf"), float("inf")), (float("nan"), 0.0),
+             (-float("inf"), -float("inf")), (0.0, 0.0), (None, None), (2.005, 2.01)]
+    df = spark.createDataFrame([(a,) for a, _ in cases], "x double")
+    assert [r[0] for r in df.select(round_half_up("x")).collect()][:8] == [b for _, b in cases][:8]
+
+
+def test_result_tables_read_back_with_taskid_first(spark, scratch):
+    from visitflow.plans.sinks import discard, materialize, read_result, write_result
+    kept = materialize(spark.range(3), "kept")
+    write_result(kept, scratch, "r", 5)
+    back = read_result(spark, scratch, "r", 5)
+    assert back.columns == ["taskid", "id"] and sorted(map(tuple, back.collect())) == [(5, 0), (5, 1), (5, 2)]
+    files = kept.inputFiles()
+    discard(kept)
+    import os
+    assert files and not any(os.path.exists(f.replace("file://", "")) for f in files)
+
+
+def test_appended_rows_are_seen(spark, scratch):
+    spark.range(3).write.parquet(f"{scratch}/events.parquet")
+    assert Tables(spark, scratch).table("events").count() == 3
+    spark.range(4).write.mode("append").parquet(f"{scratch}/events.parquet")
+    assert Tables(spark, scratch).table("events").count() == 7

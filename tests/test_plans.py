@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from visitflow.plans import catalog
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+QUERIES = {name: E.queries()[name] for name in catalog.queries()}
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+             "MapInArrow", "FlatMapGroupsInPandas", "PythonMapInArrow")
 
 
 def _plan(df) -> str:
@@ -26,6 +28,21 @@ def test_date_range_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(ts,2024-01-10T00:00)" in plan and "LessThan(ts,2024-01-13T00:00)" in plan
 
 
+def test_user_conditions_reach_a_stored_table(spark, scratch):
+    from visitflow.operators import predicates as P
+    from visitflow.sources import adapters as A
+    from visitflow.sources.tables import Tables
+    t = Tables(spark, SF_SMALL)
+    A.user_info(t.customer, t.nation).write.parquet(f"{scratch}/users")
+    params = catalog.TaskParams(start_age=20, end_age=40, professionals=("professional3",), cities=("NATION_1",),
+                                sex=("male",))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")          # else the plan text is cut
+    plan = _plan(spark.read.parquet(f"{scratch}/users").where(P.user_predicate(params)))
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    for f in ("GreaterThanOrEqual(age,20)", "LessThanOrEqual(age,40)", "professional", "city", "sex"):
+        assert f in pushed, (f, pushed)
+
+
 def test_scan_reads_only_needed_columns(spark):
     plan = _plan(QUERIES["session_aggr_stat"](spark, SF_SMALL))
     events_schema = [s for s in plan.split("ReadSchema: ")[1:] if "ts:timestamp_ntz" in s][0].split(">")[0]

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from visitflow.operators import ads as AD
@@ -53,10 +55,28 @@ def test_state_stream_equals_two_batch_twin(spark, scratch):
 
     # replaying a committed batch id changes nothing
     before = _rows(store.state().counts)
-    assert store.apply(CAT.ad_clicks(t), 1, CAT.BLACKLIST_THRESHOLD) is False
+    own = AdStateStore(spark, root, owner=os.path.join(scratch, "ckpt"))
+    assert own.apply(CAT.ad_clicks(t), 1, CAT.BLACKLIST_THRESHOLD) is False
+    assert _rows(store.state().counts) == before
+
+    # batches of another checkpoint, or plain ones, are not replays: they fail loudly
+    with pytest.raises(RuntimeError, match="belongs to"):
+        store.apply(CAT.ad_clicks(t), 1, CAT.BLACKLIST_THRESHOLD)
+    q = start_ad_stream(spark, src, root, threshold=CAT.BLACKLIST_THRESHOLD, checkpoint=os.path.join(scratch, "other"),
+                        trigger={"availableNow": True})
+    with pytest.raises(Exception, match="belongs to"):
+        q.awaitTermination(600)
     assert _rows(store.state().counts) == before
 
 
+def test_plain_batch_ids_are_used_once(spark, scratch):
+    t = Tables(spark, SF_SMALL)
+    store = AdStateStore(spark, os.path.join(scratch, "plain"))
+    assert store.apply(CAT.ad_clicks(t), 3, CAT.BLACKLIST_THRESHOLD)
+    with pytest.raises(ValueError, match="not after"):
+        AdStateStore(spark, os.path.join(scratch, "plain")).apply(CAT.ad_clicks(t), 3, CAT.BLACKLIST_THRESHOLD)
+
+
 def test_trend_stream_equals_batch_trend(spark, scratch):
     t, src = _source(spark, scratch)
     root = os.path.join(scratch, "trend")

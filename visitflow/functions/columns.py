@@ -120,13 +120,16 @@ def minute_key(ts) -> Column:
 # --- numbers ---------------------------------------------------------------
 
 def round_half_up(x, scale: int = RATIO_SCALE) -> Column:
-    """half-up rounding of a double at ``scale`` places, computed in double.
+    """half-up rounding (away from zero) of a double at ``scale`` places, computed in double.
 
-    ``floor(x * 10^s + 0.5) / 10^s`` — the same arithmetic in any SQL engine
-    (Spark's ``round`` rounds the decimal text instead).
+    ``sign(x) * floor(|x| * 10^s + 0.5) / 10^s`` — the same arithmetic in any
+    SQL engine (Spark's ``round`` rounds the decimal text instead). NaN gives
+    0. From 2^52 on a double has no places left to round: such values, the
+    infinities among them, stay as they are.
     """
-    p = float(10 ** scale)
-    return (F.floor(_c(x).cast("double") * F.lit(p) + F.lit(0.5)).cast("double") / F.lit(p))
+    x, p = _c(x).cast("double"), float(10 ** scale)
+    rounded = F.signum(x) * F.floor(F.abs(x) * F.lit(p) + F.lit(0.5)).cast("double") / F.lit(p)
+    return F.when(F.isnan(x), F.lit(0.0)).when(F.abs(x) * F.lit(p) >= F.lit(float(1 << 52)), x).otherwise(rounded)
 
 
 def ratio_sql(part: str, whole: str, scale: int = RATIO_SCALE) -> str:

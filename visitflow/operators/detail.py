@@ -15,20 +15,15 @@ DETAIL_COLUMNS = (
 )
 
 
-def kept_actions(actions: DataFrame, kept_sessions: DataFrame, max_broadcast: int | None = None) -> DataFrame:
+def kept_actions(actions: DataFrame, kept_sessions: DataFrame) -> DataFrame:
     """Actions whose session passed the filter.
 
     A left-semi join on session_id: each action appears once, as there is one
-    aggregate row per session. With ``max_broadcast`` the kept sessions are
-    counted first (cheap when they are a written table). Up to that many ids
-    are broadcast, a counted bound, and the actions are not shuffled at all.
-    Otherwise Spark plans the join from its estimates: both sides shuffle on
-    session_id, and AQE splits a skewed (hot) session's partition.
+    aggregate row per session. Spark plans it from the sizes it knows (jobs
+    store the kept sessions first): a small id list is broadcast, else both
+    sides shuffle and AQE splits a hot session's partition.
     """
-    ids = kept_sessions.select("session_id")
-    if max_broadcast is not None and ids.count() <= max_broadcast:
-        ids = F.broadcast(ids)
-    return actions.join(ids, "session_id", "left_semi")
+    return actions.join(kept_sessions.select("session_id"), "session_id", "left_semi")
 
 
 def session_detail(actions: DataFrame, kept_sessions: DataFrame) -> DataFrame:

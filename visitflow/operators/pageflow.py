@@ -5,105 +5,57 @@ number of times a session's next action (by time, then event id) goes from
 pi to pi+1, divided by the page views of p1 for the first step and by the
 previous step's count afterwards; 0.0 when the denominator is 0.
 
-Successor pairs without a per-session window: the actions are range-sorted
-by (session, time, event) over all partitions — a session with a third of all
-rows is split across many tasks — then each partition counts its adjacent
-pairs in Arrow batches and reports its first and last row. Consecutive
-partitions are stitched through those boundary rows (two per partition).
+Successor pairs without one window over a whole session: ``lead`` runs inside
+(session, time chunk), so a session with a third of all rows is many windows;
+the last action of a chunk finds its successor through the first actions of
+the session's chunks, one row per chunk. Only the flow's own pairs are
+counted. An action without a page takes its place in the order but forms no
+pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
-from ..session import checkpoint_dir, small_frame
+from ..session import small_frame
 
-_SCAN_SCHEMA = ("kind string, pid int, session_id string, from_page bigint, to_page bigint, "
-                "n bigint, seq bigint")
+CHUNK_SECONDS = 600
 RATE_COLUMNS = ("step", "from_page", "to_page", "pair_count", "convert_rate")
 
 
-def _pairs_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Adjacent same-session page pairs and page views of one sorted partition, plus its boundary rows."""
-    counts: dict[tuple[int, int], int] = {}
-    views: dict[int, int] = {}
-    head = tail = None
-    pid = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        pid = int(pdf["pid"].iat[0])
-        sid = pdf["session_id"].to_numpy(dtype=object)
-        page = pdf["page_id"].to_numpy(dtype=np.int64)
-        for p, n in zip(*np.unique(page, return_counts=True)):
-            views[int(p)] = views.get(int(p), 0) + int(n)
-        if head is None:
-            head = (sid[0], int(page[0]))
-        if tail is not None:                       # carry the pair across Arrow batches
-            sid = np.concatenate([np.array([tail[0]], dtype=object), sid])
-            page = np.concatenate([np.array([tail[1]], dtype=np.int64), page])
-        same = sid[1:] == sid[:-1]
-        if same.any():
-            vc = pd.DataFrame({"f": page[:-1][same], "t": page[1:][same]}).value_counts()
-            for (f, t), n in vc.items():
-                counts[(int(f), int(t))] = counts.get((int(f), int(t)), 0) + int(n)
-        tail = (sid[-1], int(page[-1]))
-    if pid is None:
-        return
-    rows = [("pair", pid, None, f, t, n, None) for (f, t), n in counts.items()]
-    rows += [("view", pid, None, p, None, n, None) for p, n in views.items()]
-    rows.append(("head", pid, head[0], head[1], None, None, 0))
-    rows.append(("tail", pid, tail[0], tail[1], None, None, 1))
-    yield pd.DataFrame(rows, columns=["kind", "pid", "session_id", "from_page", "to_page", "n", "seq"])
-
-
-def scan_pages(actions: DataFrame, order_cols: Sequence[str] = ("action_ts", "event_id")) -> DataFrame:
-    """One range-sorted pass over the actions; its small output is checkpointed.
-
-    Rows: ``pair`` (from, to, n) and ``view`` (page, n) counts per partition,
-    and a ``head`` / ``tail`` row per partition for stitching. Written to the
-    shared checkpoint folder, so later steps neither rescan nor re-sort.
-    """
-    sorted_actions = (actions.select("session_id", *order_cols, "page_id")
-                      .orderBy("session_id", *order_cols)
-                      .withColumn("pid", F.spark_partition_id())
-                      .select("pid", "session_id", "page_id"))
-    scanned = sorted_actions.mapInPandas(_pairs_per_partition, _SCAN_SCHEMA)
-    checkpoint_dir(actions.sparkSession)
-    return scanned.checkpoint(eager=True)
-
-
-def pairs_from_scan(scanned: DataFrame) -> DataFrame:
-    """(from_page, to_page, pair_count): in-partition pairs plus the stitched boundary pairs."""
-    inner = scanned.where(F.col("kind") == "pair").select("from_page", "to_page", "n")
-    # Boundary rows: 2 per partition, so this single-partition window is bounded by the
-    # partition count, not by the data.
-    bounds = scanned.where(F.col("kind").isin("head", "tail"))
-    w = Window.orderBy("pid", "seq")
-    stitched = (bounds.withColumn("nk", F.lead("kind").over(w))
-                .withColumn("ns", F.lead("session_id").over(w))
-                .withColumn("np", F.lead("from_page").over(w))
-                .where((F.col("kind") == "tail") & (F.col("nk") == "head") & (F.col("ns") == F.col("session_id")))
-                .select("from_page", F.col("np").alias("to_page"), F.lit(1).cast("bigint").alias("n")))
-    return (inner.unionByName(stitched).groupBy("from_page", "to_page")
-            .agg(F.sum("n").alias("pair_count")))
-
-
-def views_from_scan(scanned: DataFrame) -> DataFrame:
-    """(page_id, views) over all actions."""
-    return (scanned.where(F.col("kind") == "view")
-            .groupBy(F.col("from_page").alias("page_id")).agg(F.sum("n").alias("views")))
-
-
-def page_pair_counts(actions: DataFrame, order_cols: Sequence[str] = ("action_ts", "event_id")) -> DataFrame:
-    """(from_page, to_page, pair_count) over all sessions: each action paired with the next one."""
-    return pairs_from_scan(scan_pages(actions, order_cols))
+def _successors(actions: DataFrame, order_cols: Sequence[str], chunk_seconds: int) -> DataFrame:
+    """(from_page, to_page) of every action and the next one of its session, NULL pages included."""
+    chunk = F.floor(F.unix_timestamp(F.col(order_cols[0])) / chunk_seconds)
+    rows = actions.select("session_id", chunk.alias("chunk"), *order_cols, "page_id")
+    inside = Window.partitionBy("session_id", "chunk").orderBy(*order_cols)
+    # a struct tells "next action without a page" from "no next action"
+    rows = rows.select("session_id", "chunk", "page_id", F.lead(F.struct("page_id")).over(inside).alias("next"),
+                       F.row_number().over(inside).alias("nr"))
+    within = rows.where("next IS NOT NULL").select(F.col("page_id").alias("from_page"), F.col("next.page_id").alias("to_page"))
+    ends = rows.where("nr = 1 OR next IS NULL").groupBy("session_id", "chunk").agg(
+        F.max(F.when(F.col("nr") == 1, F.col("page_id"))).alias("first"),
+        F.max(F.when(F.col("next").isNull(), F.col("page_id"))).alias("last"))
+    over = Window.partitionBy("session_id").orderBy("chunk")
+    across = (ends.select(F.col("last").alias("from_page"), F.lead(F.struct("first")).over(over).alias("next"))
+              .where("next IS NOT NULL").select("from_page", F.col("next.first").alias("to_page")))
+    return within.unionByName(across)
+
+
+def page_pair_counts(actions: DataFrame, order_cols: Sequence[str] = ("action_ts", "event_id"),
+                     steps: Sequence[tuple[int, int]] | None = None,
+                     chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """(from_page, to_page, pair_count) over all sessions; with ``steps`` of these pairs only."""
+    pairs = _successors(actions, order_cols, chunk_seconds).where("from_page IS NOT NULL AND to_page IS NOT NULL")
+    if steps is not None:
+        wanted: Column = F.lit(False)
+        for a, b in steps:
+            wanted = wanted | ((F.col("from_page") == int(a)) & (F.col("to_page") == int(b)))
+        pairs = pairs.where(wanted)
+    return pairs.groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("pair_count"))
 
 
 def convert_rates(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
@@ -115,13 +67,12 @@ def convert_rates(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     steps = small_frame(actions.sparkSession,
                         [(i + 1, int(a), int(b)) for i, (a, b) in enumerate(zip(flow[:-1], flow[1:]))],
                         "step int, from_page bigint, to_page bigint")
-    scanned = scan_pages(actions)
-    pairs = pairs_from_scan(scanned)
+    pairs = page_pair_counts(actions, steps=list(zip(flow[:-1], flow[1:])))
     counted = (steps.join(pairs, ["from_page", "to_page"], "left")
                .select("step", "from_page", "to_page",
                        F.coalesce("pair_count", F.lit(0).cast("bigint")).alias("pair_count")))
-    start_pv = (views_from_scan(scanned).where(F.col("page_id") == F.lit(int(flow[0])))
-                .agg(F.coalesce(F.sum("views"), F.lit(0).cast("bigint")).alias("pair_count"))
+    start_pv = (actions.where(F.col("page_id") == F.lit(int(flow[0])))
+                .agg(F.count(F.lit(1)).alias("pair_count"))
                 .select(F.lit(0).alias("step"), F.lit(None).cast("bigint").alias("from_page"),
                         F.lit(None).cast("bigint").alias("to_page"), "pair_count"))
     w = Window.orderBy("step")

@@ -1,9 +1,9 @@
 """Session filter predicates.
 
 Null rules of the reference: a missing parameter means *no condition*; a
-missing data value never matches. Every predicate is ``coalesce(..., false)``
-so NULL data reads as false rather than dropping the whole conjunction into
-three-valued logic.
+missing data value never matches. The predicates are used in ``where``, which
+drops NULL like false, so conditions on stored columns stay plain comparisons
+and reach the parquet scan.
 """
 
 from __future__ import annotations
@@ -22,28 +22,23 @@ def range_predicate(c, lo, hi) -> Column | None:
     if lo is None or hi is None:
         return None
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(c.between(F.lit(lo), F.lit(hi)), F.lit(False))
+    return c.between(F.lit(lo), F.lit(hi))
 
 
 def any_of_predicate(c, values: Iterable[str] | None, is_array: bool = False) -> Column | None:
-    """Any data value equals any parameter value (compared as text)."""
+    """Any data value equals any parameter value (compared as text); a text is one value."""
     if not values:
         return None
     vals = [str(v) for v in values]
+    if not is_array:
+        c = F.col(c) if isinstance(c, str) else c
+        return c.cast("string").isin(vals)
     if isinstance(c, str):
         # one expression text: a single plan-building round trip however long the list
         wanted = "array(" + ", ".join(sql_text(v) for v in vals) + ")"
-        data = (f"filter(transform(`{c}`, x -> CAST(x AS STRING)), x -> x IS NOT NULL)" if is_array
-                else f"split(CAST(`{c}` AS STRING), ',')")
-        return F.expr(f"coalesce(arrays_overlap({data}, {wanted}), false)")
-    wanted = F.array(*[F.lit(v) for v in vals])
-    if is_array:
-        as_text = F.transform(c, lambda x: x.cast("string"))
-        pred = F.arrays_overlap(F.filter(as_text, lambda x: x.isNotNull()), wanted)
-    else:
-        # the reference splits the data value on commas as well
-        pred = F.arrays_overlap(F.split(c.cast("string"), ","), wanted)
-    return F.coalesce(pred, F.lit(False))
+        return F.expr(f"arrays_overlap(filter(transform(`{c}`, x -> CAST(x AS STRING)), x -> x IS NOT NULL), {wanted})")
+    as_text = F.transform(c, lambda x: x.cast("string"))
+    return F.arrays_overlap(F.filter(as_text, lambda x: x.isNotNull()), F.array(*[F.lit(v) for v in vals]))
 
 
 def equal_predicate(c, value) -> Column | None:
@@ -51,7 +46,7 @@ def equal_predicate(c, value) -> Column | None:
     if value is None:
         return None
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(c.cast("string") == F.lit(str(value)), F.lit(False))
+    return c.cast("string") == F.lit(str(value))
 
 
 def user_predicate(params: TaskParams) -> Column:

@@ -26,7 +26,7 @@ from ..operators import sessions as S
 from ..operators import stats as ST
 from ..sources import adapters as A
 from ..sources.tables import Tables
-from ..sources.tasks import TaskParams, decode_task_params, derived_tasks, find_task
+from ..sources.tasks import TaskParams, decode_task_params, derived_tasks, find_task, load_task_params
 from .inputs import session_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +132,20 @@ def _filter_query(name):
     return q
 
 
+def shared_sessions(t: Tables, params: TaskParams) -> DataFrame:
+    """Actions whose session id several users share: the user's id modulo 25, and the date."""
+    key = F.concat((F.col("user_id") % 25).cast("string"), F.lit("_"), F.col("date"))
+    return actions(t, params=params).withColumn("session_id", key)
+
+
+def q_filter_shared_sessions(spark, d):
+    """P6 on sessions of several users: all their actions count, the conditions meet the session's user."""
+    t = Tables(spark, d)
+    params = FILTER_PARAMS["filter_age"]
+    full = S.attach_user_info(S.aggregate_sessions(shared_sessions(t, params)), users(t))
+    return _session_rows(P.filter_sessions(full, params), S.USER_COLUMNS)
+
+
 def q_filter_equal(spark, d):
     """Sessions whose user's sex equals the parameter (whole-value equality)."""
     t = Tables(spark, d)
@@ -360,6 +374,24 @@ def q_area_top3_product(spark, d):
                                 A.product_info(t.part))
 
 
+# --- task-driven runs: a task row in, result tables written and read back -----------
+
+TASK_ID = 19737                         # the task of 2024-01-15
+
+
+def _task_query(table):
+    def q(spark, d):
+        from ..session import scratch_path
+        from .jobs import run_session_job
+        from .sinks import read_result
+        out = scratch_path(spark, "task-results")
+        params = load_task_params(derived_tasks(Tables(spark, d).events), TASK_ID)
+        run_session_job(spark, d, TASK_ID, params, out)
+        return read_result(spark, out, table, TASK_ID)
+    q.__name__ = f"q_task_{table}"
+    return q
+
+
 # --- step 11: the streams themselves, over log lines derived from the tables ------
 
 def _stream_source(t: Tables) -> str:
@@ -379,6 +411,31 @@ def q_ad_stream_stat(spark, d):
     return AdStateStore(spark, f"{root}/state").state().stat
 
 
+def _stream_query(field):
+    """The state stream over two micro-batches: the lines before STREAM_CUT, then the rest."""
+    def q(spark, d):
+        from ..session import scratch_path
+        from ..streaming import AdStateStore, run_to_completion, start_ad_stream
+        t = Tables(spark, d)
+        root = scratch_path(spark, "ad-stream")
+        cut = F.lit(dt.datetime.fromisoformat(STREAM_CUT)).cast("timestamp_ntz")
+        for part in (t.events.where(F.col("ts") < cut), t.events.where(F.col("ts") >= cut)):
+            A.ad_log_lines(part, t.nation, t.region).write.mode("append").text(f"{root}/src")
+            run_to_completion(start_ad_stream(spark, f"{root}/src", f"{root}/state", BLACKLIST_THRESHOLD,
+                                              trigger={"availableNow": True}))
+        return getattr(AdStateStore(spark, f"{root}/state").state(), field)
+    q.__name__ = f"q_ad_stream_{field}"
+    return q
+
+
+def q_format_double(spark, d):
+    """F10 over every event value, its negative and sizes beyond a bigint."""
+    value = F.col("value")
+    return Tables(spark, d).events.select(
+        "event_id", FN.round_half_up(value).alias("rounded"), FN.round_half_up(-value).alias("negated"),
+        FN.round_half_up(value * F.lit(1e18)).alias("large"), FN.round_half_up((F.col("event_id") - 500) / 8).alias("ties"))
+
+
 def q_ad_stream_trend(spark, d):
     """The watermarked trend stream run to completion; its per-minute table."""
     from ..streaming import TrendStore, run_to_completion, start_trend_stream
@@ -401,6 +458,10 @@ def queries() -> dict[str, Query]:
     for name in FILTER_PARAMS:
         out[name] = _filter_query(name)
     out["filter_equal"] = q_filter_equal
+    out["filter_shared_sessions"] = q_filter_shared_sessions
+    for table in ("session_aggr_stat", "session_detail", "top10_category", "top10_category_session"):
+        out[f"task_{table}"] = _task_query(table)
+    out["format_double"] = q_format_double
     out.update({
         "visit_buckets_real": _bucket_query("visit", "day", "real"),
         "visit_buckets_value": _bucket_query("visit", "day", "value"),
@@ -434,6 +495,8 @@ def queries() -> dict[str, Query]:
         out[name] = _ad_batch_query(name)
     for field in ("counts", "blacklist", "stat", "top3"):
         out[f"ad_two_batch_{field}"] = _two_batch_query(field)
+    for field in ("counts", "blacklist", "top3"):
+        out[f"ad_stream_{field}"] = _stream_query(field)
     out["ad_stream_stat"] = q_ad_stream_stat
     out["ad_stream_trend"] = q_ad_stream_trend
     return out

@@ -3,36 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..operators import predicates as P
 from ..sources import adapters as A
 from ..sources.tables import Tables
 from ..sources.tasks import TaskParams
 
-# Up to this many qualifying users are broadcast to prune actions before the
-# session shuffle (8 bytes per id: ~16 MB). Beyond it the user conditions apply
-# after the session aggregate only, as a shuffle just to prune would cost more
-# than the partial-aggregated session shuffle it saves.
-MAX_PRUNING_USERS = 2_000_000
-
 
 def session_inputs(t: Tables, params: TaskParams, grain: str = "day",
                    clock: str = "real") -> tuple[DataFrame, DataFrame]:
-    """(actions, users) for a task: date range on the scan, user conditions applied early.
+    """(actions, users) for a task: the date range on the scan, all users.
 
-    With user conditions, the qualifying users are counted (one job over the
-    user dimension). When their number is under MAX_PRUNING_USERS the actions
-    are semi-joined to a broadcast of their ids *before* the session shuffle
-    (user_id is constant inside a session). That is a counted, proven bound.
+    User conditions apply to a session's user, after the session aggregate:
+    a session may hold actions of several users, and each of them counts.
     """
-    actions = A.user_visit_action(t.events, grain, clock, params.start_date, params.end_date)
-    users = A.user_info(t.customer, t.nation)
-    if params.has_user_conditions:
-        pred = P.user_predicate(params)
-        users = users.where(pred)
-        # without a city condition the ids need no nation join: a lighter count
-        ids = (users if params.cities else A.user_attributes(t.customer).where(pred)).select("user_id")
-        if ids.count() <= MAX_PRUNING_USERS:
-            actions = actions.join(F.broadcast(ids), "user_id", "left_semi")
-    return actions, users
+    return A.user_visit_action(t.events, grain, clock, params.start_date, params.end_date), \
+        A.user_info(t.customer, t.nation)

@@ -31,12 +31,7 @@ from ..sources.tables import Tables
 from ..sources.tasks import TaskParams
 from ..streaming.ad_stream import AdStateStore
 from .inputs import session_inputs
-from .sinks import materialize, write_result
-
-
-# Kept session ids broadcast for the detail semi-join when at most this many
-# (about 40 bytes each: ~40 MB); beyond it the actions shuffle on session_id.
-MAX_BROADCAST_SESSIONS = 1_000_000
+from .sinks import discard, materialize, write_result
 
 
 @dataclass(frozen=True)
@@ -74,14 +69,13 @@ def kept_sessions_and_actions(t: Tables, params: TaskParams, opts: SessionOption
     sessions = S.aggregate_sessions(actions, as_of=opts.as_of, compat_substring=opts.compat_substring,
                                     compat_null_zero=opts.compat_null_zero)
     kept = materialize(P.filter_sessions(S.attach_user_info(sessions, users), params), "kept_sessions")
-    kept_actions = materialize(D.kept_actions(actions, kept, MAX_BROADCAST_SESSIONS), "kept_actions")
+    kept_actions = materialize(D.kept_actions(actions, kept), "kept_actions")
     return kept, kept_actions
 
 
 def run_session_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskParams, out_dir: str,
                     opts: SessionOptions = SessionOptions()) -> dict[str, str]:
-    t = Tables(spark, data_dir)
-    kept, acts = kept_sessions_and_actions(t, params, opts)
+    kept, acts = kept_sessions_and_actions(Tables(spark, data_dir), params, opts)
     top = CG.top_categories(acts, opts.top_k)
     out = {
         "session_aggr_stat": ST.session_aggr_stat(kept),
@@ -90,18 +84,25 @@ def run_session_job(spark: SparkSession, data_dir: str, task_id: int, params: Ta
         "top10_category": top,
         "top10_category_session": CG.top_sessions_per_category(acts, top, opts.top_k),
     }
-    return _write_all(out, out_dir, task_id, opts)
+    try:
+        return _write_all(out, out_dir, task_id, opts)
+    finally:
+        discard(kept)
+        discard(acts)
 
 
 def run_page_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskParams, out_dir: str,
                  opts: SessionOptions = SessionOptions()) -> dict[str, str]:
     if not params.target_page_flow or len(params.target_page_flow) < 2:
         raise ValueError("targetPageFlow needs at least two pages")
-    _, acts = kept_sessions_and_actions(Tables(spark, data_dir), params, opts)
-    # the pair scan is checkpointed inside convert_rates; the rates are a few rows on top of it
-    rates = PF.convert_rates(acts, params.target_page_flow)
-    return _write_all({"page_split_convert_rate": PF.convert_rate_text(rates),
-                       "page_split_convert_steps": rates}, out_dir, task_id, opts)
+    kept, acts = kept_sessions_and_actions(Tables(spark, data_dir), params, opts)
+    rates = materialize(PF.convert_rates(acts, params.target_page_flow), "rates")      # a few rows, used twice
+    try:
+        return _write_all({"page_split_convert_rate": PF.convert_rate_text(rates),
+                           "page_split_convert_steps": rates}, out_dir, task_id, opts)
+    finally:
+        for df in (kept, acts, rates):
+            discard(df)
 
 
 def run_product_job(spark: SparkSession, data_dir: str, task_id: int, params: TaskParams, out_dir: str,

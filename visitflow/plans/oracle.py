@@ -148,6 +148,32 @@ def kept(p: TaskParams, grain="day", clock="real") -> str:
     return f"SELECT * FROM ({full_sessions(grain, clock, p)}) fs WHERE {predicate(p)}"
 
 
+# The parameters of the task of 2024-01-15, by the rule of the derived tasks.
+TASK_15 = TaskParams(start_date="2024-01-15", end_date="2024-01-21", start_age=15, end_age=45, sex=("female",),
+                     keywords=("kw5", "kw8"))
+
+
+def task_result(src: str) -> str:
+    return f"SELECT CAST({CAT.TASK_ID} AS BIGINT) AS taskid, x.* FROM ({src}) x"
+
+
+def task_actions(p: TaskParams) -> str:
+    return f"SELECT * FROM ({uva(params=p)}) a WHERE session_id IN (SELECT session_id FROM ({kept(p)}) k)"
+
+
+def shared_sessions(p: TaskParams) -> str:
+    """kept(p) over session ids that several users share."""
+    acts = uva(params=p)
+    return kept(p).replace(acts, f"SELECT * REPLACE (CAST(user_id % 25 AS VARCHAR) || '_' || date AS session_id) "
+                                 f"FROM ({acts}) shared")
+
+
+def format_double(x: str) -> str:
+    y = f"CAST({x} AS DOUBLE)"
+    return (f"CASE WHEN isnan({y}) THEN 0.0 WHEN abs({y}) * 100.0 >= 4503599627370496.0 THEN {y} "
+            f"ELSE sign({y}) * floor(abs({y}) * 100.0 + 0.5) / 100.0 END")
+
+
 def session_rows(src: str, extra: str = "") -> str:
     return f"""
     SELECT session_id, user_id, array_to_string(kw_list, ',') AS search_keywords,
@@ -453,6 +479,15 @@ def oracle_sql() -> dict[str, str]:
     }
     for name, p in fp.items():
         out[name] = session_rows(kept(p), USER_EXTRA)
+    out["filter_shared_sessions"] = session_rows(shared_sessions(fp["filter_age"]), USER_EXTRA)
+    out["task_session_aggr_stat"] = task_result(session_aggr_stat(kept(TASK_15)))
+    out["task_session_detail"] = task_result(detail(TASK_15))
+    out["task_top10_category"] = task_result(top10_category(task_actions(TASK_15)))
+    out["task_top10_category_session"] = task_result(top10_session(task_actions(TASK_15)))
+    out["format_double"] = f"""
+        SELECT event_id, {format_double('value')} AS rounded, {format_double('-value')} AS negated,
+               {format_double('value * 1e18')} AS large, {format_double('(event_id - 500) / 8.0')} AS ties
+        FROM events"""
     out["filter_equal"] = session_rows(
         f"SELECT * FROM ({full_sessions()}) fs WHERE coalesce(CAST(sex AS VARCHAR) = 'female', false)", USER_EXTRA)
     out.update({
@@ -518,4 +553,6 @@ def oracle_sql() -> dict[str, str]:
         "ad_stream_stat": _count(call, STAT_KEYS),
         "ad_stream_trend": _count(call, TREND_KEYS),
     })
+    for field in ("counts", "blacklist", "top3"):
+        out[f"ad_stream_{field}"] = out[f"ad_two_batch_{field}"]
     return out

@@ -1,8 +1,8 @@
 """Result-table writers (K1-K7) and intermediate tables.
 
-Result tables carry ``taskid`` first and are partitioned by it; a job writes
-with dynamic partition overwrite, so rerunning a task replaces its rows and
-leaves other tasks untouched (the reference appends, duplicating on rerun).
+Result tables carry ``taskid`` first and have one folder per task; a job
+overwrites its own, so rerunning a task replaces its rows and leaves other
+tasks untouched (the reference appends, duplicating on rerun).
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, scratch_root
 
 
 def write_result(df: DataFrame, out_dir: str, table: str, task_id: int, fmt: str = "parquet",
@@ -18,23 +18,25 @@ def write_result(df: DataFrame, out_dir: str, table: str, task_id: int, fmt: str
     """Write one result table of a task; ``taskid`` comes first, as in the reference's tables.
 
     File formats (parquet, orc, json, csv) get one folder per table, partitioned
-    by taskid, with dynamic overwrite. ``fmt="jdbc"`` appends to the database
+    by taskid; the task's own partition is overwritten. ``fmt="jdbc"`` appends to the database
     table ``table`` through Spark's JDBC writer (``options``: url, user,
     password, driver), the reference's own sink.
     """
-    rows = df.select(F.lit(task_id).cast("bigint").alias("taskid"), *df.columns)
     if fmt == "jdbc":
+        rows = df.select(F.lit(task_id).cast("bigint").alias("taskid"), *df.columns)
         rows.write.format("jdbc").options(**(options or {})).option("dbtable", table).mode("append").save()
         return table
     path = f"{out_dir.rstrip('/')}/{table}"
-    (rows.write.format(fmt).options(**(options or {})).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("taskid").save(path))
+    # one folder per task: an empty result still leaves its columns there
+    df.write.format(fmt).options(**(options or {})).mode("overwrite").save(f"{path}/taskid={int(task_id)}")
     return path
 
 
 def read_result(spark: SparkSession, out_dir: str, table: str, task_id: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
+    """Rows of a result table, ``taskid`` first (on disk it is the folder's column, which Spark puts last)."""
     df = spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/{table}")
+    df = df.select(F.col("taskid").cast("bigint").alias("taskid"), *[c for c in df.columns if c != "taskid"])
     return df if task_id is None else df.where(F.col("taskid") == F.lit(task_id))
 
 
@@ -48,3 +50,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the folder of a materialized intermediate, through Spark's own Hadoop file system.
+
+    Its readers must be done. Only folders that ``materialize`` wrote are deleted.
+    """
+    spark = df.sparkSession
+    base = scratch_root(spark)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if base.split(":", 1)[-1].lstrip("/") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -77,9 +77,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the checkpoint folder for one intermediate table."""
-    base = checkpoint_dir(spark)
-    app = spark.sparkContext.applicationId
-    return f"{base}/visitflow/{app}/{name}-{os.getpid()}-{next(_counter)}"
+    return f"{scratch_root(spark)}/{name}-{os.getpid()}-{next(_counter)}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables."""
+    return f"{checkpoint_dir(spark)}/visitflow/{spark.sparkContext.applicationId}"
 
 
 def _count():

@@ -12,27 +12,9 @@ TABLE_NAMES = (
 )
 
 
-_OPENED: dict[str, tuple[SparkSession, str, DataFrame]] = {}
-
-
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """One table of ``data_dir`` as a DataFrame (lazy; columns pruned by Catalyst).
-
-    Handles are kept per session and path: opening lists files and reads
-    parquet footers, which costs more than building a whole query plan.
-    Input folders are immutable; ``forget_tables()`` drops the handles.
-    """
-    path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    app = spark.sparkContext.applicationId
-    hit = _OPENED.get(path)
-    if hit is None or hit[0] is not spark or hit[1] != app:     # a new or restarted session
-        hit = (spark, app, spark.read.parquet(path))
-        _OPENED[path] = hit
-    return hit[2]
-
-
-def forget_tables() -> None:
-    _OPENED.clear()
+    """One table of ``data_dir`` as a DataFrame (lazy; columns pruned by Catalyst), listed anew at each call."""
+    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:

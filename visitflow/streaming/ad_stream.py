@@ -39,9 +39,11 @@ class VersionedTables:
       ``_manifest/v=<batch>/``         (table, date, version) of the commit
     """
 
-    def __init__(self, spark: SparkSession, root: str, dated: dict[str, str], logs: dict[str, str]):
+    def __init__(self, spark: SparkSession, root: str, dated: dict[str, str], logs: dict[str, str],
+                 owner: str | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.dated, self.logs = dated, logs
+        self.owner = owner         # the stream checkpoint whose batches this state takes; None: plain batches
         self._last: int | None = None
         self._known = False
 
@@ -62,6 +64,27 @@ class VersionedTables:
         row = m.agg(F.max("v").alias("v")).collect()[0]
         return None if row["v"] is None else int(row["v"])
 
+    def admit(self, batch_id: int) -> bool:
+        """True for a new batch of this state's own source, False for a replay of a committed one.
+
+        Batch ids only mean something together with the checkpoint that
+        numbered them. A batch of another checkpoint, and a plain batch whose
+        id was used before, would be taken for a replay and vanish: both raise.
+        """
+        last = self.last_commit()
+        if last is None:
+            return True
+        row = self.spark.read.schema("owner string").json(f"{self.root}/_manifest/v={last}").first()
+        owner = row["owner"] if row else None
+        if owner != self.owner:
+            raise RuntimeError(f"state {self.root} belongs to the batches of {owner or 'plain calls'}, "
+                               f"not of {self.owner or 'plain calls'}")
+        if batch_id > last:
+            return True
+        if self.owner is None:
+            raise ValueError(f"batch {batch_id} is not after the last committed batch {last} of {self.root}")
+        return False
+
     def manifest(self, version: int | None) -> list[tuple[str, str, int]]:
         """(table, date, version) rows of a commit: tables x dates, a bounded handful."""
         if version is None:
@@ -105,8 +128,8 @@ class VersionedTables:
         for table, dates in touched.items():
             for d in dates:
                 rows[(table, d)] = batch_id
-        data = [(t, d, v) for (t, d), v in sorted(rows.items())] or [(None, None, batch_id)]
-        (self.spark.createDataFrame(data, "table string, date string, version bigint")
+        data = [(t, d, v, self.owner) for (t, d), v in sorted(rows.items())] or [(None, None, batch_id, self.owner)]
+        (self.spark.createDataFrame(data, "table string, date string, version bigint, owner string")
          .coalesce(1).write.mode("overwrite").json(f"{self.root}/_manifest/v={batch_id}"))
         self._last, self._known = batch_id, True
 
@@ -125,10 +148,10 @@ def _dates(df: DataFrame) -> list[str]:
 class AdStateStore(VersionedTables):
     """The ad tables of the state stream (counts, stat, top3 by date; blacklist as a log)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, owner: str | None = None):
         super().__init__(spark, root,
                          dated={k: STATE_SCHEMAS[k] for k in ("counts", "stat", "top3")},
-                         logs={"blacklist": STATE_SCHEMAS["blacklist"]})
+                         logs={"blacklist": STATE_SCHEMAS["blacklist"]}, owner=owner)
 
     def state(self, dates: Iterable[str] | None = None) -> AdState:
         v = self.last_commit()
@@ -136,10 +159,10 @@ class AdStateStore(VersionedTables):
                        stat=self.read("stat", dates, v), top3=self.read("top3", dates, v))
 
     def apply(self, clicks: DataFrame, batch_id: int, threshold: int) -> bool:
-        """Apply one micro-batch exactly once; False if ``batch_id`` was already committed."""
-        previous = self.last_commit()
-        if previous is not None and batch_id <= previous:
+        """Apply one micro-batch exactly once; False for a replay of a committed one (see ``admit``)."""
+        if not self.admit(batch_id):
             return False
+        previous = self.last_commit()
         clicks = clicks.persist()
         try:
             dates = _dates(clicks)
@@ -150,13 +173,15 @@ class AdStateStore(VersionedTables):
             new, new_users = apply_batch(state, clicks, threshold)
             # counts feed the blacklist, stat feeds the top 3: compute each once
             counts, stat = new.counts.persist(), new.stat.persist()
-            self.write_dated("counts", batch_id, counts)
-            self.write_dated("stat", batch_id, stat)
-            self.write_dated("top3", batch_id, new.top3)
-            self.write_log("blacklist", batch_id, new_users)
-            self.commit(batch_id, previous, {"counts": dates, "stat": dates, "top3": dates})
-            counts.unpersist()
-            stat.unpersist()
+            try:
+                self.write_dated("counts", batch_id, counts)
+                self.write_dated("stat", batch_id, stat)
+                self.write_dated("top3", batch_id, new.top3)
+                self.write_log("blacklist", batch_id, new_users)
+                self.commit(batch_id, previous, {"counts": dates, "stat": dates, "top3": dates})
+            finally:
+                counts.unpersist()
+                stat.unpersist()
         finally:
             clicks.unpersist()
         return True
@@ -165,16 +190,16 @@ class AdStateStore(VersionedTables):
 class TrendStore(VersionedTables):
     """The per-minute trend table (replace-merged from the windowed aggregation)."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark, root, dated={"trend": TREND_SCHEMA}, logs={})
+    def __init__(self, spark: SparkSession, root: str, owner: str | None = None):
+        super().__init__(spark, root, dated={"trend": TREND_SCHEMA}, logs={}, owner=owner)
 
     def trend(self) -> DataFrame:
         return self.read("trend", None, self.last_commit())
 
     def apply(self, updates: DataFrame, batch_id: int) -> bool:
-        previous = self.last_commit()
-        if previous is not None and batch_id <= previous:
+        if not self.admit(batch_id):
             return False
+        previous = self.last_commit()
         updates = updates.persist()
         try:
             dates = _dates(updates)
@@ -217,7 +242,7 @@ def start_ad_stream(spark: SparkSession, source: str, state_root: str | None = N
                     trigger: dict | None = None, name: str | None = None):
     """Start the state stream; returns the StreamingQuery."""
     root = state_root or f"{checkpoint_dir(spark)}/visitflow-state/ad"
-    store = AdStateStore(spark, root)
+    store = AdStateStore(spark, root, owner=_checkpoint(root, checkpoint))
     clicks = parse_log(read_log_stream(spark, source, fmt, options))
     writer = (clicks.writeStream
               .foreachBatch(lambda df, bid: store.apply(df, bid, threshold))
@@ -235,7 +260,7 @@ def start_trend_stream(spark: SparkSession, source: str, trend_root: str | None
                        name: str | None = None):
     """Start the trend stream (update mode: only windows changed in a trigger are merged)."""
     root = trend_root or f"{checkpoint_dir(spark)}/visitflow-state/trend"
-    store = TrendStore(spark, root)
+    store = TrendStore(spark, root, owner=_checkpoint(root, checkpoint))
     counts = trend_counts(parse_log(read_log_stream(spark, source, fmt, options)), delay)
     writer = (counts.writeStream.outputMode("update")
               .foreachBatch(lambda df, bid: store.apply(df, bid))
@@ -247,9 +272,9 @@ def start_trend_stream(spark: SparkSession, source: str, trend_root: str | None
     return writer.start()
 
 
-def run_to_completion(query, timeout_s: int = 1800) -> None:
-    """Wait for an availableNow query; stop it and raise if it has not finished in time."""
-    query.awaitTermination(timeout_s)
+def run_to_completion(query, timeout_s: int | None = None) -> None:
+    """Wait for an availableNow query, however long; with ``timeout_s`` stop it and raise if it takes longer."""
+    query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
     if query.isActive:
         query.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s} s")
