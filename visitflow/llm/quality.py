@@ -13,7 +13,7 @@ from .common import Scratch
 
 FEATURES = ("n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "distinct_share",
             "upper_share", "digit_share", "letter_share")
-THRESHOLDS = 32            # candidate cuts of a feature: quantiles of the labelled rows
+THRESHOLDS = 32            # candidate cuts of a feature: so many quantiles of the good and of the bad rows
 MAX_RULES, MAX_CONDITIONS = 8, 4
 MIN_PRECISION = 0.9        # of a rule on rows it was not grown on
 MIN_COVER = 5              # labelled rows a rule must reject there
@@ -158,14 +158,14 @@ def learn(stats: DataFrame, labels: DataFrame, scratch: Scratch, doc_id: str = "
     rows = stats.join(known, stats[doc_id] == known["id"]).select(
         *FEATURES, (F.col("quality") == 0).cast("long").alias("bad"),
         F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(3)).alias("fold"))
-    points = [i / THRESHOLDS for i in range(1, THRESHOLDS)]
     rows = scratch.write(rows, "labelled")
-    first = rows.agg(*[F.percentile_approx(f, points, 10_000).alias(f) for f in FEATURES]).first()
-    # quantiles of the bad rows too: they may all lie in the tail of the rest
-    bad = rows.where("bad = 1").agg(*[F.percentile_approx(f, points, 10_000).alias(f) for f in FEATURES]).first()
-    if first[FEATURES[0]] is None or bad[FEATURES[0]] is None:
+    points = [0.002, 0.01, *[i / THRESHOLDS for i in range(1, THRESHOLDS)], 0.99, 0.998]
+    # quantiles of either kind: the rarer one may lie in the other's tail
+    edges = [rows.where(F.col("bad") == kind).agg(*[F.percentile_approx(f, points, 10_000).alias(f) for f in FEATURES])
+             .first() for kind in (0, 1)]
+    if any(e[FEATURES[0]] is None for e in edges):
         return []
-    cuts = {f: sorted({float(x) for x in [*first[f], *bad[f]]}) for f in FEATURES}
+    cuts = {f: sorted({float(x) for e in edges for x in e[f]}) for f in FEATURES}
 
     def bin_of(feature: str) -> Column:
         return F.size(F.filter(F.lit(cuts[feature]), lambda cut: F.col(feature) > cut)).alias(f"bin_{feature}")
