@@ -119,24 +119,17 @@ def apply_batch(state: AdState, clicks: DataFrame, threshold: int) -> tuple[AdSt
        cumulative, so the merge adds the deltas (the same rows a replace with
        cumulative counts writes)
     5. C9/K12 top 3 of every touched (date, province) replaces that group
-       (touched groups come out of the same aggregate as the stat merge)
     """
     clean = without_blacklisted(clicks, state.blacklist)
     counts = merge_increment(state.counts, user_click_counts(clean), USER_KEYS)
     new_users = (blacklist_candidates(counts, threshold)
                  .join(state.blacklist.select("user_id"), "user_id", "left_anti"))
     blacklist = state.blacklist.select("user_id").unionByName(new_users)
-    # Stat merge and "which (date, province) groups changed" from one aggregate: rows
-    # carry a fresh flag through the union; a group is touched when any row is fresh.
-    fresh = (state.stat.select(*STAT_KEYS, "click_count", F.lit(False).alias("fresh"))
-             .unionByName(ad_stat(clean).withColumn("fresh", F.lit(True)))
-             .groupBy(*STAT_KEYS).agg(F.sum("click_count").alias("click_count"),
-                                      F.max("fresh").alias("fresh")))
-    stat = fresh.select(*STAT_KEYS, "click_count")
-    # window partitions hold one (date, province): cities x ads rows, bounded by the dimensions
-    touched_rows = (fresh.withColumn("group_fresh", F.max("fresh").over(Window.partitionBy(*PROVINCE_KEYS)))
-                    .where(F.col("group_fresh")).select(*STAT_KEYS, "click_count"))
-    top3 = merge_replace_group(state.top3, province_top3(touched_rows), PROVINCE_KEYS)
+    delta = ad_stat(clean)
+    stat = merge_increment(state.stat, delta, STAT_KEYS)
+    # the groups this batch touches: a distinct with partial aggregation, then a semi-join
+    touched = delta.select(*PROVINCE_KEYS).distinct()
+    top3 = merge_replace_group(state.top3, province_top3(stat.join(touched, list(PROVINCE_KEYS), "left_semi")), PROVINCE_KEYS)
     return AdState(counts, blacklist, stat, top3), new_users
 
 

@@ -62,9 +62,10 @@ def random_extract(sessions: DataFrame, per_day: int = 100, seed: str = "0") ->
                 .select("date", "hour", F.col("m.b").alias("b_cut"),
                         (F.col("m.quota") - (F.col("m.upto") - F.col("m.nb"))).alias("need")))
 
-    # Candidates up to the boundary bucket; the rank runs per (stratum, bucket), a window
+    # The boundary has at most 24 rows per date, a proven bound: its broadcast keeps a hot
+    # hour's sessions where they are. Candidates up to the boundary bucket; the rank runs per (stratum, bucket), a window
     # partition of ~n_hour / 65,536 rows however large the stratum.
-    cand = keyed.join(boundary, ["date", "hour"]).where(F.col("b") <= F.col("b_cut"))
+    cand = keyed.join(F.broadcast(boundary), ["date", "hour"]).where(F.col("b") <= F.col("b_cut"))
     we = Window.partitionBy("date", "hour", "b").orderBy("h", "session_id")
     kept = (cand.withColumn("rn", F.row_number().over(we))
             .where((F.col("b") < F.col("b_cut")) | (F.col("rn") <= F.col("need"))))
