@@ -44,6 +44,12 @@ def jaccard(a: set, b: set) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def similar(a: set, b: set, least: float) -> bool:
+    """Whether the Jaccard similarity is ``least`` or more; sizes too far apart settle it at once."""
+    small, large = sorted((len(a), len(b)))
+    return small >= least * large - 1e-9 and jaccard(a, b) >= least      # 0.8 * 35 > 28 in floating point
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0xD6E8FEB86659FD93)
@@ -206,7 +212,7 @@ def _verify(similarity: float, width: int):
             for rep, a, c in zip(b["rep"].tolist(), b["rep_text"], b["text"]):
                 if rep != at:
                     at, base = rep, shingles(a, width)
-                keep.append(jaccard(base, shingles(c, width)) >= similarity)
+                keep.append(similar(base, shingles(c, width), similarity))
             yield pd.DataFrame({"u": b["rep"][keep], "v": b["key"][keep]})
     return run
 
@@ -223,12 +229,16 @@ def _cross(similarity: float, width: int):
             while parent.get(x, x) != x:
                 x = parent[x]
             return x
+        if len({r[2] for r in rows}) == 1:
+            return links
         sets = [shingles(r[3], width) for r in rows]
-        for n, (side, key, cls, _) in enumerate(rows):
+        for n, (side, _, cls, _) in enumerate(rows):
+            mine = sets[n]
             for m in range(n):
-                other, okey, ocls, _ = rows[m]
-                if (side == 2 or other == 2 or side != other) and find(cls) != find(ocls) \
-                        and jaccard(sets[n], sets[m]) >= similarity:
+                other, _, ocls, _ = rows[m]
+                if cls == ocls or (side != 2 and other != 2 and side == other):
+                    continue
+                if find(cls) != find(ocls) and similar(mine, sets[m], similarity):
                     parent[find(cls)] = find(ocls)
                     links.append((cls, ocls))
         return links
