@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,8 @@ from .components import components
 
 SHINGLE = 9                # characters; a shorter line is one shingle
 SIMILARITY = 0.8
-BANDS, ROWS = 9, 4         # finds a pair of Jaccard 0.8 with probability 0.991, of 0.9 with 0.9999, of 0.1 with 0.001
+RECALL = 0.997             # least probability with which a pair of similarity SIMILARITY shares a band
+ROWS = 4                   # values of a band; for much larger corpora more, and bands_for adds bands
 BLOCK_LINES = 256          # lines of a bucket compared with as many others in one group
 SEEN_LINES = 200_000       # line keys a task remembers, so that it signs a repeated line once
 CHUNK_CHARS = 1 << 18      # characters signed at a time
@@ -24,6 +26,16 @@ BASE = 0x9E3779B97F4A7C15
 WRAP = (1 << 64) - 1
 
 
+def bands_for(rows: int, similarity: float = SIMILARITY, recall: float = RECALL) -> int:
+    """The fewest bands of ``rows`` values that a pair of ``similarity`` shares one of with probability ``recall``."""
+    if similarity >= 1:
+        return 1
+    return math.ceil(math.log(1 - recall) / math.log(1 - similarity ** rows))
+
+
+BANDS = bands_for(ROWS)    # 12: a pair of Jaccard 0.8 is found with probability 0.998, of 0.9 with 0.99999, of 0.1 with 0.001
+
+
 def line_key(line: str) -> int:
     """Spark's xxhash64 of the line, as a signed long."""
     h = xxhash.xxh64_intdigest(line.encode(), 42)
@@ -311,11 +323,12 @@ def line_classes(lines: DataFrame, texts: DataFrame, scratch: Scratch, similarit
 
 
 def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                    bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE, name: str = "lines") -> DataFrame:
+                    bands: int | None = None, rows: int = ROWS, width: int = SHINGLE, name: str = "lines") -> DataFrame:
     """(doc_id, text_key, line, component, kept, kept_doc, kept_line) of every line with a word.
 
     Lines are similar at a Jaccard similarity of ``similarity`` or more of
-    their sets of ``width``-character shingles. Of each class (component, its
+    their sets of ``width``-character shingles. Without ``bands`` there are as
+    many as ``bands_for`` gives, so more rows cost no recall. Of each class (component, its
     smallest line key) one line is kept: the one of the smallest (doc_id,
     nulls last; text_key; line), named by kept_doc and kept_line. Equal lines
     are one node, so a line that a third of all documents share costs one row
@@ -328,6 +341,7 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     count as equal.
     """
     scratch = Scratch(df.sparkSession, name)
+    bands = bands or bands_for(rows, similarity)
     kind = df.schema[doc_id].dataType
     small_batches(df.sparkSession)
     docs = df.select(F.col(doc_id).cast("string").alias("doc_id"), text_hash(text).alias("text_key"),
