@@ -30,7 +30,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars``, where there is one, follows the shortened text.
     """
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, width=line_dedup.NEAR_SHINGLE)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) \
         if "n_chars" in docs.columns else out
 

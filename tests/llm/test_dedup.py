@@ -12,7 +12,8 @@ import xxhash
 from conftest import CLASHING, LONG
 from pyspark.sql import functions as F
 
-from visitflow.llm import exact_dedup, line_dedup, simhash
+import corpus_pipeline
+from visitflow.llm import exact_dedup, line_dedup, queries, simhash
 from visitflow.llm.common import Scratch, documents
 from visitflow.llm.components import components
 
@@ -143,6 +144,38 @@ def test_bands_hold_their_recall():
         assert 1 - (1 - 0.8 ** rows) ** line_dedup.bands_for(rows) >= 0.997
 
 
+def test_sketches_never_part_similar_lines():
+    random.seed(12)
+    parted = 0
+    for _ in range(300):
+        x = "".join(random.choice("abcdefgh ") for _ in range(random.choice((3, 5, 30, 60, 400, 3000))))
+        y = list(x)
+        for _ in range(random.choice((0, 1, 2, len(x) // 40, len(x)))):
+            y[random.randrange(len(y))] = random.choice("xyz")
+        y = "".join(y)
+        p, q = line_dedup.sketches([x, y], 5)
+        if line_dedup.apart(p, q, line_dedup.places(x, 5) + line_dedup.places(y, 5), 0.8):
+            parted += 1
+            assert line_dedup.jaccard(line_dedup.shingles(x, 5), line_dedup.shingles(y, 5)) < 0.8
+    assert parted > 50
+
+
+def test_copies_with_one_edit_are_found(spark, scratch):
+    """Of lines of 55 to 85 characters that differ in one character, op1 and the pipeline keep one."""
+    random.seed(11)
+    rows = []
+    for n in range(60):
+        line = "".join(random.choice("abcdefghijklmnopqrst ") for _ in range(55 + n // 2))
+        at = random.randrange(8, len(line) - 8)
+        rows += [(2 * n, line, 0), (2 * n + 1, line[:at] + "Z" + line[at + 1:], 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    got = {r.doc_id: r.n_dropped for r in queries.op1_line_minhash(spark, scratch).collect()}
+    assert sum(got.values()) >= 58 and all(got[i] == 0 for i in got if i % 2 == 0)
+    kept = {r.doc_id for r in corpus_pipeline.dedup_lines(spark, docs, scratch).collect()}
+    assert kept == {i for i in got if not got[i]}
+
+
 def test_lines_edge_cases(spark, edge, nothing):
     rows = line_dedup.dedup_lines(edge)
     assert rows.columns == edge.columns

@@ -11,6 +11,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 # the six characters of SPACE, for translate()
 SPACE_CHARS = " \t\n\x0b\f\r"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Scratch:
@@ -19,10 +20,12 @@ class Scratch:
     ``write`` cuts the lineage: later stages read the stored table, so a lost
     executor never makes Spark repeat the work above it. ``drop`` deletes a
     table whose readers are done, through Spark's own Hadoop file system.
+    With ``tidy`` a write's shuffle files go as soon as it is stored.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, tidy: bool = False):
         self.spark = spark
+        self.tidy = tidy
         self.root = scratch_path(spark, name)
         self.n = 0
 
@@ -32,7 +35,12 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> str:
         self.n += 1
         path = f"{self.root}/{self.n}-{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true" if self.tidy else before)
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return path
 
     def drop(self, df: DataFrame) -> None:

@@ -15,12 +15,14 @@ from .common import SPACE_CHARS, Scratch, first_copy, fresh, row_key, small_batc
 from .components import components
 
 SHINGLE = 9                # characters; a shorter line is one shingle
+NEAR_SHINGLE = 5           # characters in op1 and the pipeline: one changed character spoils 5 shingles, not 9
 SIMILARITY = 0.8
 RECALL = 0.997             # least probability with which a pair of similarity SIMILARITY shares a band
-ROWS = 4                   # values of a band; for much larger corpora more, and bands_for adds bands
+ROWS = 5                   # values of a band; for much larger corpora more, and bands_for adds bands
 BLOCK_LINES = 256          # lines of a bucket compared with as many others in one group
 SEEN_LINES = 200_000       # line keys a task remembers, so that it signs a repeated line once
 CHUNK_CHARS = 1 << 18      # characters signed at a time
+SKETCH_BITS = 1024         # of the bitmap by which two lines are told apart before their shingles are compared
 FILTER_BITS = 1 << 26      # bits of the filter for lines to verify: 8 MB at any corpus size
 BASE = 0x9E3779B97F4A7C15
 WRAP = (1 << 64) - 1
@@ -33,7 +35,7 @@ def bands_for(rows: int, similarity: float = SIMILARITY, recall: float = RECALL)
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity ** rows))
 
 
-BANDS = bands_for(ROWS)    # 12: a pair of Jaccard 0.8 is found with probability 0.998, of 0.9 with 0.99999, of 0.1 with 0.001
+BANDS = bands_for(ROWS)    # 15: a pair of Jaccard 0.8 is found with probability 0.997, of 0.9 with 0.9999, of 0.1 with 0.0002
 
 
 def line_key(line: str) -> int:
@@ -70,20 +72,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def sign(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> np.ndarray:
-    """Band hashes of lines: a MinHash with one value for each of bands * rows bins (one permutation).
-
-    Each shingle's hash falls in one bin; a bin keeps its least. Empty bins
-    take over a neighbour's value at distance 1, 2, 4, ...: equal for equal
-    shingle sets.
-    """
-    bins = bands * rows
+def _shingle_hashes(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths of lines; line number and hash of every shingle. Lines shorter than ``width`` have none here."""
     n = np.fromiter(map(len, lines), np.int64, len(lines))
     cp = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
     total = len(cp)
     cp = np.append(cp + np.uint64(1), np.zeros(width + 8, np.uint64))
     h, power, have = cp, BASE, 1
-    for step in (1, 2, 4) if width >= 8 else ():  # hashes of 2, 4, 8 characters, then the rest one by one
+    for step in (1, 2, 4):                       # hashes of 2, 4, 8 characters, then the rest one by one
+        if 2 * step > width:
+            break
         h = h[:len(h) - step] + np.uint64(power) * h[step:]
         power, have = power * power & WRAP, have * 2
     h = h[:total]
@@ -95,7 +93,52 @@ def sign(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int = SH
     at = np.arange(total)
     whole = at + width <= ends[line]             # shingles inside their line
     line, at = line[whole], at[whole]
-    h = _mix(h[at])
+    return n, line, _mix(h[at])
+
+
+def sketches(lines: list[str], width: int) -> list[int]:
+    """A bitmap of each line's shingles, as an integer: equal shingles have equal bits."""
+    out: list[int] = []
+    at = 0
+    while at < len(lines):
+        end, size = at, 0
+        while end < len(lines) and (end == at or size + len(lines[end]) <= CHUNK_CHARS):
+            size += len(lines[end])
+            end += 1
+        chunk = lines[at:end]
+        n, line, h = _shingle_hashes(chunk, width)
+        bits = np.zeros((len(chunk), SKETCH_BITS), bool)
+        bits[line, (h % np.uint64(SKETCH_BITS)).astype(np.int64)] = True
+        for i in np.flatnonzero(n < width).tolist():
+            bits[i, xxhash.xxh32_intdigest(chunk[i].encode()) % SKETCH_BITS] = True
+        packed = np.packbits(bits, axis=1)
+        out += [int.from_bytes(row.tobytes(), "big") for row in packed]
+        at = end
+    return out
+
+
+def apart(x: int, y: int, places: int, least: float) -> bool:
+    """Whether sketches prove a Jaccard similarity below ``least``; ``places`` is at least the sizes' sum.
+
+    A bit of only one sketch stands for a shingle of only one line, and at a
+    similarity of s at most (1 - s) / (1 + s) of the sizes' sum are such.
+    """
+    return (x ^ y).bit_count() * (1 + least) > places * (1 - least) + 1e-6
+
+
+def places(line: str, width: int) -> int:
+    return max(1, len(line) - width + 1)
+
+
+def sign(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> np.ndarray:
+    """Band hashes of lines: a MinHash with one value for each of bands * rows bins (one permutation).
+
+    Each shingle's hash falls in one bin; a bin keeps its least. Empty bins
+    take over a neighbour's value at distance 1, 2, 4, ...: equal for equal
+    shingle sets.
+    """
+    bins = bands * rows
+    n, line, h = _shingle_hashes(lines, width)
     where = ((h >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
     sig = np.full(len(lines) * bins, np.iinfo(np.uint64).max, np.uint64)
     np.minimum.at(sig, line * bins + where.astype(np.int64), h & np.uint64(0xFFFFFFFF))
@@ -218,12 +261,17 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
 def _verify(similarity: float, width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, base = None, set()
+        at, base, x, size = None, None, 0, 0
         for b in batches:
             keep = []
-            for rep, a, c in zip(b["rep"].tolist(), b["rep_text"], b["text"]):
+            for rep, a, c, y in zip(b["rep"].tolist(), b["rep_text"], b["text"], sketches(b["text"].tolist(), width)):
                 if rep != at:
-                    at, base = rep, shingles(a, width)
+                    at, base, x, size = rep, None, sketches([a], width)[0], places(a, width)
+                if apart(x, y, size + places(c, width), similarity):
+                    keep.append(False)
+                    continue
+                if base is None:
+                    base = shingles(a, width)
                 keep.append(similar(base, shingles(c, width), similarity))
             yield pd.DataFrame({"u": b["rep"][keep], "v": b["key"][keep]})
     return run
@@ -243,14 +291,20 @@ def _cross(similarity: float, width: int):
             return x
         if len({r[2] for r in rows}) == 1:
             return links
-        sets = [shingles(r[3], width) for r in rows]
-        for n, (side, _, cls, _) in enumerate(rows):
-            mine = sets[n]
+        sets: dict[int, set[str]] = {}
+
+        def shingled(n: int) -> set[str]:
+            if n not in sets:
+                sets[n] = shingles(rows[n][3], width)
+            return sets[n]
+        for n, (side, _, cls, _, x, size) in enumerate(rows):
             for m in range(n):
-                other, _, ocls, _ = rows[m]
+                other, _, ocls, _, y, osize = rows[m]
                 if cls == ocls or (side != 2 and other != 2 and side == other):
                     continue
-                if find(cls) != find(ocls) and similar(mine, sets[m], similarity):
+                if apart(x, y, size + osize, similarity):
+                    continue
+                if find(cls) != find(ocls) and similar(shingled(n), shingled(m), similarity):
                     parent[find(cls)] = find(ocls)
                     links.append((cls, ocls))
         return links
@@ -258,12 +312,13 @@ def _cross(similarity: float, width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held, links = None, [], []
         for b in batches:
-            for group, side, key, cls, text in zip(zip(b["band"].tolist(), b["i"].tolist(), b["j"].tolist()),
-                                                   b["side"].tolist(), b["key"].tolist(), b["cls"].tolist(), b["text"]):
+            for group, side, key, cls, text, x in zip(
+                    zip(b["band"].tolist(), b["i"].tolist(), b["j"].tolist()), b["side"].tolist(), b["key"].tolist(),
+                    b["cls"].tolist(), b["text"], sketches(b["text"].tolist(), width)):
                 if group != at:
                     links += solve(held)
                     at, held = group, []
-                held.append((side, key, cls, text))
+                held.append((side, key, cls, text, x, places(text, width)))
             yield pd.DataFrame(links, columns=["u", "v"]).astype("int64")
             links = []
         yield pd.DataFrame(solve(held), columns=["u", "v"]).astype("int64")
@@ -340,7 +395,7 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     Two different lines whose 64-bit keys collide (one pair in 10^19) would
     count as equal.
     """
-    scratch = Scratch(df.sparkSession, name)
+    scratch = Scratch(df.sparkSession, name, tidy=True)
     bands = bands or bands_for(rows, similarity)
     kind = df.schema[doc_id].dataType
     small_batches(df.sparkSession)

@@ -43,7 +43,7 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    rows, (*_, n, dropped, keepers) = line_dedup.with_dropped(docs, line_dedup.dropped_lines(docs))
+    rows, (*_, n, dropped, keepers) = line_dedup.with_dropped(docs, line_dedup.dropped_lines(docs, width=line_dedup.NEAR_SHINGLE))
     none = F.array().cast("array<bigint>")
     return rows.select("doc_id", F.coalesce(F.col(n), F.lit(0)).alias("n_lines"),
                        F.coalesce(F.size(F.col(dropped)), F.lit(0)).cast("long").alias("n_dropped"),
