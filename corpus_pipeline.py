@@ -17,7 +17,6 @@ from visitflow.llm.common import Scratch, documents, table
 
 # target shares go with (tokens of the value) ** exponent: a mild evening out
 MIX_EXPONENTS = {"source": 0.9, "lang": 0.9, "topic": 1.0}
-MIX_TRIM = 1.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by probabilities raked to source, language and topic targets."""
-    return mixing.sampled_documents(docs, MIX_EXPONENTS, trim=MIX_TRIM)
+    return mixing.sampled_documents(docs, MIX_EXPONENTS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,6 +108,25 @@ def test_raking_equals_brute_force(spark):
     assert share == pytest.approx(sum(r[names["probability"]] for r in out) / len(out), abs=0.04)
 
 
+@pytest.mark.parametrize("exponents", [queries.MIX_EXPONENTS, corpus_pipeline.MIX_EXPONENTS])
+def test_rare_sources_reach_their_targets(spark, exponents):
+    """The settings of op5 and the pipeline, sources from a third of all tokens down to a millionth of that."""
+    sizes = {"huge": 10 ** 9, "large": 10 ** 9, "big": 9 * 10 ** 8, **{f"rare{k}": 10 ** 9 // 10 ** k for k in range(2, 7)}}
+    rows = [(i, s, g, t, n // 6) for i, (s, n, g, t) in enumerate(
+        (s, n, g, t) for s, n in sizes.items() for g in ("en", "de", "fr") for t in ("prose", "list"))]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n long")
+    out, names = mixing.mix(df, exponents, F.col("n"))
+    out = out.collect()
+    whole = sum(r[names["weight"]] * r.n for r in out)
+    power = {s: (n // 6 * 6) ** exponents["source"] for s, n in sizes.items()}
+    for s in sizes:
+        share = sum(r[names["weight"]] * r.n for r in out if r.source == s) / whole
+        assert share == pytest.approx(power[s] / sum(power.values()), rel=1e-4)
+    for r in out:
+        assert [x.margin for x in r[names["shares"]]] == list(exponents)
+        assert all(x.achieved == pytest.approx(x.target, rel=1e-4) for x in r[names["shares"]])
+
+
 def test_sample_meets_the_margins(spark):
     rows = mixing.mix(documents(spark, "/root/testdata/sf0.1").select("doc_id", "lang", "source", "text"),
                       {"lang": 0.0, "source": 1.0}, mixing.word_count())[0].drop("text").collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,6 @@ from .common import Scratch, fresh
 
 SWEEPS, BLOCK = 60, 6      # sweeps over all margins at most, and between two looks at the error
 CLOSE = 1e-6               # largest relative error of a margin at which fitting ends
-TRIM = 4.0                 # calibrated weights stay within this factor of 1
 
 
 def _value(name: str) -> Column:
@@ -19,14 +19,17 @@ def _value(name: str) -> Column:
     return F.when(F.col(name).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(name).cast("string")))
 
 
-def rake(cells: DataFrame, margins: list[str], scratch: Scratch, sweeps: int = SWEEPS, trim: float = TRIM) -> DataFrame:
+def rake(cells: DataFrame, margins: list[str], scratch: Scratch, sweeps: int = SWEEPS,
+         trim: float | None = None) -> DataFrame:
     """Adds ``weight`` to cells (margin values m0.., tokens, targets t0..): tokens raked to the targets.
 
     Each step scales the cells of one margin's value to that value's target;
-    a sweep does so for every margin. Weights of a cell stay within ``trim``
-    times, and one part in ``trim`` of, its tokens, so one rare cell cannot
-    force the rest away. Cells without tokens keep weight 0. Where the targets
-    contradict each other the fit ends after ``sweeps``, near the closest mix.
+    a sweep does so for every margin. Steps are not clamped, so rare values
+    reach their targets too; with ``trim`` the fitted weights are cut once, at
+    the end, to within ``trim`` times, and one part in ``trim`` of, a cell's
+    tokens. Cells without tokens keep weight 0. Where the targets contradict
+    each other the fit ends after ``sweeps``, near the closest mix, with a
+    warning.
     """
     state = cells.withColumn("weight", F.col("tokens").cast("double"))
     for done in range(0, sweeps, BLOCK):
@@ -34,8 +37,7 @@ def rake(cells: DataFrame, margins: list[str], scratch: Scratch, sweeps: int = S
             for i in range(len(margins)):
                 held = F.sum("weight").over(Window.partitionBy(f"m{i}"))
                 scaled = F.when(held > 0, F.col("weight") * F.col(f"t{i}") / held).otherwise(F.col("weight"))
-                state = state.withColumn("weight", F.least(F.greatest(scaled, F.col("tokens") / trim),
-                                                           F.col("tokens") * trim))
+                state = state.withColumn("weight", scaled)
         new = scratch.write(state, f"sweep{done}")
         if done:
             scratch.drop(state)
@@ -45,21 +47,28 @@ def rake(cells: DataFrame, margins: list[str], scratch: Scratch, sweeps: int = S
             one = state.groupBy(f"m{i}").agg(F.sum("weight").alias("w"), F.max(f"t{i}").alias("t")).where("t > 0").agg(
                 F.max(F.abs(F.col("w") / F.col("t") - 1)).alias("e"))
             error = one if error is None else error.unionByName(one)
-        if (error.agg(F.max("e")).first()[0] or 0) < CLOSE:
+        left = error.agg(F.max("e")).first()[0] or 0
+        if left < CLOSE:
             break
+    else:
+        warnings.warn(f"raking ended after {sweeps} sweeps with a margin {left:.2g} of its target away", stacklevel=2)
+    if trim is not None:
+        state = state.withColumn("weight", F.least(F.greatest("weight", F.col("tokens") / trim), F.col("tokens") * trim))
     return state
 
 
 def mix(df: DataFrame, margins: Mapping[str, float], tokens: Column, doc_id: str = "doc_id", sweeps: int = SWEEPS,
-        trim: float = TRIM, seed: int = 0, name: str = "mixing") -> tuple[DataFrame, dict[str, str]]:
-    """Adds tokens, weight, probability and sampled to every row; returns the names of the new columns.
+        trim: float | None = None, seed: int = 0, name: str = "mixing") -> tuple[DataFrame, dict[str, str]]:
+    """Adds tokens, weight, probability, sampled and shares to every row; returns the names of the new columns.
 
     ``margins`` gives for each column the exponent of its target: a value that
     holds tokens T gets a share in proportion to T ** exponent (1 keeps the
     mix, 0 makes all values equal). The tokens of all cells of the margins are
     raked to these targets; ``weight`` is a cell's calibrated tokens over its
     tokens. The largest weight is sampled with probability 1, the others in
-    proportion, so the expected sample has the target margins. Rows are drawn
+    proportion, so the expected sample has the target margins. ``shares`` tells
+    for each margin the target share of the row's value and the share that the
+    weights give it; they differ where the targets cannot be met. Rows are drawn
     by a hash of id and seed: the same in every run.
 
     Only the table of cells (combinations of values) is fitted; rows meet it
@@ -70,8 +79,8 @@ def mix(df: DataFrame, margins: Mapping[str, float], tokens: Column, doc_id: str
     """
     scratch = Scratch(df.sparkSession, name)
     columns = list(margins)
-    names = dict(zip(("tokens", "weight", "probability", "sampled"),
-                     fresh(df, "tokens", "weight", "probability", "sampled")))
+    new = ("tokens", "weight", "probability", "sampled", "shares")
+    names = dict(zip(new, fresh(df, *new)))
     at = [f"m{i}" for i in range(len(columns))]
     counted = df.select(*[_value(c).alias(m) for c, m in zip(columns, at)],
                         F.coalesce(tokens.cast("long"), F.lit(0)).alias("tokens"))
@@ -85,12 +94,18 @@ def mix(df: DataFrame, margins: Mapping[str, float], tokens: Column, doc_id: str
     cells = scratch.write(cells, "targets")
     raked = rake(cells, columns, scratch, sweeps, trim)
     weight = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(1.0))
-    raked = scratch.write(raked.select(*at, weight.alias("weight")), "weights")
+    fitted = raked.agg(F.sum("weight")).first()[0] or 1.0
+    shares = F.array(*[F.struct(
+        F.lit(c).alias("margin"), (F.col(f"t{i}") / F.lit(float(whole or 1))).alias("target"),
+        (F.sum("weight").over(Window.partitionBy(at[i])) / F.lit(float(fitted))).alias("achieved"))
+        for i, c in enumerate(columns)])
+    raked = scratch.write(raked.select(*at, weight.alias("weight"), shares.alias("shares")), "weights")
     top = raked.agg(F.max("weight")).first()[0] or 1.0
 
     keys = fresh(df.withColumns({n: F.lit(0) for n in names.values()}), *at)
     found = raked.select(*[F.col(a).alias(k) for a, k in zip(at, keys)], F.col("weight").alias(names["weight"]),
-                         (F.col("weight") / F.lit(top)).alias(names["probability"]))
+                         (F.col("weight") / F.lit(top)).alias(names["probability"]),
+                         F.col("shares").alias(names["shares"]))
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id)), 11) / F.lit(float(1 << 53))
     rows = df.withColumns({k: _value(c) for c, k in zip(columns, keys)}).withColumn(
         names["tokens"], F.coalesce(tokens.cast("long"), F.lit(0)))
