@@ -170,6 +170,20 @@ def test_skip_chain_carries_labels_to_distant_repeats(spark):
     assert field.spans(None) == [] and field.spans("") == []
 
 
+def test_every_repeat_in_a_long_document_is_labelled(spark):
+    """Fifty repeats of a number that is in full form once: first, in the middle or last."""
+    rows = [(i, f"call +1 (415) 555-{1000 + i} today. " + "and then some words " * 30 + f"or +1 (415) 555-{1000 + i}")
+            for i in range(40)]
+    rows += [(100 + i, f"part 555-{5000 + i} of the list " + "and then some words " * 30) for i in range(60)]
+    field = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    full, repeat = "call +1 (415) 555-7788 today. ", "words between them and then 555-7788 again. "
+    for before in (0, 25, 50):
+        text = repeat * before + full + repeat * (50 - before)
+        found = [text[a:b] for a, k, b in field.spans(text) if k == 4]
+        assert found.count("555-7788") == 50 and len(found) == 51
+    assert field.spans(repeat * 50) == []
+
+
 def test_personal_data_edge_cases(spark, edge, nothing):
     got = secrets.span_report(pii.find_personal_data(edge), "pii_spans", pii.KINDS)
     assert got.count() == edge.count() and got.where("n_email + n_ip + n_card + n_phone > 0").count() == 0

@@ -2,8 +2,9 @@
 
 The field's nodes are a document's evidence tokens (those with a digit or @;
 all others are O). Neighbouring tokens share a chain potential; tokens that
-repeat or resemble an earlier one, however far away, share a skip potential.
-Loopy belief propagation passes messages over both. The potentials are
+repeat or resemble one another, however far away, share a skip potential with
+one hub among them. Tokens that the patterns match keep their label. Loopy
+belief propagation passes messages over both until they settle. The potentials are
 estimated piece by piece from counts over all documents, labelled by the
 patterns.
 """
@@ -27,7 +28,9 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
 
 SHAPES = 4096              # hashed token shapes: the unary table has this many rows
-ROUNDS, DAMPING = 10, 0.3  # of message passing
+DAMPING, PATIENCE = 0.3, 50    # of message passing; after so many rounds without an end damping grows
+SETTLED = 1e-4             # largest change of a message at which passing ends
+CERTAIN = -1e4             # log weight of the labels that a matched token does not have
 CONFIDENT = 0.9            # marginal from which an unmatched token becomes a span
 LEAST_KEY = 4              # characters that resembling tokens must have in common
 
@@ -133,16 +136,26 @@ def keys(token: str) -> list[str]:
     return out + [name] if "@" in token and len(name) >= LEAST_KEY and name != plain else out
 
 
-def edges(text: str, found: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges (neighbours with one space or less between) and skip edges (to the last token of a key)."""
+def edges(text: str, found: list[tuple[int, int]],
+          known: list[int] | None = None) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Chain edges (neighbours with one space or less between) and skip edges (from the hubs of a key to its others).
+
+    Hubs are the first token of each label that the patterns give (``known``), else the key's first token.
+    """
     chain = [(i, i + 1) for i in range(len(found) - 1) if found[i + 1][0] - found[i][1] <= 1]
-    skip, last = [], {}
+    sharing: dict[str, list[int]] = {}
     for i, (a, b) in enumerate(found):
         for key in keys(text[a:b]):
-            if key in last and last[key] != i:
-                skip.append((last[key], i))
-            last[key] = i
-    return chain, skip
+            sharing.setdefault(key, []).append(i)
+    skip: dict[tuple[int, int], None] = {}
+    for same in sharing.values():
+        sure: dict[int, int] = {}
+        for i in same if known else ():
+            if known[i]:
+                sure.setdefault(known[i], i)
+        for hub in sure.values() or same[:1]:
+            skip.update(((hub, i), None) for i in same if i != hub and not (known and known[i]))
+    return chain, list(skip)
 
 
 def labels(found: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> list[int]:
@@ -186,10 +199,13 @@ class Field:
     chain: np.ndarray
     skip: np.ndarray
 
-    def marginals(self, text: str, found: list[tuple[int, int]]) -> np.ndarray:
-        """Label probabilities of the tokens after loopy belief propagation."""
+    def marginals(self, text: str, found: list[tuple[int, int]], known: list[int] | None = None) -> np.ndarray:
+        """Label probabilities of the tokens after loopy belief propagation; those with a ``known`` label keep it."""
         score = self.unary[[shape(text[a:b]) for a, b in found]]
-        chain, skip = edges(text, found)
+        for i, k in enumerate(known or ()):
+            if k:
+                score[i] = np.where(np.arange(len(LABELS)) == k, 0.0, CERTAIN)
+        chain, skip = edges(text, found, known)
         if chain or skip:
             ends = np.array(chain + skip)
             pots = np.concatenate([np.repeat(p[None], len(e), 0) for p, e in ((self.chain, chain), (self.skip, skip)) if e])
@@ -199,13 +215,18 @@ class Field:
             half = len(ends)
             back = np.concatenate([np.arange(half, 2 * half), np.arange(half)])
             msg = np.zeros((2 * half, len(LABELS)))
-            for _ in range(ROUNDS):
+            damping, done, change = DAMPING, 0, 1.0
+            while change > SETTLED:                  # growing damping ends it even where messages swing
                 belief = score.copy()
                 np.add.at(belief, dst, msg)
                 out = belief[src] - msg[back]
                 new = np.logaddexp.reduce(out[:, :, None] + pots, axis=1)
                 new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
-                msg = DAMPING * msg + (1 - DAMPING) * new
+                new = damping * msg + (1 - damping) * new
+                change = float(np.abs(new - msg).max())
+                msg, done = new, done + 1
+                if done % PATIENCE == 0:
+                    damping = (1 + damping) / 2
             score = score.copy()
             np.add.at(score, dst, msg)
         return np.exp(score - np.logaddexp.reduce(score, axis=1, keepdims=True))
@@ -219,7 +240,7 @@ class Field:
         if not found:
             return base
         known = labels(found, base)
-        p = self.marginals(text, found)
+        p = self.marginals(text, found, known)
         more: list[tuple[int, int, int]] = []
         for (a, b), was, row in zip(found, known, p):
             k = int(row.argmax())
