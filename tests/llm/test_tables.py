@@ -127,6 +127,24 @@ def test_rare_sources_reach_their_targets(spark, exponents):
         assert all(x.achieved == pytest.approx(x.target, rel=1e-4) for x in r[names["shares"]])
 
 
+def test_rows_without_an_id_have_draws_of_their_own(spark):
+    """A third of the rows without an id and a third with one id, all of one text; two splits of the input agree."""
+    rows = [(None if i % 3 == 0 else -1 if i % 3 == 1 else i, "the same text", "b" if i % 40 else "a", 10) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    drawn = []
+    for parts in (1, 7):
+        out, names = mixing.mix(df.repartition(parts), {"source": 0.8}, F.col("n"))
+        out = out.collect()
+        assert len(out) == len(rows)
+        for key in (None, -1):
+            same = [r for r in out if r.doc_id == key and r.source == "b"]
+            share = sum(r[names["sampled"]] for r in same) / len(same)
+            assert 0.05 < same[0][names["probability"]] < 0.95
+            assert share == pytest.approx(same[0][names["probability"]], abs=0.05)
+        drawn.append(Counter((r.doc_id, r.source) for r in out if r[names["sampled"]]))
+    assert drawn[0] == drawn[1]
+
+
 def test_sample_meets_the_margins(spark):
     rows = mixing.mix(documents(spark, "/root/testdata/sf0.1").select("doc_id", "lang", "source", "text"),
                       {"lang": 0.0, "source": 1.0}, mixing.word_count())[0].drop("text").collect()

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh
+from .common import Scratch, fresh, text_hash
 
 SWEEPS, BLOCK = 60, 6      # sweeps over all margins at most, and between two looks at the error
 CLOSE = 1e-6               # largest relative error of a margin at which fitting ends
@@ -58,7 +58,8 @@ def rake(cells: DataFrame, margins: list[str], scratch: Scratch, sweeps: int = S
 
 
 def mix(df: DataFrame, margins: Mapping[str, float], tokens: Column, doc_id: str = "doc_id", sweeps: int = SWEEPS,
-        trim: float | None = None, seed: int = 0, name: str = "mixing") -> tuple[DataFrame, dict[str, str]]:
+        trim: float | None = None, seed: int = 0, name: str = "mixing",
+        content: Column | None = None) -> tuple[DataFrame, dict[str, str]]:
     """Adds tokens, weight, probability, sampled and shares to every row; returns the names of the new columns.
 
     ``margins`` gives for each column the exponent of its target: a value that
@@ -69,21 +70,29 @@ def mix(df: DataFrame, margins: Mapping[str, float], tokens: Column, doc_id: str
     proportion, so the expected sample has the target margins. ``shares`` tells
     for each margin the target share of the row's value and the share that the
     weights give it; they differ where the targets cannot be met. Rows are drawn
-    by a hash of id and seed: the same in every run.
+    by a hash of seed, id, content (a hash of the text; ``text``'s own where
+    there is such a column), values and the row's number among the rows equal
+    in these, however the input is split: the same in every run.
 
     Only the table of cells (combinations of values) is fitted; rows meet it
     in one join that Spark broadcasts where the cells are small. Nulls are a
     value of their own. Rows without tokens follow their cell; a cell without
-    tokens has weight 1. Rows with a null id, and rows that repeat an id,
-    share one draw. An empty table gives no rows.
+    tokens has weight 1. Rows with a null id and rows that repeat an id
+    have draws of their own. An empty table gives no rows.
     """
     scratch = Scratch(df.sparkSession, name)
     columns = list(margins)
     new = ("tokens", "weight", "probability", "sampled", "shares")
     names = dict(zip(new, fresh(df, *new)))
     at = [f"m{i}" for i in range(len(columns))]
-    counted = df.select(*[_value(c).alias(m) for c, m in zip(columns, at)],
-                        F.coalesce(tokens.cast("long"), F.lit(0)).alias("tokens"))
+    *keys, row, part = fresh(df.withColumns({n: F.lit(0) for n in names.values()}), *at, "row", "part")
+    if content is None:
+        content = text_hash("text") if "text" in df.columns else F.lit(0)
+    rows = df.withColumns({names["tokens"]: F.coalesce(tokens.cast("long"), F.lit(0)), part: F.spark_partition_id(),
+                           row: F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id), content, *[_value(c) for c in columns]),
+                           **{k: _value(c) for c, k in zip(columns, keys)}})
+    rows = scratch.write(rows, "rows")              # stored, so that a row's part is the same for all readers
+    counted = rows.select(*[F.col(k).alias(m) for k, m in zip(keys, at)], F.col(names["tokens"]).alias("tokens"))
     cells = scratch.write(counted.groupBy(*at).agg(F.sum("tokens").cast("long").alias("tokens")), "cells")
     whole = cells.agg(F.sum("tokens")).first()[0] or 0
     for i, c in enumerate(columns):
@@ -102,13 +111,19 @@ def mix(df: DataFrame, margins: Mapping[str, float], tokens: Column, doc_id: str
     raked = scratch.write(raked.select(*at, weight.alias("weight"), shares.alias("shares")), "weights")
     top = raked.agg(F.max("weight")).first()[0] or 1.0
 
-    keys = fresh(df.withColumns({n: F.lit(0) for n in names.values()}), *at)
     found = raked.select(*[F.col(a).alias(k) for a, k in zip(at, keys)], F.col("weight").alias(names["weight"]),
                          (F.col("weight") / F.lit(top)).alias(names["probability"]),
                          F.col("shares").alias(names["shares"]))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id)), 11) / F.lit(float(1 << 53))
-    rows = df.withColumns({k: _value(c) for c, k in zip(columns, keys)}).withColumn(
-        names["tokens"], F.coalesce(tokens.cast("long"), F.lit(0)))
+    # equal rows are numbered in each input part; the rows of earlier parts come before
+    number, before = fresh(rows, "number", "before")
+    earlier = Window.partitionBy(row).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy(row, part).agg(F.count("*").alias("n")).withColumn(before, F.sum("n").over(earlier))
+               .where(F.col(before) > 0).select(row, part, before))
+    offsets = scratch.write(offsets, "offsets")
+    rows = rows.withColumn(number, F.row_number().over(Window.partitionBy(row, part).orderBy(row))).join(
+        offsets, [row, part], "left")
+    place = F.col(number) + F.coalesce(F.col(before), F.lit(0))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(row), place), 11) / F.lit(float(1 << 53))
     rows = rows.join(found, keys).withColumn(names["sampled"], draw < F.col(names["probability"]))
     return rows.select(*[F.col(f"`{c}`") for c in df.columns], *names.values()), names
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, exact_dedup, line_dedup, mixing, pii, quality, secrets, sharding, simhash, toxicity
-from .common import documents, table
+from .common import documents, table, text_hash
 
 
 def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ MIX_EXPONENTS = {"source": 0.8, "lang": 0.8, "topic": 0.9}
 
 def op5_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "source", "lang", mixing.style_topic().alias("topic"),
-                                           mixing.word_count().alias("words"))
-    rows, names = mixing.mix(docs, MIX_EXPONENTS, F.col("words"))
+                                           mixing.word_count().alias("words"), text_hash("text").alias("text_key"))
+    rows, names = mixing.mix(docs, MIX_EXPONENTS, F.col("words"), content=F.col("text_key"))
     return rows.select("doc_id", "source", "lang", "topic", *names.values())
 
 
