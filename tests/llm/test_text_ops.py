@@ -200,6 +200,17 @@ def test_restoration():
     assert "idiot" in toxicity.words("you i d i o t!", cost, {}) and "moron" in toxicity.words("MORON!!!", cost, {})
 
 
+def test_joined_long_doubled_and_tailed_tokens_are_restored():
+    text = " ".join(["the idiot moron and stupid scum of this total ass house are worthless or you good"] * 50)
+    ids = np.array([toxicity.char_class(c) for c in f" {text} "])
+    cost = toxicity.language_model(Counter(((ids[:-2] * 64 + ids[1:-1]) * 64 + ids[2:]).tolist()))
+    long = ",".join(["house"] * 60 + ["1d10t"] + ["house"] * 60)
+    for token, want in (("total-idiot", "idiot"), ("you,1d10t", "idiot"), ("you+1d10t", "idiot"), (long, "idiot"),
+                        ("h" * 300 + "/m0r0n", "moron"), ("mooron", "moron"), ("stuupid", "stupid"), ("a$$", "ass"),
+                        ("idiot!!!", "idiot"), ("good", "good"), ("i-d-i-o-t", "idiot")):
+        assert want in toxicity.words(f"so {token} then", cost, {}), token
+
+
 def test_disguised_words_are_scored(spark):
     """Trained on plain words, tested on disguised ones."""
     random.seed(3)

@@ -37,6 +37,9 @@ FLUSH_WORDS = 300_000      # feature counts a task holds before it emits them
 
 SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]){2,}[^\W_](?![^\W_])")
 RUN = re.compile(r"(.)\1\1+")
+REPEAT = re.compile(r"(.)\1")
+JOINT = re.compile("[^\\w" + re.escape("".join(c for c in LEET if not c.isalnum())) + "]+|_+")     # signs that are no letter
+ANY_JOINT = re.compile(r"[\W_]+")
 TAIL = re.compile(r"(?:!|([$*#@|+(&%])\1+)+$")      # shouting and ornament after a word
 
 
@@ -95,7 +98,8 @@ def language_model(counts: dict[int, int]) -> np.ndarray:
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Readings of each sign of a lower-case token, with channel costs; letters read as themselves."""
+    """Readings of each sign of a lower-case token, with channel costs; letters read as themselves, doubled ones as
+    two or one."""
     out: list[list[tuple[str, float]]] = []
     i = 0
     while i < len(token):
@@ -103,7 +107,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         while j < len(token) and token[j] == c:
             j += 1
         if c.isalpha():
-            out += [[(c, 0.0), (c + c, DOUBLED)]] if j - i >= 3 else [[(c, 0.0)]] * (j - i)
+            if j - i >= 3:
+                out.append([(c, 0.0), (c + c, DOUBLED)])
+            else:
+                out.append([(c, 0.0)] if j - i == 1 else [(c + c, 0.0), (c, DOUBLED)])
         else:
             stands = [(x, SUBSTITUTED) for x in LEET.get(c, "")]
             stay = [(c, KEPT_SIGN)] if c.isdigit() else [("", DELETED)]
@@ -114,9 +121,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 def restore(token: str, cost: np.ndarray) -> str:
     """The cheapest reading of a lower-case token: channel cost plus language model cost (Viterbi)."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # a text is a pair of the text before and the last reading, so a long token takes time by its length
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     for readings in lattice(token):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (spent, text) in states.items():
             for reading, price in readings:
                 x, y, total = a, b, spent + price
@@ -126,12 +134,41 @@ def restore(token: str, cost: np.ndarray) -> str:
                     x, y = y, k
                 best = after.get((x, y))
                 if best is None or total < best[0]:
-                    after[x, y] = (total, text + reading)
+                    after[x, y] = (total, (text, reading))
         states = after
-    return min((spent + float(cost[a, b, 0]), text) for (a, b), (spent, text) in states.items())[1]
+    (_, text), out = min(((spent + float(cost[a, b, 0]), text) for (a, b), (spent, text) in states.items()),
+                         key=lambda s: s[0]), []
+    while text:
+        text, reading = text
+        out.append(reading)
+    return "".join(reversed(out))
 
 
-def words(text: str, cost: np.ndarray, memo: dict[str, str]) -> set[str]:
+def readings(token: str, cost: np.ndarray) -> tuple[str, ...]:
+    """Words of a lower-case token: the whole token as one, and its parts between signs; each restored.
+
+    Words of letters count as they stand too (unless a letter runs on), and
+    so do those before shouting and ornament, whose signs compete as letters
+    in the restored reading.
+    """
+    core = token.strip(".,;:?\"'`)]}>[{<&%/\\=~^")
+    if not any(map(str.isalpha, core)):
+        plain = TAIL.sub("", core).rstrip(".,;:?\"'")
+        return (plain,) if plain else ()
+    parts = [core, *JOINT.split(core), *(p for p in ANY_JOINT.split(core) if len(p) >= 3)]
+    found: dict[str, None] = {}
+    for part in dict.fromkeys(parts):
+        if not any(map(str.isalpha, part)):
+            continue
+        short = TAIL.sub("", part).rstrip(".,;:?\"'")
+        if short.isalpha() and not RUN.search(short):
+            found[short] = None
+        if not part.isalpha() or REPEAT.search(part):
+            found["".join(filter(str.isalpha, restore(part, cost)))] = None
+    return tuple(w for w in found if w)
+
+
+def words(text: str, cost: np.ndarray, memo: dict[str, tuple[str, ...]]) -> set[str]:
     """Distinct restored words of a text, lower case; spaced-out words count besides their letters."""
     found = set()
     low = text.lower()
@@ -140,14 +177,11 @@ def words(text: str, cost: np.ndarray, memo: dict[str, str]) -> set[str]:
     for t in tokens:
         w = memo.get(t)
         if w is None:
-            core = TAIL.sub("", t.strip(".,;:?\"'`)]}>[{<&%/\\=~^")).rstrip(".,;:?\"'")
-            w = core if core.isalpha() and not RUN.search(core) or not any(map(str.isalpha, core)) \
-                else "".join(filter(str.isalpha, restore(core[:200], cost))) if len(core) <= 200 else core
+            w = readings(t, cost)
             if len(memo) >= CACHE_WORDS:
                 memo.clear()
             memo[t] = w
-        if w:
-            found.add(w)
+        found.update(w)
     return found
 
 
@@ -186,7 +220,7 @@ class Model:
 
 def _feature_counts(cost: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[str, str] = {}
+        memo: dict[str, tuple[str, ...]] = {}
         counts: dict[str, list[int]] = {}
 
         def out() -> pd.DataFrame:
