@@ -135,3 +135,14 @@ def test_appended_rows_are_seen(spark, scratch):
     assert Tables(spark, scratch).table("events").count() == 3
     spark.range(4).write.mode("append").parquet(f"{scratch}/events.parquet")
     assert Tables(spark, scratch).table("events").count() == 7
+
+
+def test_whole_table_runs_read_every_event(spark):
+    """The job's reports exist without its date and age range; the extract covers each date of the events."""
+    t = Tables(spark, SF_SMALL)
+    for name in ("session_aggr_stat", "top10_category", "top10_category_session", "session_random_extract",
+                 "page_convert_rate", "page_convert_rate_text", "area_top3_product"):
+        assert f"whole_{name}" in CAT.queries()
+    dates = {r[0] for r in CAT.actions(t).select("date").distinct().collect()}
+    got = CAT.queries()["whole_session_random_extract"](spark, SF_SMALL).collect()
+    assert {r["startTime"][:10] for r in got} == dates

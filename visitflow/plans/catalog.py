@@ -47,6 +47,8 @@ FILTER_PARAMS: dict[str, TaskParams] = {
 # The session job's task used by detail, stats and the category/extract queries.
 JOB_PARAMS = TaskParams(start_date="2024-01-03", end_date="2024-01-28", start_age=5, end_age=55,
                         target_page_flow=(1, 2, 3, 4, 5, 6, 7))
+# The same reports over all events: no date or age condition.
+WHOLE_PARAMS = TaskParams(target_page_flow=JOB_PARAMS.target_page_flow)
 EMPTY_PARAMS = TaskParams(start_age=100, end_age=120)      # no user is that old: no sessions
 AS_OF = "2024-02-01 00:00:00"
 SESSION_OUT = ("session_id", "user_id", "search_keywords", "click_category_ids",
@@ -378,6 +380,43 @@ def q_area_top3_product(spark, d):
                                 A.product_info(t.part))
 
 
+# --- the job's reports over all events ----------------------------------------------
+
+def whole_actions(t: Tables) -> DataFrame:
+    return D.kept_actions(actions(t, params=WHOLE_PARAMS), kept_sessions(t, WHOLE_PARAMS))
+
+
+def q_whole_session_aggr_stat(spark, d):
+    return ST.session_aggr_stat(kept_sessions(Tables(spark, d), WHOLE_PARAMS, grain="week", clock="value"))
+
+
+def q_whole_top10_category(spark, d):
+    return CG.top_categories(whole_actions(Tables(spark, d)))
+
+
+def q_whole_top10_category_session(spark, d):
+    acts = materialize(whole_actions(Tables(spark, d)), "whole-actions")    # read twice, computed once
+    return CG.top_sessions_per_category(acts, CG.top_categories(acts))
+
+
+def q_whole_session_random_extract(spark, d):
+    kept = materialize(kept_sessions(Tables(spark, d), WHOLE_PARAMS), "whole-sessions")
+    return EX.random_extract(kept, EXTRACT_PER_DAY, EXTRACT_SEED)
+
+
+def q_whole_page_convert_rate(spark, d):
+    return PF.convert_rates(whole_actions(Tables(spark, d)), WHOLE_PARAMS.target_page_flow)
+
+
+def q_whole_page_convert_rate_text(spark, d):
+    return PF.convert_rate_text(q_whole_page_convert_rate(spark, d))
+
+
+def q_whole_area_top3_product(spark, d):
+    t = Tables(spark, d)
+    return AR.area_top_products(actions(t, params=WHOLE_PARAMS), A.city_info(t.nation, t.region), A.product_info(t.part))
+
+
 # --- task-driven runs: a task row in, result tables written and read back -----------
 
 TASK_ID = 19737                         # the task of 2024-01-15
@@ -495,6 +534,10 @@ def queries() -> dict[str, Query]:
         "page_convert_rate_text": q_page_convert_rate_text,
         "area_top3_product": q_area_top3_product,
     })
+    for q in (q_whole_session_aggr_stat, q_whole_top10_category, q_whole_top10_category_session,
+              q_whole_session_random_extract, q_whole_page_convert_rate, q_whole_page_convert_rate_text,
+              q_whole_area_top3_product):
+        out[q.__name__[2:]] = q
     for name in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
         out[name] = _ad_batch_query(name)
     for field in ("counts", "blacklist", "stat", "top3"):

@@ -372,8 +372,8 @@ def string_cleanup() -> str:
     FROM ({session_rows(sessions(grain='month'))}) s"""
 
 
-def job_actions() -> str:
-    jp = CAT.JOB_PARAMS
+def job_actions(params: TaskParams | None = None) -> str:
+    jp = params or CAT.JOB_PARAMS
     return f"SELECT * FROM ({uva(params=jp)}) a WHERE session_id IN (SELECT session_id FROM ({kept(jp)}) k)"
 
 
@@ -403,8 +403,8 @@ def top10_session(acts: str) -> str:
       GROUP BY click_category_id, session_id) r WHERE rn <= 10"""
 
 
-def random_extract() -> str:
-    src = session_rows(kept(CAT.JOB_PARAMS))
+def random_extract(params: TaskParams | None = None) -> str:
+    src = session_rows(kept(params or CAT.JOB_PARAMS))
     n, seed = CAT.EXTRACT_PER_DAY, CAT.EXTRACT_SEED
     return f"""
     WITH s AS (SELECT *, substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour,
@@ -418,11 +418,11 @@ def random_extract() -> str:
     FROM r JOIN q USING (date, hour) WHERE rn <= quota"""
 
 
-def page_rates() -> str:
+def page_rates(params: TaskParams | None = None) -> str:
     flow = CAT.JOB_PARAMS.target_page_flow
     steps = ", ".join(f"({i + 1}, CAST({a} AS BIGINT), CAST({b} AS BIGINT))"
                       for i, (a, b) in enumerate(zip(flow[:-1], flow[1:])))
-    acts = job_actions()
+    acts = job_actions(params)
     return f"""
     WITH a AS ({acts}),
          p AS (SELECT page_id AS f, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_sec, event_id) AS t
@@ -439,14 +439,14 @@ def page_rates() -> str:
     FROM l WHERE step >= 1"""
 
 
-def page_rate_text() -> str:
+def page_rate_text(params: TaskParams | None = None) -> str:
     return f"""
     SELECT string_agg(CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) || '=' ||
                       CAST(convert_rate AS VARCHAR), '|' ORDER BY step) AS convertRate
-    FROM ({page_rates()}) r"""
+    FROM ({page_rates(params)}) r"""
 
 
-def area_top3() -> str:
+def area_top3(params: TaskParams | None = None) -> str:
     from ..operators.area import DEFAULT_AREA_LEVELS, DEFAULT_LEVEL, DEFAULT_STATUS_NAMES
     levels = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in DEFAULT_AREA_LEVELS.items())
     status = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in DEFAULT_STATUS_NAMES.items())
@@ -454,7 +454,7 @@ def area_top3() -> str:
     WITH g AS (SELECT area, click_product_id AS productid, count(*) AS clickCount,
                       array_to_string(list_sort(list(DISTINCT CAST(a.city_id AS VARCHAR) || ':' || city_name)), ',')
                         AS cityInfos
-               FROM ({uva(params=CAT.JOB_PARAMS)}) a JOIN ({CITIES}) c ON a.city_id = c.city_id
+               FROM ({uva(params=params or CAT.JOB_PARAMS)}) a JOIN ({CITIES}) c ON a.city_id = c.city_id
                WHERE click_product_id IS NOT NULL GROUP BY area, click_product_id),
          r AS (SELECT *, row_number() OVER (PARTITION BY area ORDER BY clickCount DESC, productid ASC) AS rn FROM g)
     SELECT area, CASE area {levels} ELSE '{DEFAULT_LEVEL}' END AS areaLevel, productid, cityInfos, clickCount,
@@ -511,6 +511,16 @@ def oracle_sql() -> dict[str, str]:
         "page_convert_rate_text": page_rate_text(),
         "area_top3_product": area_top3(),
     })
+    wp = CAT.WHOLE_PARAMS
+    out.update({
+        "whole_session_aggr_stat": session_aggr_stat(kept(wp, grain="week", clock="value")),
+        "whole_top10_category": top10_category(job_actions(wp)),
+        "whole_top10_category_session": top10_session(job_actions(wp)),
+        "whole_session_random_extract": random_extract(wp),
+        "whole_page_convert_rate": page_rates(wp),
+        "whole_page_convert_rate_text": page_rate_text(wp),
+        "whole_area_top3_product": area_top3(wp),
+    })
     te, us, th = CAT.MERGE_TARGET_END, CAT.MERGE_UPDATE_START, CAT.BLACKLIST_THRESHOLD
     ct, cu, call = clicks(end=te), clicks(start=us), clicks()
     black = blacklist(call, th)
