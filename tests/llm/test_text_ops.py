@@ -184,6 +184,11 @@ def test_every_repeat_in_a_long_document_is_labelled(spark):
     assert field.spans(repeat * 50) == []
 
 
+def test_the_whole_form_of_a_token_counts():
+    head = "a1-" * 150
+    assert len({pii.shape(head + end) for end in ("x", "1.2.3.4", "+99", "(5)")}) == 4
+
+
 def test_personal_data_edge_cases(spark, edge, nothing):
     got = secrets.span_report(pii.find_personal_data(edge), "pii_spans", pii.KINDS)
     assert got.count() == edge.count() and got.where("n_email + n_ip + n_card + n_phone > 0").count() == 0

@@ -123,9 +123,9 @@ def tokens(text: str) -> list[tuple[int, int]]:
 
 
 def shape(token: str) -> int:
-    """Hashed form of a token: digit runs with their length, letter runs, other signs; 40 characters of it."""
-    form = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", lambda m: f"9{min(len(m.group()), 20)}", token[:200]))
-    return xxhash.xxh32_intdigest(form[:40].encode()) % SHAPES
+    """Hashed form of a token: digit runs with their length, letter runs, other signs; all of it."""
+    form = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", lambda m: f"9{min(len(m.group()), 20)}", token))
+    return xxhash.xxh32_intdigest(form.encode()) % SHAPES
 
 
 def keys(token: str) -> list[str]:
