@@ -7,7 +7,7 @@ from visitflow.operators import stats as ST
 from visitflow.plans import catalog as CAT
 from visitflow.sources.tables import Tables
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_same_stats_with_one_and_many_partitions(spark):

@@ -4,7 +4,7 @@ from visitflow.plans import catalog as CAT
 from visitflow.plans.jobs import SessionOptions, run_page_job, run_product_job, run_session_job
 from visitflow.plans.sinks import read_result
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _rows(df, drop=("taskid",)):

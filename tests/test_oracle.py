@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from oracle_check import compare, duck
 from visitflow.plans import catalog
 
-from conftest import SF_ORACLE
+from paths import SF_ORACLE
 
 QUERIES = E.queries()
 SQL = E.oracle_sql()

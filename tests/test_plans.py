@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from visitflow.plans import catalog
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 QUERIES = {name: E.queries()[name] for name in catalog.queries()}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",

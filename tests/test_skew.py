@@ -11,7 +11,7 @@ from visitflow.operators.pageflow import CHUNK_SECONDS, page_pair_counts
 from visitflow.sources import adapters as A
 from visitflow.sources.tables import Tables
 
-from conftest import SF_ORACLE
+from paths import SF_ORACLE
 
 HOT = "0_2024-01-05"
 

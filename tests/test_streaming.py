@@ -12,7 +12,7 @@ from visitflow.sources import adapters as A
 from visitflow.sources.tables import Tables
 from visitflow.streaming import AdStateStore, TrendStore, start_ad_stream, start_trend_stream
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _write_lines(spark, folder, name, df, mtime):
