@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
-from conftest import CLASHING, LONG
+from edge_rows import CLASHING, LONG
 from pyspark.sql import functions as F
 
 import corpus_pipeline

@@ -10,7 +10,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import LONG
+from edge_rows import LONG
 from pyspark.sql import functions as F
 
 from visitflow.llm import bpe, pii, queries, secrets, toxicity
