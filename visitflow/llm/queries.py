@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, pii, quality, secrets, sharding, simhash, toxicity
+from . import bpe, exact_dedup, line_dedup, mixing, pii, quality, secrets, sharding, simhash, toxicity, url_filter
 from .common import documents, table, text_hash
 
 
@@ -75,6 +75,16 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "kept", "rule")
 
 
+# (host, path, verdict): fixed values of the query's contract
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+def op11_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rows, names = url_filter.judge_urls(pages, rules=URL_RULES)
+    return rows.select("page_id", *names.values())
+
+
 OP8_SQL = r"""
 WITH norm AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -87,11 +97,35 @@ ranked AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
 """
 
+_TERM_END = "[^a-z0-9]"
+OP11_SQL = f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(url, ''), '{url_filter.UPPER}', '{url_filter.LOWER}') AS u,
+         translate(coalesce(regexp_extract(url, '{url_filter.PARTS}', 1), ''), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+         coalesce(regexp_extract(url, '{url_filter.PARTS}', 2), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE {" ".join(
+      f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'"
+      for h, p, _ in sorted(URL_RULES, key=lambda r: -len(r[0] + r[1])))} END AS rule
+  FROM parts),
+-- signs are doubled first, so that neighbouring hits need not share one
+counted AS (
+  SELECT *, {" + ".join(f"len(regexp_extract_all(' ' || regexp_replace(u, '({_TERM_END})', '\\1\\1', 'g') || ' ', '{_TERM_END}{t}{_TERM_END}'))" for t in url_filter.STRICT_TERMS)} AS strict_hits,
+         {" + ".join(f"CAST(regexp_matches(u, '(^|{_TERM_END}){t}({_TERM_END}|$)') AS BIGINT)" for t in url_filter.SOFT_TERMS)} AS soft_hits
+  FROM ruled)
+SELECT page_id, host, path, rule,
+       CASE {" ".join(f"WHEN rule = '{h}{p}' THEN '{v}'" for h, p, v in URL_RULES)}
+            WHEN strict_hits > 0 OR soft_hits >= {url_filter.SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
+       strict_hits, soft_hits
+FROM counted
+"""
+
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op4_automaton, op5_raked_mix, op6_skip_chain,
-                                  op7_simhash_bktree, op8_block_naming, op9_noisy_channel, op10_decision_list)}
+                                  op7_simhash_bktree, op8_block_naming, op9_noisy_channel, op10_decision_list, op11_url_vocabulary)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_block_naming": OP8_SQL}
+    return {"op8_block_naming": OP8_SQL, "op11_url_vocabulary": OP11_SQL}
