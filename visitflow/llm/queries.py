@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, pii, quality, secrets, sharding, simhash, toxicity, url_filter
+from . import bpe, conversations, exact_dedup, line_dedup, mixing, pii, quality, secrets, sharding, simhash, toxicity, url_filter
 from .common import documents, table, text_hash
 
 
@@ -85,6 +85,11 @@ def op11_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", *names.values())
 
 
+def op13_secondary_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair_report(rows, lost=F.col("lost"))
+
+
 OP8_SQL = r"""
 WITH norm AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -124,7 +129,8 @@ FROM counted
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op4_automaton, op5_raked_mix, op6_skip_chain,
-                                  op7_simhash_bktree, op8_block_naming, op9_noisy_channel, op10_decision_list, op11_url_vocabulary)}
+                                  op7_simhash_bktree, op8_block_naming, op9_noisy_channel, op10_decision_list, op11_url_vocabulary,
+                                  op13_secondary_sort)}
 
 
 def oracle_sql() -> dict[str, str]:
