@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, exact_dedup, line_dedup, mixing, pii, quality, secrets, sharding, simhash, toxicity, url_filter
+from . import bpe, conversations, exact_dedup, hard_negatives, line_dedup, mixing, pii, quality, secrets, sharding, simhash, toxicity, url_filter
 from .common import documents, table, text_hash
 
 
@@ -85,6 +85,11 @@ def op11_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", *names.values())
 
 
+def op12_segment_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 def op13_secondary_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversations.damaged(table(spark, sf_dir, "conversations"))
     return conversations.repair_report(rows, lost=F.col("lost"))
@@ -126,12 +131,35 @@ SELECT page_id, host, path, rule,
 FROM counted
 """
 
+OP12_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id != b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.other_id AS negative_id,
+       p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_line_minhash, op2_histogram_shards, op3_merge_replay, op4_automaton, op5_raked_mix, op6_skip_chain,
                                   op7_simhash_bktree, op8_block_naming, op9_noisy_channel, op10_decision_list, op11_url_vocabulary,
-                                  op13_secondary_sort)}
+                                  op12_segment_summaries, op13_secondary_sort)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_block_naming": OP8_SQL, "op11_url_vocabulary": OP11_SQL}
+    return {"op8_block_naming": OP8_SQL, "op11_url_vocabulary": OP11_SQL,
+            "op12_segment_summaries": OP12_SQL}
