@@ -15,9 +15,9 @@ def test_same_stats_with_one_and_many_partitions(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "1")
-        one = ST.session_aggr_stat(CAT.kept_sessions(t, CAT.JOB_PARAMS)).collect()
+        one = ST.session_aggr_stat(CAT.kept_sessions(t, CAT.FILTER_PARAMS["filter_age"])).collect()
         spark.conf.set("spark.sql.shuffle.partitions", "16")
-        many = ST.session_aggr_stat(CAT.kept_sessions(t, CAT.JOB_PARAMS)).collect()
+        many = ST.session_aggr_stat(CAT.kept_sessions(t, CAT.FILTER_PARAMS["filter_age"])).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert one == many
@@ -55,7 +55,7 @@ def test_extract_matches_plain_ranking(spark):
     from pyspark.sql import Window
     from visitflow.operators.extract import random_extract, stratum_quotas
     t = Tables(spark, SF_SMALL)
-    s = CAT.kept_sessions(t, CAT.JOB_PARAMS)
+    s = CAT.kept_sessions(t, CAT.FILTER_PARAMS["filter_age"], sets=True)
     got = {r["sessionid"] for r in random_extract(s, per_day=3, seed="7").collect()}
     k = s.select("session_id", F.date_format("start_ts", "yyyy-MM-dd").alias("date"),
                  F.date_format("start_ts", "HH").alias("hour"),
@@ -142,7 +142,7 @@ def test_whole_table_runs_read_every_event(spark):
     t = Tables(spark, SF_SMALL)
     for name in ("session_aggr_stat", "top10_category", "top10_category_session", "session_random_extract",
                  "page_convert_rate", "page_convert_rate_text", "area_top3_product"):
-        assert f"whole_{name}" in CAT.queries()
+        assert CAT.queries()[f"whole_{name}"] is CAT.queries()[name]
     dates = {r[0] for r in CAT.actions(t).select("date").distinct().collect()}
     got = CAT.queries()["whole_session_random_extract"](spark, SF_SMALL).collect()
     assert {r["startTime"][:10] for r in got} == dates

@@ -81,3 +81,24 @@ def test_top_sessions_with_hot_session(hot_actions):
     for r in got:
         per_cat.setdefault(r["categoryid"], []).append(r["clickCount"])
     assert all(len(v) <= 10 for v in per_cat.values())
+
+
+def test_a_session_of_one_minute_is_many_windows(spark):
+    """A third of all rows in one session and one minute, a tenth in one second: pieces are bounded, pairs exact."""
+    from visitflow.operators.pageflow import _in_pieces
+    ev = Tables(spark, SF_ORACLE).events
+    hot, sec = F.col("event_id") % 3 == 0, F.when(F.col("event_id") % 10 == 0, 17).otherwise(F.col("event_id") % 60).cast("int")
+    moved = ev.select("event_id", "event_type", "value", "props",
+                      F.when(hot, F.lit(0).cast("bigint")).otherwise(F.col("user_id")).alias("user_id"),
+                      F.when(hot, F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(5), F.lit(9), F.lit(30), sec)).otherwise(F.col("ts")).alias("ts"))
+    acts = A.user_visit_action(moved)
+    limit = 100
+    pieces = (_in_pieces(acts, ("action_ts", "event_id"), ["session_id"], CHUNK_SECONDS, limit).where(F.col("session_id") == HOT)
+              .groupBy("chunk", "part", "alone", "range").count().collect())
+    assert sum(p["count"] for p in pieces) >= acts.count() / 3 - 1
+    assert len(pieces) > 20 and max(p["count"] for p in pieces) <= 2 * limit + 10
+    got = {(r[0], r[1]): r[2] for r in page_pair_counts(acts, limit=limit).collect()}
+    w = Window.partitionBy("session_id").orderBy("action_ts", "event_id")
+    brute = (acts.withColumn("nxt", F.lead("page_id").over(w)).where(F.col("nxt").isNotNull())
+             .groupBy("page_id", "nxt").count().collect())
+    assert got == {(r[0], r[1]): r[2] for r in brute}

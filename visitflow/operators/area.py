@@ -1,14 +1,13 @@
 """Top products per area.
 
-Clicks are mapped to an area through the city table (bounded: one row per
-city), counted per (area, product) with the sorted distinct ``city_id:name``
-list, ranked inside each area, and enriched with the product's name and
-status from ``product_info``.
+Clicks are counted per (product, city), mapped to an area through the city
+table, summed and ranked inside each area, and enriched with the sorted
+``city_id:name`` list and the product's name and status.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,27 +33,42 @@ def _lookup(c: Column, mapping: Mapping[str, str], default: str | None) -> Colum
     return expr.otherwise(F.lit(default))
 
 
-def product_clicks_by_area(actions: DataFrame, cities: DataFrame) -> DataFrame:
-    """(area, productid, clickCount, cityInfos) over all product clicks."""
-    clicks = actions.where(F.col("click_product_id").isNotNull())
-    # The city table is one row per city; Spark broadcasts it by its size estimate.
-    geo = clicks.join(cities.select("city_id", "city_name", "area"), "city_id")
-    info = F.concat(F.col("city_id").cast("string"), F.lit(":"), F.col("city_name"))
-    return (geo.groupBy("area", F.col("click_product_id").alias("productid"))
-            .agg(F.count(F.lit(1)).alias("clickCount"),
-                 F.array_join(F.array_sort(F.collect_set(info)), ",").alias("cityInfos")))
+def product_clicks(actions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, city_id, productid, clickCount): clicks per product and city."""
+    return (actions.where(F.col("click_product_id").isNotNull())
+            .groupBy(*by, "city_id", F.col("click_product_id").alias("productid"))
+            .agg(F.count(F.lit(1)).alias("clickCount")).where("clickCount > 0"))
 
 
-def area_top_products(actions: DataFrame, cities: DataFrame, products: DataFrame, k: int = 3,
-                      area_levels: Mapping[str, str] = DEFAULT_AREA_LEVELS,
-                      status_names: Mapping[str, str] = DEFAULT_STATUS_NAMES) -> DataFrame:
+def area_top_products(actions: DataFrame, cities: DataFrame, products: DataFrame, k: int = 3, **names) -> DataFrame:
     """Per area the k most clicked products (ties: smaller product id)."""
-    counts = product_clicks_by_area(actions, cities)
-    w = Window.partitionBy("area").orderBy(F.desc("clickCount"), F.asc("productid"))
-    top = counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).drop("rn")
+    return top_of_clicks(product_clicks(actions), cities, products, k, **names)
+
+
+def top_of_clicks(clicks: DataFrame, cities: DataFrame, products: DataFrame, k: int = 3,
+                  area_levels: Mapping[str, str] = DEFAULT_AREA_LEVELS,
+                  status_names: Mapping[str, str] = DEFAULT_STATUS_NAMES, by: Sequence[str] = ()) -> DataFrame:
+    """C5 from ``product_clicks``, for each ``by``.
+
+    The city table (one row per city) meets one row per product and city, not
+    every click; Spark broadcasts it by its size estimate.
+    Ranks come from the summed counts; the city list is put together for the
+    winners alone, from the same counts (one exchange, read twice).
+    """
+    counts = clicks.join(cities.select("city_id", "city_name", "area"), "city_id")
+    keys = [*by, "area", "productid"]
+    w = Window.partitionBy(*by, "area").orderBy(F.desc("clickCount"), F.asc("productid"))
+    top = counts.groupBy(*keys).agg(F.sum("clickCount").alias("clickCount"))
+    top = top.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).drop("rn")
+    winners = top.select(*[F.col(c).alias(f"top_{c}") for c in keys], F.col("clickCount").alias("total"))
+    # null-safe: an area the city table leaves open is a group like any other
+    same = [F.col(c).eqNullSafe(F.col(f"top_{c}")) for c in keys]
+    info = F.concat(F.col("city_id").cast("string"), F.lit(":"), F.col("city_name"))
+    named = (counts.join(winners, same).groupBy(*keys, "total")
+             .agg(F.array_join(F.array_sort(F.array_distinct(F.collect_list(info))), ",").alias("cityInfos")))
     status = json_field("extend_info", "product_status")
     prod = products.select(F.col("product_id").alias("productid"), F.col("product_name").alias("productName"),
                            _lookup(status, status_names, None).alias("productStatus"))
-    return (top.join(prod, "productid", "left")
-            .select("area", _lookup(F.col("area"), area_levels, DEFAULT_LEVEL).alias("areaLevel"),
-                    "productid", "cityInfos", "clickCount", "productName", "productStatus"))
+    return (named.join(prod, "productid", "left")
+            .select(*by, "area", _lookup(F.col("area"), area_levels, DEFAULT_LEVEL).alias("areaLevel"),
+                    "productid", "cityInfos", F.col("total").alias("clickCount"), "productName", "productStatus"))

@@ -1,13 +1,22 @@
-"""Top categories and their top sessions."""
+"""Top categories and their top sessions.
+
+Both reports follow from one table of click, order and pay counts per
+(category, session). It is one aggregate of the actions; Spark reads its
+exchange twice instead of the actions (``ReusedExchange``). ``by`` columns, such
+as a task id, give one report each.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Result columns of top10_category and top10_category_session.
 CATEGORY_COLUMNS = ("categoryid", "clickCount", "orderCount", "payCount")
 SESSION_COLUMNS = ("categoryid", "sessionid", "clickCount")
+COUNTS = CATEGORY_COLUMNS[1:]
 
 
 def _items(text_col: str, kind: int):
@@ -16,49 +25,58 @@ def _items(text_col: str, kind: int):
     return F.transform(ids, lambda x: F.struct(x.try_cast("bigint").alias("c"), F.lit(kind).alias("kind")))
 
 
-def category_counts(actions: DataFrame) -> DataFrame:
-    """Click, order and pay counts per category id.
+def session_category_counts(actions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, categoryid, sessionid, clickCount, orderCount, payCount) of every category a session met.
 
     One pass: every action yields its (category, kind) items through one
-    ``inline``, then a single aggregate with partial combine — one scan and
-    one shuffle whatever the skew.
+    ``inline``, then a single aggregate with partial combine. All three counts
+    stay in every row, so that all readers share the aggregate's exchange.
     """
     click = F.col("click_category_id")
     items = F.concat(
         F.when(click.isNotNull(), F.array(F.struct(click.alias("c"), F.lit(0).alias("kind"))))
          .otherwise(F.array().cast("array<struct<c:bigint,kind:int>>")),
         _items("order_category_ids", 1), _items("pay_category_ids", 2))
-    return (actions.select(F.inline(items))
+    return (actions.select(*by, F.col("session_id").alias("sessionid"), F.inline(items))
             .where(F.col("c").isNotNull())
-            .groupBy("c").agg(F.count_if(F.col("kind") == 0).alias("clickCount"),
-                              F.count_if(F.col("kind") == 1).alias("orderCount"),
-                              F.count_if(F.col("kind") == 2).alias("payCount"))
-            .withColumnRenamed("c", "categoryid"))
+            .groupBy(*by, F.col("c").alias("categoryid"), "sessionid")
+            .agg(*[F.count_if(F.col("kind") == n).alias(name) for n, name in enumerate(COUNTS)])
+            .where("clickCount + orderCount + payCount > 0"))
 
 
-def top_categories(actions: DataFrame, k: int = 10) -> DataFrame:
+def top_of_counts(counts: DataFrame, k: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """The k categories ordered by clicks, orders, pays (desc), then id.
 
-    ``orderBy().limit(k)`` plans as TakeOrderedAndProject: each task keeps k
-    rows, the driver-side merge sees k rows per task.
+    For the whole table ``orderBy().limit(k)`` plans as TakeOrderedAndProject:
+    each task keeps k rows. For each ``by``, the row_number filter runs as a
+    partial WindowGroupLimit.
     """
-    return (category_counts(actions)
-            .orderBy(F.desc("clickCount"), F.desc("orderCount"), F.desc("payCount"), F.asc("categoryid"))
-            .limit(k).select(*CATEGORY_COLUMNS))
+    totals = counts.groupBy(*by, "categoryid").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    order = [*[F.desc(c) for c in COUNTS], F.asc("categoryid")]
+    if not by:
+        return totals.orderBy(*order).limit(k).select(*CATEGORY_COLUMNS)
+    rn = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return totals.withColumn("rn", rn).where(F.col("rn") <= k).select(*by, *CATEGORY_COLUMNS)
 
 
-def top_sessions_per_category(actions: DataFrame, top: DataFrame, k: int = 10) -> DataFrame:
+def top_sessions_of_counts(counts: DataFrame, top: DataFrame, k: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """Per top category the k sessions with most clicks on it (ties: session id).
 
-    ``top`` comes from ``limit(k)``: at most k rows, a proven bound for the
-    broadcast hint. The
-    row_number filter runs as a partial WindowGroupLimit before the shuffle.
+    Without ``by``, ``top`` comes from ``limit(k)``: at most k rows, a proven
+    bound for the broadcast hint. With it Spark's size check decides.
     """
-    clicks = actions.join(F.broadcast(top.select(F.col("categoryid").alias("click_category_id"))),
-                          "click_category_id", "left_semi")
-    per_session = (clicks.groupBy(F.col("click_category_id").alias("categoryid"),
-                                  F.col("session_id").alias("sessionid"))
-                   .agg(F.count(F.lit(1)).alias("clickCount")))
-    w = Window.partitionBy("categoryid").orderBy(F.desc("clickCount"), F.asc("sessionid"))
-    return (per_session.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-            .select(*SESSION_COLUMNS))
+    top = top.select(*by, "categoryid")
+    rows = counts.join(top if by else F.broadcast(top), [*by, "categoryid"], "left_semi").where("clickCount > 0")
+    w = Window.partitionBy(*by, "categoryid").orderBy(F.desc("clickCount"), F.asc("sessionid"))
+    return rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).select(*by, *SESSION_COLUMNS)
+
+
+def top_categories(actions: DataFrame, k: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    """C2 from actions."""
+    return top_of_counts(session_category_counts(actions, by), k, by)
+
+
+def top_sessions_per_category(actions: DataFrame, top: DataFrame | None = None, k: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    """C3 from actions; ``top`` defaults to their k top categories."""
+    counts = session_category_counts(actions, by)
+    return top_sessions_of_counts(counts, top_of_counts(counts, k, by) if top is None else top, k, by)

@@ -7,70 +7,66 @@ Inside a stratum the sessions with the smallest ``md5(seed || session_id)``
 are taken (ties by session id), so the same seed gives the same sample on any
 engine or partitioning.
 
-Scale: ranking a whole stratum in one task fails when one hour holds a third
-of all sessions. Instead the first 16 bits of the hash split each stratum
-into at most 65,536 buckets; bucket counts (an aggregate) give, per stratum,
-the bucket where the quota is reached. Sessions below it are in, above it out;
-ranks are taken per (stratum, bucket), so each window partition holds about
-n_hour / 65,536 rows and the boundary bucket decides the rest exactly.
+Scale: no quota exceeds ``max(1, per_day)``, so the smallest that many of each
+stratum are enough. They are a bottom-k: every task keeps its own (a partial
+WindowGroupLimit) and ships at most k rows per stratum, however hot the hour.
+The stratum sizes are an aggregate beside it; both read the exchange of the
+sessions' own aggregate. Keyword and category sets are collected for the
+sampled sessions alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sessions import session_sets
+
 # Result columns of session_random_extract (after taskid).
 EXTRACT_COLUMNS = ("sessionid", "startTime", "searchKeywords", "clickCategoryIds")
-HASH_BUCKET_HEX_DIGITS = 4                      # 16 bits -> 65,536 buckets per stratum
 
 
-def stratum_quotas(strata_counts: DataFrame, per_day: int) -> DataFrame:
-    """(date, hour, n_hour) -> quota per stratum."""
-    w = Window.partitionBy("date")
-    n_date = F.sum("n_hour").over(w)
+def stratum_quotas(strata_counts: DataFrame, per_day: int, by: Sequence[str] = ()) -> DataFrame:
+    """(by, date, hour, n_hour) -> quota per stratum; 24 rows a date."""
+    n_date = F.sum("n_hour").over(Window.partitionBy(*by, "date"))
     quota = F.least(F.col("n_hour"),
                     F.greatest(F.lit(1).cast("bigint"),
                                F.floor(F.lit(float(per_day)) * F.col("n_hour") / n_date).cast("bigint")))
-    return strata_counts.select("date", "hour", "n_hour", quota.alias("quota"))
+    return strata_counts.select(*by, "date", "hour", "n_hour", quota.alias("quota"))
+
 
+def sample_sessions(sessions: DataFrame, per_day: int = 100, seed: str = "0", by: Sequence[str] = (),
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """The sampled sessions: (by, session_id, start_time, carry)."""
+    keyed = sessions.select(*by, "session_id", "start_time", *carry, F.substring("start_time", 1, 10).alias("date"),
+                            F.substring("start_time", 12, 2).alias("hour"))
+    strata = [*by, "date", "hour"]
+    quotas = stratum_quotas(keyed.groupBy(*strata).agg(F.count("session_id").alias("n_hour")), per_day, by)
+    hashed = keyed.withColumn("h", F.md5(F.concat(F.lit(seed), F.col("session_id"))))
+    w = Window.partitionBy(*strata).orderBy("h", "session_id")
+    first = hashed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max(1, int(per_day)))
+    return (first.join(quotas, strata).where(F.col("rn") <= F.col("quota"))
+            .select(*by, "session_id", "start_time", *carry))
 
-def random_extract(sessions: DataFrame, per_day: int = 100, seed: str = "0") -> DataFrame:
-    """The sampled sessions (sessionid, startTime, searchKeywords, clickCategoryIds)."""
-    keyed = sessions.select(
-        F.col("session_id"), F.col("start_time"), F.col("search_keywords"), F.col("click_category_ids"),
-        F.date_format("start_ts", "yyyy-MM-dd").alias("date"),
-        F.date_format("start_ts", "HH").alias("hour"),
-        F.md5(F.concat(F.lit(seed), F.col("session_id"))).alias("h"))
-    keyed = keyed.withColumn(
-        "b", F.conv(F.substring("h", 1, HASH_BUCKET_HEX_DIGITS), 16, 10).cast("int"))
 
-    # Per (stratum, bucket) counts; one partial-aggregated shuffle. Hour totals, date
-    # totals and running sums are windows over this table: at most 24 x 65,536 rows
-    # per date whatever the data volume, and one exchange (by date) serves all three.
-    buckets = keyed.groupBy("date", "hour", "b").agg(F.count(F.lit(1)).alias("nb"))
-    w_hour = Window.partitionBy("date", "hour")
-    w_date = Window.partitionBy("date")
-    w_upto = w_hour.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    n_hour, n_date = F.sum("nb").over(w_hour), F.sum("nb").over(w_date)
-    quota = F.least(n_hour, F.greatest(F.lit(1).cast("bigint"),
-                                       F.floor(F.lit(float(per_day)) * n_hour / n_date).cast("bigint")))
-    cum = buckets.select("date", "hour", "b", "nb", quota.alias("quota"), F.sum("nb").over(w_upto).alias("upto"))
-    boundary = (cum.where(F.col("upto") >= F.col("quota"))
-                .groupBy("date", "hour")
-                .agg(F.min_by(F.struct("b", "upto", "nb", "quota"), F.col("b")).alias("m"))
-                .select("date", "hour", F.col("m.b").alias("b_cut"),
-                        (F.col("m.quota") - (F.col("m.upto") - F.col("m.nb"))).alias("need")))
+def random_extract(sessions: DataFrame, per_day: int = 100, seed: str = "0", actions: DataFrame | None = None,
+                   compat_null_zero: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """The sampled sessions (by, sessionid, startTime, searchKeywords, clickCategoryIds).
 
-    # The boundary has at most 24 rows per date, a proven bound: its broadcast keeps a hot
-    # hour's sessions where they are. Candidates up to the boundary bucket; the rank runs per (stratum, bucket), a window
-    # partition of ~n_hour / 65,536 rows however large the stratum.
-    cand = keyed.join(F.broadcast(boundary), ["date", "hour"]).where(F.col("b") <= F.col("b_cut"))
-    we = Window.partitionBy("date", "hour", "b").orderBy("h", "session_id")
-    kept = (cand.withColumn("rn", F.row_number().over(we))
-            .where((F.col("b") < F.col("b_cut")) | (F.col("rn") <= F.col("need"))))
+    Sets that ``sessions`` hold already are carried along; else they are
+    collected from ``actions``, for the sampled sessions alone.
+    """
+    sets = ("search_keywords", "click_category_ids")
+    if actions is None:
+        sample = sample_sessions(sessions, per_day, seed, by, sets)
+    elif by:
+        raise ValueError("with several groups the sessions have to hold their sets")
+    else:
+        sample = session_sets(sample_sessions(sessions, per_day, seed), actions, compat_null_zero)
     cols = [F.col("session_id").alias("sessionid"), F.col("start_time").alias("startTime"),
             F.array_join("search_keywords", ",").alias("searchKeywords"),
             F.array_join(F.transform("click_category_ids", lambda x: x.cast("string")), ",")
              .alias("clickCategoryIds")]
-    return kept.select(*cols)
+    return sample.select(*by, *cols)

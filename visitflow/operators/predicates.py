@@ -58,17 +58,24 @@ def user_predicate(params: TaskParams) -> Column:
     return _and(parts)
 
 
-def session_predicate(params: TaskParams) -> Column:
-    """Conjunction of all session conditions of a task."""
-    parts = [user_predicate(params),
-             any_of_predicate("search_keywords", params.keywords, is_array=True),
-             any_of_predicate("click_category_ids", params.category_ids, is_array=True)]
+def session_predicate(params: TaskParams, columns: Iterable[str] = ()) -> Column:
+    """Conjunction of all session conditions of a task.
+
+    Where ``columns`` hold the task's folded conditions (``keyword_hit``,
+    ``category_hit``), these decide; else the sets do.
+    """
+    def either(hit: str, sets: str, wanted) -> Column | None:
+        if wanted and hit in columns:
+            return F.col(hit)
+        return any_of_predicate(sets, wanted, is_array=True)
+    parts = [user_predicate(params), either("keyword_hit", "search_keywords", params.keywords),
+             either("category_hit", "click_category_ids", params.category_ids)]
     return _and(parts)
 
 
 def filter_sessions(full_sessions: DataFrame, params: TaskParams) -> DataFrame:
     """Sessions (with user attributes) passing every condition of the task."""
-    return full_sessions.where(session_predicate(params))
+    return full_sessions.where(session_predicate(params, full_sessions.columns))
 
 
 def _and(parts: list[Column | None]) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +37,10 @@ def _bucket_sql(col: str, lo: int, hi: int | None) -> str:
     return f"{col} >= {lo}" if hi is None else f"{col} BETWEEN {lo} AND {hi}"
 
 
-def bucket_counts(sessions: DataFrame) -> DataFrame:
-    """One row, session_count and the 15 bucket counts.
+def bucket_counts(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """session_count and the 15 bucket counts, one row or one row for each ``by``.
 
-    A global aggregate: every task emits one partial row, the final step
+    Every task emits one partial row (for each ``by``), the final step
     merges them, so there is no skew and no driver-side accumulator.
     """
     aggs = ["count(1) AS session_count"]
@@ -46,17 +48,17 @@ def bucket_counts(sessions: DataFrame) -> DataFrame:
              for label, lo, hi in VISIT_BUCKETS]
     aggs += [f"count_if({_bucket_sql('step_length', lo, hi)}) AS step_length_{label}"
              for label, lo, hi in STEP_BUCKETS]
-    return sessions.agg(*[F.expr(a) for a in aggs])
+    return sessions.groupBy(*by).agg(*[F.expr(a) for a in aggs])
 
 
-def session_aggr_stat(sessions: DataFrame) -> DataFrame:
+def session_aggr_stat(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """session_count and 15 ratios rounded half-up to 2 places (0.0 if no sessions)."""
-    cols = ["session_count"]
+    cols = [*by, "session_count"]
     cols += [f"{ratio_sql(f'visit_length_{label}', 'session_count')} AS {name}"
              for (label, _, _), name in zip(VISIT_BUCKETS, VISIT_RATIO_COLUMNS)]
     cols += [f"{ratio_sql(f'step_length_{label}', 'session_count')} AS {name}"
              for (label, _, _), name in zip(STEP_BUCKETS, STEP_RATIO_COLUMNS)]
-    return bucket_counts(sessions).selectExpr(*cols)
+    return bucket_counts(sessions, by).selectExpr(*cols)
 
 
 def bucket_distribution(sessions: DataFrame, which: str = "visit") -> DataFrame:

@@ -24,11 +24,13 @@ from ..operators import merge as M
 from ..operators import predicates as P
 from ..operators import sessions as S
 from ..operators import stats as ST
+from ..operators import task_set as TS
 from ..sources import adapters as A
 from ..sources.tables import Tables
 from ..sources.tasks import TaskParams, decode_task_params, derived_tasks, find_task, load_task_params
-from .inputs import session_inputs
-from .sinks import materialize
+from ..sources.visit_tables import ACTION_COLUMNS, EventTables, VisitTables, store_visit_tables
+from . import jobs as J
+from .sinks import materialize, read_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,11 +46,8 @@ FILTER_PARAMS: dict[str, TaskParams] = {
                              sex=("female",), keywords=("kw2", "kw5", "kw7"),
                              category_ids=tuple(str(i) for i in range(0, 100, 2))),
 }
-# The session job's task used by detail, stats and the category/extract queries.
-JOB_PARAMS = TaskParams(start_date="2024-01-03", end_date="2024-01-28", start_age=5, end_age=55,
-                        target_page_flow=(1, 2, 3, 4, 5, 6, 7))
-# The same reports over all events: no date or age condition.
-WHOLE_PARAMS = TaskParams(target_page_flow=JOB_PARAMS.target_page_flow)
+# The job's reports over all events: no date or age condition. Ranged runs take their parameters from a task row.
+WHOLE_PARAMS = TaskParams(target_page_flow=(1, 2, 3, 4, 5, 6, 7))
 EMPTY_PARAMS = TaskParams(start_age=100, end_age=120)      # no user is that old: no sessions
 AS_OF = "2024-02-01 00:00:00"
 SESSION_OUT = ("session_id", "user_id", "search_keywords", "click_category_ids",
@@ -64,20 +63,15 @@ def users(t: Tables) -> DataFrame:
     return A.user_info(t.customer, t.nation)
 
 
-def full_sessions(t: Tables, grain="day", clock="real", params: TaskParams | None = None,
-                  **kw) -> DataFrame:
-    """Sessions with user attributes; user conditions also prune actions early.
+def full_sessions(t: Tables, grain="day", clock="real", params: TaskParams | None = None, sets=True, **kw) -> DataFrame:
+    """Sessions of the task's dates with user attributes; its user conditions apply to them, not to single actions."""
+    acts = actions(t, grain, clock, params)
+    return S.attach_user_info(S.aggregate_sessions(acts, params=params, sets=sets, **kw), users(t))
 
-    When the task has user conditions, actions are first semi-joined to the
-    qualifying users (user_id is constant inside a session), so the session
-    shuffle only carries rows that can pass.
-    """
-    acts, u = session_inputs(t, params or TaskParams(), grain, clock)
-    return S.attach_user_info(S.aggregate_sessions(acts, **kw), u)
 
-
-def kept_sessions(t: Tables, params: TaskParams, grain="day", clock="real") -> DataFrame:
-    return P.filter_sessions(full_sessions(t, grain, clock, params), params)
+def kept_sessions(t: Tables, params: TaskParams, grain="day", clock="real", sets=False) -> DataFrame:
+    """Sessions that meet every condition, those on keywords and categories folded into the aggregate."""
+    return P.filter_sessions(full_sessions(t, grain, clock, params, sets), params)
 
 
 def _session_rows(df: DataFrame, extra=()) -> DataFrame:
@@ -130,7 +124,9 @@ def q_session_compat(spark, d):
 def _filter_query(name):
     def q(spark, d):
         t = Tables(spark, d)
-        return _session_rows(kept_sessions(t, FILTER_PARAMS[name]), S.USER_COLUMNS)
+        params = FILTER_PARAMS[name]
+        kept = materialize(kept_sessions(t, params), name)          # read twice: as it is, and to collect its sets
+        return _session_rows(S.session_sets(kept, actions(t, params=params)), S.USER_COLUMNS)
     q.__name__ = f"q_{name}"
     return q
 
@@ -167,7 +163,7 @@ def _bucket_query(which, grain, clock):
 
 def q_session_aggr_stat(spark, d):
     t = Tables(spark, d)
-    return ST.session_aggr_stat(kept_sessions(t, JOB_PARAMS, grain="week", clock="value"))
+    return ST.session_aggr_stat(kept_sessions(t, WHOLE_PARAMS, grain="week", clock="value"))
 
 
 def q_session_aggr_stat_empty(spark, d):
@@ -347,9 +343,9 @@ EXTRACT_PER_DAY = 20
 EXTRACT_SEED = "42"
 
 
-def job_actions(t: Tables) -> DataFrame:
-    """Actions of the sessions kept by the session job's task."""
-    return D.kept_actions(actions(t, params=JOB_PARAMS), kept_sessions(t, JOB_PARAMS))
+def job_actions(t: Tables, params: TaskParams = WHOLE_PARAMS) -> DataFrame:
+    """Actions of the sessions a task keeps."""
+    return D.kept_actions(actions(t, params=params), kept_sessions(t, params))
 
 
 def q_top10_category(spark, d):
@@ -357,17 +353,17 @@ def q_top10_category(spark, d):
 
 
 def q_top10_category_session(spark, d):
-    acts = materialize(job_actions(Tables(spark, d)), "job-actions")        # read twice, computed once
-    return CG.top_sessions_per_category(acts, CG.top_categories(acts))
+    return CG.top_sessions_per_category(job_actions(Tables(spark, d)))
 
 
 def q_session_random_extract(spark, d):
-    kept = materialize(kept_sessions(Tables(spark, d), JOB_PARAMS), "job-sessions")
-    return EX.random_extract(kept, EXTRACT_PER_DAY, EXTRACT_SEED)
+    t = Tables(spark, d)
+    return EX.random_extract(kept_sessions(t, WHOLE_PARAMS), EXTRACT_PER_DAY, EXTRACT_SEED, actions(t))
 
 
 def q_page_convert_rate(spark, d):
-    return PF.convert_rates(job_actions(Tables(spark, d)), JOB_PARAMS.target_page_flow)
+    views = materialize(PF.page_views(job_actions(Tables(spark, d))), "page-views")
+    return PF.convert_rates(views, WHOLE_PARAMS.target_page_flow)
 
 
 def q_page_convert_rate_text(spark, d):
@@ -376,63 +372,87 @@ def q_page_convert_rate_text(spark, d):
 
 def q_area_top3_product(spark, d):
     t = Tables(spark, d)
-    return AR.area_top_products(actions(t, params=JOB_PARAMS), A.city_info(t.nation, t.region),
-                                A.product_info(t.part))
+    return AR.area_top_products(actions(t), A.city_info(t.nation, t.region), A.product_info(t.part))
 
 
-# --- the job's reports over all events ----------------------------------------------
+# --- task-driven runs: a task row in, result tables written and read back -----------
 
-def whole_actions(t: Tables) -> DataFrame:
-    return D.kept_actions(actions(t, params=WHOLE_PARAMS), kept_sessions(t, WHOLE_PARAMS))
+TASK_ID = 19737                         # the task of 2024-01-15
+TASK_TABLES = {
+    J.run_session_job: ("session_aggr_stat", "session_detail", "session_random_extract", "top10_category", "top10_category_session"),
+    J.run_page_job: ("page_split_convert_rate", "page_split_convert_steps"),
+    J.run_product_job: ("area_top3_product",),
+}
 
 
-def q_whole_session_aggr_stat(spark, d):
-    return ST.session_aggr_stat(kept_sessions(Tables(spark, d), WHOLE_PARAMS, grain="week", clock="value"))
+def _job_options() -> J.SessionOptions:
+    return J.SessionOptions(extract_per_day=EXTRACT_PER_DAY, extract_seed=EXTRACT_SEED)
 
 
-def q_whole_top10_category(spark, d):
-    return CG.top_categories(whole_actions(Tables(spark, d)))
+def _task_query(job, table, stored=False):
+    """One task of the task table through its job, the result table read back."""
+    def q(spark, d):
+        from ..session import scratch_path
+        source = stored_tables(spark, d) if stored else EventTables(spark, d)
+        out = scratch_path(spark, "task-results")
+        job(spark, source, TASK_ID, load_task_params(source.tasks(), TASK_ID), out, _job_options())
+        return read_result(spark, out, table, TASK_ID)
+    q.__name__ = f"q_{'table' if stored else 'task'}_{table}"
+    return q
 
 
-def q_whole_top10_category_session(spark, d):
-    acts = materialize(whole_actions(Tables(spark, d)), "whole-actions")    # read twice, computed once
-    return CG.top_sessions_per_category(acts, CG.top_categories(acts))
+def _task_set_query(table):
+    """The table of every task of the task table, from scans that all tasks share."""
+    def q(spark, d):
+        source = EventTables(spark, d)
+        tasks = materialize(decode_task_params(source.tasks()), "tasks")
+        kept = materialize(TS.task_sessions(source.actions(), source.users(), tasks), "task-sessions")
+        views = materialize(J.task_views(source, tasks, kept), "task-views") if table.startswith("page") else None
+        return J.task_reports(source, tasks, kept, _job_options(), views)[table]
+    q.__name__ = f"q_tasks_{table}"
+    return q
 
 
-def q_whole_session_random_extract(spark, d):
-    kept = materialize(kept_sessions(Tables(spark, d), WHOLE_PARAMS), "whole-sessions")
-    return EX.random_extract(kept, EXTRACT_PER_DAY, EXTRACT_SEED)
+# --- the stored visit tables: dates in folders, text times, no event id --------------
 
+def stored_tables(spark, d) -> VisitTables:
+    from ..session import scratch_path
+    return store_visit_tables(EventTables(spark, d), scratch_path(spark, "visit-tables"))
 
-def q_whole_page_convert_rate(spark, d):
-    return PF.convert_rates(whole_actions(Tables(spark, d)), WHOLE_PARAMS.target_page_flow)
 
+def q_table_actions_by_date_range(spark, d):
+    """R1 as stored: the task's dates are partitions, the time text keeps its one-digit hours."""
+    rows = stored_tables(spark, d).actions("2024-01-10", "2024-01-12")
+    return rows.select(*ACTION_COLUMNS, F.unix_timestamp("action_ts").alias("action_sec"))
 
-def q_whole_page_convert_rate_text(spark, d):
-    return PF.convert_rate_text(q_whole_page_convert_rate(spark, d))
 
+def q_table_session_full_info(spark, d):
+    """A1-A10 and J1 from text times."""
+    t = stored_tables(spark, d)
+    return _session_rows(S.session_full_info(t.actions(), t.users()), S.USER_COLUMNS)
 
-def q_whole_area_top3_product(spark, d):
-    t = Tables(spark, d)
-    return AR.area_top_products(actions(t, params=WHOLE_PARAMS), A.city_info(t.nation, t.region), A.product_info(t.part))
 
+def q_table_session_compat(spark, d):
+    """The substring and null rules where no id orders the actions of one second."""
+    return _session_rows(S.aggregate_sessions(stored_tables(spark, d).actions(), compat_substring=True, compat_null_zero=True))
 
-# --- task-driven runs: a task row in, result tables written and read back -----------
 
-TASK_ID = 19737                         # the task of 2024-01-15
+def q_table_page_convert_rate(spark, d):
+    """C4 with the stored tables' order: time, then page."""
+    t = stored_tables(spark, d)
+    views = materialize(PF.page_views(t.actions(), t.order), "page-views")
+    return PF.convert_rates(views, WHOLE_PARAMS.target_page_flow, t.order)
 
 
-def _task_query(table):
-    def q(spark, d):
-        from ..session import scratch_path
-        from .jobs import run_session_job
-        from .sinks import read_result
-        out = scratch_path(spark, "task-results")
-        params = load_task_params(derived_tasks(Tables(spark, d).events), TASK_ID)
-        run_session_job(spark, d, TASK_ID, params, out)
-        return read_result(spark, out, table, TASK_ID)
-    q.__name__ = f"q_task_{table}"
-    return q
+def q_table_view_sql(spark, d):
+    """SQL texts over the registered views, as a user of the tables writes them."""
+    stored_tables(spark, d).register()
+    return spark.sql("""
+        SELECT u.user_id, u.name, u.age, u.professional, u.city, u.sex, count(*) AS actions,
+               count(DISTINCT a.session_id) AS sessions
+        FROM (SELECT * FROM user_visit_action WHERE date >= '2024-01-08' AND date <= '2024-01-20') a
+        JOIN (SELECT * FROM user_info) u ON a.user_id = u.user_id
+        GROUP BY u.user_id, u.name, u.age, u.professional, u.city, u.sex""")
 
 
 # --- step 11: the streams themselves, over log lines derived from the tables ------
@@ -502,8 +522,15 @@ def queries() -> dict[str, Query]:
         out[name] = _filter_query(name)
     out["filter_equal"] = q_filter_equal
     out["filter_shared_sessions"] = q_filter_shared_sessions
-    for table in ("session_aggr_stat", "session_detail", "top10_category", "top10_category_session"):
-        out[f"task_{table}"] = _task_query(table)
+    for job, names in TASK_TABLES.items():
+        for table in names:
+            out[f"task_{table}"] = _task_query(job, table)
+            out[f"tasks_{table}"] = _task_set_query(table)
+            if table in ("session_aggr_stat", "session_random_extract", "area_top3_product"):
+                out[f"table_{table}"] = _task_query(job, table, stored=True)
+    for q in (q_table_actions_by_date_range, q_table_session_full_info, q_table_session_compat, q_table_page_convert_rate,
+              q_table_view_sql):
+        out[q.__name__[2:]] = q
     out["format_double"] = q_format_double
     out.update({
         "visit_buckets_real": _bucket_query("visit", "day", "real"),
@@ -534,10 +561,10 @@ def queries() -> dict[str, Query]:
         "page_convert_rate_text": q_page_convert_rate_text,
         "area_top3_product": q_area_top3_product,
     })
-    for q in (q_whole_session_aggr_stat, q_whole_top10_category, q_whole_top10_category_session,
-              q_whole_session_random_extract, q_whole_page_convert_rate, q_whole_page_convert_rate_text,
-              q_whole_area_top3_product):
-        out[q.__name__[2:]] = q
+    # the same reports under the names they had while others ran for a fixed range
+    for name in ("session_aggr_stat", "top10_category", "top10_category_session", "session_random_extract",
+                 "page_convert_rate", "page_convert_rate_text", "area_top3_product"):
+        out[f"whole_{name}"] = out[name]
     for name in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
         out[name] = _ad_batch_query(name)
     for field in ("counts", "blacklist", "stat", "top3"):

@@ -2,6 +2,8 @@
 
   python -m visitflow.plans.cli session --data DIR --out DIR --task-id 19737
   python -m visitflow.plans.cli page --data DIR --out DIR --task-id 1 --params '{"targetPageFlow":["1,2,3"]}'
+  python -m visitflow.plans.cli session --tables DIR --out DIR --task-id 19737
+  python -m visitflow.plans.cli tasks --data DIR --out DIR
   python -m visitflow.plans.cli ad-stream --source DIR [--state DIR] [--threshold 100] [--once]
   python -m visitflow.plans.cli trend-stream --source DIR [--state DIR] [--delay "10 minutes"] [--once]
 """
@@ -12,9 +14,9 @@ import argparse
 import sys
 
 from ..session import build_session
-from ..sources.tables import Tables
-from ..sources.tasks import TaskParams, derived_tasks, load_task_params
-from .jobs import JOBS, SessionOptions
+from ..sources.tasks import TaskParams, load_task_params
+from ..sources.visit_tables import EventTables, VisitTables
+from .jobs import JOBS, SessionOptions, run_task_set
 
 
 def stream_main(argv) -> None:
@@ -48,12 +50,15 @@ def main(argv=None) -> None:
         return stream_main(argv)
     ap = argparse.ArgumentParser(prog="visitflow",
                                  epilog="streams: visitflow ad-stream --help, visitflow trend-stream --help")
-    ap.add_argument("job", choices=sorted(JOBS))
-    ap.add_argument("--data", required=True)
+    ap.add_argument("job", choices=[*sorted(JOBS), "tasks"], help="'tasks': every task of the task table at once")
+    where = ap.add_mutually_exclusive_group(required=True)
+    where.add_argument("--data", help="folder of the test tables")
+    where.add_argument("--tables", help="folder of the stored visit tables (user_visit_action, user_info, ...)")
+    where.add_argument("--database", help="catalog database that holds the stored visit tables")
     ap.add_argument("--out", required=True)
-    ap.add_argument("--task-id", type=int, required=True)
+    ap.add_argument("--task-id", type=int, help="required but for the job 'tasks'")
     ap.add_argument("--params", help="task_param JSON (overrides the task table)")
-    ap.add_argument("--tasks", help="parquet task table (task_id, task_param, ...); default: derived from events")
+    ap.add_argument("--tasks", help="parquet task table (task_id, task_param, ...); default: the source's own")
     ap.add_argument("--grain", default="day", choices=("day", "week", "month"))
     ap.add_argument("--clock", default="real", choices=("real", "value"))
     ap.add_argument("--as-of", help="seed session start/end with this time, like the reference's 'now'")
@@ -66,16 +71,19 @@ def main(argv=None) -> None:
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
-    if a.params:
-        params = TaskParams.from_json(a.params)
-    else:
-        tasks = spark.read.parquet(a.tasks) if a.tasks else derived_tasks(Tables(spark, a.data).events)
-        params = load_task_params(tasks, a.task_id)
     opts = SessionOptions(grain=a.grain, clock=a.clock, as_of=a.as_of, compat_substring=a.compat,
                           compat_null_zero=a.compat, extract_per_day=a.extract_per_day, extract_seed=a.seed,
                           sink_format=a.format,
                           sink_options=tuple(tuple(o.split("=", 1)) for o in a.sink_option))
-    paths = JOBS[a.job](spark, a.data, a.task_id, params, a.out, opts)
+    source = EventTables(spark, a.data, a.grain, a.clock) if a.data else VisitTables(spark, a.tables, database=a.database)
+    tasks = spark.read.parquet(a.tasks) if a.tasks else None
+    if a.job == "tasks":
+        paths = run_task_set(spark, source, a.out, tasks, opts)
+    elif a.task_id is None:
+        ap.error("--task-id is required")
+    else:
+        params = TaskParams.from_json(a.params) if a.params else load_task_params(source.tasks() if tasks is None else tasks, a.task_id)
+        paths = JOBS[a.job](spark, source, a.task_id, params, a.out, opts)
     for name, path in paths.items():
         print(f"{name}\t{path}")
 

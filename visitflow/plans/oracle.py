@@ -69,8 +69,11 @@ CITIES = """
 
 
 def sessions(grain="day", clock="real", params: TaskParams | None = None, as_of: str | None = None,
-             compat: bool = False) -> str:
-    """Session aggregate with list columns kw_list / cat_list and start/end seconds."""
+             compat: bool = False, by_value: bool = False) -> str:
+    """Session aggregate with list columns kw_list / cat_list and start/end seconds.
+
+    ``by_value``: in the substring fold, values of one second come in their own order, not the event ids'.
+    """
     start, end = "min(action_sec)", "max(action_sec)"
     if as_of:
         a = f"epoch_us(TIMESTAMP '{as_of}') // 1000000"
@@ -86,11 +89,11 @@ def sessions(grain="day", clock="real", params: TaskParams | None = None, as_of:
     FROM ({uva(grain, clock, params)}) a GROUP BY session_id"""
     # compat: substring fold over values ordered by first occurrence
     def fold(col):
+        fe = "v" if by_value else "arg_min(event_id, struct_pack(a := action_sec, b := event_id))"
         return f"""(SELECT session_id,
               list_reduce(list_prepend('', list(v ORDER BY fa, fe)),
                           lambda acc, x: CASE WHEN contains(acc, x) THEN acc ELSE acc || x || ',' END) AS folded
-            FROM (SELECT session_id, v, arg_min(action_sec, struct_pack(a := action_sec, b := event_id)) AS fa,
-                         arg_min(event_id, struct_pack(a := action_sec, b := event_id)) AS fe
+            FROM (SELECT session_id, v, min(action_sec) AS fa, {fe} AS fe
                   FROM (SELECT session_id, CAST({col} AS VARCHAR) AS v, action_sec, event_id
                         FROM ({uva(grain, clock, params)}) a0
                         WHERE {col} IS NOT NULL AND CAST({col} AS VARCHAR) <> '') a1
@@ -150,7 +153,7 @@ def kept(p: TaskParams, grain="day", clock="real") -> str:
 
 # The parameters of the task of 2024-01-15, by the rule of the derived tasks.
 TASK_15 = TaskParams(start_date="2024-01-15", end_date="2024-01-21", start_age=15, end_age=45, sex=("female",),
-                     keywords=("kw5", "kw8"))
+                     keywords=("kw5", "kw8"), target_page_flow=(1, 2, 3))
 
 
 def task_result(src: str) -> str:
@@ -373,7 +376,7 @@ def string_cleanup() -> str:
 
 
 def job_actions(params: TaskParams | None = None) -> str:
-    jp = params or CAT.JOB_PARAMS
+    jp = params or CAT.WHOLE_PARAMS
     return f"SELECT * FROM ({uva(params=jp)}) a WHERE session_id IN (SELECT session_id FROM ({kept(jp)}) k)"
 
 
@@ -404,7 +407,7 @@ def top10_session(acts: str) -> str:
 
 
 def random_extract(params: TaskParams | None = None) -> str:
-    src = session_rows(kept(params or CAT.JOB_PARAMS))
+    src = session_rows(kept(params or CAT.WHOLE_PARAMS))
     n, seed = CAT.EXTRACT_PER_DAY, CAT.EXTRACT_SEED
     return f"""
     WITH s AS (SELECT *, substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour,
@@ -418,14 +421,14 @@ def random_extract(params: TaskParams | None = None) -> str:
     FROM r JOIN q USING (date, hour) WHERE rn <= quota"""
 
 
-def page_rates(params: TaskParams | None = None) -> str:
-    flow = CAT.JOB_PARAMS.target_page_flow
+def page_rates(params: TaskParams | None = None, acts: str | None = None, order: str = "action_sec, event_id") -> str:
+    flow = (params or CAT.WHOLE_PARAMS).target_page_flow
     steps = ", ".join(f"({i + 1}, CAST({a} AS BIGINT), CAST({b} AS BIGINT))"
                       for i, (a, b) in enumerate(zip(flow[:-1], flow[1:])))
-    acts = job_actions(params)
+    acts = acts or job_actions(params)
     return f"""
     WITH a AS ({acts}),
-         p AS (SELECT page_id AS f, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_sec, event_id) AS t
+         p AS (SELECT page_id AS f, lead(page_id) OVER (PARTITION BY session_id ORDER BY {order}) AS t
                FROM a),
          pc AS (SELECT f, t, count(*) AS n FROM p WHERE t IS NOT NULL GROUP BY f, t),
          st AS (SELECT * FROM (VALUES {steps}) v(step, from_page, to_page)),
@@ -454,7 +457,7 @@ def area_top3(params: TaskParams | None = None) -> str:
     WITH g AS (SELECT area, click_product_id AS productid, count(*) AS clickCount,
                       array_to_string(list_sort(list(DISTINCT CAST(a.city_id AS VARCHAR) || ':' || city_name)), ',')
                         AS cityInfos
-               FROM ({uva(params=params or CAT.JOB_PARAMS)}) a JOIN ({CITIES}) c ON a.city_id = c.city_id
+               FROM ({uva(params=params or CAT.WHOLE_PARAMS)}) a JOIN ({CITIES}) c ON a.city_id = c.city_id
                WHERE click_product_id IS NOT NULL GROUP BY area, click_product_id),
          r AS (SELECT *, row_number() OVER (PARTITION BY area ORDER BY clickCount DESC, productid ASC) AS rn FROM g)
     SELECT area, CASE area {levels} ELSE '{DEFAULT_LEVEL}' END AS areaLevel, productid, cityInfos, clickCount,
@@ -464,8 +467,141 @@ def area_top3(params: TaskParams | None = None) -> str:
     FROM r LEFT JOIN part ON p_partkey = productid WHERE rn <= 3"""
 
 
+# --- every task of the task table ---------------------------------------------------
+
+def task_sessions() -> str:
+    """(task_id, session ...) of every task's kept sessions, and the task's range."""
+    p = f"({_task_params()})"
+    return f"""
+    SELECT s.*, u.age, u.professional, u.city, u.sex
+    FROM (SELECT p.task_id, p.startAge, p.endAge, p.sex AS task_sex, p.keywords AS task_keywords, p.categoryIds AS task_cats,
+                 a.session_id, max(a.user_id) AS user_id, min(action_sec) AS start_sec, max(action_sec) AS end_sec,
+                 count(*) AS step_length,
+                 list_sort(coalesce(list(DISTINCT search_keyword) FILTER (WHERE search_keyword <> ''), [])) AS kw_list,
+                 list_sort(coalesce(list(DISTINCT click_category_id) FILTER (WHERE click_category_id IS NOT NULL), [])) AS cat_list
+          FROM {p} p JOIN ({uva()}) a ON a.date BETWEEN p.startDate AND p.endDate GROUP BY ALL) s
+    JOIN ({USERS}) u ON s.user_id = u.user_id
+    WHERE u.age BETWEEN startAge AND endAge AND (task_sex IS NULL OR u.sex = task_sex)
+      AND (task_keywords IS NULL OR list_has_any(kw_list, string_split(task_keywords, ',')))
+      AND (task_cats IS NULL OR list_has_any(list_transform(cat_list, lambda x: CAST(x AS VARCHAR)), string_split(task_cats, ',')))"""
+
+
+def task_set_actions() -> str:
+    return f"""
+    SELECT k.task_id, a.* FROM ({task_sessions()}) k JOIN ({_task_params()}) p ON p.task_id = k.task_id
+    JOIN ({uva()}) a ON a.session_id = k.session_id AND a.date BETWEEN p.startDate AND p.endDate"""
+
+
+def _every_task_stat() -> str:
+    cnt = []
+    for label, lo, hi in VISIT_BUCKETS:
+        cond = f"visit_length >= {lo}" if hi is None else f"visit_length BETWEEN {lo} AND {hi}"
+        cnt.append(f"count(*) FILTER (WHERE {cond}) AS v_{label}")
+    for label, lo, hi in STEP_BUCKETS:
+        cond = f"step_length >= {lo}" if hi is None else f"step_length BETWEEN {lo} AND {hi}"
+        cnt.append(f"count(*) FILTER (WHERE {cond}) AS s_{label}")
+    names = [("v_" + label, name) for (label, _, _), name in zip(VISIT_BUCKETS, VISIT_RATIO_COLUMNS)]
+    names += [("s_" + label, name) for (label, _, _), name in zip(STEP_BUCKETS, STEP_RATIO_COLUMNS)]
+    ratios = ", ".join(f"{_ratio(c, 'session_count')} AS {name}" for c, name in names)
+    return f"""
+    SELECT task_id, session_count, {ratios} FROM (
+      SELECT t.task_id, count(k.session_id) AS session_count, {", ".join(cnt)}
+      FROM ({_tasks()}) t LEFT JOIN (SELECT *, end_sec - start_sec AS visit_length FROM ({task_sessions()}) k0) k ON k.task_id = t.task_id
+      GROUP BY t.task_id) c"""
+
+
+def task_set_sql() -> dict[str, str]:
+    from ..operators.area import DEFAULT_AREA_LEVELS, DEFAULT_LEVEL, DEFAULT_STATUS_NAMES
+    acts, n, seed = task_set_actions(), CAT.EXTRACT_PER_DAY, CAT.EXTRACT_SEED
+    counts = f"""
+    SELECT task_id, c AS categoryid, session_id AS sessionid, count(*) FILTER (WHERE kind = 0) AS clickCount,
+           count(*) FILTER (WHERE kind = 1) AS orderCount, count(*) FILTER (WHERE kind = 2) AS payCount
+    FROM (SELECT task_id, session_id, click_category_id AS c, 0 AS kind FROM ({acts}) a WHERE click_category_id IS NOT NULL
+          UNION ALL SELECT task_id, session_id, TRY_CAST(unnest(string_split(order_category_ids, ',')) AS BIGINT), 1
+                    FROM ({acts}) a WHERE order_category_ids IS NOT NULL
+          UNION ALL SELECT task_id, session_id, TRY_CAST(unnest(string_split(pay_category_ids, ',')) AS BIGINT), 2
+                    FROM ({acts}) a WHERE pay_category_ids IS NOT NULL) u
+    WHERE c IS NOT NULL GROUP BY task_id, c, session_id"""
+    top = f"""
+    SELECT task_id, categoryid, CAST(sum(clickCount) AS BIGINT) AS clickCount, CAST(sum(orderCount) AS BIGINT) AS orderCount,
+           CAST(sum(payCount) AS BIGINT) AS payCount
+    FROM ({counts}) c GROUP BY task_id, categoryid
+    QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY sum(clickCount) DESC, sum(orderCount) DESC, sum(payCount) DESC, categoryid) <= 10"""
+    steps = f"""
+    WITH a AS ({acts}),
+         p AS (SELECT task_id, page_id AS f, lead(page_id) OVER (PARTITION BY task_id, session_id ORDER BY action_sec, event_id) AS t FROM a),
+         st AS (SELECT t.task_id, v.* FROM ({_tasks()}) t, (VALUES (1, 1::BIGINT, 2::BIGINT), (2, 2::BIGINT, 3::BIGINT)) v(step, from_page, to_page)),
+         c AS (SELECT st.*, (SELECT count(*) FROM p WHERE p.task_id = st.task_id AND f = from_page AND t = to_page) AS pair_count,
+                      (SELECT count(*) FROM a WHERE a.task_id = st.task_id AND page_id = from_page) AS views FROM st),
+         l AS (SELECT *, CASE WHEN step = 1 THEN views ELSE lag(pair_count) OVER (PARTITION BY task_id ORDER BY step) END AS prev FROM c)
+    SELECT task_id, step, from_page, to_page, pair_count, {_ratio('pair_count', 'prev')} AS convert_rate FROM l"""
+    levels = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in DEFAULT_AREA_LEVELS.items())
+    status = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in DEFAULT_STATUS_NAMES.items())
+    return {
+        "tasks_session_aggr_stat": _every_task_stat(),
+        "tasks_session_detail": f"""
+    SELECT task_id, user_id AS userid, session_id AS sessionid, page_id AS pageid, action_time AS actionTime,
+           search_keyword AS searchKeyword, click_category_id AS clickCategoryId, click_product_id AS clickProductId,
+           order_category_ids AS orderCategoryIds, order_product_ids AS orderProductIds,
+           pay_category_ids AS payCategoryIds, pay_product_ids AS payProductIds FROM ({acts}) a""",
+        "tasks_session_random_extract": f"""
+    WITH s AS (SELECT task_id, session_id, {_ts_text('start_sec')} AS start_time, kw_list, cat_list,
+                      md5('{seed}' || session_id) AS h FROM ({task_sessions()}) x),
+         d AS (SELECT *, substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour FROM s),
+         c AS (SELECT task_id, date, hour, count(*) AS n_hour FROM d GROUP BY ALL),
+         q AS (SELECT *, least(n_hour, greatest(1, CAST(floor(CAST({n} AS DOUBLE) * n_hour /
+                      CAST(sum(n_hour) OVER (PARTITION BY task_id, date) AS DOUBLE)) AS BIGINT))) AS quota FROM c),
+         r AS (SELECT *, row_number() OVER (PARTITION BY task_id, date, hour ORDER BY h, session_id) AS rn FROM d)
+    SELECT task_id, session_id AS sessionid, start_time AS startTime, array_to_string(kw_list, ',') AS searchKeywords,
+           array_to_string(cat_list, ',') AS clickCategoryIds
+    FROM r JOIN q USING (task_id, date, hour) WHERE rn <= quota""",
+        "tasks_top10_category": top,
+        "tasks_top10_category_session": f"""
+    SELECT c.task_id, c.categoryid, c.sessionid, c.clickCount
+    FROM ({counts}) c JOIN ({top}) t ON t.task_id = c.task_id AND t.categoryid = c.categoryid
+    WHERE c.clickCount > 0
+    QUALIFY row_number() OVER (PARTITION BY c.task_id, c.categoryid ORDER BY c.clickCount DESC, c.sessionid) <= 10""",
+        "tasks_page_split_convert_steps": steps,
+        "tasks_page_split_convert_rate": f"""
+    SELECT task_id, string_agg(CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) || '=' ||
+                               CAST(convert_rate AS VARCHAR), '|' ORDER BY step) AS convertRate
+    FROM ({steps}) r GROUP BY task_id""",
+        "tasks_area_top3_product": f"""
+    WITH g AS (SELECT task_id, area, click_product_id AS productid, count(*) AS clickCount,
+                      array_to_string(list_sort(list(DISTINCT CAST(a.city_id AS VARCHAR) || ':' || city_name)), ',') AS cityInfos
+               FROM ({_task_params()}) p JOIN ({uva()}) a ON a.date BETWEEN p.startDate AND p.endDate
+               JOIN ({CITIES}) c ON a.city_id = c.city_id
+               WHERE click_product_id IS NOT NULL GROUP BY task_id, area, click_product_id),
+         r AS (SELECT *, row_number() OVER (PARTITION BY task_id, area ORDER BY clickCount DESC, productid ASC) AS rn FROM g)
+    SELECT task_id, area, CASE area {levels} ELSE '{DEFAULT_LEVEL}' END AS areaLevel, productid, cityInfos, clickCount,
+           p_name AS productName,
+           CASE json_extract_string('{{"product_status": ' || CAST(p_partkey % 2 AS VARCHAR) || '}}',
+                                    '$.product_status') {status} END AS productStatus
+    FROM r LEFT JOIN part ON p_partkey = productid WHERE rn <= 3""",
+    }
+
+
+# --- the stored visit tables ---------------------------------------------------------
+
+def stored_table_sql() -> dict[str, str]:
+    """The same rows as from the events, with the time as unpadded text and no event id to order by."""
+    t = "make_timestamp(action_sec * 1000000)"
+    text = (f"date || ' ' || CAST(hour({t}) AS VARCHAR) || ':' || strftime({t}, '%M') || ':' || strftime({t}, '%S')")
+    return {
+        "table_actions_by_date_range": f"SELECT * EXCLUDE (event_id) REPLACE ({text} AS action_time) FROM ("
+                                       + uva(params=TaskParams(start_date="2024-01-10", end_date="2024-01-12")) + ") a",
+        "table_session_full_info": session_rows(full_sessions(), USER_EXTRA),
+        "table_session_compat": session_rows(sessions(compat=True, by_value=True)),
+        "table_page_convert_rate": page_rates(acts=uva(), order="action_sec, page_id NULLS FIRST"),
+        "table_view_sql": f"""
+            SELECT u.user_id, u.name, u.age, u.professional, u.city, u.sex, count(*) AS actions, count(DISTINCT a.session_id) AS sessions
+            FROM ({uva(params=TaskParams(start_date="2024-01-08", end_date="2024-01-20"))}) a JOIN ({USERS}) u ON a.user_id = u.user_id
+            GROUP BY u.user_id, u.name, u.age, u.professional, u.city, u.sex""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    jp, fp = CAT.JOB_PARAMS, CAT.FILTER_PARAMS
+    jp, fp = CAT.WHOLE_PARAMS, CAT.FILTER_PARAMS
     out = {
         "actions_by_date_range":
             "SELECT * EXCLUDE (action_sec) FROM ("
@@ -482,6 +618,13 @@ def oracle_sql() -> dict[str, str]:
     out["filter_shared_sessions"] = session_rows(shared_sessions(fp["filter_age"]), USER_EXTRA)
     out["task_session_aggr_stat"] = task_result(session_aggr_stat(kept(TASK_15)))
     out["task_session_detail"] = task_result(detail(TASK_15))
+    out["task_session_random_extract"] = task_result(random_extract(TASK_15))
+    out["task_page_split_convert_rate"] = task_result(page_rate_text(TASK_15))
+    out["task_page_split_convert_steps"] = task_result(page_rates(TASK_15))
+    out["task_area_top3_product"] = task_result(area_top3(TASK_15))
+    for name in ("session_aggr_stat", "session_random_extract", "area_top3_product"):
+        out[f"table_{name}"] = out[f"task_{name}"]
+    out |= task_set_sql() | stored_table_sql()
     out["task_top10_category"] = task_result(top10_category(task_actions(TASK_15)))
     out["task_top10_category_session"] = task_result(top10_session(task_actions(TASK_15)))
     out["format_double"] = f"""

@@ -7,6 +7,9 @@ tasks untouched (the reference appends, duplicating on rerun).
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,69 @@ def write_result(df: DataFrame, out_dir: str, table: str, task_id: int, fmt: str
     return path
 
 
+def write_results(outputs: dict[str, DataFrame], out_dir: str, task_id: int, fmt: str = "parquet",
+                  options: dict[str, str] | None = None) -> dict[str, str]:
+    """Writes a task's result tables together: all of them are replaced, or none.
+
+    The tables are independent Spark jobs, run from one driver thread each,
+    into a pending folder beside the results. Only when every one of them is
+    written do they take their places, by renames of the file system. A failed
+    table leaves the earlier results as they were. ``fmt="jdbc"`` appends, as
+    the database's own transactions end with each table.
+    """
+    if fmt == "jdbc":
+        return {name: write_result(df, out_dir, name, task_id, fmt, options) for name, df in outputs.items()}
+    out_dir = out_dir.rstrip("/")
+    pending = f"{out_dir}/_pending/{int(task_id)}-{uuid.uuid4().hex}"
+    spark = next(iter(outputs.values())).sparkSession
+    try:
+        with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+            jobs = [pool.submit(df.write.format(fmt).options(**(options or {})).mode("overwrite").save, f"{pending}/{name}")
+                    for name, df in outputs.items()]
+            for job in jobs:
+                job.result()
+        return {name: _publish(spark, f"{pending}/{name}", f"{out_dir}/{name}", f"taskid={int(task_id)}") for name in outputs}
+    finally:
+        _delete(spark, pending)
+
+
+def write_task_results(outputs: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
+                       options: dict[str, str] | None = None) -> dict[str, str]:
+    """Result tables of many tasks at once: each ``task_id`` replaces its own folder (dynamic partition overwrite)."""
+    if fmt == "jdbc":
+        raise ValueError("results of many tasks go to files")
+    out = {}
+    for name, df in outputs.items():
+        path = f"{out_dir.rstrip('/')}/{name}"
+        (df.withColumnRenamed("task_id", "taskid").write.format(fmt).options(**(options or {})).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("taskid").save(path))
+        out[name] = path
+    return out
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _publish(spark: SparkSession, pending: str, table: str, part: str) -> str:
+    """Puts a written folder in the place of the table's part."""
+    source, fs = _path(spark, pending)
+    folder, _ = _path(spark, table)
+    target, _ = _path(spark, f"{table}/{part}")
+    fs.mkdirs(folder)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {pending} to {table}/{part}")
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
 def read_result(spark: SparkSession, out_dir: str, table: str, task_id: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
     """Rows of a result table, ``taskid`` first (on disk it is the folder's column, which Spark puts last)."""

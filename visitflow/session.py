@@ -81,8 +81,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """This application's folder for intermediate tables."""
-    return f"{checkpoint_dir(spark)}/visitflow/{spark.sparkContext.applicationId}"
+    """This application's folder for intermediate tables, deleted with all it holds when the driver ends."""
+    root = f"{checkpoint_dir(spark)}/visitflow/{spark.sparkContext.applicationId}"
+    if root not in _marked:
+        _marked.add(root)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return root
+
+
+_marked: set[str] = set()
 
 
 def _count():
