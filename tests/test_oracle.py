@@ -21,9 +21,18 @@ def test_every_query_has_sql():
     assert set(catalog.queries()) <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+# plan shapes that break at scale; the visit analytics need none of them
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+             "MapInArrow", "FlatMapGroupsInPandas", "PythonMapInArrow")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in SQL if not n.startswith("whole_")))
 def test_query_matches_oracle(spark, con, name):
-    ok, n, _, _, why = compare(spark, con, name, QUERIES[name], SQL[name], SF_ORACLE)
+    df = QUERIES[name](spark, SF_ORACLE)
+    if name in catalog.queries():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [op for op in FORBIDDEN if op in plan]
+    ok, n, _, _, why = compare(spark, con, name, lambda spark, d: df, SQL[name], SF_ORACLE)
     assert ok, why
 
 

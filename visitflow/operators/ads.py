@@ -19,6 +19,8 @@ LOG_COLUMNS = ("ts", "date", "province", "city", "user_id", "ad_id")
 USER_KEYS = ("date", "user_id", "ad_id")
 STAT_KEYS = ("date", "province", "city", "ad_id")
 PROVINCE_KEYS = ("date", "province")
+AD_KEYS = (*PROVINCE_KEYS, "ad_id")
+CELL_KEYS = ("date", "user_id", "province", "city", "ad_id")
 TREND_KEYS = ("date", "hour", "minute", "ad_id")
 
 
@@ -45,9 +47,19 @@ def parse_log(lines: DataFrame, col: str = "value") -> DataFrame:
             .select(*LOG_COLUMNS))
 
 
+def click_cells(clicks: DataFrame) -> DataFrame:
+    """Clicks per (date, user, province, city, ad): all a batch needs to know, combined before any shuffle."""
+    return clicks.groupBy(*CELL_KEYS).agg(F.count(F.lit(1)).alias("click_count"))
+
+
 def user_click_counts(clicks: DataFrame) -> DataFrame:
-    """Clicks per (date, user, ad) — per batch these are the deltas for K9."""
-    return clicks.groupBy(*USER_KEYS).agg(F.count(F.lit(1)).alias("click_count"))
+    """Clicks per (date, user, ad) — per batch these are the deltas for K9. Takes single clicks or cells."""
+    return clicks.groupBy(*USER_KEYS).agg(_clicks(clicks))
+
+
+def _clicks(rows: DataFrame):
+    n = F.sum("click_count") if "click_count" in rows.columns else F.count(F.lit(1))
+    return n.alias("click_count")
 
 
 def blacklist_candidates(user_counts: DataFrame, threshold: int) -> DataFrame:
@@ -55,14 +67,40 @@ def blacklist_candidates(user_counts: DataFrame, threshold: int) -> DataFrame:
     return user_counts.where(F.col("click_count") >= threshold).select("user_id").distinct()
 
 
-def without_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Drop clicks of blacklisted users (anti join; Spark broadcasts by size)."""
-    return clicks.join(blacklist.select("user_id").distinct(), "user_id", "left_anti")
+FILTER_BITS = 1 << 23      # slots of the blacklist's bitmap: 256 rows of 4 KB, whatever the blacklist's size
+
+
+def possible_members(clicks: DataFrame, users: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``clicks`` with ``possible``: false only where the user is certainly not among ``users``.
+
+    The users' hashes, modulo ``bits``, are set in a bitmap by Spark's bitmap
+    aggregate. It has ``bits / 32768`` rows of 4 KB, a proven bound for the
+    broadcast; many more users than bits only make more clicks possible.
+    """
+    slot = F.pmod(F.xxhash64("user_id"), F.lit(bits)) + 1
+    bitmap = (users.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")))
+    rows = clicks.withColumns({"bucket": F.bitmap_bucket_number(slot), "place": F.bitmap_bit_position(slot)})
+    is_set = F.expr("getbit(CAST(conv(hex(substring(bitmap, CAST(place DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST(place % 8 AS INT)) = 1")
+    return rows.join(F.broadcast(bitmap), "bucket", "left").select(
+        *clicks.columns, (F.col("bitmap").isNotNull() & F.coalesce(is_set, F.lit(False))).alias("possible"))
+
+
+def without_blacklisted(clicks: DataFrame, blacklist: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Drop clicks of blacklisted users.
+
+    A bitmap of the blacklist lets most clicks pass where they are; only those
+    of possible members are shuffled to the exact anti join.
+    """
+    users = blacklist.select("user_id").distinct()
+    marked = possible_members(clicks, users, bits)
+    exact = marked.where("possible").drop("possible").join(users, "user_id", "left_anti").select(*clicks.columns)
+    return marked.where("NOT possible").drop("possible").unionByName(exact)
 
 
 def ad_stat(clicks: DataFrame) -> DataFrame:
-    """Clicks per (date, province, city, ad)."""
-    return clicks.groupBy(*STAT_KEYS).agg(F.count(F.lit(1)).alias("click_count"))
+    """Clicks per (date, province, city, ad). Takes single clicks or cells."""
+    return clicks.groupBy(*STAT_KEYS).agg(_clicks(clicks))
 
 
 def province_top3(stat: DataFrame, k: int = 3) -> DataFrame:
@@ -71,10 +109,40 @@ def province_top3(stat: DataFrame, k: int = 3) -> DataFrame:
     The row_number filter becomes a partial WindowGroupLimit before the shuffle,
     so a hot province ships at most k rows per task.
     """
-    per_province = stat.groupBy(*PROVINCE_KEYS, "ad_id").agg(F.sum("click_count").alias("click_count"))
+    return _first_k(_per_ad(stat), k)
+
+
+def _per_ad(stat: DataFrame) -> DataFrame:
+    return stat.groupBy(*AD_KEYS).agg(F.sum("click_count").alias("click_count"))
+
+
+def _first_k(per_ad: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy(*PROVINCE_KEYS).orderBy(F.desc("click_count"), F.asc("ad_id"))
-    return (per_province.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-            .select(*PROVINCE_KEYS, "ad_id", "click_count"))
+    return per_ad.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).select(*AD_KEYS, "click_count")
+
+
+def top3_updates(stat: DataFrame, top3: DataFrame, delta: DataFrame, k: int = 3) -> DataFrame:
+    """C9 for a batch: the new top k of every (date, province) that ``delta`` touches.
+
+    Counts only grow, so a group's new top k lies among its old top k and the
+    ads of the batch: no ad outside both can pass the old ones. ``stat`` (before
+    the batch) is summed for the batch's ads alone, no province is ranked whole.
+    """
+    batch = _per_ad(delta)
+    before = _per_ad(stat.join(batch.select(*AD_KEYS), list(AD_KEYS), "left_semi"))
+    totals = batch.unionByName(before).groupBy(*AD_KEYS).agg(F.sum("click_count").alias("click_count"))
+    old = (top3.join(batch.select(*PROVINCE_KEYS).distinct(), list(PROVINCE_KEYS), "left_semi")
+           .join(batch.select(*AD_KEYS), list(AD_KEYS), "left_anti").select(*AD_KEYS, "click_count"))
+    return _first_k(totals.unionByName(old), k)
+
+
+def new_blacklisted(counts: DataFrame, delta: DataFrame, threshold: int) -> DataFrame:
+    """C7 for a batch: users whose count of some (date, ad) reaches ``threshold`` with it.
+
+    Only keys of the batch can change; ``counts`` (before it) is summed for these alone.
+    """
+    before = counts.join(delta.select(*USER_KEYS), list(USER_KEYS), "left_semi")
+    return blacklist_candidates(merge_increment(before, delta, USER_KEYS), threshold)
 
 
 def click_trend(clicks: DataFrame) -> DataFrame:
@@ -114,23 +182,20 @@ def apply_batch(state: AdState, clicks: DataFrame, threshold: int) -> tuple[AdSt
 
     1. J3  drop clicks of users already blacklisted
     2. C6/K9  per (date, user, ad) deltas, increment-merged into the counts
-    3. C7/K8  users whose merged count reaches ``threshold`` join the blacklist
+    3. C7/K8  users whose merged count reaches ``threshold`` join the blacklist; their clicks passed
+       step 1, so none of them is in it yet
     4. C8/K10 per (date, province, city, ad) counts; the stored counts are
        cumulative, so the merge adds the deltas (the same rows a replace with
        cumulative counts writes)
-    5. C9/K12 top 3 of every touched (date, province) replaces that group
+    5. C9/K12 the top 3 of every touched (date, province), from its old top 3 and the batch, replaces that group
     """
-    clean = without_blacklisted(clicks, state.blacklist)
-    counts = merge_increment(state.counts, user_click_counts(clean), USER_KEYS)
-    new_users = (blacklist_candidates(counts, threshold)
-                 .join(state.blacklist.select("user_id"), "user_id", "left_anti"))
+    clean = without_blacklisted(click_cells(clicks), state.blacklist)
+    users, places = user_click_counts(clean), ad_stat(clean)
+    new_users = new_blacklisted(state.counts, users, threshold)
     blacklist = state.blacklist.select("user_id").unionByName(new_users)
-    delta = ad_stat(clean)
-    stat = merge_increment(state.stat, delta, STAT_KEYS)
-    # the groups this batch touches: a distinct with partial aggregation, then a semi-join
-    touched = delta.select(*PROVINCE_KEYS).distinct()
-    top3 = merge_replace_group(state.top3, province_top3(stat.join(touched, list(PROVINCE_KEYS), "left_semi")), PROVINCE_KEYS)
-    return AdState(counts, blacklist, stat, top3), new_users
+    top3 = merge_replace_group(state.top3, top3_updates(state.stat, state.top3, places), PROVINCE_KEYS)
+    return AdState(merge_increment(state.counts, users, USER_KEYS), blacklist,
+                   merge_increment(state.stat, places, STAT_KEYS), top3), new_users
 
 
 def batch_stats(clicks: DataFrame, threshold: int, state: AdState | None = None) -> dict[str, DataFrame]:

@@ -222,6 +222,31 @@ def q_merge_replace_minute(spark, d):
     return M.merge(tgt, upd, AD.TREND_KEYS, "replace")
 
 
+MERGE_BUCKETS = 8
+
+
+def _bucketed_query(name, mode, build, keys):
+    """The merge into a stored table bucketed by its keys; only the updates are shuffled."""
+    def q(spark, d):
+        from uuid import uuid4
+        tgt, upd = _target_updates(Tables(spark, d), build)
+        table = f"visitflow_{name}_{uuid4().hex}"
+        M.store_bucketed(tgt, table, keys, MERGE_BUCKETS)
+        try:
+            return materialize(M.merge_bucketed(spark, table, upd, keys, mode, MERGE_BUCKETS), name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    q.__name__ = f"q_{name}"
+    return q
+
+
+BUCKETED_MERGES = {
+    "merge_bucketed_increment": ("increment", AD.user_click_counts, AD.USER_KEYS),
+    "merge_bucketed_replace": ("replace", AD.ad_stat, AD.STAT_KEYS),
+    "merge_bucketed_replace_minute": ("replace", AD.click_trend, AD.TREND_KEYS),
+}
+
+
 def q_merge_replace_group(spark, d):
     tgt, upd = _target_updates(Tables(spark, d), lambda c: AD.province_top3(AD.ad_stat(c)))
     return M.merge(tgt, upd, AD.PROVINCE_KEYS, "replace_group")
@@ -256,17 +281,21 @@ def _ad_batch_query(name):
 STREAM_CUT = "2024-01-12 00:00:00"
 
 
-def two_batch_state(t: Tables) -> AD.AdState:
+STATE_NEEDED = {"counts": ("counts", "blacklist"), "blacklist": ("counts", "blacklist"), "stat": ("blacklist", "stat"),
+                "top3": ("blacklist", "stat", "top3")}
+
+
+def two_batch_state(t: Tables, needed=tuple(AD.STATE_SCHEMAS)) -> AD.AdState:
+    """The state after two batches; only the tables in ``needed`` of the first are stored in between, as the stream's are."""
     first, _ = AD.apply_batch(AD.empty_state(t.spark), ad_clicks(t, end=STREAM_CUT), BLACKLIST_THRESHOLD)
-    # stored between the batches, as the stream's state is: the second batch reads tables, not the first's plan
-    first = AD.AdState(**{f: materialize(getattr(first, f), f"first-{f}") for f in AD.STATE_SCHEMAS})
+    first = first._replace(**{f: materialize(getattr(first, f), f"first-{f}") for f in needed})
     second, _ = AD.apply_batch(first, ad_clicks(t, start=STREAM_CUT), BLACKLIST_THRESHOLD)
     return second
 
 
 def _two_batch_query(field):
     def q(spark, d):
-        return getattr(two_batch_state(Tables(spark, d)), field)
+        return getattr(two_batch_state(Tables(spark, d), STATE_NEEDED[field]), field)
     q.__name__ = f"q_two_batch_{field}"
     return q
 
@@ -565,6 +594,8 @@ def queries() -> dict[str, Query]:
     for name in ("session_aggr_stat", "top10_category", "top10_category_session", "session_random_extract",
                  "page_convert_rate", "page_convert_rate_text", "area_top3_product"):
         out[f"whole_{name}"] = out[name]
+    for name, spec in BUCKETED_MERGES.items():
+        out[name] = _bucketed_query(name, *spec)
     for name in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
         out[name] = _ad_batch_query(name)
     for field in ("counts", "blacklist", "stat", "top3"):

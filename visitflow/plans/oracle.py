@@ -690,6 +690,8 @@ def oracle_sql() -> dict[str, str]:
         "ad_province_top3": top3(_count(call, STAT_KEYS)),
         "ad_click_trend": _count(call, TREND_KEYS),
     })
+    for name in CAT.BUCKETED_MERGES:                     # the same rows, merged where they are stored
+        out[name] = out[name.replace("bucketed_", "")]
     # two micro-batches: b1 = clicks before the cut, b2 = the rest minus b1's blacklist
     b1, b2raw = clicks(end=CAT.STREAM_CUT), clicks(start=CAT.STREAM_CUT)
     black1 = blacklist(b1, th)

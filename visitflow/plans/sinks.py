@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import files
 from ..session import scratch_path, scratch_root
 
 
@@ -56,9 +57,11 @@ def write_results(outputs: dict[str, DataFrame], out_dir: str, task_id: int, fmt
                     for name, df in outputs.items()]
             for job in jobs:
                 job.result()
-        return {name: _publish(spark, f"{pending}/{name}", f"{out_dir}/{name}", f"taskid={int(task_id)}") for name in outputs}
+        for name in outputs:
+            files.publish(spark, f"{pending}/{name}", f"{out_dir}/{name}", f"taskid={int(task_id)}")
+        return {name: f"{out_dir}/{name}" for name in outputs}
     finally:
-        _delete(spark, pending)
+        files.delete(spark, pending)
 
 
 def write_task_results(outputs: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
@@ -75,29 +78,6 @@ def write_task_results(outputs: dict[str, DataFrame], out_dir: str, fmt: str = "
     return out
 
 
-def _path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _publish(spark: SparkSession, pending: str, table: str, part: str) -> str:
-    """Puts a written folder in the place of the table's part."""
-    source, fs = _path(spark, pending)
-    folder, _ = _path(spark, table)
-    target, _ = _path(spark, f"{table}/{part}")
-    fs.mkdirs(folder)
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {pending} to {table}/{part}")
-    return table
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    p, fs = _path(spark, path)
-    fs.delete(p, True)
-
-
 def read_result(spark: SparkSession, out_dir: str, table: str, task_id: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
     """Rows of a result table, ``taskid`` first (on disk it is the folder's column, which Spark puts last)."""
@@ -127,5 +107,4 @@ def discard(df: DataFrame) -> None:
     base = scratch_root(spark)
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if base.split(":", 1)[-1].lstrip("/") in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            files.delete(spark, folder)

@@ -2,67 +2,58 @@
 
 Two streaming queries share the parsed click stream (T1):
 
-* the **state stream** runs ``apply_batch`` in ``foreachBatch``: the blacklist
-  is re-read for every micro-batch (T5), counts are increment-merged (T4), the
-  ad stat and each touched province's top 3 are merged (T3);
-* the **trend stream** is a native windowed aggregation — watermark, 1-minute
-  tumbling windows, update mode — whose changed windows replace-merge into
-  the trend table (T2).
-
-State lives in a :class:`VersionedTables` folder inside the shared checkpoint
-folder: a batch writes new versions of only the dates it touches and commits
-by writing a manifest, so a replayed batch id is skipped and a batch that
-failed half-way is recomputed from the previous commit (exactly once).
+* the **state stream** works in ``foreachBatch``: the blacklist is re-read for
+  every micro-batch (T5); counts (T4) and ad stat (T3) get the batch's
+  increments, each touched province its new top 3, the blacklist its new users;
+* the **trend stream** is a native windowed aggregation in Spark's RocksDB state
+  store: watermark, 1-minute tumbling windows, update mode. The windows that
+  changed are appended with their counts so far (T2).
+
+Nothing stored is ever rewritten by a batch. A table is a Parquet folder
+``<table>/batch=<n>/date=<d>``; a batch writes its own ``batch=<n>`` and the tables
+are read as aggregates over it: sums of increments, the largest count so far,
+the latest top 3. The only record beside the data is the number of the last
+whole batch. A batch that failed half-way has the next number again, so
+its leftovers are overwritten (exactly once).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ..operators.ads import STATE_SCHEMAS, TREND_KEYS, AdState, apply_batch, parse_log
-from ..operators.merge import merge_replace
+from .. import files
+from ..operators.ads import (PROVINCE_KEYS, STAT_KEYS, STATE_SCHEMAS, TREND_KEYS, USER_KEYS, AdState, ad_stat, click_cells,
+                             new_blacklisted, parse_log, top3_updates, user_click_counts, without_blacklisted)
+from ..plans.sinks import discard, materialize
 from ..session import checkpoint_dir, empty_frame
 
 TREND_SCHEMA = "date string, hour string, minute string, ad_id bigint, click_count bigint"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-class VersionedTables:
-    """Date-partitioned tables with per-batch versions and a manifest as commit record.
+class BatchTables:
+    """Append-only tables below ``root`` and the number of their last whole batch.
 
-    Layout under ``root``:
-      ``<table>/v=<batch>/date=<d>/``  rows of one date as of that batch
-      ``<log>/v=<batch>/``             append-only tables (one version per batch)
-      ``_manifest/v=<batch>/``         (table, date, version) of the commit
+    ``_commits`` holds one empty file, ``<number>-<generation>-<batch id>``: the last
+    commit. ``_owner`` names the stream checkpoint whose batches these are.
     """
 
-    def __init__(self, spark: SparkSession, root: str, dated: dict[str, str], logs: dict[str, str],
-                 owner: str | None = None):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.dated, self.logs = dated, logs
-        self.owner = owner         # the stream checkpoint whose batches this state takes; None: plain batches
-        self._last: int | None = None
-        self._known = False
+    schemas: dict[str, str] = {}
+
+    def __init__(self, spark: SparkSession, root: str, owner: str | None = None):
+        self.spark, self.root, self.owner = spark, root.rstrip("/"), owner
 
     # -- commits -------------------------------------------------------------
-    def last_commit(self) -> int | None:
-        """The newest committed batch id; scanned once, then tracked by ``commit``."""
-        if not self._known:
-            self._last, self._known = self._scan_last_commit(), True
-        return self._last
+    def _last(self) -> tuple[int, int, int | None]:
+        """(number, generation, batch id) of the last whole batch; number 0 before the first."""
+        found = [tuple(int(x) for x in n.split("-")) for n in files.names(self.spark, f"{self.root}/_commits")]
+        return max(found) if found else (0, 0, None)
 
-    def _scan_last_commit(self) -> int | None:
-        try:
-            m = self.spark.read.json(f"{self.root}/_manifest")
-        except AnalysisException:
-            return None
-        if "v" not in m.columns:
-            return None
-        row = m.agg(F.max("v").alias("v")).collect()[0]
-        return None if row["v"] is None else int(row["v"])
+    def last_commit(self) -> int | None:
+        """The newest committed batch id."""
+        return self._last()[2]
 
     def admit(self, batch_id: int) -> bool:
         """True for a new batch of this state's own source, False for a replay of a committed one.
@@ -74,8 +65,7 @@ class VersionedTables:
         last = self.last_commit()
         if last is None:
             return True
-        row = self.spark.read.schema("owner string").json(f"{self.root}/_manifest/v={last}").first()
-        owner = row["owner"] if row else None
+        owner = files.read_text(self.spark, f"{self.root}/_owner") or None
         if owner != self.owner:
             raise RuntimeError(f"state {self.root} belongs to the batches of {owner or 'plain calls'}, "
                                f"not of {self.owner or 'plain calls'}")
@@ -85,129 +75,130 @@ class VersionedTables:
             raise ValueError(f"batch {batch_id} is not after the last committed batch {last} of {self.root}")
         return False
 
-    def manifest(self, version: int | None) -> list[tuple[str, str, int]]:
-        """(table, date, version) rows of a commit: tables x dates, a bounded handful."""
-        if version is None:
-            return []
-        rows = self.spark.read.json(f"{self.root}/_manifest/v={version}").collect()
-        return [(r["table"], r["date"], int(r["version"])) for r in rows if r["table"] is not None]
-
-    # -- reads ---------------------------------------------------------------
-    def read(self, table: str, dates: Iterable[str] | None, version: int | None) -> DataFrame:
-        """Rows of ``table`` for ``dates`` (all dates if None) as of commit ``version``."""
-        want = None if dates is None else set(dates)
-        paths = [f"{self.root}/{t}/v={v}/date={d}" for t, d, v in self.manifest(version)
-                 if t == table and (want is None or d in want)]
-        schema = self.dated[table]
-        if not paths:
+    def _commit(self, number: int, generation: int, batch_id: int) -> None:
+        """Makes a batch the last whole one: one file appears, then the older ones go."""
+        if number == 1:
+            files.write_text(self.spark, f"{self.root}/_owner", self.owner or "")
+        folder, name = f"{self.root}/_commits", f"{number}-{generation}-{batch_id}"
+        files.write_text(self.spark, f"{folder}/{name}", "")
+        for old in files.names(self.spark, folder):
+            if old != name:
+                files.delete(self.spark, f"{folder}/{old}")
+
+    # -- rows ----------------------------------------------------------------
+    def _columns(self, table: str) -> list[str]:
+        """In their declared order: a folder's column would come last."""
+        return [f.split()[0] for f in self.schemas[table].split(", ")]
+
+    def _folder(self, table: str, generation: int) -> str:
+        return f"{self.root}/{table}-{generation}"
+
+    def rows(self, table: str, dates: tuple[str, str] | None = None) -> DataFrame:
+        """Rows of all whole batches with their ``batch``; ``dates`` (first, last) prune the folders."""
+        number, generation, _ = self._last()
+        schema = f"{self.schemas[table]}, batch bigint"
+        if not number:
             return empty_frame(self.spark, schema)
-        df = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
-        return df.selectExpr(*_typed(schema))
-
-    def read_log(self, table: str, version: int | None) -> DataFrame:
-        schema = self.logs[table]
-        if version is None:
-            return empty_frame(self.spark, schema)
-        try:
-            df = self.spark.read.parquet(f"{self.root}/{table}")
-        except AnalysisException:
-            return empty_frame(self.spark, schema)
-        return df.where(F.col("v") <= F.lit(version)).selectExpr(*_typed(schema))
-
-    # -- writes --------------------------------------------------------------
-    def write_dated(self, table: str, batch_id: int, df: DataFrame) -> None:
-        (df.write.mode("overwrite").partitionBy("date")
-         .parquet(f"{self.root}/{table}/v={batch_id}"))
-
-    def write_log(self, table: str, batch_id: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{table}/v={batch_id}")
-
-    def commit(self, batch_id: int, previous: int | None, touched: dict[str, Sequence[str]]) -> None:
-        """Write the manifest of ``batch_id``: previous entries, touched dates moved to it."""
-        rows = {(t, d): v for t, d, v in self.manifest(previous)}
-        for table, dates in touched.items():
-            for d in dates:
-                rows[(table, d)] = batch_id
-        data = [(t, d, v, self.owner) for (t, d), v in sorted(rows.items())] or [(None, None, batch_id, self.owner)]
-        (self.spark.createDataFrame(data, "table string, date string, version bigint, owner string")
-         .coalesce(1).write.mode("overwrite").json(f"{self.root}/_manifest/v={batch_id}"))
-        self._last, self._known = batch_id, True
-
+        found = self.spark.read.schema(schema).parquet(self._folder(table, generation)).where(F.col("batch") <= number)
+        found = found.select(*self._columns(table), "batch")
+        if dates is not None and "date" in found.columns:
+            found = found.where(F.col("date").between(*dates))
+        return found
+
+    def _write(self, table: str, number: int, generation: int, df: DataFrame) -> DataFrame:
+        """Writes a batch's own rows and returns them as stored."""
+        folder = f"{self._folder(table, generation)}/batch={number}"
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy("date") if "date" in df.columns else writer).parquet(folder)
+        return self.spark.read.schema(self.schemas[table]).parquet(folder).select(*self._columns(table))
+
+    def whole(self, table: str, dates: tuple[str, str] | None = None) -> DataFrame:
+        """The table as of the last whole batch."""
+        raise NotImplementedError
+
+    def compact(self) -> None:
+        """Rewrites every table as one batch, so that reading it opens few files again.
+
+        The new folders take the place of the old ones with the commit file;
+        until then, and if the rewrite fails, the old ones count. Run it
+        between batches.
+        """
+        number, generation, batch_id = self._last()
+        if not number:
+            return
+        for table in self.schemas:
+            files.delete(self.spark, self._folder(table, generation + 1))
+            self._write(table, number, generation + 1, self.whole(table))
+        self._commit(number, generation + 1, batch_id)
+        for table in self.schemas:
+            files.delete(self.spark, self._folder(table, generation))
 
-def _typed(schema: str) -> list[str]:
-    """``name type, ...`` -> casts (partition discovery may infer other types)."""
-    fields = [f.split() for f in schema.split(", ")]
-    return [f"CAST({n} AS {t}) AS {n}" for n, t in fields]
 
+def _dates(df: DataFrame) -> tuple[str, str] | None:
+    """First and last date of one micro-batch (one row)."""
+    low, high = df.agg(F.min("date"), F.max("date")).first()
+    return None if low is None else (low, high)
 
-def _dates(df: DataFrame) -> list[str]:
-    """Distinct dates of one micro-batch (a few values: the batch's time span in days)."""
-    return sorted(r["date"] for r in df.select("date").distinct().collect() if r["date"] is not None)
 
+class AdStateStore(BatchTables):
+    """The ad tables of the state stream: counts and stat as increments, top 3 by group, the blacklist as a log."""
 
-class AdStateStore(VersionedTables):
-    """The ad tables of the state stream (counts, stat, top3 by date; blacklist as a log)."""
+    schemas = STATE_SCHEMAS
+    sums = {"counts": USER_KEYS, "stat": STAT_KEYS}
 
-    def __init__(self, spark: SparkSession, root: str, owner: str | None = None):
-        super().__init__(spark, root,
-                         dated={k: STATE_SCHEMAS[k] for k in ("counts", "stat", "top3")},
-                         logs={"blacklist": STATE_SCHEMAS["blacklist"]}, owner=owner)
+    def whole(self, table: str, dates: tuple[str, str] | None = None) -> DataFrame:
+        rows = self.rows(table, dates)
+        if table in self.sums:
+            return rows.groupBy(*self.sums[table]).agg(F.sum("click_count").alias("click_count"))
+        if table == "blacklist":
+            return rows.select("user_id")
+        latest = F.rank().over(Window.partitionBy(*PROVINCE_KEYS).orderBy(F.desc("batch")))     # K12: the last rows of a group
+        return rows.withColumn("age", latest).where("age = 1").drop("age", "batch")
 
-    def state(self, dates: Iterable[str] | None = None) -> AdState:
-        v = self.last_commit()
-        return AdState(counts=self.read("counts", dates, v), blacklist=self.read_log("blacklist", v),
-                       stat=self.read("stat", dates, v), top3=self.read("top3", dates, v))
+    def state(self, dates: tuple[str, str] | None = None) -> AdState:
+        return AdState(**{table: self.whole(table, dates) for table in self.schemas})
 
     def apply(self, clicks: DataFrame, batch_id: int, threshold: int) -> bool:
-        """Apply one micro-batch exactly once; False for a replay of a committed one (see ``admit``)."""
+        """Apply one micro-batch exactly once; False for a replay of a committed one (see ``admit``).
+
+        Every step writes its rows and the next reads them: nothing is computed
+        twice, and a lost executor costs its step only.
+        """
         if not self.admit(batch_id):
             return False
-        previous = self.last_commit()
-        clicks = clicks.persist()
+        number, generation, _ = self._last()
+        number += 1
+        clean = materialize(without_blacklisted(click_cells(clicks), self.whole("blacklist")), "batch-clicks")
         try:
-            dates = _dates(clicks)
-            state = AdState(counts=self.read("counts", dates, previous),
-                            blacklist=self.read_log("blacklist", previous),
-                            stat=self.read("stat", dates, previous),
-                            top3=self.read("top3", dates, previous))
-            new, new_users = apply_batch(state, clicks, threshold)
-            # counts feed the blacklist, stat feeds the top 3: compute each once
-            counts, stat = new.counts.persist(), new.stat.persist()
-            try:
-                self.write_dated("counts", batch_id, counts)
-                self.write_dated("stat", batch_id, stat)
-                self.write_dated("top3", batch_id, new.top3)
-                self.write_log("blacklist", batch_id, new_users)
-                self.commit(batch_id, previous, {"counts": dates, "stat": dates, "top3": dates})
-            finally:
-                counts.unpersist()
-                stat.unpersist()
+            dates = _dates(clean)
+            users = self._write("counts", number, generation, user_click_counts(clean))
+            self._write("blacklist", number, generation, new_blacklisted(self.rows("counts", dates), users, threshold))
+            places = self._write("stat", number, generation, ad_stat(clean))
+            self._write("top3", number, generation, top3_updates(self.rows("stat", dates), self.whole("top3", dates), places))
+            self._commit(number, generation, batch_id)
         finally:
-            clicks.unpersist()
+            discard(clean)
         return True
 
 
-class TrendStore(VersionedTables):
-    """The per-minute trend table (replace-merged from the windowed aggregation)."""
+class TrendStore(BatchTables):
+    """The per-minute trend table: each batch appends the counts so far of the windows it changed."""
 
-    def __init__(self, spark: SparkSession, root: str, owner: str | None = None):
-        super().__init__(spark, root, dated={"trend": TREND_SCHEMA}, logs={}, owner=owner)
+    schemas = {"trend": TREND_SCHEMA}
+
+    def whole(self, table: str, dates: tuple[str, str] | None = None) -> DataFrame:
+        """Of a window's counts the last, which is the largest."""
+        return self.rows(table, dates).groupBy(*TREND_KEYS).agg(F.max("click_count").alias("click_count"))
 
     def trend(self) -> DataFrame:
-        return self.read("trend", None, self.last_commit())
+        return self.whole("trend")
 
     def apply(self, updates: DataFrame, batch_id: int) -> bool:
         if not self.admit(batch_id):
             return False
-        previous = self.last_commit()
-        updates = updates.persist()
-        try:
-            dates = _dates(updates)
-            merged = merge_replace(self.read("trend", dates, previous), updates, TREND_KEYS)
-            self.write_dated("trend", batch_id, merged)
-            self.commit(batch_id, previous, {"trend": dates})
-        finally:
-            updates.unpersist()
+        number, generation, _ = self._last()
+        self._write("trend", number + 1, generation, updates)
+        self._commit(number + 1, generation, batch_id)
         return True
 
 
@@ -258,7 +249,13 @@ def start_trend_stream(spark: SparkSession, source: str, trend_root: str | None
                        checkpoint: str | None = None, fmt: str = "text",
                        options: dict[str, str] | None = None, trigger: dict | None = None,
                        name: str | None = None):
-    """Start the trend stream (update mode: only windows changed in a trigger are merged)."""
+    """Start the trend stream (update mode: only windows changed in a trigger are appended).
+
+    Its windows are kept in RocksDB on the executors, with change logs in the
+    stream's checkpoint, unless the session names another state store.
+    """
+    if spark.conf.get(PROVIDER, None) is None or "HDFSBacked" in spark.conf.get(PROVIDER):
+        spark.conf.set(PROVIDER, ROCKSDB)
     root = trend_root or f"{checkpoint_dir(spark)}/visitflow-state/trend"
     store = TrendStore(spark, root, owner=_checkpoint(root, checkpoint))
     counts = trend_counts(parse_log(read_log_stream(spark, source, fmt, options)), delay)
