@@ -35,11 +35,11 @@ def union(n, links):
     return [find(i) for i in range(n)]
 
 
-def shingle_sets(lines):
-    return [{x[i:i + 9] for i in range(max(1, len(x) - 8))} for x in lines]
+def shingle_sets(lines, width=9):
+    return [{x[i:i + width] for i in range(max(1, len(x) - width + 1))} for x in lines]
 
 
-def brute_lines(rows):
+def brute_lines(rows, width=9):
     """Lines to drop by (doc, line), all pairs of different lines compared."""
     where = defaultdict(list)
     for doc, text in rows:
@@ -47,7 +47,7 @@ def brute_lines(rows):
             if WORD.search(line):
                 where[line].append((doc, i))
     lines = list(where)
-    sets, index, links = shingle_sets(lines), defaultdict(list), []
+    sets, index, links = shingle_sets(lines, width), defaultdict(list), []
     for n, s in enumerate(sets):
         for m, k in Counter(m for g in s for m in index[g]).items():
             if k / (len(s) + len(sets[m]) - k) >= 0.8:
@@ -60,14 +60,15 @@ def brute_lines(rows):
     return {x for g in groups.values() for x in sorted(g)[1:]}
 
 
-def dropped(df):
-    return {(r.doc_id, r.line) for r in line_dedup.duplicate_lines(df).where("NOT kept").collect()}
+def dropped(df, **options):
+    return {(r.doc_id, r.line) for r in line_dedup.duplicate_lines(df, **options).where("NOT kept").collect()}
 
 
-def test_lines_match_brute_force(spark):
+@pytest.mark.parametrize("width", [line_dedup.SHINGLE, line_dedup.NEAR_SHINGLE])
+def test_lines_match_brute_force(spark, width):
     docs = documents(spark, SF)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    assert dropped(docs) == brute_lines(rows)
+    assert dropped(docs, width=width) == brute_lines(rows, width)
 
 
 def test_line_variants_of_one_family_form_one_class(spark):
@@ -137,6 +138,44 @@ def test_signatures_find_similar_lines():
     assert (line_dedup.sign(["ab", "ab", "ac"])[0] == line_dedup.sign(["ab"])[0]).all()
 
 
+def replaced(length, low, high, n=400):
+    """Lines and copies with a stretch replaced, of a 5-character Jaccard similarity from ``low`` to ``high``."""
+    random.seed(length)
+    out = []
+    while len(out) < n:
+        a = "".join(random.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(length))
+        cut = random.randrange(1, length // 2)
+        at = random.randrange(length - cut)
+        b = a[:at] + "".join(random.choice("ABCDEFGHIJKL") for _ in range(cut)) + a[at + cut:]
+        s = line_dedup.jaccard(line_dedup.shingles(a, 5), line_dedup.shingles(b, 5))
+        if low <= s <= high:
+            out.append((a, b, s))
+    return out
+
+
+@pytest.mark.parametrize("length", [40, 60, 80, 200, 400])
+def test_bands_of_short_lines_follow_the_formula(length):
+    """Similar lines meet, unlike ones no more often than independent values would let them."""
+    for low, high, room in ((0.28, 0.34, 0.05), (0.47, 0.53, 0.1), (0.8, 0.9, 0.01)):
+        pairs = replaced(length, low, high)
+        x, y = (line_dedup.sign([p[i] for p in pairs], width=5) for i in (0, 1))
+        met = (x == y).any(axis=1).mean()
+        want = np.mean([1 - (1 - s ** line_dedup.ROWS) ** line_dedup.BANDS for *_, s in pairs])
+        assert abs(met - want) <= room
+        assert low < 0.8 or met >= 0.99
+
+
+def test_pairs_are_marked_only_in_bands_of_two():
+    rows = [(1, 5), (1, 7), (2, 1), (3, 2), (3, 4), (3, 9), (4, 4), (5, 1), (5, 2), (6, 1), (6, 2)]
+    frame = pd.DataFrame(rows, columns=["band", "key"]).astype("int64")
+    for cut in range(1, len(rows) + 1):
+        parts = [frame.iloc[i:i + cut].reset_index(drop=True) for i in range(0, len(rows), cut)]
+        got = pd.concat(line_dedup._stars(iter(parts)))
+        assert not got.loc[got["pair"], "band"].isin([2, 3, 4]).any(), cut
+        assert (got.groupby("band")["pair"].nunique() == 1).all(), cut
+    assert got["pair"].any()
+
+
 def test_bands_hold_their_recall():
     """The bands in use, and those of more rows, find a pair of Jaccard 0.8 with probability 0.997 or more."""
     assert 1 - (1 - 0.8 ** line_dedup.ROWS) ** line_dedup.BANDS >= 0.997

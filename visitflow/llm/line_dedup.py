@@ -130,12 +130,20 @@ def places(line: str, width: int) -> int:
     return max(1, len(line) - width + 1)
 
 
+def _detours(bins: int) -> np.ndarray:
+    """Row t: the bin from which each empty bin takes its value at attempt t. Each column passes through all bins."""
+    spots = np.arange(bins, dtype=np.uint64)
+    order = _mix(spots[:, None] * np.uint64(BASE) + spots[None, :] + np.uint64(1 << 20))
+    return np.argsort(order, axis=0, kind="stable")
+
+
 def sign(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> np.ndarray:
     """Band hashes of lines: a MinHash with one value for each of bands * rows bins (one permutation).
 
-    Each shingle's hash falls in one bin; a bin keeps its least. Empty bins
-    take over a neighbour's value at distance 1, 2, 4, ...: equal for equal
-    shingle sets.
+    Each shingle's hash falls in one bin; a bin keeps its least. An empty bin
+    takes the value of the first filled one on a path of its own (``_detours``),
+    and the bins of a band lie far apart, so that the values of a short line's
+    band are as independent as those of a long one.
     """
     bins = bands * rows
     n, line, h = _shingle_hashes(lines, width)
@@ -145,14 +153,19 @@ def sign(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int = SH
     sig = sig.reshape(len(lines), bins)
     short = np.flatnonzero(n < width)
     if len(short):
-        sig[short, 0] = np.array([xxhash.xxh32_intdigest(lines[i].encode()) for i in short.tolist()], np.uint64)
-    for step in (1, 2, 4, 8, 16, 32, 64, 128, 256):
-        if step >= bins:
+        sig[short] = np.array([[xxhash.xxh32_intdigest(lines[i].encode())] for i in short.tolist()], np.uint64)
+    at, gap = np.nonzero(sig == np.iinfo(np.uint64).max)
+    full = sig.copy()
+    for path in _detours(bins):
+        if not len(at):
             break
-        sig = np.where(sig == np.iinfo(np.uint64).max, np.roll(sig, -step, axis=1), sig)
+        value = sig[at, path[gap]]
+        hit = value != np.iinfo(np.uint64).max
+        full[at[hit], gap[hit]] = value[hit]
+        at, gap = at[~hit], gap[~hit]
     out = np.zeros((len(lines), bands), np.uint64)
     for r in range(rows):
-        out = _mix(out + sig[:, r::rows][:, :bands] + np.uint64(r + 1))
+        out = _mix(out + full[:, r * bands:(r + 1) * bands] + np.uint64(r + 1))
     return _mix(out + np.arange(bands, dtype=np.uint64) * np.uint64(BASE)).view(np.int64)
 
 
@@ -195,7 +208,10 @@ def _sign_documents(bands: int, rows: int, width: int):
 
 
 def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (band, key) -> members of bands with several lines, each with the band's first line."""
+    """Rows sorted by (band, key) -> members of bands with several lines, each with the band's first line.
+
+    ``pair``: the band surely has no third line, so that the two need no other comparison than that with the first.
+    """
     last_band, rep, told, last_key = None, 0, False, None
     for b in batches:
         band, key = b["band"].to_numpy(), b["key"].to_numpy()
@@ -212,16 +228,19 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         follows = ~start
         needs_rep = np.append(follows[1:] & start[:-1], False)      # a first row with a second one in this batch
         keep = follows | needs_rep
-        rows = pd.DataFrame({"band": band[keep], "rep": reps[keep], "key": key[keep]})
+        group = np.cumsum(start)                                    # 0: continues the batch before
+        pair = (np.bincount(group)[group] == 2) & (group > 0) & (group < group[-1])
+        rows = pd.DataFrame({"band": band[keep], "rep": reps[keep], "key": key[keep], "pair": pair[keep]})
         if follows[0] and not told:                                 # the first row was the last of the batch before
-            rows = pd.concat([rows, pd.DataFrame({"band": [band[0]], "rep": [rep], "key": [rep]})], ignore_index=True)
+            rows = pd.concat([rows, pd.DataFrame({"band": [band[0]], "rep": [rep], "key": [rep], "pair": [False]})],
+                             ignore_index=True)
         yield rows
         told = bool(follows[-1])
         last_band, last_key, rep = band[-1], key[-1], int(reps[-1])
 
 
-def _texts(bitmap: np.ndarray):
-    """Texts -> (key, line) of the lines whose key the filter holds, once for each task and line."""
+def _texts(bitmap: np.ndarray, width: int):
+    """Texts -> lines whose key the filter holds, with sketch and number of shingle places, once for each task and line."""
     bits = len(bitmap) * 8
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,7 +257,10 @@ def _texts(bitmap: np.ndarray):
                         sent.add(key)
                         keys.append(key)
                         lines.append(line)
-            yield pd.DataFrame({"key": np.array(keys, np.int64), "text": pd.Series(lines, dtype=object)})
+            yield pd.DataFrame({"key": np.array(keys, np.int64), "text": pd.Series(lines, dtype=object),
+                                "sketch": pd.Series([x.to_bytes(SKETCH_BITS // 8, "big") for x in sketches(lines, width)],
+                                                    dtype=object),
+                                "places": np.array([places(x, width) for x in lines], np.int32)})
     return run
 
 
@@ -259,24 +281,64 @@ def _filter(keys: DataFrame) -> np.ndarray:
     return out[:FILTER_BITS // 8]
 
 
+def _words(sketch: pd.Series) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(sketch), np.uint64).reshape(len(sketch), SKETCH_BITS // 64)
+
+
+def _plausible(similarity: float):
+    """Pairs whose sketches do not prove them apart."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            differ = np.bitwise_count(_words(b["sketch"]) ^ _words(b["rep_sketch"])).sum(axis=1, dtype=np.int64)
+            size = (b["places"] + b["rep_places"]).to_numpy()
+            yield b.loc[differ * (1 + similarity) <= size * (1 - similarity) + 1e-6, ["rep", "key"]]
+    return run
+
+
 def _verify(similarity: float, width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, base, x, size = None, None, 0, 0
+        at, base = None, set()
         for b in batches:
             keep = []
-            for rep, a, c, y in zip(b["rep"].tolist(), b["rep_text"], b["text"], sketches(b["text"].tolist(), width)):
+            for rep, a, c in zip(b["rep"].tolist(), b["rep_text"], b["text"]):
                 if rep != at:
-                    at, base, x, size = rep, None, sketches([a], width)[0], places(a, width)
-                if apart(x, y, size + places(c, width), similarity):
-                    keep.append(False)
-                    continue
-                if base is None:
-                    base = shingles(a, width)
+                    at, base = rep, shingles(a, width)
                 keep.append(similar(base, shingles(c, width), similarity))
             yield pd.DataFrame({"u": b["rep"][keep], "v": b["key"][keep]})
     return run
 
 
+def _near(similarity: float):
+    """Rows of whole groups (band, i, j), sorted -> those that may be similar to one of another class in the group."""
+    def partners(rows: list[tuple]) -> list[tuple]:
+        cls, side = np.array([r[5] for r in rows]), np.array([r[3] for r in rows])
+        if (cls == cls[0]).all():
+            return []
+        words = np.array([r[6] for r in rows])
+        size = np.array([r[7] for r in rows])
+        keep = np.zeros(len(rows), bool)
+        for n in range(len(rows)):
+            differ = np.bitwise_count(words ^ words[n]).sum(axis=1, dtype=np.int64)
+            near = differ * (1 + similarity) <= (size + size[n]) * (1 - similarity) + 1e-6
+            keep[n] = (near & (cls != cls[n]) & ((side != side[n]) | (side == 2))).any()
+        return [r[:6] for r, k in zip(rows, keep) if k]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held, out = None, [], []
+        names = ["band", "i", "j", "side", "key", "cls"]
+        for b in batches:
+            for row in zip(*(b[c].tolist() for c in names), _words(b["sketch"]), b["places"].tolist()):
+                if row[:3] != at:
+                    out += partners(held) if held else []
+                    at, held = row[:3], []
+                held.append(row)
+            yield pd.DataFrame(out, columns=names).astype("int64")
+            out = []
+        yield pd.DataFrame(partners(held) if held else [], columns=names).astype("int64")
+    return run
+
+
 def _cross(similarity: float, width: int):
     """Rows of whole groups (band, i, j), sorted -> links between different classes of the group.
 
@@ -312,13 +374,13 @@ def _cross(similarity: float, width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held, links = None, [], []
         for b in batches:
-            for group, side, key, cls, text, x in zip(
+            for group, side, key, cls, text, x, size in zip(
                     zip(b["band"].tolist(), b["i"].tolist(), b["j"].tolist()), b["side"].tolist(), b["key"].tolist(),
-                    b["cls"].tolist(), b["text"], sketches(b["text"].tolist(), width)):
+                    b["cls"].tolist(), b["text"], b["sketch"], b["places"].tolist()):
                 if group != at:
                     links += solve(held)
                     at, held = group, []
-                held.append((side, key, cls, text, x, places(text, width)))
+                held.append((side, key, cls, text, int.from_bytes(x, "big"), size))
             yield pd.DataFrame(links, columns=["u", "v"]).astype("int64")
             links = []
         yield pd.DataFrame(solve(held), columns=["u", "v"]).astype("int64")
@@ -331,41 +393,61 @@ def line_classes(lines: DataFrame, texts: DataFrame, scratch: Scratch, similarit
 
     First every line is verified against the first line of each of its bands
     (a star, not all pairs), and union-find joins what is similar. Then only
-    bands that still hold lines of different classes are gone through, class
-    against class, in blocks of BLOCK_LINES, so every pair that shares a band
-    is either in one class already or compared.
+    bands of three lines or more that still hold lines of different classes
+    are gone through, class against class, in blocks of BLOCK_LINES, so every
+    pair that shares a band is either in one class already or compared. Each
+    line is sketched once; sketches meet first, and texts only of those lines
+    that a sketch does not tell apart from all others.
     """
     bands = (lines.where("bands IS NOT NULL").select("key", F.explode("bands").alias("band"))
              .repartition("band").sortWithinPartitions("band", "key"))
-    stars = scratch.write(bands.mapInPandas(_stars, "band long, rep long, key long"), "stars")
+    stars = scratch.write(bands.mapInPandas(_stars, "band long, rep long, key long, pair boolean"), "stars")
     needed = _filter(stars.select("key"))
-    found = texts.select("text").mapInPandas(_texts(needed), "key long, text string")
+    found = texts.select("text").mapInPandas(_texts(needed, width), "key long, text string, sketch binary, places int")
     wanted = stars.select("key").distinct()
     # of lines with one key (equal lines, met by several tasks) one is enough
-    found = scratch.write(found.join(wanted, "key", "left_semi").groupBy("key").agg(F.any_value("text").alias("text")),
-                          "texts")
+    found = found.join(wanted, "key", "left_semi").groupBy("key").agg(
+        *[F.any_value(c).alias(c) for c in ("text", "sketch", "places")])
+    found = scratch.write(found, "texts")
+    written, sketched = found.select("key", "text"), found.select("key", "sketch", "places")
+
+    def of_rep(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(c).alias("rep" if c == "key" else f"rep_{c}") for c in rows.columns])
+
     pairs = stars.where("rep != key").select("rep", "key").distinct()
-    pairs = pairs.join(found, "key").join(found.select(F.col("key").alias("rep"), F.col("text").alias("rep_text")), "rep")
-    links = scratch.write(pairs.sortWithinPartitions("rep").mapInPandas(_verify(similarity, width), "u long, v long"), "links")
+    pairs = pairs.join(sketched, "key").join(of_rep(sketched), "rep")
+    pairs = scratch.write(pairs.mapInPandas(_plausible(similarity), "rep long, key long"), "pairs")
+    links = pairs.join(written, "key").join(of_rep(written), "rep").sortWithinPartitions("rep")
+    links = scratch.write(links.mapInPandas(_verify(similarity, width), "u long, v long"), "links")
+    scratch.drop(pairs)
     first = scratch.write(components(links, scratch), "first")
+    scratch.drop(links)
 
     def classed(rows: DataFrame, classes: DataFrame) -> DataFrame:
         return (rows.join(classes.select(F.col("node").alias("key"), "component"), "key", "left")
                 .withColumn("cls", F.coalesce("component", "key")).drop("component"))
 
-    members = classed(stars.select("band", "key"), first)
+    members = classed(stars.where("NOT pair").select("band", "key"), first)
     mixed = (members.groupBy("band").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("n"))
-             .where("low != high").select("band", F.ceil(F.col("n") / BLOCK_LINES).alias("parts")))
-    mixed = scratch.write(mixed, "mixed_bands")
-    mixed = scratch.write(members.join(mixed, "band").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))), "mixed")
+             .where("low != high AND n > 2").select("band", F.ceil(F.col("n") / BLOCK_LINES).alias("parts")))
+    bands = scratch.write(mixed, "mixed_bands")
+    mixed = scratch.write(members.join(bands, "band").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))), "mixed")
+    scratch.drop(bands)
+    scratch.drop(stars)
     # every block meets itself (side 2) and each other block (sides 0 and 1)
     dealt = mixed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     dealt = dealt.select("band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-                         F.expr("CASE WHEN part = other THEN 2 WHEN part < other THEN 0 ELSE 1 END").alias("side"),
-                         "key", "cls").join(found, "key")
-    more = (dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "cls", "key")
+                         F.expr("CASE WHEN part = other THEN 2L WHEN part < other THEN 0L ELSE 1L END").alias("side"),
+                         "key", "cls")
+    near = (dealt.join(sketched, "key").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+            .mapInPandas(_near(similarity), "band long, i long, j long, side long, key long, cls long"))
+    near = scratch.write(near, "near")
+    scratch.drop(mixed)
+    more = (near.join(found, "key").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "cls", "key")
             .mapInPandas(_cross(similarity, width), "u long, v long"))
     more = scratch.write(more, "more")
+    scratch.drop(near)
+    scratch.drop(found)
     if more.isEmpty():
         return first.select(F.col("node").alias("key"), "component")
     second = components(more, scratch).select(F.col("node").alias("cls"), F.col("component").alias("top"))
@@ -403,11 +485,12 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
                      F.col(text).alias("text"))
     lines = docs.mapInPandas(_sign_documents(bands, rows, width),
                              "doc_id string, text_key long, line int, key long, bands array<long>")
-    lines = scratch.write(lines.withColumn("doc_id", F.col("doc_id").cast(kind)), "signed")
-    classes = line_classes(lines, docs, scratch, similarity, width)
-    lines = lines.select("doc_id", "text_key", "line", "key").join(classes, "key", "left").select(
+    signed = scratch.write(lines.withColumn("doc_id", F.col("doc_id").cast(kind)), "signed")
+    classes = line_classes(signed, docs, scratch, similarity, width)
+    lines = signed.select("doc_id", "text_key", "line", "key").join(classes, "key", "left").select(
         "doc_id", "text_key", "line", F.coalesce("component", "key").alias("component"))
     lines = scratch.write(lines, "classed")
+    scratch.drop(signed)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "line")
     first = lines.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     first = scratch.write(first.drop("n"), "kept")      # stored, so AQE can split a hot line in the join
