@@ -2,6 +2,7 @@
 
 import random
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import pytest
@@ -62,6 +63,33 @@ def test_a_range_of_one_key_and_of_many_short_rows(spark):
     check_slots(got)
 
 
+def test_thousands_of_ranges(spark):
+    """Plans do not grow with the ranges: a hot group with a third of the rows, 5,000 ranges, 600 shards."""
+    df = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 40 + 1).alias("size"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 9_001).alias("g"))
+    got = sharding.histogram_shards(df, ["g"], ["doc_id"], "size", shards=600, ranges=5_000)
+    rows = got.withColumn("task", F.spark_partition_id()).collect()
+    assert len(rows) == 60_000
+    slots, size = check_slots(rows), Counter()
+    for r in rows:
+        size[r.shard] += r.size
+    assert set(slots) == set(range(600)) and max(size.values()) - min(size.values()) <= 3 * 40
+    tasks = Counter(r.task for r in rows)
+    assert len(tasks) > 2_000 and max(tasks.values()) <= 2 * 60_000 / 5_000 + 1
+    order = [g for _, _, g in sorted((r.shard, r.slot, r.g) for r in rows)]
+    assert 1 + sum(a != b for a, b in zip(order, order[1:])) == len(set(order))
+
+
+def test_located_keys_equal_bisect(spark):
+    random.seed(5)
+    for n in (1, 2, 3, 7, 8, 100):
+        points = sorted({(random.randint(0, 9), random.randint(0, 3)) for _ in range(n)})
+        df = spark.range(40).selectExpr("id div 4 AS k1", "id % 4 AS k2")
+        for r in df.withColumn("at", sharding._locate(points)).collect():
+            assert r.at == bisect_right(points, (r.k1, r.k2))
+
+
 def test_sharding_edge_cases(spark, edge, nothing):
     got = sharding.histogram_shards(edge, ["text"], ["doc_id"], "n_chars", shards=3)
     assert set(got.columns) == set(edge.columns)                     # shard and slot replaced, the rest kept
