@@ -1,6 +1,8 @@
 """BPE (3), secrets (4), personal data (6) and toxicity (9): references, round trips, held-out accuracy, edge cases."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 from collections import Counter
@@ -248,6 +250,51 @@ def test_held_out_rule(spark):
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
 
 
+def corpus_cost(text):
+    ids = np.array([toxicity.char_class(c) for c in f" {text} "])
+    return toxicity.language_model(Counter(((ids[:-2] * 64 + ids[1:-1]) * 64 + ids[2:]).tolist()))
+
+
+def test_viterbi_equals_all_readings():
+    """Every reading of short lattices, weighed one by one."""
+    cost = corpus_cost("you idiot are a stupid moron good hello trees fool damn ass " * 20)
+
+    def price(reading):
+        a = b = 0
+        total = 0.0
+        for c in reading:
+            k = toxicity.char_class(c)
+            total += float(cost[a, b, k])
+            a, b = b, k
+        return total + float(cost[a, b, 0])
+    random.seed(9)
+    for _ in range(300):
+        token = "".join(random.choice("aiodmsst0134$@!*#-|") for _ in range(random.randint(1, 6)))
+        options = {}
+        for path in itertools.product(*toxicity.lattice(token)):
+            text = "".join(r for r, _ in path)
+            options[text] = min(options.get(text, math.inf), sum(p for _, p in path) + price(text))
+        got = toxicity.restore(token, cost)
+        assert options[got] <= min(options.values()) + 1e-4, token
+
+
+def test_trie_loses_no_scored_word():
+    """Scores by the trie of features equal those of every token decoded and every feature looked up."""
+    cost = corpus_cost("you idiot are a stupid moron good hello trees fool damn ass " * 20)
+    weights = {"^idi": 2.0, "^idiot$": 3.0, "^moron$": 2.5, "^ass$": 1.5, "^dam": 1.2, "^tree": 0.5, "^12$": 1.1}
+    model = toxicity.Model(cost, weights, [0.0] * 6)
+    random.seed(11)
+    tokens = ["1d10t", "m0r0n!!!", "a$$", "ass", "damn", "good-moron", "12", "trees", "treees", "id!ot,", "i_d_i_o_t"]
+    tokens += ["".join(random.choice("aidmorontses01$@!-.2") for _ in range(random.randint(1, 8))) for _ in range(2000)]
+    hits = 0
+    for t in tokens:
+        want = {w: max([0.0, *(weights.get(f, 0.0) for f in toxicity.features(w))]) for w in toxicity.readings(t, cost)}
+        want = {w: s for w, s in want.items() if s > 0}
+        assert model.scored(t) == want, t
+        hits += bool(want)
+    assert hits > 20
+
+
 def test_toxicity_edge_cases(spark, edge, nothing, labels, no_labels):
     assert toxicity.toxicity(edge, labels).count() == edge.count()
     kept = toxicity.drop_toxic(edge, no_labels)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +30,7 @@ SUBSTITUTED, DELETED, KEPT_SIGN, DOUBLED = 1.0, 1.5, 3.0, 1.0     # costs of the
 TRAIN_ROWS = 12_000        # labelled documents of each class, at most, that the classifier is fitted on
 MIN_TOXIC = 3              # toxic training documents a feature must occur in
 MAX_FEATURES = 50_000      # size of the model
-TOP_WORDS = 4              # strongest words of a document that make its score, beside its number of words
+TOP_WORDS = 4              # strongest words of a document that make its score, beside its number of tokens
 THRESHOLD = 0.7
 CACHE_WORDS = 200_000      # scored words a task remembers
 FLUSH_WORDS = 300_000      # feature counts a task holds before it emits them
@@ -97,10 +97,9 @@ def language_model(counts: dict[int, int]) -> np.ndarray:
     return -np.log(p3).astype(np.float32)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
+def lattice(token: str) -> Iterator[list[tuple[str, float]]]:
     """Readings of each sign of a lower-case token, with channel costs; letters read as themselves, doubled ones as
     two or one."""
-    out: list[list[tuple[str, float]]] = []
     i = 0
     while i < len(token):
         c, j = token[i], i
@@ -108,15 +107,62 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             j += 1
         if c.isalpha():
             if j - i >= 3:
-                out.append([(c, 0.0), (c + c, DOUBLED)])
+                yield [(c, 0.0), (c + c, DOUBLED)]
             else:
-                out.append([(c, 0.0)] if j - i == 1 else [(c + c, 0.0), (c, DOUBLED)])
+                yield [(c, 0.0)] if j - i == 1 else [(c + c, 0.0), (c, DOUBLED)]
         else:
             stands = [(x, SUBSTITUTED) for x in LEET.get(c, "")]
             stay = [(c, KEPT_SIGN)] if c.isdigit() else [("", DELETED)]
-            out += [stands + stay] if j - i >= 3 or not stands else [stands + stay] * (j - i)
+            for _ in range(1 if j - i >= 3 or not stands else j - i):
+                yield stands + stay
         i = j
-    return out
+
+
+class Trie:
+    """The features of a model that consist of letters, to tell which lattices hold a word with one of them."""
+
+    def __init__(self, weights: Mapping[str, float]):
+        self.root: dict = {}
+        for f, weight in weights.items():
+            body, whole = (f[1:-1], True) if f.endswith("$") else (f[1:], False)
+            if body.isalpha():
+                node = self.root
+                for c in body:
+                    node = node.setdefault(c, {})
+                node["$" if whole else "^"] = weight      # of a whole word; of any word that begins so
+
+    def score(self, word: str) -> float:
+        """Largest weight among the features of a word of letters, 0 without one."""
+        best, node = 0.0, self.root
+        for c in word:
+            node = node.get(c)
+            if node is None:
+                return best
+            if "^" in node:
+                best = max(best, node["^"])
+        return max(best, node.get("$", 0.0))
+
+    def reaches(self, token: str) -> bool:
+        """Whether the letters of any reading of a lower-case token have a feature: the lattice met with the trie."""
+        nodes = {0: self.root}
+        for choices in lattice(token):
+            after = {}
+            for node in nodes.values():
+                for reading, _ in choices:
+                    x = node
+                    for c in reading:
+                        if c.isalpha():
+                            x = x.get(c)
+                            if x is None:
+                                break
+                            if "^" in x:
+                                return True
+                    else:
+                        after[id(x)] = x
+            if not after:
+                return False
+            nodes = after
+        return any("$" in x for x in nodes.values())
 
 
 def restore(token: str, cost: np.ndarray) -> str:
@@ -144,14 +190,17 @@ def restore(token: str, cost: np.ndarray) -> str:
     return "".join(reversed(out))
 
 
-def readings(token: str, cost: np.ndarray) -> tuple[str, ...]:
+def readings(token: str, cost: np.ndarray, trie: Trie | None = None) -> tuple[str, ...]:
     """Words of a lower-case token: the whole token as one, and its parts between signs; each restored.
 
     Words of letters count as they stand too (unless a letter runs on), and
     so do those before shouting and ornament, whose signs compete as letters
-    in the restored reading.
+    in the restored reading. With ``trie`` only parts that can be read as a
+    word with one of its features are restored: no such word is lost.
     """
     core = token.strip(".,;:?\"'`)]}>[{<&%/\\=~^")
+    if core.isalpha() and not REPEAT.search(core):
+        return (core,)
     if not any(map(str.isalpha, core)):
         plain = TAIL.sub("", core).rstrip(".,;:?\"'")
         return (plain,) if plain else ()
@@ -163,18 +212,23 @@ def readings(token: str, cost: np.ndarray) -> tuple[str, ...]:
         short = TAIL.sub("", part).rstrip(".,;:?\"'")
         if short.isalpha() and not RUN.search(short):
             found[short] = None
-        if not part.isalpha() or REPEAT.search(part):
+        if (not part.isalpha() or REPEAT.search(part)) and (trie is None or trie.reaches(part)):
             found["".join(filter(str.isalpha, restore(part, cost)))] = None
     return tuple(w for w in found if w)
 
 
+def tokens(text: str) -> set[str]:
+    """Distinct lower-case tokens of a text; spaced-out words count besides their letters."""
+    low = text.lower()
+    found = set(low.split())
+    found.update(re.sub(r"[ .\-_*]", "", m.group()) for m in SPACED.finditer(low))
+    return found
+
+
 def words(text: str, cost: np.ndarray, memo: dict[str, tuple[str, ...]]) -> set[str]:
-    """Distinct restored words of a text, lower case; spaced-out words count besides their letters."""
+    """Distinct restored words of a text, lower case."""
     found = set()
-    low = text.lower()
-    tokens = set(low.split())
-    tokens.update(re.sub(r"[ .\-_*]", "", m.group()) for m in SPACED.finditer(low))
-    for t in tokens:
+    for t in tokens(text):
         w = memo.get(t)
         if w is None:
             w = readings(t, cost)
@@ -195,23 +249,32 @@ def features(word: str) -> list[str]:
 class Model:
     cost: np.ndarray
     weights: dict[str, float]
-    coef: list[float]              # intercept, one for each of the strongest words, one for the number of words
-
-    def strongest(self, text: str | None, memo: dict, scores: dict) -> list[float]:
-        """Scores of the TOP_WORDS strongest distinct words, largest first, and the log of their number."""
-        best = [0.0] * TOP_WORDS
-        found = words(text or "", self.cost, memo)
-        for w in found:
-            s = scores.get(w)
-            if s is None:
-                s = max([0.0, *(self.weights.get(f, 0.0) for f in features(w))])
-                if len(scores) >= CACHE_WORDS:
-                    scores.clear()
-                scores[w] = s
-            if s > best[-1]:
-                best[-1] = s
-                best.sort(reverse=True)
-        return [*best, math.log1p(len(found))]
+    coef: list[float]              # intercept, one for each of the strongest words, one for the number of tokens
+
+    def __post_init__(self):
+        self.trie = Trie(self.weights)
+
+    def scored(self, token: str) -> dict[str, float]:
+        """The readings of a token with a score above 0, and their scores."""
+        scores = {w: self.trie.score(w) if w.isalpha() else max(self.weights.get(f, 0.0) for f in features(w))
+                  for w in readings(token, self.cost, self.trie)}
+        return {w: s for w, s in scores.items() if s > 0}
+
+    def strongest(self, text: str | None, memo: dict[str, dict[str, float]]) -> list[float]:
+        """Scores of the TOP_WORDS strongest distinct words, largest first, and the log of the number of tokens."""
+        found: dict[str, float] = {}
+        all_tokens = tokens(text or "")
+        for t in all_tokens:
+            scores = memo.get(t)
+            if scores is None:
+                scores = self.scored(t)
+                if len(memo) >= CACHE_WORDS:
+                    memo.clear()
+                memo[t] = scores
+            if scores:
+                found.update(scores)
+        best = sorted(found.values(), reverse=True)[:TOP_WORDS]
+        return [*best, *[0.0] * (TOP_WORDS - len(best)), math.log1p(len(all_tokens))]
 
     def score(self, best: list[float]) -> float:
         z = self.coef[0] + sum(c * x for c, x in zip(self.coef[1:], best))
@@ -293,9 +356,8 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, doc_id: str = "d
 
     def strongest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict = {}
-        scores: dict = {}
         for b in batches:
-            rows = [model.strongest(t, memo, scores) for t in b["text"]]
+            rows = [model.strongest(t, memo) for t in b["text"]]
             yield pd.DataFrame({"best": pd.Series(rows, dtype=object), "toxic": b["toxic"]})
     # bounded by the sample: TOP_WORDS + 1 numbers for each document of the third fold
     rows = (sample.where("fold = 0").select("text", "toxic")
@@ -316,9 +378,8 @@ def with_score(df: DataFrame, model: Model, text: str = "text", name: str = "sco
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo: dict = {}
-        scores: dict = {}
         for s in batches:
-            yield pd.Series([model.score(model.strongest(t, memo, scores)) for t in s], dtype="float64")
+            yield pd.Series([model.score(model.strongest(t, memo)) for t in s], dtype="float64")
     return df.withColumn(name, score(F.col(text)))
 
 
