@@ -182,6 +182,37 @@ def test_sample_meets_the_margins(spark):
     assert max(held.values()) / min(held.values()) < 1.35            # equal targets; documents are long and few
 
 
+def test_targets_given_by_value(spark):
+    random.seed(4)
+    rows = [(i, random.choice(["a", "a", "a", "b", "c", "d", None]), random.choice("xyyz"), random.randint(1, 50)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n long")
+    out, names = mixing.mix(df, {"source": {"a": 0.2, "b": 0.4, None: 0.1}, "lang": {"x": 0.6, "y": 0.2, "z": 0.2}}, F.col("n"))
+    got = out.select("source", "lang", (F.col(names["tokens"]) * F.col(names["weight"])).alias("w"), "n").collect()
+    held, whole = Counter(), sum(r.w for r in got)
+    for r in got:
+        held[r.source] += r.w / whole
+        held["lang " + r.lang] += r.w / whole
+    c, d = (sum(r.n for r in got if r.source == k) for k in "cd")
+    want = {"a": 0.2, "b": 0.4, None: 0.1, "c": 0.3 * c / (c + d), "d": 0.3 * d / (c + d), "lang x": 0.6, "lang y": 0.2, "lang z": 0.2}
+    assert all(abs(held[k] - x) < 1e-5 for k, x in want.items())
+    # shares of 1 leave out what is not listed; a share without tokens goes to the others
+    out, names = mixing.mix(df, {"source": {"a": 0.25, "b": 0.25, "absent": 0.5}}, F.col("n"))
+    kept = Counter()
+    for r in out.collect():
+        kept[r.source] += r[names["tokens"]] * r[names["weight"]]
+    assert kept["c"] == kept["d"] == kept[None] == 0 and abs(kept["a"] / kept["b"] - 1) < 1e-5
+    assert out.where(F.col("source") == "c").where(names["sampled"]).count() == 0
+
+
+def test_contradicting_targets_raise(spark):
+    df = spark.createDataFrame([(1, "a", "x", 5), (2, "b", "y", 5)], "doc_id long, source string, lang string, n long")
+    margins = {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}
+    with pytest.raises(ValueError, match="raking ended"):
+        mixing.mix(df, margins, F.col("n"), strict=True)
+    with pytest.raises(ValueError, match="more than 1"):
+        mixing.mix(df, {"source": {"a": 0.9, "b": 0.3}}, F.col("n"))
+
+
 def test_mixing_edge_cases(spark, edge, nothing):
     rows, names = mixing.mix(edge, {"source": 0.5, "lang": 0.5}, mixing.word_count())
     assert names["tokens"] == "_tokens" and names["weight"] == "_weight"

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import small_frame
 from .common import Scratch, fresh, text_hash
 
 SWEEPS, BLOCK = 60, 6      # sweeps over all margins at most, and between two looks at the error
@@ -19,8 +20,29 @@ def _value(name: str) -> Column:
     return F.when(F.col(name).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(name).cast("string")))
 
 
+Target = float | Mapping[str | None, float]
+
+
+def _targets(cells: DataFrame, margin: str, target: Target, whole: int) -> DataFrame:
+    """(margin's value, target tokens) for each value of a margin; the targets add up to ``whole``."""
+    held = cells.groupBy(margin).agg(F.sum("tokens").alias("held"))
+    if isinstance(target, Mapping):
+        given = sum(target.values())
+        if min(target.values(), default=0.0) < 0 or given > 1 + 1e-9:
+            raise ValueError(f"shares must not be negative or add up to more than 1: {dict(target)}")
+        rows = [("" if value is None else f"={value}", float(share)) for value, share in target.items()]
+        held = held.join(small_frame(cells.sparkSession, rows, f"{margin} string, share double"), margin, "left")
+        others = held.agg(F.sum(F.when(F.col("share").isNull(), F.col("held")))).first()[0] or 0
+        rest = F.col("held") * F.lit(max(0.0, 1 - given) / max(others, 1))
+        power = F.when(F.col("held") > 0, F.coalesce("share", rest)).otherwise(0.0)
+    else:
+        power = F.when(F.col("held") > 0, F.pow(F.col("held").cast("double"), F.lit(float(target)))).otherwise(0.0)
+    total = held.agg(F.sum(power)).first()[0] or 1.0
+    return held.select(margin, (power * F.lit(float(whole)) / F.lit(total)))
+
+
 def rake(cells: DataFrame, margins: list[str], scratch: Scratch, sweeps: int = SWEEPS,
-         trim: float | None = None) -> DataFrame:
+         trim: float | None = None, strict: bool = False) -> DataFrame:
     """Adds ``weight`` to cells (margin values m0.., tokens, targets t0..): tokens raked to the targets.
 
     Each step scales the cells of one margin's value to that value's target;
@@ -29,7 +51,7 @@ def rake(cells: DataFrame, margins: list[str], scratch: Scratch, sweeps: int = S
     the end, to within ``trim`` times, and one part in ``trim`` of, a cell's
     tokens. Cells without tokens keep weight 0. Where the targets contradict
     each other the fit ends after ``sweeps``, near the closest mix, with a
-    warning.
+    warning; with ``strict`` it raises ValueError instead.
     """
     state = cells.withColumn("weight", F.col("tokens").cast("double"))
     for done in range(0, sweeps, BLOCK):
@@ -51,20 +73,27 @@ def rake(cells: DataFrame, margins: list[str], scratch: Scratch, sweeps: int = S
         if left < CLOSE:
             break
     else:
-        warnings.warn(f"raking ended after {sweeps} sweeps with a margin {left:.2g} of its target away", stacklevel=2)
+        open_fit = f"raking ended after {sweeps} sweeps with a margin {left:.2g} of its target away"
+        if strict:
+            raise ValueError(open_fit)
+        warnings.warn(open_fit, stacklevel=2)
     if trim is not None:
         state = state.withColumn("weight", F.least(F.greatest("weight", F.col("tokens") / trim), F.col("tokens") * trim))
     return state
 
 
-def mix(df: DataFrame, margins: Mapping[str, float], tokens: Column, doc_id: str = "doc_id", sweeps: int = SWEEPS,
+def mix(df: DataFrame, margins: Mapping[str, Target], tokens: Column, doc_id: str = "doc_id", sweeps: int = SWEEPS,
         trim: float | None = None, seed: int = 0, name: str = "mixing",
-        content: Column | None = None) -> tuple[DataFrame, dict[str, str]]:
+        content: Column | None = None, strict: bool = False) -> tuple[DataFrame, dict[str, str]]:
     """Adds tokens, weight, probability, sampled and shares to every row; returns the names of the new columns.
 
-    ``margins`` gives for each column the exponent of its target: a value that
-    holds tokens T gets a share in proportion to T ** exponent (1 keeps the
-    mix, 0 makes all values equal). The tokens of all cells of the margins are
+    ``margins`` gives for each column its target. A mapping gives shares by
+    value (as text; None for null): values it does not list divide what is left
+    of 1 in proportion to their tokens, so shares that add up to 1 leave them
+    out; a listed value that holds no tokens yields its share to the others in
+    proportion. A number is an exponent: a value that holds tokens T gets a
+    share in proportion to T ** exponent (1 keeps the mix, 0 makes all values
+    equal). With ``strict`` targets that contradict each other raise. The tokens of all cells of the margins are
     raked to these targets; ``weight`` is a cell's calibrated tokens over its
     tokens. The largest weight is sampled with probability 1, the others in
     proportion, so the expected sample has the target margins. ``shares`` tells
@@ -96,12 +125,9 @@ def mix(df: DataFrame, margins: Mapping[str, float], tokens: Column, doc_id: str
     cells = scratch.write(counted.groupBy(*at).agg(F.sum("tokens").cast("long").alias("tokens")), "cells")
     whole = cells.agg(F.sum("tokens")).first()[0] or 0
     for i, c in enumerate(columns):
-        held = cells.groupBy(at[i]).agg(F.sum("tokens").alias("held"))
-        power = F.when(F.col("held") > 0, F.pow(F.col("held").cast("double"), F.lit(float(margins[c])))).otherwise(0.0)
-        total = held.agg(F.sum(power)).first()[0] or 1.0
-        cells = cells.join(held.select(at[i], (power * F.lit(float(whole)) / F.lit(total)).alias(f"t{i}")), at[i])
+        cells = cells.join(_targets(cells, at[i], margins[c], whole).toDF(at[i], f"t{i}"), at[i])
     cells = scratch.write(cells, "targets")
-    raked = rake(cells, columns, scratch, sweeps, trim)
+    raked = rake(cells, columns, scratch, sweeps, trim, strict)
     weight = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(1.0))
     fitted = raked.agg(F.sum("weight")).first()[0] or 1.0
     shares = F.array(*[F.struct(
@@ -144,7 +170,7 @@ def style_topic(text: str = "text") -> Column:
             .when(share(r"[^#*$%&<>]+") > 0.05, "decorated").when(share(r"[^A-Z]+") > 0.4, "loud").otherwise("prose"))
 
 
-def sampled_documents(df: DataFrame, margins: Mapping[str, float], text: str = "text", **options) -> DataFrame:
+def sampled_documents(df: DataFrame, margins: Mapping[str, Target], text: str = "text", **options) -> DataFrame:
     """The drawn rows of ``df``, its columns unchanged; ``topic`` among the margins means style_topic."""
     topic, = fresh(df, "topic")
     rows, names = mix(df.withColumn(topic, style_topic(text)),
