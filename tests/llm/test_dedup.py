@@ -111,6 +111,53 @@ def test_stars_across_batches():
         assert sorted(got) == sorted(want), cut
 
 
+def test_band_rows_leave_the_task_packed():
+    lines = [f"line {i} of many that share {i % 7} words" for i in range(500)] + ["ab", "ab "]
+    texts = ["\n".join(lines[:300]), None, "", "\n".join(lines[200:])]
+    found = pd.concat(line_dedup._pack_bands(15, 5, 5)(iter([pd.DataFrame({"text": texts})])))
+    assert list(found.columns) == ["part", "rows"] and found["part"].is_unique       # a row for each part, not for each band
+    assert sum(map(len, found["rows"])) == len(lines) * 15 * 16                       # repeated lines once
+    both = np.frombuffer(b"".join(found["rows"]), np.int64).reshape(-1, 2)
+    bands, sizes = line_dedup._signed(lines, 15, 5, 5)
+    want = {(int(b) >> 16, n, line_dedup.line_key(x)) for x, row, n in zip(lines, bands, sizes.tolist()) for b in row}
+    assert {(b >> 16, b & 0xFFFF, k) for b, k in both.tolist()} == want
+    assert sizes.tolist() == [len(line_dedup.shingles(x, 5)) for x in lines]
+
+
+def test_only_lines_of_fitting_sizes_meet():
+    def rows(part, *values):
+        return pd.DataFrame({"part": [part], "rows": [np.array([(b << 16 | n, k) for b, n, k in values], np.int64).tobytes()]})
+    parts = [rows(1, (5, 100, 30), (5, 79, 10), (6, 50, 10), (5, 300, 20)), rows(1, (6, 63, 40), (5, 100, 30)),
+             rows(2, (7, 10, 1), (8, 0xFFFF, 3), (8, 0xFFFF, 2))]
+    got = [(b >> 16, k) for f in line_dedup._unpack_bands(0.8)(iter(parts)) for b, k in f.values.tolist()]
+    assert got == [(5, 10), (5, 30), (5, 30), (6, 10), (6, 40), (8, 2), (8, 3)]       # 79 and 100: one may be miscounted
+    for a, b in ((100, 80), (125, 100), (35, 28), (5, 4)):                            # the exact limit always meets
+        got = pd.concat(line_dedup._unpack_bands(0.8)(iter([rows(0, (1, a, 1), (1, b, 2))])))
+        assert len(got) == 2
+
+
+@pytest.mark.parametrize("width", [1, 2, 5, 9])
+def test_shingle_ids_are_exact(width):
+    rng = random.Random(width)
+    for _ in range(400):
+        a = "".join(rng.choices(rng.choice(["abc dé", "abш漢🙂"]), k=rng.randint(1, 30)))
+        b = list(a) + rng.choice([[], ["x"]])
+        b[rng.randrange(len(b))] = rng.choice("abш漢 ")
+        x, y = (line_dedup.shingle_ids(z, width) for z in (a, "".join(b)))
+        p, q = line_dedup.shingles(a, width), line_dedup.shingles("".join(b), width)
+        assert len(x) == len(p) and line_dedup.similar_ids(x, y, 0.6, width) == line_dedup.similar(p, q, 0.6)
+
+
+def test_no_stored_table_holds_signatures_or_texts_twice(spark, monkeypatch):
+    saved, save = [], line_dedup.Scratch.save
+    monkeypatch.setattr(line_dedup.Scratch, "save", lambda self, df, name: saved.append((name, df.columns)) or save(self, df, name))
+    df = spark.createDataFrame([(i, f"one line that is nearly the same {i}\nalone {i * 7919}") for i in range(40)], "doc_id long, text string")
+    drops = line_dedup.dropped_lines(df, width=5)
+    assert not [n for n, columns in saved if "bands" in columns]
+    assert [n for n, columns in saved if "text" in columns] == ["texts", "pair_texts", "near_texts"]
+    assert "bands" not in dict(saved) and {r.n_lines for r in drops.collect()} == {2}
+
+
 def test_filter_holds_every_key(spark):
     keys = [0, 1, -1, 32767, 32768, 32769, (1 << 26) - 1, 1 << 26, -(1 << 63), (1 << 63) - 1]
     bitmap = line_dedup._filter(spark.createDataFrame([(k,) for k in keys], "key long"))

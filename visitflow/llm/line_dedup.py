@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +21,15 @@ NEAR_SHINGLE = 5           # characters in op1 and the pipeline: one changed cha
 SIMILARITY = 0.8
 RECALL = 0.997             # least probability with which a pair of similarity SIMILARITY shares a band
 ROWS = 5                   # values of a band; for much larger corpora more, and bands_for adds bands
-BLOCK_LINES = 256          # lines of a bucket compared with as many others in one group
+BLOCK_LINES = 1024         # lines of a bucket compared with as many others in one group
 SEEN_LINES = 200_000       # line keys a task remembers, so that it signs a repeated line once
-CHUNK_CHARS = 1 << 18      # characters signed at a time
+SEEN_SHINGLES = 1 << 21    # shingles a task remembers from one group of lines to the next: 16 MB
+CHUNK_CHARS = 1 << 16      # characters signed at a time: their arrays stay in the cache
+BAND_PARTS = 4096          # bands are dealt into so many parts, each grouped by one task: 8 MB of rows at 30 GB of text
+SIZE_BITS = 16             # of a band row for the line's size; 48 tell bands apart
+SIZES = (1 << SIZE_BITS) - 1
+BAND_ROWS = 1 << 21        # band rows a task packs at a time: 32 MB
+CLOSE_PAIRS = 1 << 15      # pairs whose sketches meet at a time
 SKETCH_BITS = 1024         # of the bitmap by which two lines are told apart before their shingles are compared
 FILTER_BITS = 1 << 26      # bits of the filter for lines to verify: 8 MB at any corpus size
 BASE = 0x9E3779B97F4A7C15
@@ -64,41 +72,90 @@ def similar(a: set, b: set, least: float) -> bool:
     return small >= least * large - 1e-9 and jaccard(a, b) >= least      # 0.8 * 35 > 28 in floating point
 
 
+def shingle_ids(line: str, width: int) -> np.ndarray | set[str]:
+    """The shingles as sorted distinct integers that name them exactly; as a set if a character needs too many bits.
+
+    A character takes 64 // width bits (12 at width 5) and is never 0, so that a line shorter than a shingle
+    equals no other.
+    """
+    bits = 64 // width
+    cp = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+    if not bits or int(cp.max(initial=0)) + 1 >> bits:
+        return shingles(line, width)
+    n = places(line, width)
+    cp = cp.astype(np.uint64)
+    cp += np.uint64(1)
+    if len(cp) < width:
+        cp = np.append(cp, np.zeros(width - len(cp), np.uint64))
+    ids = cp[:n].copy()
+    for k in range(1, width):
+        ids <<= np.uint64(bits)
+        ids |= cp[k:k + n]
+    ids.sort()
+    new = np.ones(n, bool)
+    np.not_equal(ids[1:], ids[:-1], out=new[1:])
+    return ids[new]
+
+
+def _spelled(ids: np.ndarray | set[str], width: int) -> set[str]:
+    """The shingles of ``shingle_ids`` as strings."""
+    if isinstance(ids, set):
+        return ids
+    bits = 64 // width
+    chars = [[x >> bits * k & (1 << bits) - 1 for k in reversed(range(width))] for x in ids.tolist()]
+    return {"".join(chr(c - 1) for c in shingle if c) for shingle in chars}
+
+
+def similar_ids(a: np.ndarray | set[str], b: np.ndarray | set[str], least: float, width: int) -> bool:
+    """``similar`` for the results of ``shingle_ids``."""
+    if isinstance(a, set) or isinstance(b, set):
+        return similar(_spelled(a, width), _spelled(b, width), least)
+    if min(len(a), len(b)) < least * max(len(a), len(b)) - 1e-9:
+        return False
+    both = np.concatenate((a, b))
+    both.sort()
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common / (len(a) + len(b) - common) >= least
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xC2B2AE3D27D4EB4F)
-    return x ^ (x >> np.uint64(32))
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def _shingle_hashes(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lengths of lines; line number and hash of every shingle. Lines shorter than ``width`` have none here."""
     n = np.fromiter(map(len, lines), np.int64, len(lines))
-    cp = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    total = len(cp)
-    cp = np.append(cp + np.uint64(1), np.zeros(width + 8, np.uint64))
+    text = "".join(lines)
+    total = len(text)
+    cp = np.zeros(total + width + 8, np.uint64)
+    np.add(np.frombuffer(text.encode("utf-32-le"), np.uint32), np.uint64(1), out=cp[:total], dtype=np.uint64)
     h, power, have = cp, BASE, 1
     for step in (1, 2, 4):                       # hashes of 2, 4, 8 characters, then the rest one by one
         if 2 * step > width:
             break
-        h = h[:len(h) - step] + np.uint64(power) * h[step:]
-        power, have = power * power & WRAP, have * 2
+        longer = h[step:] * np.uint64(power)
+        longer += h[:len(h) - step]
+        h, power, have = longer, power * power & WRAP, have * 2
     h = h[:total]
     for k in range(have, width):
         h = h + np.uint64(power) * cp[k:k + total]
         power = power * BASE & WRAP
+    whole = np.ones(total, bool)                 # shingles inside their line: not the last width - 1 places
     ends = np.cumsum(n)
-    line = np.repeat(np.arange(len(lines)), n)
-    at = np.arange(total)
-    whole = at + width <= ends[line]             # shingles inside their line
-    line, at = line[whole], at[whole]
-    return n, line, _mix(h[at])
+    for k in range(1, width):
+        whole[(ends - k)[n >= k]] = False
+    line = np.repeat(np.arange(len(lines)), np.maximum(n - width + 1, 0))
+    return n, line, _mix(h[whole])
 
 
-def sketches(lines: list[str], width: int) -> list[int]:
-    """A bitmap of each line's shingles, as an integer: equal shingles have equal bits."""
-    out: list[int] = []
+def _packed_sketches(lines: list[str], width: int) -> np.ndarray:
+    """A row of SKETCH_BITS / 8 bytes for each line."""
+    out = np.zeros((len(lines), SKETCH_BITS // 8), np.uint8)
     at = 0
     while at < len(lines):
         end, size = at, 0
@@ -108,15 +165,19 @@ def sketches(lines: list[str], width: int) -> list[int]:
         chunk = lines[at:end]
         n, line, h = _shingle_hashes(chunk, width)
         bits = np.zeros((len(chunk), SKETCH_BITS), bool)
-        bits[line, (h % np.uint64(SKETCH_BITS)).astype(np.int64)] = True
+        bits.reshape(-1)[line * SKETCH_BITS + (h & np.uint64(SKETCH_BITS - 1)).astype(np.int64)] = True
         for i in np.flatnonzero(n < width).tolist():
             bits[i, xxhash.xxh32_intdigest(chunk[i].encode()) % SKETCH_BITS] = True
-        packed = np.packbits(bits, axis=1)
-        out += [int.from_bytes(row.tobytes(), "big") for row in packed]
+        out[at:end] = np.packbits(bits, axis=1)
         at = end
     return out
 
 
+def sketches(lines: list[str], width: int) -> list[int]:
+    """A bitmap of each line's shingles, as an integer: equal shingles have equal bits."""
+    return [int.from_bytes(row.tobytes(), "big") for row in _packed_sketches(lines, width)]
+
+
 def apart(x: int, y: int, places: int, least: float) -> bool:
     """Whether sketches prove a Jaccard similarity below ``least``; ``places`` is at least the sizes' sum.
 
@@ -130,6 +191,7 @@ def places(line: str, width: int) -> int:
     return max(1, len(line) - width + 1)
 
 
+@cache
 def _detours(bins: int) -> np.ndarray:
     """Row t: the bin from which each empty bin takes its value at attempt t. Each column passes through all bins."""
     spots = np.arange(bins, dtype=np.uint64)
@@ -145,11 +207,31 @@ def sign(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int = SH
     and the bins of a band lie far apart, so that the values of a short line's
     band are as independent as those of a long one.
     """
+    return _signed(lines, bands, rows, width)[0]
+
+
+def _signed(lines: list[str], bands: int, rows: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``sign``, and the number of different shingles of each line (at most 2^16 lines)."""
     bins = bands * rows
     n, line, h = _shingle_hashes(lines, width)
-    where = ((h >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+    named = h >> np.uint64(16)
+    named |= line.view(np.uint64) << np.uint64(48)
+    named.sort()                                 # line after line, as before
+    new = np.ones(len(named), np.int32)
+    np.not_equal(named[1:], named[:-1], out=new[1:], casting="unsafe")
+    sizes = np.ones(len(lines), np.int64)
+    count = np.maximum(n - width + 1, 0)
+    whole = np.flatnonzero(count)
+    if len(whole):
+        sizes[whole] = np.add.reduceat(new, (np.cumsum(count) - count)[whole])
+    where = h >> np.uint64(32)
+    where *= np.uint64(bins)
+    where >>= np.uint64(32)
+    where = where.view(np.int64)
+    where += line * bins
     sig = np.full(len(lines) * bins, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(sig, line * bins + where.astype(np.int64), h & np.uint64(0xFFFFFFFF))
+    h &= np.uint64(0xFFFFFFFF)
+    np.minimum.at(sig, where, h)
     sig = sig.reshape(len(lines), bins)
     short = np.flatnonzero(n < width)
     if len(short):
@@ -166,44 +248,82 @@ def sign(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int = SH
     out = np.zeros((len(lines), bands), np.uint64)
     for r in range(rows):
         out = _mix(out + full[:, r * bands:(r + 1) * bands] + np.uint64(r + 1))
-    return _mix(out + np.arange(bands, dtype=np.uint64) * np.uint64(BASE)).view(np.int64)
+    return _mix(out + np.arange(bands, dtype=np.uint64) * np.uint64(BASE)).view(np.int64), sizes
 
 
-def _sign_documents(bands: int, rows: int, width: int):
-    """(doc_id, text_key, text) -> one row per line with a word; bands where the task meets the line first."""
+def _pack_bands(bands: int, rows: int, width: int):
+    """Texts -> (part, rows): the (band, key) pairs of a part's bands as bytes, from lines the task meets first.
+
+    The last SIZE_BITS bits of a band give way to the line's number of shingles.
+    """
+    def packed(keys: list[int], signed: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        band = np.concatenate([b for b, _ in signed])
+        size = np.concatenate([n for _, n in signed])
+        band = ((band & ~SIZES) | np.minimum(size, SIZES)[:, None]).reshape(-1)
+        part = band >> SIZE_BITS & (BAND_PARTS - 1)
+        order = np.argsort(part.astype(np.int16), kind="stable")
+        both = np.stack([band[order], np.repeat(np.array(keys, np.int64), bands)[order]], axis=1)
+        ends = np.cumsum(np.bincount(part, minlength=BAND_PARTS))
+        full = np.flatnonzero(np.diff(ends, prepend=0))
+        starts = np.append(0, ends)[full]
+        return pd.DataFrame({"part": full.astype(np.int32),
+                             "rows": [both[a:b].tobytes() for a, b in zip(starts.tolist(), ends[full].tolist())]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
+        keys, signed, chunk, size = [], [], [], 0
         for b in batches:
-            ids, keys, numbers, line_keys, chunk, at = [], [], [], [], [], []
-            size = 0
-
-            def out() -> pd.DataFrame:
-                signed: list = [None] * len(line_keys)
-                if chunk:
-                    for i, row in zip(at, sign(chunk, bands, rows, width)):
-                        signed[i] = row
-                return pd.DataFrame({"doc_id": pd.Series(ids, dtype=object), "text_key": np.array(keys, np.int64),
-                                     "line": np.array(numbers, np.int32), "key": np.array(line_keys, np.int64),
-                                     "bands": pd.Series(signed, dtype=object)})
-            for doc, text_key, text in zip(b["doc_id"], b["text_key"].tolist(), b["text"]):
-                for i, line in lines_of(text):
+            for text in b["text"]:
+                for _, line in lines_of(text):
                     key = line_key(line)
-                    if key not in seen:
-                        if len(seen) >= SEEN_LINES:
-                            seen.clear()
-                        seen.add(key)
-                        at.append(len(line_keys))
-                        chunk.append(line)
-                        size += len(line)
-                    ids.append(doc)
-                    keys.append(text_key)
-                    numbers.append(i)
-                    line_keys.append(key)
+                    if key in seen:
+                        continue
+                    if len(seen) >= SEEN_LINES:
+                        seen.clear()
+                    seen.add(key)
+                    keys.append(key)
+                    chunk.append(line)
+                    size += len(line)
                     if size >= CHUNK_CHARS:
-                        yield out()
-                        ids, keys, numbers, line_keys, chunk, at = [], [], [], [], [], []
-                        size = 0
-            yield out()
+                        signed.append(_signed(chunk, bands, rows, width))
+                        chunk, size = [], 0
+                        if len(keys) * bands >= BAND_ROWS:
+                            yield packed(keys, signed)
+                            keys, signed = [], []
+        if chunk:
+            signed.append(_signed(chunk, bands, rows, width))
+        if keys:
+            yield packed(keys, signed)
+    return run
+
+
+def _unpack_bands(similarity: float):
+    """Rows of ``_pack_bands`` sorted by part -> (band, key), sorted, one whole part after the other.
+
+    Without the lines whose size is too far from that of every other line of their band.
+    """
+    def rows(held: list[bytes]) -> pd.DataFrame:
+        both = np.frombuffer(b"".join(held), np.int64).reshape(-1, 2)
+        both = both[np.argsort(both[:, 0])]                     # by band, then size
+        band, size = both[:, 0] & ~SIZES, both[:, 0] & SIZES
+        # one more than counted, should two shingles of a line have had one hash
+        fits = (band[1:] == band[:-1]) & (size[:-1] + 1 >= similarity * size[1:] - 1e-9)
+        keep = np.append(fits, False) | np.append(False, fits) if len(band) else np.zeros(0, bool)
+        band, key = band[keep], both[keep, 1]
+        order = np.lexsort((key, band))
+        return pd.DataFrame({"band": band[order], "key": key[order]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held = None, []
+        for b in batches:
+            for part, packed in zip(b["part"].tolist(), b["rows"]):
+                if part != at:
+                    if held:
+                        yield rows(held)
+                    at, held = part, []
+                held.append(packed)
+        if held:
+            yield rows(held)
     return run
 
 
@@ -240,27 +360,40 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _texts(bitmap: np.ndarray, width: int):
-    """Texts -> lines whose key the filter holds, with sketch and number of shingle places, once for each task and line."""
+    """(doc_id, text_key, text) -> a row of each document with a line, with number and key of its lines with a word;
+    and lines whose key the filter holds, with sketch and number of shingle places, once for each task and line."""
     bits = len(bitmap) * 8
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for b in batches:
+            numbers, listed, ends, met = [], [], [0], []
+            for text in b.column("text").to_pylist():
+                for i, line in lines_of(text):
+                    numbers.append(i)
+                    listed.append(line_key(line))
+                    met.append(line)
+                ends.append(len(numbers))
+            listed = np.array(listed, np.int64)
+            slot = listed & (bits - 1)
             keys, lines = [], []
-            for text in b["text"]:
-                for _, line in lines_of(text):
-                    key = line_key(line)
-                    slot = key % bits
-                    if bitmap[slot >> 3] >> (slot & 7) & 1 and key not in sent:
-                        if len(sent) >= SEEN_LINES:
-                            sent.clear()
-                        sent.add(key)
-                        keys.append(key)
-                        lines.append(line)
-            yield pd.DataFrame({"key": np.array(keys, np.int64), "text": pd.Series(lines, dtype=object),
-                                "sketch": pd.Series([x.to_bytes(SKETCH_BITS // 8, "big") for x in sketches(lines, width)],
-                                                    dtype=object),
-                                "places": np.array([places(x, width) for x in lines], np.int32)})
+            for at in np.flatnonzero(bitmap[slot >> 3] >> (slot & 7) & 1).tolist():
+                key = int(listed[at])
+                if key not in sent:
+                    if len(sent) >= SEEN_LINES:
+                        sent.clear()
+                    sent.add(key)
+                    keys.append(key)
+                    lines.append(met[at])
+            of_docs = [b.column("doc_id"), b.column("text_key"),
+                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers, pa.int32())),
+                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(listed))]
+            of_lines = [pa.array(keys, pa.int64()), pa.array(lines, pa.string()),
+                        pa.array([row.tobytes() for row in _packed_sketches(lines, width)], pa.binary()),
+                        pa.array([places(x, width) for x in lines], pa.int32())]
+            names = ["doc_id", "text_key", "lines", "keys", "key", "text", "sketch", "places"]
+            yield pa.RecordBatch.from_arrays([*of_docs, *[pa.nulls(b.num_rows, c.type) for c in of_lines]], names)
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(keys), c.type) for c in of_docs], *of_lines], names)
     return run
 
 
@@ -298,128 +431,156 @@ def _plausible(similarity: float):
 
 def _verify(similarity: float, width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, base = None, set()
+        at, base = None, None
         for b in batches:
             keep = []
             for rep, a, c in zip(b["rep"].tolist(), b["rep_text"], b["text"]):
                 if rep != at:
-                    at, base = rep, shingles(a, width)
-                keep.append(similar(base, shingles(c, width), similarity))
+                    at, base = rep, shingle_ids(a, width)
+                keep.append(similar_ids(base, shingle_ids(c, width), similarity, width))
             yield pd.DataFrame({"u": b["rep"][keep], "v": b["key"][keep]})
     return run
 
 
+def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Rows with those of a (band, i, j) together -> frames of whole groups, each with the start of every row's group."""
+    def starts(frame: pd.DataFrame) -> np.ndarray:
+        names = frame[["band", "i", "j"]].to_numpy()
+        new = np.append(True, (names[1:] != names[:-1]).any(axis=1))
+        return np.maximum.accumulate(np.where(new, np.arange(len(frame)), 0))
+    held = None
+    for b in batches:
+        held = b if held is None else pd.concat([held, b], ignore_index=True)
+        if not len(held):
+            continue
+        start = starts(held)
+        last = int(start[-1])
+        if last:
+            yield held[:last], start[:last]
+            held = held[last:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held, starts(held)
+
+
+def _close(frame: pd.DataFrame, start: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers (n, m), m < n in one group, of lines of different classes whose sketches do not prove them apart."""
+    cls, side, size = (frame[c].to_numpy() for c in ("cls", "side", "places"))
+    words = _words(frame["sketch"])
+    before = np.arange(len(frame)) - start
+    total = np.cumsum(before)
+    row = 0
+    while row < len(frame):
+        end = max(row + 1, int(np.searchsorted(total, (total[row - 1] if row else 0) + CLOSE_PAIRS, side="right")))
+        count = before[row:end]
+        n = np.repeat(np.arange(row, end), count)
+        m = np.arange(len(n)) - np.repeat(np.cumsum(count) - count, count) + start[n]
+        meet = (cls[n] != cls[m]) & ((side[n] != side[m]) | (side[n] == 2))
+        n, m = n[meet], m[meet]
+        differ = np.bitwise_count(words[n] ^ words[m]).sum(axis=1, dtype=np.int64)
+        near = differ * (1 + similarity) <= (size[n] + size[m]) * (1 - similarity) + 1e-6
+        yield n[near], m[near]
+        row = end
+
+
 def _near(similarity: float):
     """Rows of whole groups (band, i, j), sorted -> those that may be similar to one of another class in the group."""
-    def partners(rows: list[tuple]) -> list[tuple]:
-        cls, side = np.array([r[5] for r in rows]), np.array([r[3] for r in rows])
-        if (cls == cls[0]).all():
-            return []
-        words = np.array([r[6] for r in rows])
-        size = np.array([r[7] for r in rows])
-        keep = np.zeros(len(rows), bool)
-        for n in range(len(rows)):
-            differ = np.bitwise_count(words ^ words[n]).sum(axis=1, dtype=np.int64)
-            near = differ * (1 + similarity) <= (size + size[n]) * (1 - similarity) + 1e-6
-            keep[n] = (near & (cls != cls[n]) & ((side != side[n]) | (side == 2))).any()
-        return [r[:6] for r, k in zip(rows, keep) if k]
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held, out = None, [], []
-        names = ["band", "i", "j", "side", "key", "cls"]
-        for b in batches:
-            for row in zip(*(b[c].tolist() for c in names), _words(b["sketch"]), b["places"].tolist()):
-                if row[:3] != at:
-                    out += partners(held) if held else []
-                    at, held = row[:3], []
-                held.append(row)
-            yield pd.DataFrame(out, columns=names).astype("int64")
-            out = []
-        yield pd.DataFrame(partners(held) if held else [], columns=names).astype("int64")
+        for frame, start in _whole_groups(batches):
+            keep = np.zeros(len(frame), bool)
+            for n, m in _close(frame, start, similarity):
+                keep[n] = keep[m] = True
+            yield frame.loc[keep, ["rep", "band", "i", "j", "side", "key", "cls"]]
     return run
 
 
 def _cross(similarity: float, width: int):
-    """Rows of whole groups (band, i, j), sorted -> links between different classes of the group.
+    """Rows of whole groups (band, i, j), sorted -> links between different classes of a group.
 
-    Classes that a link has joined are not compared again.
+    Classes that a link of the task has joined are not compared again, nor are lines that it has found apart.
     """
-    def solve(rows: list[tuple]) -> list[tuple[int, int]]:
-        links, parent = [], {}
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parent: dict[int, int] = {}
+        failed: set[tuple[int, int]] = set()
+        sets: dict[int, np.ndarray | set[str]] = {}
 
         def find(x):
             while parent.get(x, x) != x:
                 x = parent[x]
             return x
-        if len({r[2] for r in rows}) == 1:
-            return links
-        sets: dict[int, set[str]] = {}
-
-        def shingled(n: int) -> set[str]:
-            if n not in sets:
-                sets[n] = shingles(rows[n][3], width)
-            return sets[n]
-        for n, (side, _, cls, _, x, size) in enumerate(rows):
-            for m in range(n):
-                other, _, ocls, _, y, osize = rows[m]
-                if cls == ocls or (side != 2 and other != 2 and side == other):
-                    continue
-                if apart(x, y, size + osize, similarity):
-                    continue
-                if find(cls) != find(ocls) and similar(shingled(n), shingled(m), similarity):
-                    parent[find(cls)] = find(ocls)
-                    links.append((cls, ocls))
-        return links
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held, links = None, [], []
-        for b in batches:
-            for group, side, key, cls, text, x, size in zip(
-                    zip(b["band"].tolist(), b["i"].tolist(), b["j"].tolist()), b["side"].tolist(), b["key"].tolist(),
-                    b["cls"].tolist(), b["text"], b["sketch"], b["places"].tolist()):
-                if group != at:
-                    links += solve(held)
-                    at, held = group, []
-                held.append((side, key, cls, text, int.from_bytes(x, "big"), size))
+        for frame, start in _whole_groups(batches):
+            if max(len(parent), len(failed)) >= SEEN_LINES:
+                parent.clear()
+                failed.clear()
+            if sum(map(len, sets.values())) >= SEEN_SHINGLES:
+                sets.clear()
+            cls, key, text, links = frame["cls"].tolist(), frame["key"].tolist(), frame["text"].tolist(), []
+
+            def ids(n: int) -> np.ndarray | set[str]:
+                if key[n] not in sets:
+                    sets[key[n]] = shingle_ids(text[n], width)
+                return sets[key[n]]
+            for rows, others in _close(frame, start, similarity):
+                for n, m in zip(rows.tolist(), others.tolist()):
+                    a, b = find(cls[n]), find(cls[m])
+                    pair = (key[n], key[m]) if key[n] < key[m] else (key[m], key[n])
+                    if a == b or pair in failed:
+                        continue
+                    if similar_ids(ids(n), ids(m), similarity, width):
+                        parent[a] = b
+                        links.append((cls[n], cls[m]))
+                    else:
+                        failed.add(pair)
             yield pd.DataFrame(links, columns=["u", "v"]).astype("int64")
-            links = []
-        yield pd.DataFrame(solve(held), columns=["u", "v"]).astype("int64")
     return run
 
 
-def line_classes(lines: DataFrame, texts: DataFrame, scratch: Scratch, similarity: float = SIMILARITY,
-                 width: int = SHINGLE) -> DataFrame:
-    """Signed lines -> (key, component) of the lines in classes of two different lines or more.
+def line_classes(docs: DataFrame, scratch: Scratch, similarity: float = SIMILARITY, width: int = SHINGLE,
+                 bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, text) -> (doc_id, text_key, n_lines, line, key) of every line with a word, ``n_lines`` being
+    their number in the text; and (key, component) of the lines in classes of two different lines or more.
 
     First every line is verified against the first line of each of its bands
     (a star, not all pairs), and union-find joins what is similar. Then only
     bands of three lines or more that still hold lines of different classes
     are gone through, class against class, in blocks of BLOCK_LINES, so every
-    pair that shares a band is either in one class already or compared. Each
-    line is sketched once; sketches meet first, and texts only of those lines
-    that a sketch does not tell apart from all others.
+    pair that shares a band is either in one class already or compared.
+    Band rows are shuffled in packed parts, never stored. Each line of a band
+    of several is sketched once a task; sketches meet first, and texts only of
+    those lines that a sketch does not tell apart from all others.
     """
-    bands = (lines.where("bands IS NOT NULL").select("key", F.explode("bands").alias("band"))
-             .repartition("band").sortWithinPartitions("band", "key"))
-    stars = scratch.write(bands.mapInPandas(_stars, "band long, rep long, key long, pair boolean"), "stars")
+    packed = (docs.select("text").mapInPandas(_pack_bands(bands, rows, width), "part int, rows binary")
+              .repartition("part").sortWithinPartitions("part"))
+    unpack = _unpack_bands(similarity)
+    stars = scratch.write(packed.mapInPandas(lambda parts: _stars(unpack(parts)),
+                                             "band long, rep long, key long, pair boolean"), "stars")
     needed = _filter(stars.select("key"))
-    found = texts.select("text").mapInPandas(_texts(needed, width), "key long, text string, sketch binary, places int")
-    wanted = stars.select("key").distinct()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    stored = scratch.write(docs.select("doc_id", "text_key", "text").mapInArrow(
+        _texts(needed, width), f"doc_id {kind}, text_key long, lines array<int>, keys array<long>, "
+                               "key long, text string, sketch binary, places int"), "texts")
+    listed = (stored.where("lines IS NOT NULL")
+              .select("doc_id", "text_key", F.size("lines").alias("n_lines"), F.inline(F.arrays_zip("lines", "keys")))
+              .withColumnsRenamed({"lines": "line", "keys": "key"}))
+    found = stored.where("key IS NOT NULL").select("key", "text", "sketch", "places")
     # of lines with one key (equal lines, met by several tasks) one is enough
-    found = found.join(wanted, "key", "left_semi").groupBy("key").agg(
-        *[F.any_value(c).alias(c) for c in ("text", "sketch", "places")])
-    found = scratch.write(found, "texts")
-    written, sketched = found.select("key", "text"), found.select("key", "sketch", "places")
+    sketched = found.select("key", "sketch", "places").repartition("key").groupBy("key").agg(
+        F.any_value("sketch").alias("sketch"), F.any_value("places").alias("places"))
+
+    def found_of(keys: DataFrame, columns: list[str], name: str) -> DataFrame:
+        wanted = found.select("key", *columns).join(keys.distinct(), "key", "left_semi")
+        return scratch.write(wanted.groupBy("key").agg(*[F.any_value(c).alias(c) for c in columns]), name)
 
     def of_rep(rows: DataFrame) -> DataFrame:
         return rows.select(*[F.col(c).alias("rep" if c == "key" else f"rep_{c}") for c in rows.columns])
 
-    pairs = stars.where("rep != key").select("rep", "key").distinct()
+    pairs = stars.where("rep != key").select("rep", "key").repartition("key").distinct()
     pairs = pairs.join(sketched, "key").join(of_rep(sketched), "rep")
     pairs = scratch.write(pairs.mapInPandas(_plausible(similarity), "rep long, key long"), "pairs")
+    written = found_of(pairs.select("key").union(pairs.select("rep")), ["text"], "pair_texts")
     links = pairs.join(written, "key").join(of_rep(written), "rep").sortWithinPartitions("rep")
     links = scratch.write(links.mapInPandas(_verify(similarity, width), "u long, v long"), "links")
     scratch.drop(pairs)
+    scratch.drop(written)
     first = scratch.write(components(links, scratch), "first")
     scratch.drop(links)
 
@@ -427,7 +588,7 @@ def line_classes(lines: DataFrame, texts: DataFrame, scratch: Scratch, similarit
         return (rows.join(classes.select(F.col("node").alias("key"), "component"), "key", "left")
                 .withColumn("cls", F.coalesce("component", "key")).drop("component"))
 
-    members = classed(stars.where("NOT pair").select("band", "key"), first)
+    members = classed(stars.where("NOT pair").select("band", "rep", "key"), first)
     mixed = (members.groupBy("band").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("n"))
              .where("low != high AND n > 2").select("band", F.ceil(F.col("n") / BLOCK_LINES).alias("parts")))
     bands = scratch.write(mixed, "mixed_bands")
@@ -436,27 +597,30 @@ def line_classes(lines: DataFrame, texts: DataFrame, scratch: Scratch, similarit
     scratch.drop(stars)
     # every block meets itself (side 2) and each other block (sides 0 and 1)
     dealt = mixed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    dealt = dealt.select("band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+    dealt = dealt.select("rep", "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
                          F.expr("CASE WHEN part = other THEN 2L WHEN part < other THEN 0L ELSE 1L END").alias("side"),
                          "key", "cls")
     near = (dealt.join(sketched, "key").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-            .mapInPandas(_near(similarity), "band long, i long, j long, side long, key long, cls long"))
+            .mapInPandas(_near(similarity), "rep long, band long, i long, j long, side long, key long, cls long"))
     near = scratch.write(near, "near")
     scratch.drop(mixed)
-    more = (near.join(found, "key").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "cls", "key")
+    written = found_of(near.select("key"), ["text", "sketch", "places"], "near_texts")
+    # bands of one first line hold much the same lines: a task goes through a quarter of them and remembers what it compared
+    more = (near.join(written, "key").repartition("rep", "i", "j", F.pmod(F.xxhash64("band"), F.lit(4)))
+            .sortWithinPartitions("rep", "i", "j", "band", "cls", "key")
             .mapInPandas(_cross(similarity, width), "u long, v long"))
     more = scratch.write(more, "more")
     scratch.drop(near)
-    scratch.drop(found)
+    scratch.drop(written)
     if more.isEmpty():
-        return first.select(F.col("node").alias("key"), "component")
+        return listed, first.select(F.col("node").alias("key"), "component")
     second = components(more, scratch).select(F.col("node").alias("cls"), F.col("component").alias("top"))
     joined = first.join(second, first["component"] == second["cls"], "left").select(
         "node", F.coalesce("top", "component").alias("component"))
     # classes of one line that the second round joined are not in the first round's table
     alone = second.join(first, second["cls"] == first["node"], "left_anti").select(
         F.col("cls").alias("node"), F.col("top").alias("component"))
-    return scratch.write(joined.unionByName(alone).select(F.col("node").alias("key"), "component"), "classes")
+    return listed, scratch.write(joined.unionByName(alone).select(F.col("node").alias("key"), "component"), "classes")
 
 
 def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
@@ -477,38 +641,45 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     Two different lines whose 64-bit keys collide (one pair in 10^19) would
     count as equal.
     """
+    lines, grouped = _classed_lines(df, doc_id, text, similarity, bands, rows, width, name)
+    alone = lines.where("component IS NULL").select(
+        "doc_id", "text_key", "line", F.col("key").alias("component"), F.lit(True).alias("kept"),
+        F.col("doc_id").alias("kept_doc"), F.col("line").alias("kept_line"))
+    return grouped.unionByName(alone)
+
+
+def _classed_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                   bands: int | None = None, rows: int = ROWS, width: int = SHINGLE, name: str = "lines"
+                   ) -> tuple[DataFrame, DataFrame]:
+    """Every line with a word, its component null if it is the only line of its class; ``duplicate_lines`` of the others."""
     scratch = Scratch(df.sparkSession, name, tidy=True)
     bands = bands or bands_for(rows, similarity)
-    kind = df.schema[doc_id].dataType
     small_batches(df.sparkSession)
-    docs = df.select(F.col(doc_id).cast("string").alias("doc_id"), text_hash(text).alias("text_key"),
-                     F.col(text).alias("text"))
-    lines = docs.mapInPandas(_sign_documents(bands, rows, width),
-                             "doc_id string, text_key long, line int, key long, bands array<long>")
-    signed = scratch.write(lines.withColumn("doc_id", F.col("doc_id").cast(kind)), "signed")
-    classes = line_classes(signed, docs, scratch, similarity, width)
-    lines = signed.select("doc_id", "text_key", "line", "key").join(classes, "key", "left").select(
-        "doc_id", "text_key", "line", F.coalesce("component", "key").alias("component"))
-    lines = scratch.write(lines, "classed")
-    scratch.drop(signed)
+    docs = df.select(F.col(doc_id).alias("doc_id"), text_hash(text).alias("text_key"), F.col(text).alias("text"))
+    listed, classes = line_classes(docs, scratch, similarity, width, bands, rows)
+    several = listed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    several = several.join(classes, "key", "full").select("key", F.coalesce("component", "key").alias("component"))
+    lines = scratch.write(listed.join(several, "key", "left"), "classed")
+    scratch.drop(listed)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "line")
-    first = lines.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    first = scratch.write(first.drop("n"), "kept")      # stored, so AQE can split a hot line in the join
-    alone = F.col("first").isNull()
-    return lines.join(first, "component", "left").select(
-        "doc_id", "text_key", "line", "component", (alone | (place == F.col("first"))).alias("kept"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("kept_doc"),
-        F.when(alone, F.col("line")).otherwise(F.col("first.line")).alias("kept_line"))
+    shared = lines.where("component IS NOT NULL")
+    first = shared.groupBy("component").agg(F.min(place).alias("first"))
+    first = scratch.write(first, "kept")      # stored, so AQE can split a hot line in the join
+    return lines, shared.join(first, "component").select(
+        "doc_id", "text_key", "line", "component", (place == F.col("first")).alias("kept"),
+        F.col("first.doc_id").alias("kept_doc"), F.col("first.line").alias("kept_line"))
 
 
 def dropped_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(doc_id, text_key, n_lines, dropped, kept_docs): per document with a line its lines to drop, numbered
     from 0, and the documents that keep them."""
-    found = duplicate_lines(df, doc_id, text, **options)
-    return found.groupBy("doc_id", "text_key").agg(
-        F.size(F.collect_set("line")).cast("long").alias("n_lines"),
-        F.array_sort(F.collect_set(F.when(~F.col("kept"), F.col("line")))).alias("dropped"),
-        F.array_sort(F.collect_set(F.when(~F.col("kept"), F.col("kept_doc")))).alias("kept_docs"))
+    lines, grouped = _classed_lines(df, doc_id, text, **options)
+    counts = lines.groupBy("doc_id", "text_key").agg(F.max("n_lines").cast("long").alias("n_lines"))
+    drops = grouped.where("NOT kept").groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("of_text")).agg(
+        F.array_sort(F.collect_set("line")).alias("dropped"), F.array_sort(F.collect_set("kept_doc")).alias("kept_docs"))
+    rows = counts.join(drops, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("of_text")), "left")
+    return rows.select("doc_id", "text_key", "n_lines", *[
+        F.coalesce(c, F.array().cast(drops.schema[c].dataType)).alias(c) for c in ("dropped", "kept_docs")])
 
 
 def with_dropped(df: DataFrame, drops: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[str]]:
