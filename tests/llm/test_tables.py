@@ -315,5 +315,5 @@ def test_pipeline_stages_on_edge_cases(spark, request, kind):
 
 def test_every_operator_is_registered(spark):
     names = sorted(queries.queries())
-    assert [n for i in range(1, 11) for n in names if n.startswith(f"op{i}_")] and len(names) == 10
+    assert [n for i in range(1, 14) for n in names if n.startswith(f"op{i}_")] and len(names) == 13
     assert len(corpus_pipeline.STAGES) == 5
