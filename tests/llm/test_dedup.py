@@ -385,5 +385,71 @@ def test_components(spark):
     assert got == {n: comp[n] for pair in links for n in pair if pair[0] != pair[1]}
 
 
+def test_components_of_links_found_in_the_same_worker(spark):
+    """The links may be what a function makes of the rows, in frames of any size."""
+    random.seed(5)
+    links = [(random.randrange(300), random.randrange(300)) for _ in range(200)] + [(1000, i) for i in range(1001, 1200)]
+
+    def made(batches):
+        for b in batches:
+            for i in range(0, len(b), 7):
+                yield pd.DataFrame({"u": -b["a"][i:i + 7], "v": -b["b"][i:i + 7]})
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    got = {r.node: r.component for r in components(df, Scratch(spark, "t"), made_by=made).collect()}
+    largest = {}
+    comp = union(1200, links)
+    for pair in links:
+        for n in pair:
+            largest[comp[n]] = max(largest.get(comp[n], 0), n)
+    assert got == {-n: -largest[comp[n]] for pair in links for n in pair if pair[0] != pair[1]}
+
+
+def test_search_hands_links_on_in_chunks(monkeypatch):
+    values = sorted({1 << i for i in range(24)})
+    frame = pd.DataFrame([(0, 0, role, v) for role in (0, 1) for v in values], columns=["shard", "part", "role", "fp"])
+    want = {(a, b) for a in values for b in values if a < b}
+    monkeypatch.setattr(simhash, "LINKS_CHUNK", 10)
+    frames = list(simhash._search(4)(iter([frame])))
+    assert max(map(len, frames)) < 10 + len(values)
+    found = [pair for f in frames for pair in zip(f["u"].tolist(), f["v"].tolist())]
+    assert len(found) == len(set(found)) and {(min(p), max(p)) for p in found} == want
+
+
+def python_steps(df):
+    """Python evaluations of each stage of a frame's plan: a task holds a Python worker for each of them."""
+    def walk(node, stages, at):
+        name = node.nodeName()
+        if "Exchange" in name:
+            stages.append([])
+            at = len(stages) - 1
+        elif re.search("InPandas|InArrow|EvalPython", name):
+            stages[at].append(name)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i), stages, at)
+        return stages
+    plan = df._jdf.queryExecution().executedPlan()
+    return walk(plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan, [[]], 0)
+
+
+def test_tasks_of_the_pipeline_hold_one_python_worker(spark, tmp_path, monkeypatch):
+    """An executor keeps the workers of a task, so a second one in a row costs its memory in all later stages too."""
+    near = [f"one two three four five six seven eight {w} ten eleven twelve" for w in ("nine", "nein", "neuf")]
+    rows = [(i, f"{near[i % 3]}\nline number {i} of this text", "en", "web", "art", 60) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string, n_chars long") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 5 == 0) for i in range(30)], "doc_id long, toxic boolean") \
+        .selectExpr("doc_id", "cast(toxic as int) as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    save, stages = Scratch.save, []
+
+    def saved(self, df, name):
+        stages.extend((name, s) for s in python_steps(df))
+        return save(self, df, name)
+    monkeypatch.setattr(Scratch, "save", saved)
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    stages += [("bpe", s) for s in python_steps(last)]
+    assert sum(len(s) for _, s in stages) >= 9
+    assert [x for x in stages if len(x[1]) > 1] == []
+
+
 def test_clashing_names_are_many():
     assert len(CLASHING) > 20

@@ -19,6 +19,7 @@ MAX_BITS = 4               # fingerprints link at this many differing bits or fe
 BLOCKS = 6                 # a fingerprint is cut into this many bit blocks
 TREE_ROWS = 2048           # nodes of one shard tree; larger shards get several trees
 BITS_CHUNK = 65536         # shingle hashes unpacked to bits at a time
+LINKS_CHUNK = 65536        # links a search holds before it hands them on
 
 
 def fingerprint(data: bytes, width: int = SHINGLE_WORDS) -> int:
@@ -116,6 +117,9 @@ def _search(radius: int):
                         if other > value:              # each link once; itself never
                             us.append(fp)
                             vs.append(other - (1 << 64) if other >> 63 else other)
+                    if len(us) >= LINKS_CHUNK:
+                        yield pd.DataFrame({"u": np.array(us, dtype=np.int64), "v": np.array(vs, dtype=np.int64)})
+                        us, vs = [], []
             yield pd.DataFrame({"u": np.array(us, dtype=np.int64), "v": np.array(vs, dtype=np.int64)})
             us, vs = [], []
     return run
@@ -133,6 +137,11 @@ def fingerprint_links(fps: DataFrame, scratch: Scratch, radius: int = MAX_BITS,
     turn, so no task holds a whole shard. The trees stay in the tasks of their shard:
     their number grows with the corpus, so they are dealt out, not broadcast.
     """
+    return _dealt(fps, scratch, radius, blocks, tree_rows).mapInPandas(_search(radius), "u long, v long")
+
+
+def _dealt(fps: DataFrame, scratch: Scratch, radius: int, blocks: int, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """The rows that ``_search`` takes, whole trees to a task: see ``fingerprint_links``."""
     agree = blocks - radius
     if agree < 1:
         raise ValueError("blocks must exceed the radius")
@@ -150,9 +159,8 @@ def fingerprint_links(fps: DataFrame, scratch: Scratch, radius: int = MAX_BITS,
     trees = sized.select("shard", part.alias("part"), F.lit(0).alias("role"), "fp")
     queries = sized.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
                            F.lit(1).alias("role"), "fp")
-    dealt = (trees.unionByName(queries).repartition("shard", "part")
-             .sortWithinPartitions("shard", "part", "role", "fp"))
-    return dealt.mapInPandas(_search(radius), "u long, v long")
+    return (trees.unionByName(queries).repartition("shard", "part")
+            .sortWithinPartitions("shard", "part", "role", "fp"))
 
 
 def simhash_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS,
@@ -174,7 +182,8 @@ def simhash_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     marked = with_fingerprint(base.select("doc_id", text_hash("text").alias("text_key"), "text"), "text", "fp", width)
     marked = scratch.write(marked.drop("text"), "fingerprints")
     nodes = scratch.write(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    found = components(fingerprint_links(nodes.select("fp"), scratch, radius, blocks), scratch)
+    # found and joined in one Python worker a task: the links of a shard never leave it
+    found = components(_dealt(nodes.select("fp"), scratch, radius, blocks), scratch, made_by=_search(radius))
     found = nodes.join(found, nodes["fp"] == found["node"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component"))
     found = scratch.write(found, "found")
